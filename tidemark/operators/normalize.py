@@ -87,8 +87,8 @@ def record_vocabulary(records: DataFrame, rec: str = "rec", pos: str = "pos") ->
     One small aggregate (partial aggregation per task, so hot keys never pile up
     in one task); the result is schema metadata bounded by the key vocabulary.
     """
-    keys = (records.select(F.explode(F.map_keys(F.col(rec))).alias("k"), F.col(pos).alias("p"))
-            .groupBy("k").agg(F.min("p").alias("first")))
+    keys = (records.select(F.col(pos).alias("p"), F.posexplode(F.map_keys(F.col(rec))).alias("i", "k"))
+            .groupBy("k").agg(F.min(F.struct("p", "i")).alias("first")))
     rows = keys.orderBy("first", "k").limit(MAX_VOCABULARY + 1).collect()
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"feed has more than {MAX_VOCABULARY} distinct column names")
@@ -169,3 +169,19 @@ def rename(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def present_columns(plan: ColumnPlan) -> list[str]:
     return list(plan.present)
+
+
+def observed_columns(records: DataFrame, spec: TableSpec, rec: str = "rec") -> DataFrame:
+    """(table_name, raw_name, column_name, records): every key the records carry,
+    resolved (rename, trim, lower case), with the number of records carrying it.
+    A distributed aggregate; the result is as small as the key vocabulary."""
+    k = F.col("raw_name")
+    norm = F.lower(F.trim(k))
+    resolved = norm
+    if spec.renames:
+        m = F.create_map(*[x for kv in spec.renames.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+        resolved = F.coalesce(F.element_at(m, norm), norm)
+    return (records.select(F.explode(F.map_keys(F.col(rec))).alias("raw_name"))
+            .groupBy("raw_name").agg(F.count(F.lit(1)).alias("records"))
+            .select(F.lit(spec.name.lower()).alias("table_name"), "raw_name", resolved.alias("column_name"),
+                    "records"))

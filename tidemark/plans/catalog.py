@@ -260,3 +260,387 @@ def q_flag_default(spark, sf):
     mi = _f1(spark, sf, feed=feed)
     s = M.change_summary(mi, M.merge(FX.f1_target(spark, sf), mi))
     return s.select("received", "inserted", "updated", "unchanged")
+
+
+# --------------------------------------------------------------------------- readers: payload lines on customer
+
+from tidemark.operators import manifest as MF  # noqa: E402
+from tidemark.operators import runlog as RL  # noqa: E402
+from tidemark.operators.normalize import observed_columns  # noqa: E402
+from tidemark.operators.quality import audit_structure, expected_columns, validate  # noqa: E402
+from tidemark.functions.coerce import coerce, is_fractional  # noqa: E402
+from tidemark.functions.text import blank_to_null, clean_text  # noqa: E402
+from tidemark.plans.ingest import records_input  # noqa: E402
+from tidemark.sources.feeds import classify_lines, of_kind, parse_documents, parse_lines  # noqa: E402
+
+CUST_TYPED = "c_custkey, c_name, c_nationkey, c_acctbal, flag"
+_CUST_TYPED_SQL = f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'A' AS flag FROM customer"
+
+
+def _cust_feed(spark, sf):
+    return parse_lines(FX.customer_lines(spark, sf))
+
+
+def _cust_typed(spark, sf, feed=None):
+    feed = feed or _cust_feed(spark, sf)
+    mi, plan = records_input(feed.records, FX.CUSTOMER_SPEC)
+    return mi, plan
+
+
+@register("scan_ndjson", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(7 AS INTEGER) AS n_keys FROM customer""")
+def q_scan_ndjson(spark, sf):
+    r = _cust_feed(spark, sf).records
+    return r.select(F.col("rec").getItem(" C_CustKey ").alias("c_custkey"), F.size("rec").alias("n_keys"))
+
+
+@register("scan_envelope", f"{_CUST_TYPED_SQL} WHERE c_custkey % 71 = 0")
+def q_scan_envelope(spark, sf):
+    lines = FX.customer_lines(spark, sf).where(F.col("value").startswith('{"Table":[') & F.col("value").endswith("]}"))
+    mi, _ = _cust_typed(spark, sf, parse_lines(lines))
+    return mi.feed.select(*CUST_TYPED.split(", "))
+
+
+@register("project_to_schema", _CUST_TYPED_SQL)
+def q_project_to_schema(spark, sf):
+    mi, _ = _cust_typed(spark, sf)
+    return mi.feed.select(*CUST_TYPED.split(", "))
+
+
+@register("dedup_columns", "SELECT c_custkey, c_name FROM customer")
+def q_dedup_columns(spark, sf):
+    mi, _ = _cust_typed(spark, sf)
+    return mi.feed.select("c_custkey", "c_name")
+
+
+@register("flag_normalize_text", "SELECT c_custkey, 'A' AS flag FROM customer")
+def q_flag_normalize_text(spark, sf):
+    mi, _ = _cust_typed(spark, sf)
+    return mi.feed.select("c_custkey", "flag")
+
+
+_KEYS_SQL = """SELECT v.raw_name, v.column_name, CAST(COUNT(*) AS BIGINT) AS records
+FROM customer, (VALUES (' C_CustKey ', 'c_custkey'), ('C_NAME', 'c_name'), ('c_nationkey', 'c_nationkey'),
+                       ('Account Balance', 'c_acctbal'), ('c_name ', 'c_name'), ('extra_col', 'extra_col'),
+                       ('Flag', 'flag')) v(raw_name, column_name)
+{where} GROUP BY v.raw_name, v.column_name"""
+
+
+@register("norm_columns", _KEYS_SQL.format(where=""))
+def q_norm_columns(spark, sf):
+    return observed_columns(_cust_feed(spark, sf).records, FX.CUSTOMER_SPEC).select("raw_name", "column_name", "records")
+
+
+@register("rename_columns", _KEYS_SQL.format(where="WHERE v.raw_name = 'Account Balance'"))
+def q_rename_columns(spark, sf):
+    o = observed_columns(_cust_feed(spark, sf).records, FX.CUSTOMER_SPEC)
+    return o.where(F.lower(F.trim("raw_name")) != F.col("column_name")).select("raw_name", "column_name", "records")
+
+
+@register("filter_malformed", "SELECT c_custkey * 10 + 1 AS pos FROM customer WHERE c_custkey % 97 = 0")
+def q_filter_malformed(spark, sf):
+    return _cust_feed(spark, sf).malformed.select("pos")
+
+
+@register("filter_envelope", "SELECT c_custkey * 10 + 4 AS pos FROM customer WHERE c_custkey % 79 = 0")
+def q_filter_envelope(spark, sf):
+    return of_kind(classify_lines(FX.customer_lines(spark, sf)), "message").select("pos")
+
+
+@register("agg_malformed", """SELECT
+  CAST(COUNT(*) + COUNT(*) FILTER (WHERE c_custkey % 97 = 0) + COUNT(*) FILTER (WHERE c_custkey % 89 = 0)
+       + COUNT(*) FILTER (WHERE c_custkey % 83 = 0) + COUNT(*) FILTER (WHERE c_custkey % 79 = 0) AS BIGINT) AS lines,
+  CAST(COUNT(*) FILTER (WHERE c_custkey % 89 = 0) + COUNT(*) FILTER (WHERE c_custkey % 83 = 0) AS BIGINT) AS skipped,
+  CAST(COUNT(*) FILTER (WHERE c_custkey % 97 = 0) AS BIGINT) AS malformed,
+  CAST(COUNT(*) FILTER (WHERE c_custkey % 79 = 0) AS BIGINT) AS status_messages,
+  CAST(COUNT(*) AS BIGINT) AS records
+FROM customer""")
+def q_agg_malformed(spark, sf):
+    return _cust_feed(spark, sf).stats()
+
+
+_AUDIT_SQL = """SELECT DISTINCT 'customer_feed' AS table_name, 'MISMATCH' AS structure, 'extra_col' AS extra,
+       'c_mktsegment' AS missing, true AS warning FROM customer"""
+
+
+def _audit(spark, sf):
+    obs = observed_columns(_cust_feed(spark, sf).records, FX.CUSTOMER_SPEC)
+    return audit_structure(obs, expected_columns(spark, [FX.CUSTOMER_SPEC]))
+
+
+@register("audit_structure", _AUDIT_SQL)
+def q_audit_structure(spark, sf):
+    a = _audit(spark, sf)
+    return a.select("table_name", "structure", F.array_join("extra", ",").alias("extra"),
+                    F.array_join("missing", ",").alias("missing"), "warning")
+
+
+@register("columns_extra", "SELECT DISTINCT 'customer_feed' AS table_name, 'extra_col' AS column_name FROM customer")
+def q_columns_extra(spark, sf):
+    return _audit(spark, sf).select("table_name", F.explode("extra").alias("column_name"))
+
+
+@register("columns_missing", "SELECT DISTINCT 'customer_feed' AS table_name, 'c_mktsegment' AS column_name FROM customer")
+def q_columns_missing(spark, sf):
+    return _audit(spark, sf).select("table_name", F.explode("missing").alias("column_name"))
+
+
+_PHONE_SPEC = TableSpec.of("customer_by_phone", FX.T.StructType([
+    FX.T.StructField("c_phone", FX.T.StringType()), FX.T.StructField("c_custkey", FX.T.LongType()),
+    FX.T.StructField("c_name", FX.T.StringType())]), pk=["c_phone"])
+
+
+@register("validate_feed", """SELECT DISTINCT 'error' AS level,
+  'customer_by_phone: missing PK columns: [''c_phone'']' AS message FROM customer""")
+def q_validate_feed(spark, sf):
+    from tidemark.operators.normalize import record_vocabulary, resolve_columns
+    feed = _cust_feed(spark, sf)
+    plan = resolve_columns(record_vocabulary(feed.records), _PHONE_SPEC)
+    return validate(spark, plan, _PHONE_SPEC)
+
+
+@register("scan_document", _CUST_TYPED_SQL)
+def q_scan_document(spark, sf):
+    mi, _ = _cust_typed(spark, sf, parse_documents(FX.customer_documents(spark, sf)))
+    return mi.feed.select(*CUST_TYPED.split(", "))
+
+
+@register("scan_table_json", f"{_CUST_TYPED_SQL} WHERE c_custkey % 2 = 0")
+def q_scan_table_json(spark, sf):
+    mi, _ = _cust_typed(spark, sf, parse_documents(FX.customer_documents(spark, sf), strict=True))
+    return mi.feed.select(*CUST_TYPED.split(", "))
+
+
+# --------------------------------------------------------------------------- F3: coercion on lineitem
+
+@register("blank_to_null", f"""WITH {FX.F3_SQL}
+SELECT l_orderkey, l_linenumber, CASE WHEN trim(x) = '' THEN NULL ELSE x END AS x FROM x""")
+def q_blank_to_null(spark, sf):
+    t = FX.lineitem_text(spark, sf)
+    return t.select("l_orderkey", "l_linenumber", blank_to_null("x").alias("x"))
+
+
+@register("null_tokens", f"""WITH {FX.F3_SQL}
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN lower(trim(x)) IN ('', 'nan', 'none', '<na>') THEN NULL ELSE trim(x) END AS x FROM x""")
+def q_null_tokens(spark, sf):
+    t = FX.lineitem_text(spark, sf)
+    return t.select("l_orderkey", "l_linenumber", clean_text("x").alias("x"))
+
+
+_NUM = "TRY_CAST(trim(x) AS DOUBLE)"
+
+
+@register("coerce_number", f"""WITH {FX.F3_SQL}
+SELECT l_orderkey, l_linenumber, {_NUM} AS x_num FROM x""")
+def q_coerce_number(spark, sf):
+    t = FX.lineitem_text(spark, sf)
+    v, _ = coerce("x", __import__("pyspark.sql.types", fromlist=["DoubleType"]).DoubleType())
+    return t.select("l_orderkey", "l_linenumber", v.alias("x_num"))
+
+
+@register("coerce_int", f"""WITH {FX.F3_SQL}
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN {_NUM} = floor({_NUM}) THEN CAST({_NUM} AS BIGINT) END AS x_int,
+       COALESCE({_NUM} <> floor({_NUM}), false) AS fractional FROM x""")
+def q_coerce_int(spark, sf):
+    from pyspark.sql import types as T
+    t = FX.lineitem_text(spark, sf)
+    v, _ = coerce("x", T.LongType(), on_fraction="null")
+    return t.select("l_orderkey", "l_linenumber", v.alias("x_int"), is_fractional("x").alias("fractional"))
+
+
+@register("agg_coerce_counts", f"""WITH {FX.F3_SQL}
+SELECT CAST(COUNT(*) AS BIGINT) AS rows_total,
+       CAST(COUNT(*) FILTER (WHERE {_NUM} = floor({_NUM})) AS BIGINT) AS integral,
+       CAST(COUNT({_NUM}) AS BIGINT) AS numeric,
+       CAST(COUNT(*) FILTER (WHERE {_NUM} <> floor({_NUM})) AS BIGINT) AS fractional FROM x""")
+def q_agg_coerce_counts(spark, sf):
+    from pyspark.sql import types as T
+    t = FX.lineitem_text(spark, sf)
+    vi, bad = coerce("x", T.LongType(), on_fraction="fail")
+    vd, _ = coerce("x", T.DoubleType())
+    return t.agg(F.count(F.lit(1)).alias("rows_total"), F.count(vi).alias("integral"),
+                 F.count(vd).alias("numeric"), F.count_if(bad).alias("fractional"))
+
+
+@register("coerce_timestamp", f"""WITH {FX.F3_SQL}, y AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_orderkey % 17 = 0 THEN 'not a date' ELSE CAST(l_shipdate AS VARCHAR) END AS ts_text FROM x)
+SELECT l_orderkey, l_linenumber, TRY_CAST(ts_text AS TIMESTAMP) AS ts,
+       TRY_CAST(ts_text AS TIMESTAMP) IS NULL AS bad FROM y""")
+def q_coerce_timestamp(spark, sf):
+    from pyspark.sql import types as T
+    t = FX.lineitem_text(spark, sf)
+    txt = F.when(F.col("l_orderkey") % 17 == 0, F.lit("not a date")).otherwise(F.col("l_shipdate").cast("string"))
+    v, bad = coerce(txt, T.TimestampNTZType())
+    return t.select("l_orderkey", "l_linenumber", v.alias("ts"), bad.alias("bad"))
+
+
+@register("check_length", "SELECT p_partkey, length(p_name) > 30 AS too_long FROM part")
+def q_check_length(spark, sf):
+    from pyspark.sql import types as T
+    p = FX.table(spark, sf, "part")
+    _, bad = coerce("p_name", T.StringType(), max_len=30)
+    return p.select("p_partkey", F.coalesce(bad, F.lit(False)).alias("too_long"))
+
+
+_LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+            "l_returnflag, l_linestatus, l_shipdate")
+
+
+@register("lineitem_keep_last", f"""SELECT {_LI_COLS} FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
+  {', '.join(c + ' DESC' for c in FX.LINEITEM_ORDER)}) = 1""")
+def q_lineitem_keep_last(spark, sf):
+    li = FX.table(spark, sf, "lineitem")
+    w = keep_last(li.withColumn("pos", F.struct(*FX.LINEITEM_ORDER)), ["l_orderkey", "l_linenumber"], "pos")
+    return w.drop("pos")
+
+
+# --------------------------------------------------------------------------- F4: run log on events
+
+@register("run_status", f"WITH {FX.F4_SQL} SELECT id, feed_name, requested_date, status FROM runs")
+def q_run_status(spark, sf):
+    return FX.run_events(spark, sf).select("id", "feed_name", "requested_date", "status")
+
+
+@register("business_date", f"WITH {FX.F4_SQL} SELECT id, started_at, requested_date FROM runs")
+def q_business_date(spark, sf):
+    return FX.run_events(spark, sf).select("id", "started_at", "requested_date")
+
+
+@register("runlog_latest", f"""WITH {FX.F4_SQL}
+SELECT id, status, CASE WHEN status = 'STARTED' THEN NULL ELSE started_at + INTERVAL 90 SECOND END AS finished_at
+FROM runs""")
+def q_runlog_latest(spark, sf):
+    return RL.latest_runs(FX.run_log_events(spark, sf)).select("id", "status", "finished_at")
+
+
+@register("agg_run_count", f"""WITH {FX.F4_SQL}
+SELECT feed_name, requested_date, status, CAST(COUNT(*) AS BIGINT) AS runs FROM runs GROUP BY ALL""")
+def q_agg_run_count(spark, sf):
+    return RL.run_counts(FX.run_events(spark, sf))
+
+
+@register("join_missed_runs", f"""WITH {FX.F4_SQL}
+SELECT DISTINCT feed_name, requested_date FROM runs r
+WHERE NOT EXISTS (SELECT 1 FROM runs d WHERE d.feed_name = r.feed_name AND d.requested_date = r.requested_date
+                  AND d.status IN ('SUCCESS', 'STARTED', 'NO_CONTENT'))""")
+def q_join_missed_runs(spark, sf):
+    runs = FX.run_events(spark, sf)
+    expected = runs.select("feed_name", "requested_date").distinct()
+    return RL.missed_runs(expected, runs)
+
+
+@register("agg_run_summary", f"""WITH {FX.F4_SQL}
+SELECT requested_date, CAST(COUNT(*) AS BIGINT) AS runs,
+       CAST(COUNT(*) FILTER (WHERE status IN ('SUCCESS', 'NO_CONTENT')) AS BIGINT) AS succeeded,
+       COALESCE(string_agg(DISTINCT feed_name, ',' ORDER BY feed_name)
+                FILTER (WHERE status NOT IN ('SUCCESS', 'NO_CONTENT')), '') AS not_succeeded
+FROM runs GROUP BY requested_date""")
+def q_agg_run_summary(spark, sf):
+    return RL.run_summary(FX.run_events(spark, sf), ["requested_date"])
+
+
+_ABANDON_SQL = f"""WITH {FX.F4_SQL}
+SELECT id, 'ABANDONED' AS status, 'Service restarted or terminated unexpectedly' AS error_message,
+       TIMESTAMP '{FX.F4_NOW}' AS finished_at FROM runs WHERE status = 'STARTED'"""
+
+
+@register("close_stale", _ABANDON_SQL)
+def q_close_stale(spark, sf):
+    log = RL.latest_runs(FX.run_log_events(spark, sf))
+    return RL.abandon_open(log, F.lit(FX.F4_NOW).cast("timestamp_ntz")).select("id", "status", "error_message", "finished_at")
+
+
+@register("sink_runlog", f"""WITH {FX.F4_SQL}
+SELECT id, feed_name, requested_date,
+       CASE WHEN status = 'STARTED' THEN 'ABANDONED' ELSE status END AS status,
+       CASE WHEN status = 'STARTED' THEN TIMESTAMP '{FX.F4_NOW}' ELSE started_at + INTERVAL 90 SECOND END AS finished_at
+FROM runs""")
+def q_sink_runlog(spark, sf):
+    events = FX.run_log_events(spark, sf)
+    closing = RL.abandon_open(RL.latest_runs(events), F.lit(FX.F4_NOW).cast("timestamp_ntz"))
+    log = RL.latest_runs(events.unionByName(closing))
+    return log.select("id", "feed_name", "requested_date", "status", "finished_at")
+
+
+@register("expire_rows", f"""WITH {FX.F4_SQL}
+SELECT id FROM runs WHERE started_at < TIMESTAMP '{FX.F4_NOW}' - INTERVAL {FX.F4_RETENTION_DAYS} DAY""")
+def q_expire_rows(spark, sf):
+    _, expired = RL.expire(FX.run_events(spark, sf), F.lit(FX.F4_NOW).cast("timestamp_ntz"), FX.F4_RETENTION_DAYS)
+    return expired.select("id")
+
+
+# --------------------------------------------------------------------------- F5: report-file manifest
+
+@register("scan_manifest", f"WITH {FX.F5_SQL} SELECT path, file_name, fincode, report_type, year_end FROM parsed")
+def q_scan_manifest(spark, sf):
+    return MF.parse_listing(FX.report_listing(spark, sf)).select("path", "file_name", "fincode", "report_type", "year_end")
+
+
+@register("manifest_catalog", f"""WITH {FX.F5_SQL}
+SELECT file_name, fincode, report_type, year_end, doc_id % 3 <> 0 AS is_new FROM parsed""")
+def q_manifest_catalog(spark, sf):
+    c = MF.catalog(FX.report_listing(spark, sf), FX.report_manifest(spark, sf))
+    return c.select("file_name", "fincode", "report_type", "year_end", "is_new")
+
+
+@register("join_missing_files", f"WITH {FX.F5_SQL} SELECT file_name FROM parsed WHERE doc_id % 3 <> 0")
+def q_join_missing_files(spark, sf):
+    return MF.new_files(FX.report_listing(spark, sf), FX.report_manifest(spark, sf)).select("file_name")
+
+
+@register("agg_manifest_counts", f"""WITH {FX.F5_SQL}
+SELECT CAST(COUNT(*) AS BIGINT) AS received, CAST(COUNT(*) FILTER (WHERE doc_id % 3 = 0) AS BIGINT) AS unchanged,
+       CAST(COUNT(*) FILTER (WHERE doc_id % 3 <> 0) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS rejected,
+       CASE WHEN COUNT(*) = 0 THEN 'NO_CONTENT' ELSE 'SUCCESS' END AS status FROM parsed""")
+def q_agg_manifest_counts(spark, sf):
+    return MF.manifest_counts(MF.catalog(FX.report_listing(spark, sf), FX.report_manifest(spark, sf)))
+
+
+def _manifest_after_replace(spark, sf):
+    from tidemark.functions.names import period_year
+    listing, manifest = FX.report_listing(spark, sf), FX.report_manifest(spark, sf)
+    new = MF.new_files(listing, manifest)
+    recs = MF.records_for(new, MF.local_location(period_year("year_end"), F.col("file_name")),
+                          at=F.lit(FX.F5_AT).cast("timestamp"))
+    mi, _ = frame_input(recs.withColumn("pos", F.col("fincode").cast("bigint")), MF.SPEC, order="pos")
+    return M.next_state(M.merge(manifest, mi, change_test=False), mi)
+
+
+_MANIFEST_COLS = "fincode, report_type, year_end, file_name, azure_blob_url, status, error_message"
+
+
+@register("merge_replace", f"""WITH {FX.F5_SQL}
+SELECT {_MANIFEST_COLS} FROM manifest WHERE status = 'SUCCESS'
+UNION ALL
+SELECT fincode, report_type, year_end, file_name,
+       'local://data/digital_reports/' || substr(CAST(year_end AS VARCHAR), 1, 4) || '/' || file_name,
+       'SUCCESS', CAST(NULL AS VARCHAR) FROM parsed WHERE doc_id % 3 <> 0""")
+def q_merge_replace(spark, sf):
+    return _manifest_after_replace(spark, sf).select(*_MANIFEST_COLS.split(", "))
+
+
+_PENDING_SQL = f"""WITH {FX.F5_SQL}
+SELECT fincode, report_type, year_end, file_name FROM parsed WHERE doc_id % 3 <> 0 OR doc_id % 2 = 1"""
+
+
+@register("manifest_pending", _PENDING_SQL)
+def q_manifest_pending(spark, sf):
+    return MF.pending(_manifest_after_replace(spark, sf)).select("fincode", "report_type", "year_end", "file_name")
+
+
+@register("update_location", f"""WITH {FX.F5_SQL}
+SELECT fincode, report_type, year_end, 'blob://' || substr(CAST(year_end AS VARCHAR), 1, 4) || '/' || file_name AS azure_blob_url,
+       'SUCCESS' AS status FROM parsed WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0 OR doc_id % 3 = 0""")
+def q_update_location(spark, sf):
+    from tidemark.functions.names import period_year
+    state = _manifest_after_replace(spark, sf)
+    moved = MF.pending(state).select(
+        "fincode", "report_type", "year_end",
+        F.concat(F.lit("blob://"), period_year("year_end"), F.lit("/"), F.col("file_name")).alias("azure_blob_url"),
+        F.col("fincode").cast("bigint").alias("pos"))
+    mi, _ = frame_input(moved, MF.SPEC, order="pos")
+    out = M.next_state(M.merge(state, mi), mi)
+    return out.select("fincode", "report_type", "year_end", "azure_blob_url", "status")

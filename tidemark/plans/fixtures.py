@@ -99,3 +99,197 @@ tgt AS (
   SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, 'A' AS flag
   FROM orders WHERE o_orderkey % 10 <> 9
 )"""
+
+
+# --------------------------------------------------------------------------- payload lines on customer
+
+CUSTOMER_SPEC = TableSpec.of(
+    "customer_feed",
+    T.StructType([
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()),
+        T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType()),
+        T.StructField("flag", T.StringType()),
+    ]),
+    pk=["c_custkey"],
+    renames={"account balance": "c_acctbal"},
+)
+
+# Record keys as a vendor sends them: padded / mixed-case key, a duplicate name
+# (the first spelling wins), a vendor name renamed by the spec, an extra column.
+_REC = ("struct(c_custkey AS ` C_CustKey `, c_name AS `C_NAME`, c_nationkey, c_acctbal AS `Account Balance`, "
+        "upper(c_name) AS `c_name `, 'x' AS extra_col, "
+        "CASE WHEN c_custkey % 4 = 0 THEN ' a ' ELSE 'A' END AS `Flag`)")
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload lines (value, pos) made from every customer row, with the shapes a
+    feed takes: wrapper prefix/suffix, one-line envelopes, bare arrays, trailing
+    commas; plus broken lines, blank lines, bracket lines and status messages."""
+    c = table(spark, sf_dir, "customer")
+    j = F.expr(f"to_json({_REC})")
+    key = F.col("c_custkey")
+    data = c.select(
+        F.when(key % 71 == 0, F.concat(F.lit('{"Table":['), j, F.lit("]}")))
+         .when(key % 73 == 0, F.concat(F.lit("["), j, F.lit("]")))
+         .when(key % 1000 == 1, F.concat(F.lit('{"Table":['), j, F.lit(",")))
+         .when(key % 1000 == 0, F.concat(j, F.lit("]}")))
+         .otherwise(F.concat(F.lit("  "), j, F.lit(","))).alias("value"),
+        (key * 10).alias("pos"))
+    broken = c.where(key % 97 == 0).select(
+        F.concat(F.lit('{"c_custkey": '), key.cast("string"), F.lit(', "c_name": ')).alias("value"),
+        (key * 10 + 1).alias("pos"))
+    blank = c.where(key % 89 == 0).select(F.lit("   ").alias("value"), (key * 10 + 2).alias("pos"))
+    bracket = c.where(key % 83 == 0).select(F.lit("]").alias("value"), (key * 10 + 3).alias("pos"))
+    message = c.where(key % 79 == 0).select(F.lit('{"Message":"No Data Found"}').alias("value"),
+                                            (key * 10 + 4).alias("pos"))
+    return data.unionByName(broken).unionByName(blank).unionByName(bracket).unionByName(message)
+
+
+def customer_documents(spark: SparkSession, sf_dir: str, pretty: bool = True) -> DataFrame:
+    """One pretty-printed JSON document per customer row: ``{"Table":[...]}`` for
+    even keys, a bare array for odd keys.  (value, pos)."""
+    c = table(spark, sf_dir, "customer")
+    opts = {"pretty": "true"} if pretty else {}
+    rec = F.expr(_REC)
+    doc = F.when(F.col("c_custkey") % 2 == 0, F.to_json(F.struct(F.array(rec).alias("Table")), opts)) \
+           .otherwise(F.to_json(F.array(rec), opts))
+    return c.select(doc.alias("value"), F.col("c_custkey").alias("pos"))
+
+
+# --------------------------------------------------------------------------- F3: text numbers on lineitem
+
+def lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    x = (F.when(k % 13 == 0, F.lit("n/a"))
+         .when(k % 11 == 0, F.lit(""))
+         .when(k % 7 == 0, F.concat(F.col("l_linenumber").cast("string"), F.lit(".5")))
+         .when(k % 5 == 0, F.concat(F.lit(" "), F.col("l_partkey").cast("string"), F.lit(" ")))
+         .otherwise(F.col("l_partkey").cast("string")))
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", x.alias("x"))
+
+
+F3_SQL = """x AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate,
+         CASE WHEN l_orderkey % 13 = 0 THEN 'n/a'
+              WHEN l_orderkey % 11 = 0 THEN ''
+              WHEN l_orderkey % 7 = 0 THEN CAST(l_linenumber AS VARCHAR) || '.5'
+              WHEN l_orderkey % 5 = 0 THEN ' ' || CAST(l_partkey AS VARCHAR) || ' '
+              ELSE CAST(l_partkey AS VARCHAR) END AS x
+  FROM lineitem
+)"""
+
+# Order of arrival for the lineitem dedup: every non-key column, so that rows
+# that tie are identical and the winner's values are determined.
+LINEITEM_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+                  "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+# --------------------------------------------------------------------------- F4: run log on events
+
+# Fixed "now" for retention and abandoning, so results are reproducible.
+F4_NOW = "2024-01-31 00:00:00"
+F4_RETENTION_DAYS = 15
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs from events: id, feed_name, requested_date (business date of the local
+    start time), status by event type, started_at."""
+    from tidemark.functions.dates import business_date
+    e = table(spark, sf_dir, "events")
+    status = (F.when(F.col("event_type") == "signup", "STARTED")
+              .when(F.col("event_type") == "purchase", "SUCCESS")
+              .when(F.col("event_type") == "view", "NO_CONTENT")
+              .when(F.col("event_type") == "click", "EMPTY")
+              .when(F.col("event_type") == "error", "FAILED"))
+    return e.select(
+        F.col("event_id").alias("id"),
+        F.concat(F.lit("feed_"), (F.col("user_id") % 7).cast("string")).alias("feed_name"),
+        business_date("ts").alias("requested_date"),
+        status.alias("status"),
+        F.col("ts").alias("started_at"),
+    )
+
+
+F4_SQL = """runs AS (
+  SELECT event_id AS id, 'feed_' || CAST(user_id % 7 AS VARCHAR) AS feed_name,
+         CAST(CASE WHEN hour(ts) < 6 THEN CAST(ts AS DATE) - INTERVAL 1 DAY ELSE CAST(ts AS DATE) END AS DATE) AS requested_date,
+         CASE event_type WHEN 'signup' THEN 'STARTED' WHEN 'purchase' THEN 'SUCCESS' WHEN 'view' THEN 'NO_CONTENT'
+              WHEN 'click' THEN 'EMPTY' WHEN 'error' THEN 'FAILED' END AS status,
+         ts AS started_at
+  FROM events
+)"""
+
+
+def run_log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append-only log events: a STARTED event for every run (seq 0) and, for runs
+    that finished, a finishing event (seq 1) carrying the final status."""
+    r = run_events(spark, sf_dir)
+    start = r.select("id", "feed_name", "requested_date", F.lit("STARTED").alias("status"),
+                     "started_at", F.lit(None).cast("timestamp_ntz").alias("finished_at"),
+                     F.lit(None).cast("string").alias("error_message"), F.lit(0).alias("seq"))
+    finish = r.where(F.col("status") != "STARTED").select(
+        "id", "feed_name", "requested_date", "status", "started_at",
+        (F.col("started_at") + F.expr("INTERVAL 90 SECONDS")).alias("finished_at"),
+        F.when(F.col("status") == "FAILED", F.lit("feed failed")).alias("error_message"), F.lit(1).alias("seq"))
+    return start.unionByName(finish)
+
+
+# --------------------------------------------------------------------------- F5: report file names on documents
+
+def report_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, file_name): one file per document in a year folder."""
+    d = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    period = (F.lit(202301) + i % 12).cast("string")
+    name = (F.when(i % 11 == 0, F.concat(F.lit("notes-"), i.cast("string"), F.lit(".txt")))
+            .otherwise(F.concat(i.cast("string"), F.lit("-"), F.substring("lang", 1, 1), F.lit("-"), period,
+                                F.when(i % 2 == 0, F.lit(".pdf")).otherwise(F.lit(".PDF")))))
+    return d.select(F.concat(F.lit("/reports/"), F.substring(period, 1, 4), F.lit("/"), name).alias("path"),
+                    name.alias("file_name"), i.alias("doc_id"))
+
+
+F5_SQL = """listing AS (
+  SELECT '/reports/' || substr(CAST(202301 + doc_id % 12 AS VARCHAR), 1, 4) || '/' || file_name AS path, file_name, doc_id
+  FROM (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN 'notes-' || CAST(doc_id AS VARCHAR) || '.txt'
+               ELSE CAST(doc_id AS VARCHAR) || '-' || substr(lang, 1, 1) || '-' || CAST(202301 + doc_id % 12 AS VARCHAR)
+                    || CASE WHEN doc_id % 2 = 0 THEN '.pdf' ELSE '.PDF' END END AS file_name
+        FROM documents) n
+),
+parsed AS (
+  SELECT path, file_name, doc_id,
+         CAST(regexp_extract(file_name, '^(\\d+)-([a-zA-Z0-9]+)-(\\d{6})\\.', 1) AS INTEGER) AS fincode,
+         upper(regexp_extract(file_name, '^(\\d+)-([a-zA-Z0-9]+)-(\\d{6})\\.', 2)) AS report_type,
+         CAST(regexp_extract(file_name, '^(\\d+)-([a-zA-Z0-9]+)-(\\d{6})\\.', 3) AS INTEGER) AS year_end
+  FROM listing WHERE regexp_matches(file_name, '^(\\d+)-([a-zA-Z0-9]+)-(\\d{6})\\.pdf$', 'i')
+),
+manifest AS (
+  SELECT fincode, report_type, year_end, file_name,
+         CASE WHEN doc_id % 3 = 0 THEN CASE WHEN doc_id % 2 = 0 THEN 'blob://2023/' || file_name
+                                            ELSE 'local://data/digital_reports/2023/' || file_name END
+              ELSE '' END AS azure_blob_url,
+         CASE WHEN doc_id % 3 = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+         CASE WHEN doc_id % 3 = 0 THEN NULL ELSE 'transfer failed' END AS error_message
+  FROM parsed WHERE doc_id % 3 IN (0, 1)
+)"""
+
+F5_AT = "2024-02-01 00:00:00"
+
+
+def report_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing manifest: documents with id % 3 = 0 recorded SUCCESS (half on a
+    local fallback location), id % 3 = 1 recorded FAILED."""
+    from tidemark.operators.manifest import parse_listing
+    p = parse_listing(report_listing(spark, sf_dir))
+    i = F.col("doc_id")
+    loc = F.when(i % 3 == 0, F.when(i % 2 == 0, F.concat(F.lit("blob://2023/"), F.col("file_name")))
+                 .otherwise(F.concat(F.lit("local://data/digital_reports/2023/"), F.col("file_name")))).otherwise(F.lit(""))
+    return p.where(i % 3 != 2).select(
+        F.col("fincode").cast("int").alias("fincode"), "report_type", F.col("year_end").cast("int").alias("year_end"),
+        "file_name", loc.alias("azure_blob_url"),
+        F.when(i % 3 == 0, "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(i % 3 != 0, F.lit("transfer failed")).alias("error_message"),
+        F.lit(F5_AT).cast("timestamp").alias("downloaded_at"))

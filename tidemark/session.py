@@ -16,6 +16,7 @@ def builder(master: str | None = None, shuffle_partitions: int = 8, app: str = "
     if master:
         b = b.master(master)
     return (b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+             .config("spark.driver.memory", "8g")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -52,19 +52,10 @@ class ParsedFeed:
         )
 
 
-def _single_value(x: Column) -> Column:
-    """True when ``x`` is exactly one JSON value (no second value, no trailing text)."""
-    wrapped = F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>", _JSON_OPTS)
-    return F.coalesce(F.size(wrapped) == 1, F.lit(False))
-
-
-def _parse_value(x: Column) -> Column:
-    """One JSON value -> array of records (object -> 1, array of objects -> n), else NULL."""
-    obj = F.from_json(x, RECORD, _JSON_OPTS)
-    arr = F.from_json(x, RECORDS, _JSON_OPTS)
-    return (F.when(~_single_value(x), F.lit(None))
-            .when(x.startswith("{") & obj.isNotNull(), F.array(obj))
-            .when(x.startswith("[") & arr.isNotNull() & F.forall(arr, lambda r: r.isNotNull()), arr))
+def _wrapped(x: Column) -> Column:
+    """``[x]`` parsed as an array of JSON texts: one element iff ``x`` is exactly one
+    JSON value (a second value or trailing text makes it longer or NULL)."""
+    return F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>", _JSON_OPTS)
 
 
 def _strip_wrappers(t: Column) -> Column:
@@ -75,36 +66,69 @@ def _strip_wrappers(t: Column) -> Column:
     return strip(s)
 
 
+def _rows_of(cand: Column, ok: Column) -> Column:
+    """Records of one JSON value: object -> [object], array of objects -> the array."""
+    obj = F.from_json(F.when(ok & cand.startswith("{"), cand), RECORD, _JSON_OPTS)
+    arr = F.from_json(F.when(ok & cand.startswith("["), cand), RECORDS, _JSON_OPTS)
+    return F.coalesce(F.when(obj.isNotNull(), F.array(obj)),
+                      F.when(F.forall(arr, lambda r: r.isNotNull()), arr))
+
+
 def classify_lines(lines: DataFrame, value: str = "value", pos: str = "pos") -> DataFrame:
-    """Per line: ``kind`` in (skip, rows, message, malformed) and the parsed ``rows``."""
+    """Per line: ``kind`` in (skip, rows, message, malformed) and the parsed ``rows``.
+
+    Staged projections so that every JSON parse runs once per line (Spark does
+    not collapse projections that would repeat a non-trivial expression)."""
     t = strip(F.col(value))
-    skip = (t == "") | t.isin(*BRACKET_ONLY_LINES)
-    is_env = t.startswith(ENVELOPE_PREFIX) & t.endswith(ENVELOPE_SUFFIX)
-    env = F.when(is_env & _single_value(t), F.from_json(t, ENVELOPE, _JSON_OPTS).getField("Table"))
-    as_is = _parse_value(F.regexp_replace(t, r",$", ""))
-    stripped_text = _strip_wrappers(t)
-    stripped = _parse_value(stripped_text)
-    rows = F.coalesce(env, as_is, stripped)
-    from_env = env.isNotNull()
-    src_text = F.when(as_is.isNotNull(), F.regexp_replace(t, r",$", "")).otherwise(stripped_text)
-    single_obj = ~from_env & src_text.startswith("{") & rows.isNotNull()
-    message = single_obj & is_status_message(rows.getItem(0))
-    kind = (F.when(skip | (stripped_text == "") & ~from_env, "skip")
+    s1 = lines.select(F.col(pos).alias("pos"), F.col(value).alias("value"), t.alias("_t"))
+    t = F.col("_t")
+    s2 = s1.select("pos", "value", "_t",
+                   ((t == "") | t.isin(*BRACKET_ONLY_LINES)).alias("_skip"),
+                   (t.startswith(ENVELOPE_PREFIX) & t.endswith(ENVELOPE_SUFFIX)).alias("_is_env"),
+                   F.regexp_replace(t, r",$", "").alias("_a"),
+                   _strip_wrappers(t).alias("_b"))
+    s3 = s2.select("*", (F.coalesce(F.size(_wrapped(F.col("_a"))), F.lit(0)) == 1).alias("_a_ok"))
+    s4 = s3.select("*", F.when(F.col("_a_ok"), F.col("_a")).otherwise(F.col("_b")).alias("_cand"),
+                   (F.col("_a_ok") | (F.coalesce(F.size(_wrapped(F.when(~F.col("_a_ok"), F.col("_b")))), F.lit(0)) == 1))
+                   .alias("_ok"))
+    env = F.from_json(F.when(F.col("_is_env") & F.col("_a_ok"), F.col("_t")), ENVELOPE, _JSON_OPTS).getField("Table")
+    s5 = s4.select("pos", "value", "_skip", "_b", "_cand", env.alias("_env"),
+                   _rows_of(F.col("_cand"), F.col("_ok")).alias("_line_rows"))
+    s6 = s5.select("pos", "value", "_skip", "_b", "_cand", F.col("_env").isNotNull().alias("_from_env"),
+                   F.coalesce("_env", "_line_rows").alias("_rows"))
+    rows, from_env = F.col("_rows"), F.col("_from_env")
+    single_obj = ~from_env & F.col("_cand").startswith("{") & rows.isNotNull()
+    kind = (F.when(F.col("_skip") | ((F.col("_b") == "") & ~from_env), "skip")
             .when(rows.isNull(), "malformed")
-            .when(message, "message")
+            .when(single_obj & is_status_message(rows.getItem(0)), "message")
             .otherwise("rows"))
-    return lines.select(F.col(pos).alias("pos"), F.col(value).alias("value"), kind.alias("kind"),
-                        F.when(kind == "rows", rows).alias("rows"))
+    s7 = s6.select("pos", "value", "_rows", kind.alias("kind"))
+    return s7.select("pos", "value", "kind", F.when(F.col("kind") == "rows", F.col("_rows")).alias("rows"))
+
+
+def of_kind(classified: DataFrame, kind: str) -> DataFrame:
+    """Lines of one kind: (pos, value).
+
+    Selected through an outer generator and a filter on the generated column: a
+    filter on ``kind`` itself would be pushed down through the parsing
+    projections by inlining them, multiplying the expression tree; a predicate
+    on a generator's output stays above the generator."""
+    pick = F.when(F.col("kind") == kind, F.array(F.struct("pos", "value", F.lit(True).alias("_hit"))))
+    return classified.select(F.inline_outer(pick)).where(F.col("_hit")).drop("_hit")
+
+
+def _records(classified: DataFrame) -> DataFrame:
+    # The outer generator keeps Spark from inferring a filter on ``rows`` below it
+    # (see of_kind); lines without records give one NULL element, dropped above.
+    return (classified.select("pos", F.posexplode_outer("rows").alias("elem", "rec"))
+            .where(F.col("rec").isNotNull())
+            .select(F.struct(F.col("pos").alias("line"), F.col("elem")).alias("pos"), "rec"))
 
 
 def parse_lines(lines: DataFrame, value: str = "value", pos: str = "pos") -> ParsedFeed:
     """Lines (a text column + an order column) -> records, malformed lines."""
     c = classify_lines(lines, value, pos)
-    records = (c.where(F.col("kind") == "rows")
-               .select("pos", F.posexplode("rows").alias("elem", "rec"))
-               .select(F.struct(F.col("pos").alias("line"), F.col("elem")).alias("pos"), "rec"))
-    malformed = c.where(F.col("kind") == "malformed").select("pos", "value")
-    return ParsedFeed(c, records, malformed)
+    return ParsedFeed(c, _records(c), of_kind(c, "malformed"))
 
 
 def parse_documents(docs: DataFrame, value: str = "value", pos: str = "pos", strict: bool = False) -> ParsedFeed:
@@ -115,27 +139,26 @@ def parse_documents(docs: DataFrame, value: str = "value", pos: str = "pos", str
     a 'no data' message) yields no rows.  With ``strict`` only the ``Table``
     form is accepted (bulk files); anything else is malformed.
     """
-    t = strip(F.col(value))
-    env = F.from_json(t, ENVELOPE, _JSON_OPTS)
-    obj = F.from_json(t, RECORD, _JSON_OPTS)
-    arr = F.from_json(t, RECORDS, _JSON_OPTS)
-    valid = _single_value(t)
-    is_obj = valid & t.startswith("{")
-    is_arr = valid & t.startswith("[")
-    obj_msg = is_obj & obj.isNotNull() & is_status_message(obj)
-    arr_msg = is_arr & (F.size(arr) == 1) & is_status_message(arr.getItem(0))
-    table = F.when(is_obj & env.isNotNull(), env.getField("Table"))
-    rows = table if strict else F.coalesce(table, F.when(is_arr, arr))
+    s1 = docs.select(F.col(pos).alias("pos"), F.col(value).alias("value"), strip(F.col(value)).alias("_t"))
+    t = F.col("_t")
+    s2 = s1.select("*", (F.coalesce(F.size(_wrapped(t)), F.lit(0)) == 1).alias("_ok"))
+    ok = F.col("_ok")
+    s3 = s2.select("pos", "value", "_t",
+                   F.from_json(F.when(ok & t.startswith("{"), t), ENVELOPE, _JSON_OPTS).alias("_env"),
+                   F.from_json(F.when(ok & t.startswith("{"), t), RECORD, _JSON_OPTS).alias("_obj"),
+                   F.from_json(F.when(ok & t.startswith("["), t), RECORDS, _JSON_OPTS).alias("_arr"))
+    env, obj, arr = F.col("_env"), F.col("_obj"), F.col("_arr")
+    obj_msg = obj.isNotNull() & is_status_message(obj)
+    arr_msg = (F.size(arr) == 1) & is_status_message(arr.getItem(0))
+    table = env.getField("Table")
+    rows = table if strict else F.coalesce(table, arr)
     kind = (F.when(t == "", "skip")
-            .when(~strict & (obj_msg | arr_msg), "message")
+            .when(F.lit(not strict) & F.coalesce(obj_msg | arr_msg, F.lit(False)), "message")
             .when(rows.isNull(), "malformed")
             .otherwise("rows"))
-    c = docs.select(F.col(pos).alias("pos"), F.col(value).alias("value"), kind.alias("kind"),
-                    F.when(kind == "rows", rows).alias("rows"))
-    records = (c.where(F.col("kind") == "rows")
-               .select("pos", F.posexplode("rows").alias("elem", "rec"))
-               .select(F.struct(F.col("pos").alias("line"), F.col("elem")).alias("pos"), "rec"))
-    return ParsedFeed(c, records, c.where(F.col("kind") == "malformed").select("pos", "value"))
+    s4 = s3.select("pos", "value", rows.alias("_rows"), kind.alias("kind"))
+    c = s4.select("pos", "value", "kind", F.when(F.col("kind") == "rows", F.col("_rows")).alias("rows"))
+    return ParsedFeed(c, _records(c), of_kind(c, "malformed"))
 
 
 def read_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
@@ -171,7 +194,8 @@ def read_feed(spark: SparkSession, path, form: str = "auto", strict: bool = Fals
         return feed
     if form != "auto":
         raise ValueError("form must be 'auto', 'lines' or 'document'")
-    if feed.records.isEmpty() and not feed.lines.where(F.col("kind") != "skip").isEmpty():
+    if feed.records.isEmpty() and (of_kind(feed.lines, "malformed").isEmpty() is False
+                                   or not of_kind(feed.lines, "message").isEmpty()):
         return parse_documents(read_documents(spark, path), strict=strict)
     return feed
 
