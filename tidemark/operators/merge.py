@@ -41,7 +41,7 @@ from tidemark.operators.normalize import qcol
 from tidemark.operators.quality import has_null_key, split_rejects
 from tidemark.spec import FLAG_DELETE, UPSERT_FLAGS, TableSpec
 
-ACTIONS = ("keep", "insert", "update", "unchanged", "delete", "no_match", "ignored", "reinsert")
+ACTIONS = ("keep", "insert", "update", "unchanged", "delete", "no_match", "ignored", "reinsert", "stale")
 _STATE_ACTIONS = ("keep", "insert", "update", "unchanged", "reinsert")
 
 
@@ -98,8 +98,13 @@ def bulk_winners(mi: MergeInput) -> DataFrame:
 
 
 def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: bool = True,
-             bulk: bool = False) -> DataFrame:
-    """Full outer join target x winners on the key -> key, ``_t``, ``_s``, ``_action``."""
+             bulk: bool = False, newer_than: str | None = None) -> DataFrame:
+    """Full outer join target x winners on the key -> key, ``_t``, ``_s``, ``_action``.
+
+    ``newer_than`` names a version column (e.g. an event id) stored in the target:
+    a feed row whose value is lower than the stored one is ``stale`` and leaves
+    the target row as it is.  This makes the result independent of the order in
+    which files or micro-batches arrive."""
     keys = mi.keys
     t_cols = [c for c in mi.spec.columns if c not in keys]
     s_cols = [c for c in mi.written if c != "flag"] + ["flag", "pos"] + (["_has_d"] if bulk else [])
@@ -123,7 +128,10 @@ def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: boo
         upsert_cond = flag.isin(*UPSERT_FLAGS)
     else:
         upsert_cond = flag.isin(*UPSERT_FLAGS)
-    action = (F.when(ss.isNull(), "keep")
+    action = F.when(ss.isNull(), "keep")
+    if newer_than is not None:
+        action = action.when(st.isNotNull() & (ss.getField(newer_than) < st.getField(newer_than)), "stale")
+    action = (action
               .when(flag == FLAG_DELETE, F.when(st.isNotNull(), "delete").otherwise("no_match"))
               .when(upsert_cond, upsert)
               .otherwise("ignored"))
@@ -142,7 +150,7 @@ def next_state(classified: DataFrame, mi: MergeInput) -> DataFrame:
             cols.append(F.when(a.isin("insert", "update", "reinsert"), ss.getField(c)).otherwise(st.getField(c)).alias(c))
         else:
             cols.append(F.when(a == "reinsert", F.lit(None)).otherwise(st.getField(c)).cast(mi.spec.dtype(c)).alias(c))
-    keep = a.isin(*_STATE_ACTIONS) | ((a == "ignored") & st.isNotNull())
+    keep = a.isin(*_STATE_ACTIONS) | (a.isin("ignored", "stale") & st.isNotNull())
     return classified.where(keep).select(*cols)
 
 
@@ -163,6 +171,7 @@ def count_columns(action: Column) -> list[Column]:
         F.count_if(action == "unchanged").alias("unchanged"),
         F.count_if(action == "no_match").alias("unmatched_deletes"),
         F.count_if(action == "ignored").alias("unknown_flags"),
+        F.count_if(action == "stale").alias("stale"),
     ]
 
 
@@ -208,10 +217,10 @@ def bulk_summary(mi: MergeInput) -> DataFrame:
 
 
 def merge(target: DataFrame, mi: MergeInput, mode: str = "api", change_test: bool = True,
-          ignore_unknown_flags_first: bool = False) -> DataFrame:
+          ignore_unknown_flags_first: bool = False, newer_than: str | None = None) -> DataFrame:
     """Classified rows for ``mode`` in (api, bulk)."""
     if mode == "bulk":
-        return classify(target, bulk_winners(mi), mi, change_test, bulk=True)
+        return classify(target, bulk_winners(mi), mi, change_test, bulk=True, newer_than=newer_than)
     if mode != "api":
         raise ValueError("mode must be 'api' or 'bulk'")
-    return classify(target, winners(mi, ignore_unknown_flags_first), mi, change_test)
+    return classify(target, winners(mi, ignore_unknown_flags_first), mi, change_test, newer_than=newer_than)

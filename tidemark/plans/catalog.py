@@ -644,3 +644,63 @@ def q_update_location(spark, sf):
     mi, _ = frame_input(moved, MF.SPEC, order="pos")
     out = M.next_state(M.merge(state, mi), mi)
     return out.select("fincode", "report_type", "year_end", "azure_blob_url", "status")
+
+
+# --------------------------------------------------------------------------- F6 + store: streaming and snapshots
+
+from tidemark.session import scratch_path  # noqa: E402
+from tidemark.sources.store import SnapshotStore  # noqa: E402
+from tidemark.streaming.merge_stream import read_batch_log, stream_merge  # noqa: E402
+from tidemark.plans.ingest import apply_feed  # noqa: E402
+
+
+def _run_event_stream(spark, sf, files=4):
+    root = scratch_path(spark, "event-stream")
+    FX.write_event_feed(spark, sf, f"{root}/in", files=files)
+    store = SnapshotStore(spark, f"{root}/state", FX.EVENTS_SPEC)
+    stream_merge(spark, f"{root}/in", FX.EVENTS_SPEC, store, checkpoint=f"{root}/_checkpoint",
+                 log_dir=f"{root}/log", order_col="event_id", newer_than="event_id", files_per_trigger=1,
+                 feed_name="events")
+    return store, f"{root}/log"
+
+
+@register("stream_merge", """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
+       arg_max(value, event_id) AS value FROM events GROUP BY user_id""")
+def q_stream_merge(spark, sf):
+    store, _ = _run_event_stream(spark, sf)
+    return store.read()
+
+
+@register("agg_feed_totals", """SELECT CAST(COUNT(*) AS BIGINT) AS rows_received,
+       CAST(COUNT(DISTINCT user_id) AS BIGINT) AS rows_inserted FROM events""")
+def q_agg_feed_totals(spark, sf):
+    _, log = _run_event_stream(spark, sf)
+    return read_batch_log(spark, log).agg(F.sum("rows_received").cast("bigint").alias("rows_received"),
+                                          F.sum("rows_inserted").cast("bigint").alias("rows_inserted"))
+
+
+@register("stream_counts")
+def q_stream_counts(spark, sf):
+    _, log = _run_event_stream(spark, sf)
+    return read_batch_log(spark, log).select("batch_id", "status", "rows_received", "rows_inserted",
+                                             "rows_updated", "rows_unchanged", "rows_rejected", "version")
+
+
+def _f1_store(spark, sf):
+    store = SnapshotStore(spark, scratch_path(spark, "orders-snapshot"), FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, sf))
+    return store
+
+
+@register("scan_target", f"WITH {FX.F1_FEED_SQL} SELECT {F1_COLS} FROM tgt")
+def q_scan_target(spark, sf):
+    return _f1_store(spark, sf).read()
+
+
+@register("sink_snapshot", _STATE_SQL)
+def q_sink_snapshot(spark, sf):
+    store = _f1_store(spark, sf)
+    res = apply_feed(_f1(spark, sf), store)
+    if res.status != "SUCCESS":
+        raise RuntimeError(f"merge failed: {res.error}")
+    return store.read()

@@ -293,3 +293,25 @@ def report_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 3 == 0, "SUCCESS").otherwise("FAILED").alias("status"),
         F.when(i % 3 != 0, F.lit("transfer failed")).alias("error_message"),
         F.lit(F5_AT).cast("timestamp").alias("downloaded_at"))
+
+
+# --------------------------------------------------------------------------- F6: ordered micro-batches on events
+
+EVENTS_SPEC = TableSpec.of(
+    "events_state",
+    T.StructType([
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]),
+    pk=["user_id"],
+)
+
+
+def write_event_feed(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
+    """Events as JSON lines, ``files`` files split by event_id range (one job)."""
+    e = table(spark, sf_dir, "events")
+    (e.repartitionByRange(files, "event_id")
+      .select(F.to_json(F.struct("user_id", "event_id", "event_type", "value", F.lit("A").alias("flag"))).alias("value"))
+      .write.mode("errorifexists").text(out_dir))
