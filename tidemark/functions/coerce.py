@@ -40,12 +40,13 @@ def to_double(s: Column) -> Column:
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
-def to_integral(s: Column, dtype: T.DataType) -> tuple[Column, Column]:
-    """Cleaned text -> integer type. Returns (value, violation)."""
+def to_integral(s: Column, dtype: T.DataType, d: Column | None = None) -> tuple[Column, Column]:
+    """Cleaned text -> integer type. Returns (value, violation).  ``d`` is the
+    text parsed as a double, when already computed."""
     name = dtype.simpleString()
     lo, hi = _INT_RANGES[name]
     exact = F.when(s.rlike(INTEGER_RE), s.try_cast("decimal(38,0)"))
-    d = to_double(s)
+    d = to_double(s) if d is None else d
     integral_d = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) != F.lit(float("inf")))
     whole = F.coalesce(exact, F.when(integral_d, d.cast("decimal(38,0)")))
     in_range = whole.between(F.lit(lo).cast("decimal(38,0)"), F.lit(hi).cast("decimal(38,0)"))
@@ -75,23 +76,31 @@ def to_date(s: Column) -> tuple[Column, Column]:
     return value, s.isNotNull() & value.isNull()
 
 
-def coerce(c, dtype: T.DataType, on_fraction: str = "fail", max_len: int | None = None) -> tuple[Column, Column | None]:
+def needs_double(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType, T.FloatType))
+
+
+def coerce(c, dtype: T.DataType, on_fraction: str = "fail", max_len: int | None = None,
+           cleaned: bool = False, d: Column | None = None) -> tuple[Column, Column | None]:
     """Raw value (text or already typed) -> ``dtype``.
 
     Returns ``(value, violation)``; ``violation`` is a boolean column (or None)
     that is true when a present value cannot be stored in the declared type.
+    With ``cleaned`` the input is already cleaned text, and ``d`` may carry it
+    parsed as a double: passing column references for both keeps the generated
+    code small when many columns are converted at once.
     """
     if on_fraction not in ("fail", "null"):
         raise ValueError("on_fraction must be 'fail' or 'null'")
     col = F.col(c) if isinstance(c, str) else c
-    s = clean_text(col.cast("string"))
+    s = col if cleaned else clean_text(col.cast("string"))
     violation = None
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        value, violation = to_integral(s, dtype)
+        value, violation = to_integral(s, dtype, d)
         if on_fraction == "null":
             violation = None
     elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-        value = to_double(s).cast(dtype)
+        value = (to_double(s) if d is None else d).cast(dtype)
     elif isinstance(dtype, T.DecimalType):
         value, violation = to_decimal(s, dtype)
     elif isinstance(dtype, T.TimestampNTZType):

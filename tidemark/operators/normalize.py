@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.coerce import coerce
+from tidemark.functions.coerce import coerce, needs_double, to_double
 from tidemark.functions.text import clean_text, flag_normalize
 from tidemark.spec import FLAG_ADD, TableSpec, norm_name
 
@@ -115,30 +115,43 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
         return F.col(rec).getItem(raw) if rec is not None else qcol(raw)
 
     src_types = {} if rec is not None else {f.name: f.dataType for f in df.schema.fields}
-    out, bad = [], []
-    for c in plan.present:
+    # Three projections, each value computed once: (1) cleaned text, (2) text
+    # parsed as a number, (3) declared type + violation.  Spark keeps them apart
+    # because each later stage uses an earlier column several times.
+    stage1, stage2, final, bad = [], [], [], []
+    for i, c in enumerate(plan.present):
         if c == "flag":
             continue
         dtype = spec.dtype(c)
         raw = plan.raw_for(c)
         if rec is None and src_types.get(raw) == dtype:
-            value, violation = (clean_text(source(c)) if dtype.simpleString() == "string" else source(c)), None
-            if dtype.simpleString() == "string" and c in spec.lengths:
-                violation = F.char_length(value) > F.lit(spec.lengths[c])
-        else:
-            value, violation = coerce(source(c), dtype, on_fraction, spec.lengths.get(c))
-        out.append(value.alias(c))
+            if dtype.simpleString() == "string":
+                stage1.append(clean_text(source(c)).alias(f"_v{i}"))
+                if c in spec.lengths:
+                    bad.append(F.when(F.char_length(F.col(f"_v{i}")) > F.lit(spec.lengths[c]), F.lit(c)))
+            else:
+                stage1.append(source(c).alias(f"_v{i}"))
+            stage2.append(F.col(f"_v{i}"))
+            final.append(F.col(f"_v{i}").alias(c))
+            continue
+        stage1.append(clean_text(source(c).cast("string")).alias(f"_s{i}"))
+        stage2.append(F.col(f"_s{i}"))
+        d = None
+        if needs_double(dtype):
+            stage2.append(to_double(F.col(f"_s{i}")).alias(f"_d{i}"))
+            d = F.col(f"_d{i}")
+        value, violation = coerce(F.col(f"_s{i}"), dtype, on_fraction, spec.lengths.get(c), cleaned=True, d=d)
+        final.append(value.alias(c))
         if violation is not None:
             bad.append(F.when(violation, F.lit(c)))
-    if plan.has_flag:
-        out.append(flag_normalize(source("flag")).alias("flag"))
-    else:
-        out.append(F.lit(default_flag).alias("flag"))
-    if pos is not None:
-        out.append(F.col(pos).alias("pos") if pos != "pos" else F.col("pos"))
+    flag = flag_normalize(source("flag")) if plan.has_flag else F.lit(default_flag)
+    keep = [flag.alias("flag")] + ([F.col(pos).alias("pos")] if pos is not None else [])
+    s1 = df.select(*stage1, *keep)
+    s2 = s1.select(*stage2, "flag", *(["pos"] if pos is not None else []))
+    out = final + [F.col("flag")] + ([F.col("pos")] if pos is not None else [])
     if violations:
         out.append((F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")).alias("_bad"))
-    return df.select(*out)
+    return s2.select(*out)
 
 
 def normalize_frame(df: DataFrame) -> DataFrame:

@@ -704,3 +704,128 @@ def q_sink_snapshot(spark, sf):
     if res.status != "SUCCESS":
         raise RuntimeError(f"merge failed: {res.error}")
     return store.read()
+
+
+# --------------------------------------------------------------------------- bulk files: lookup, pairs, report
+
+from tidemark.plans import bulk as B  # noqa: E402
+from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, feed_groups_rows  # noqa: E402
+
+_STEMS = [f for f, _ in feed_groups_rows()] + ["digital_reports", "Unknown_feed"]
+
+
+def _feed_listing(spark, sf):
+    d = FX.table(spark, sf, "documents")
+    i = F.col("doc_id")
+    st = F.element_at(F.array(*[F.lit(s) for s in _STEMS]), (i % len(_STEMS) + 1).cast("int"))
+    st = F.when(i % 2 == 1, F.upper(st)).otherwise(st)
+    ext = F.when(i % 7 == 0, F.lit(".json")).otherwise(F.lit(".txt"))
+    return d.select(F.concat(F.lit("/feeds/"), i.cast("string"), F.lit("/"), st, ext).alias("path"))
+
+
+def _sql_list(xs):
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+_LISTING_SQL = f"""files AS (
+  SELECT '/feeds/' || CAST(doc_id AS VARCHAR) || '/' || stem || CASE WHEN doc_id % 7 = 0 THEN '.json' ELSE '.txt' END AS path,
+         stem || CASE WHEN doc_id % 7 = 0 THEN '.json' ELSE '.txt' END AS file_name, doc_id % 7 = 0 AS is_json,
+         lower(stem) AS stem_key
+  FROM (SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN upper({_sql_list(_STEMS)}[doc_id % {len(_STEMS)} + 1])
+                            ELSE {_sql_list(_STEMS)}[doc_id % {len(_STEMS)} + 1] END AS stem FROM documents) s
+),
+known AS (SELECT unnest({_sql_list(list(PRIMARY_KEYS))}) AS table_key)"""
+
+
+@register("scan_feed_dir", f"WITH {_LISTING_SQL} SELECT path, file_name FROM files WHERE NOT is_json")
+def q_scan_feed_dir(spark, sf):
+    return B.feed_files(_feed_listing(spark, sf)).select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"))
+
+
+@register("join_table_lookup", f"""WITH {_LISTING_SQL}
+SELECT f.path, k.table_key AS table_name FROM files f LEFT JOIN known k ON f.stem_key = k.table_key WHERE NOT f.is_json""")
+def q_join_table_lookup(spark, sf):
+    files = B.lookup_tables(B.feed_files(_feed_listing(spark, sf)), B.catalogue(spark))
+    return files.select("path", "table_name")
+
+
+_PAIRS_SQL = "(VALUES " + ", ".join(f"('{a.lower()}', '{b}')" for a, b in CONSOLIDATED_PAIRS.items()) + ") p(k, pair_table)"
+
+
+@register("join_pair", f"""WITH {_LISTING_SQL}
+SELECT f.path, p.pair_table FROM files f JOIN known k ON f.stem_key = k.table_key JOIN {_PAIRS_SQL} ON p.k = k.table_key
+WHERE NOT f.is_json""")
+def q_join_pair(spark, sf):
+    files = B.lookup_tables(B.feed_files(_feed_listing(spark, sf)), B.catalogue(spark))
+    return B.with_pairs(files.where(F.col("table_name").isNotNull()), spark).select("path", "pair_table")
+
+
+def _bulk_files(spark, sf):
+    c = FX.table(spark, sf, "customer")
+    cust = c.select(F.col("c_custkey").alias(" C_CustKey "), F.col("c_name").alias("C_NAME"), "c_nationkey",
+                    F.col("c_acctbal").alias("Account Balance"), F.lit("x").alias("extra_col"),
+                    F.lit("A").alias("Flag"), F.col("c_custkey").alias("pos"))
+    return [
+        B.FeedFile("customer_feed.txt", FX.CUSTOMER_SPEC, cust),
+        B.FeedFile("orders_cdc.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf), order="seq"),
+        B.FeedFile("orders_cdc_clean.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf, with_nullkey=False), order="seq"),
+        B.FeedFile("orders_noflag.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf).drop("flag"), order="seq"),
+        B.FeedFile("unknown.txt", None),
+    ]
+
+
+_REPORT_SQL = f"""WITH {FX.F1_FEED_SQL}
+SELECT 'customer_feed.txt' AS file, 'customer_feed' AS table_name, 'MISMATCH' AS structure, 'PASS' AS load,
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM customer) AS rows_loaded,
+       'extra_json=[''extra_col''] | missing_json=[''c_mktsegment'']' AS notes
+UNION ALL
+SELECT 'orders_cdc.txt', 'orders_cdc', 'MATCH', 'FAIL', CAST(0 AS BIGINT),
+       'NULL primary key in ' || (SELECT CAST(COUNT(*) AS VARCHAR) FROM feed WHERE k IS NULL AND flag IN ('A', 'O')) || ' add/update rows'
+UNION ALL
+SELECT 'orders_cdc_clean.txt', 'orders_cdc', 'MATCH', 'PASS',
+       (SELECT CAST(COUNT(*) AS BIGINT) FROM feed WHERE k IS NOT NULL AND flag IN ('A', 'O', 'D')), ''
+UNION ALL
+SELECT 'orders_noflag.txt', 'orders_cdc', 'MISMATCH', 'FAIL', CAST(0 AS BIGINT),
+       'missing_json=[''flag''] | Required ''flag'' column not present for table: orders_cdc'
+UNION ALL
+SELECT 'unknown.txt', 'NOT FOUND', 'SKIP', 'SKIP', CAST(0 AS BIGINT), 'No matching table'"""
+
+
+@register("feed_report", _REPORT_SQL)
+def q_feed_report(spark, sf):
+    return B.load_files(spark, _bulk_files(spark, sf))
+
+
+@register("agg_load_summary", f"""WITH r AS ({_REPORT_SQL})
+SELECT CAST(COUNT(*) FILTER (WHERE notes LIKE '%extra_json=%') AS BIGINT) AS structure_warnings,
+       CAST(COUNT(*) FILTER (WHERE load = 'PASS') AS BIGINT) AS load_pass,
+       CAST(COUNT(*) FILTER (WHERE load = 'FAIL' OR structure = 'PARSE ERROR') AS BIGINT) AS load_fail,
+       CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded FROM r""")
+def q_agg_load_summary(spark, sf):
+    return B.load_summary(B.load_files(spark, _bulk_files(spark, sf)))
+
+
+@register("sink_report", f"""WITH r AS ({_REPORT_SQL})
+SELECT * FROM r
+UNION ALL
+SELECT 'TOTAL', NULL, NULL,
+       CAST(COUNT(*) FILTER (WHERE load = 'PASS') AS VARCHAR) || '/' || CAST(COUNT(*) FILTER (WHERE load IN ('PASS', 'FAIL')) AS VARCHAR),
+       CAST(SUM(rows_loaded) AS BIGINT), NULL FROM r""")
+def q_sink_report(spark, sf):
+    return B.report_with_totals(B.load_files(spark, _bulk_files(spark, sf)))
+
+
+@register("union_rejects", f"WITH {FX.F1_FEED_SQL} SELECT o_custkey, flag, seq FROM feed WHERE k IS NULL")
+def q_union_rejects(spark, sf):
+    feed = FX.f1_feed(spark, sf)
+    parts = []
+    for half in (0, 1):            # two chunks of one feed; their rejects accumulate
+        mi = _f1(spark, sf, feed=feed.where(F.col("seq") % 2 == half))
+        parts.append(split_rejects(mi.feed, ["k"])[1])
+    return parts[0].unionByName(parts[1]).select("o_custkey", "flag", F.col("pos").alias("seq"))
+
+
+@register("chunk_rows")
+def q_chunk_rows(spark, sf):
+    _, log = _run_event_stream(spark, sf, files=6)
+    return read_batch_log(spark, log).select("batch_id", "rows_received")

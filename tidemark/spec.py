@@ -241,3 +241,8 @@ MANIFEST_SPEC = TableSpec.of(
     ]),
     lengths={"report_type": 5, "file_name": 255, "azure_blob_url": 512, "status": 20},
 )
+
+# Feed groups, one row each: (feed_name, group).
+def feed_groups_rows() -> list[tuple[str, str]]:
+    return ([(f, "company_master") for f in COMPANY_MASTER_FEEDS] + [(f, "results") for f in RESULTS_FEEDS]
+            + [(f, "eod") for f in EOD_FEEDS])
