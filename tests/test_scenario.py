@@ -79,3 +79,25 @@ def test_bulk_null_key_fails(spark, tmp_dir):
     mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, order="seq", require_flag=True)
     store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
     assert apply_feed(mi, store, mode="bulk").status == "FAILED"
+
+
+def test_ingest_files_with_run_log(spark, tmp_dir):
+    import datetime as dt
+    from tidemark.plans.ingest import RunLog, ingest
+    from tidemark.operators.runlog import missed_runs
+    feed_dir = os.path.join(tmp_dir, "in")
+    os.makedirs(feed_dir)
+    with open(os.path.join(feed_dir, "part-0.txt"), "w") as f:
+        f.write('{"Table":[{"K":"1","O_CUSTKEY":"10","FLAG":"a"},\n{"K":"2","O_CUSTKEY":"20","FLAG":"A"},\n')
+        f.write('{"K":"","O_CUSTKEY":"30","FLAG":"A"},\n{"K":"1","O_CUSTKEY":"11","FLAG":"O"}]}\n')
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "state"), FX.ORDERS_SPEC)
+    log = RunLog(spark, os.path.join(tmp_dir, "log"))
+    r = ingest(spark, feed_dir, FX.ORDERS_SPEC, store, log, now=dt.datetime(2024, 3, 2, 5, 30))
+    assert (r["status"], r["rows_received"], r["rows_inserted"], r["rows_rejected"]) == ("SUCCESS", 4, 2, 2)
+    assert {x["k"]: x["o_custkey"] for x in store.read().collect()} == {1: 11, 2: 20}
+    t = log.table().collect()
+    assert len(t) == 1 and t[0]["status"] == "SUCCESS" and str(t[0]["requested_date"]) == "2024-03-01"
+    assert ingest(spark, feed_dir, None, store, log, feed_name="nope")["status"] == "TABLE_NOT_FOUND"
+    expected = spark.createDataFrame([("orders_cdc", dt.date(2024, 3, 1)), ("other", dt.date(2024, 3, 1))],
+                                     "feed_name string, requested_date date")
+    assert [x["feed_name"] for x in missed_runs(expected, log.table()).collect()] == ["other"]
