@@ -17,8 +17,11 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Unicode-aware trim of both ends (Python ``str.strip``)."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Unicode-aware trim of both ends (Python ``str.strip``).  The regex runs only
+    when the first or last character is a space of some kind."""
+    c = _col(c)
+    edge = F.substring(c, 1, 1).rlike(r"(?U)\s") | F.substring(c, -1, 1).rlike(r"(?U)\s")
+    return F.when(edge, F.regexp_replace(c, _EDGE_SPACE, "")).otherwise(c)
 
 
 def blank_to_null(c) -> Column:

@@ -23,7 +23,8 @@ def frame_input(df: DataFrame, spec: TableSpec, order: str, on_fraction: str = "
 def records_input(records: DataFrame, spec: TableSpec, on_fraction: str = "fail",
                   require_flag: bool = False, vocabulary: list[str] | None = None) -> tuple[MergeInput, ColumnPlan]:
     """Parsed records (pos, rec map) -> conformed merge input.  The key vocabulary
-    is computed with one small aggregate unless given."""
+    is computed with one small aggregate unless given (re-parsing the text is
+    cheaper than caching map-typed rows)."""
     vocab = vocabulary if vocabulary is not None else record_vocabulary(records)
     plan = resolve_columns(vocab, spec)
     typed = conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
@@ -200,7 +201,8 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
             result.update(status=STATUS_TABLE_NOT_FOUND, error_message=f"No table found for feed={feed_name}")
         else:
             feed = read_feed(spark, path, form=form)
-            vocab = record_vocabulary(feed.records)
+            records = feed.records
+            vocab = record_vocabulary(records)
             if not vocab:
                 result.update(status=STATUS_EMPTY)
             else:
@@ -210,7 +212,7 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
                     result.update(status=STATUS_VALIDATION_FAILED,
                                   error_message=f"{spec.name}: missing PK columns: {missing}")
                 else:
-                    mi, _ = records_input(feed.records, spec, on_fraction=on_fraction,
+                    mi, _ = records_input(records, spec, on_fraction=on_fraction,
                                           require_flag=(mode == "bulk"), vocabulary=vocab)
                     res = apply_feed(mi, store, mode=mode)
                     row = res.as_row()
@@ -220,6 +222,7 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
                                   rows_deleted=res.deleted, rows_unchanged=res.unchanged, version=row["version"])
     except Exception as e:                       # the run is logged as FAILED, never left open
         result.update(status=STATUS_FAILED, error_message=str(e).split("\n")[0][:500])
+
     if log is not None:
         log.append(dict(run, seq=1, finished_at=_dt.datetime.now(),
                         **{k: v for k, v in result.items() if k in RUN_EVENT_SCHEMA and k != "feed_name"}))

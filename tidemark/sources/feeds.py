@@ -66,6 +66,12 @@ def _strip_wrappers(t: Column) -> Column:
     return strip(s)
 
 
+def _mentions_status(text: Column) -> Column:
+    """Cheap pre-check on the raw text: a status envelope has a message or error key."""
+    low = F.lower(text)
+    return (F.instr(low, "message") > 0) | (F.instr(low, "error") > 0)
+
+
 def _rows_of(cand: Column, ok: Column) -> Column:
     """Records of one JSON value: object -> [object], array of objects -> the array."""
     obj = F.from_json(F.when(ok & cand.startswith("{"), cand), RECORD, _JSON_OPTS)
@@ -77,33 +83,49 @@ def _rows_of(cand: Column, ok: Column) -> Column:
 def classify_lines(lines: DataFrame, value: str = "value", pos: str = "pos") -> DataFrame:
     """Per line: ``kind`` in (skip, rows, message, malformed) and the parsed ``rows``.
 
-    Staged projections so that every JSON parse runs once per line (Spark does
-    not collapse projections that would repeat a non-trivial expression)."""
+    Object lines, the common case, cost one parse: ``[line]`` read as an array
+    of records is non-NULL with one element exactly when the line is one JSON
+    object.  Other candidates (wrapper text removed, bare arrays, envelopes) are
+    parsed only for the lines that need them.  Staged projections keep every
+    parse at once per line (Spark does not collapse a projection whose
+    non-trivial expressions a later one uses several times)."""
     t = strip(F.col(value))
     s1 = lines.select(F.col(pos).alias("pos"), F.col(value).alias("value"), t.alias("_t"))
     t = F.col("_t")
     s2 = s1.select("pos", "value", "_t",
                    ((t == "") | t.isin(*BRACKET_ONLY_LINES)).alias("_skip"),
                    (t.startswith(ENVELOPE_PREFIX) & t.endswith(ENVELOPE_SUFFIX)).alias("_is_env"),
-                   F.regexp_replace(t, r",$", "").alias("_a"),
-                   _strip_wrappers(t).alias("_b"))
-    s3 = s2.select("*", (F.coalesce(F.size(_wrapped(F.col("_a"))), F.lit(0)) == 1).alias("_a_ok"))
-    s4 = s3.select("*", F.when(F.col("_a_ok"), F.col("_a")).otherwise(F.col("_b")).alias("_cand"),
-                   (F.col("_a_ok") | (F.coalesce(F.size(_wrapped(F.when(~F.col("_a_ok"), F.col("_b")))), F.lit(0)) == 1))
-                   .alias("_ok"))
-    env = F.from_json(F.when(F.col("_is_env") & F.col("_a_ok"), F.col("_t")), ENVELOPE, _JSON_OPTS).getField("Table")
-    s5 = s4.select("pos", "value", "_skip", "_b", "_cand", env.alias("_env"),
-                   _rows_of(F.col("_cand"), F.col("_ok")).alias("_line_rows"))
-    s6 = s5.select("pos", "value", "_skip", "_b", "_cand", F.col("_env").isNotNull().alias("_from_env"),
+                   F.regexp_replace(t, r",$", "").alias("_a"))
+    a = F.col("_a")
+    s3 = s2.select("*", F.from_json(F.when(a.startswith("{"), F.concat(F.lit("["), a, F.lit("]"))),
+                                    RECORDS, _JSON_OPTS).alias("_a_obj"))
+    a_obj_ok = F.coalesce(F.size("_a_obj") == 1, F.lit(False)) & F.col("_a_obj").getItem(0).isNotNull()
+    s4 = s3.select("*", a_obj_ok.alias("_a_obj_ok"))
+    # Lines that are not one object as they stand: bare arrays, wrapped lines.
+    slow = ~F.col("_a_obj_ok") & ~F.col("_skip")
+    s5 = s4.select("*", F.when(slow & a.startswith("["), F.coalesce(F.size(_wrapped(a)), F.lit(0)) == 1)
+                   .alias("_a_arr_ok"),
+                   F.when(slow, _strip_wrappers(t)).alias("_b"))
+    a_ok = F.col("_a_obj_ok") | F.coalesce(F.col("_a_arr_ok"), F.lit(False))
+    s6 = s5.select("*", a_ok.alias("_a_ok"))
+    b = F.col("_b")
+    s7 = s6.select("*", F.when(~F.col("_a_ok"), F.coalesce(F.size(_wrapped(b)), F.lit(0)) == 1).alias("_b_ok"))
+    cand = F.when(F.col("_a_ok"), a).otherwise(b)
+    env = F.from_json(F.when(F.col("_is_env") & F.col("_a_obj_ok"), F.col("_t")), ENVELOPE, _JSON_OPTS).getField("Table")
+    slow_rows = _rows_of(F.when(~F.col("_a_obj_ok"), cand), F.coalesce(F.col("_a_arr_ok"), F.col("_b_ok"), F.lit(False)))
+    s8 = s7.select("pos", "value", "_skip", "_a_obj_ok", F.coalesce(b, F.lit("x")).alias("_b"),
+                   cand.alias("_cand"), env.alias("_env"),
+                   F.when(F.col("_a_obj_ok"), F.col("_a_obj")).otherwise(slow_rows).alias("_line_rows"))
+    s9 = s8.select("pos", "value", "_skip", "_b", "_cand", F.col("_env").isNotNull().alias("_from_env"),
                    F.coalesce("_env", "_line_rows").alias("_rows"))
     rows, from_env = F.col("_rows"), F.col("_from_env")
     single_obj = ~from_env & F.col("_cand").startswith("{") & rows.isNotNull()
     kind = (F.when(F.col("_skip") | ((F.col("_b") == "") & ~from_env), "skip")
             .when(rows.isNull(), "malformed")
-            .when(single_obj & is_status_message(rows.getItem(0)), "message")
+            .when(single_obj & _mentions_status(F.col("_cand")) & is_status_message(rows.getItem(0)), "message")
             .otherwise("rows"))
-    s7 = s6.select("pos", "value", "_rows", kind.alias("kind"))
-    return s7.select("pos", "value", "kind", F.when(F.col("kind") == "rows", F.col("_rows")).alias("rows"))
+    s10 = s9.select("pos", "value", "_rows", kind.alias("kind"))
+    return s10.select("pos", "value", "kind", F.when(F.col("kind") == "rows", F.col("_rows")).alias("rows"))
 
 
 def of_kind(classified: DataFrame, kind: str) -> DataFrame:
