@@ -17,6 +17,8 @@ delete         D, key in target                                     (gone)
 no_match       D, key not in target                                 (gone)
 ignored        any other flag                                       target row if any
 reinsert       bulk mode: D and A/O for one key (delete first)      feed row alone
+stale          older than the stored version column (optional)     target row
+rejected       NULL key (counted merges only)                      (nothing)
 =============  ==================================================  ===========
 
 Compared columns are the target columns the feed carries, key excluded, plus
@@ -41,7 +43,8 @@ from tidemark.operators.normalize import qcol
 from tidemark.operators.quality import has_null_key, split_rejects
 from tidemark.spec import FLAG_DELETE, UPSERT_FLAGS, TableSpec
 
-ACTIONS = ("keep", "insert", "update", "unchanged", "delete", "no_match", "ignored", "reinsert", "stale")
+ACTIONS = ("keep", "insert", "update", "unchanged", "delete", "no_match", "ignored", "reinsert", "stale",
+           "rejected")
 _STATE_ACTIONS = ("keep", "insert", "update", "unchanged", "reinsert")
 
 
@@ -76,29 +79,57 @@ def winners(mi: MergeInput, ignore_unknown_flags_first: bool = False) -> DataFra
     return keep_last(accepted.drop("_bad") if "_bad" in accepted.columns else accepted, mi.keys, "pos")
 
 
-def bulk_winners(mi: MergeInput) -> DataFrame:
+def _feed_counts(f: DataFrame) -> list[Column]:
+    bad = (F.size("_bad") > 0) if "_bad" in f.columns else F.lit(False)
+    return [F.count(F.lit(1)).alias("_n"), F.count_if(bad).alias("_nbad"),
+            F.count_if(F.col("flag").isin(*UPSERT_FLAGS)).alias("_nao")]
+
+
+def counted_winners(mi: MergeInput, ignore_unknown_flags_first: bool = False) -> DataFrame:
+    """:func:`winners` plus per-key feed counts, in the same aggregation.
+
+    NULL keys are not filtered first: they form their own groups (collapsed
+    map-side like any hot key) and are classified ``rejected``.  Each winner
+    carries ``_n`` (rows of its key), ``_nbad`` (rows with values the declared
+    types cannot store) and ``_nao`` (A/O rows), so the feed's totals can be
+    summed in the final stage of the merge instead of in a separate pass."""
+    f = mi.feed
+    rest = [c for c in f.columns if c not in mi.keys and c != "_bad"]
+    order = F.col("pos")
+    if ignore_unknown_flags_first:
+        order = F.when(F.col("flag").isin(FLAG_DELETE, *UPSERT_FLAGS), order)
+    agg = (f.groupBy(*[qcol(k) for k in mi.keys])
+             .agg(F.max_by(F.struct(*[qcol(c) for c in rest]), order).alias("_w"), *_feed_counts(f)))
+    return agg.select(*[qcol(k) for k in mi.keys], *[F.col("_w").getField(c).alias(c) for c in rest],
+                      "_n", "_nbad", "_nao")
+
+
+def bulk_winners(mi: MergeInput, counted: bool = False) -> DataFrame:
     """Bulk-load semantics: deletes first, then one A/O row per key (the last by
     position).  No keep-last over all flags.  Output: key, feed columns of the A/O
     winner (NULL when none), flag ('A'/'O' of the winner, else 'D'), pos, ``_has_d``."""
-    f = mi.feed.drop("_bad") if "_bad" in mi.feed.columns else mi.feed
-    f = f.where(~has_null_key(mi.keys))
-    rest = [c for c in f.columns if c not in mi.keys]
+    f = mi.feed
+    if not counted:
+        f = f.where(~has_null_key(mi.keys))
+    rest = [c for c in f.columns if c not in mi.keys and c != "_bad"]
     is_ao = F.col("flag").isin(*UPSERT_FLAGS)
+    extra = _feed_counts(f) if counted else []
     agg = (f.groupBy(*[qcol(k) for k in mi.keys])
              .agg(F.max_by(F.struct(*[qcol(c) for c in rest]), F.when(is_ao, F.col("pos"))).alias("_w"),
-                  F.max(F.col("flag") == FLAG_DELETE).alias("_has_d")))
-    agg = agg.where(F.col("_w").isNotNull() | F.col("_has_d"))
+                  F.max(F.col("flag") == FLAG_DELETE).alias("_has_d"), *extra))
+    if not counted:
+        agg = agg.where(F.col("_w").isNotNull() | F.col("_has_d"))
     cols = [qcol(k) for k in mi.keys]
     for c in rest:
         if c == "flag":
             cols.append(F.when(F.col("_w").isNotNull(), F.col("_w.flag")).otherwise(F.lit(FLAG_DELETE)).alias("flag"))
         else:
             cols.append(F.col("_w").getField(c).alias(c))
-    return agg.select(*cols, F.col("_has_d"))
+    return agg.select(*cols, F.col("_has_d"), *([F.col("_n"), F.col("_nbad"), F.col("_nao")] if counted else []))
 
 
 def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: bool = True,
-             bulk: bool = False, newer_than: str | None = None) -> DataFrame:
+             bulk: bool = False, newer_than: str | None = None, counted: bool = False) -> DataFrame:
     """Full outer join target x winners on the key -> key, ``_t``, ``_s``, ``_action``.
 
     ``newer_than`` names a version column (e.g. an event id) stored in the target:
@@ -107,7 +138,8 @@ def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: boo
     which files or micro-batches arrive."""
     keys = mi.keys
     t_cols = [c for c in mi.spec.columns if c not in keys]
-    s_cols = [c for c in mi.written if c != "flag"] + ["flag", "pos"] + (["_has_d"] if bulk else [])
+    s_cols = ([c for c in mi.written if c != "flag"] + ["flag", "pos"] + (["_has_d"] if bulk else [])
+              + (["_n", "_nbad", "_nao"] if counted else []))
     t = target.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in t_cols]).alias("_t"))
     s = won.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in s_cols]).alias("_s"))
     j = t.join(s, keys, "full_outer")
@@ -129,6 +161,8 @@ def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: boo
     else:
         upsert_cond = flag.isin(*UPSERT_FLAGS)
     action = F.when(ss.isNull(), "keep")
+    if counted:
+        action = action.when(has_null_key(keys), "rejected")
     if newer_than is not None:
         action = action.when(st.isNotNull() & (ss.getField(newer_than) < st.getField(newer_than)), "stale")
     action = (action
@@ -217,10 +251,28 @@ def bulk_summary(mi: MergeInput) -> DataFrame:
 
 
 def merge(target: DataFrame, mi: MergeInput, mode: str = "api", change_test: bool = True,
-          ignore_unknown_flags_first: bool = False, newer_than: str | None = None) -> DataFrame:
-    """Classified rows for ``mode`` in (api, bulk)."""
+          ignore_unknown_flags_first: bool = False, newer_than: str | None = None,
+          counted: bool = False) -> DataFrame:
+    """Classified rows for ``mode`` in (api, bulk).  With ``counted`` the feed's
+    row counts ride along (see :func:`counted_winners`, :func:`feed_totals`)."""
     if mode == "bulk":
-        return classify(target, bulk_winners(mi), mi, change_test, bulk=True, newer_than=newer_than)
+        return classify(target, bulk_winners(mi, counted), mi, change_test, bulk=True, newer_than=newer_than,
+                        counted=counted)
     if mode != "api":
         raise ValueError("mode must be 'api' or 'bulk'")
-    return classify(target, winners(mi, ignore_unknown_flags_first), mi, change_test, newer_than=newer_than)
+    won = counted_winners(mi, ignore_unknown_flags_first) if counted else winners(mi, ignore_unknown_flags_first)
+    return classify(target, won, mi, change_test, newer_than=newer_than, counted=counted)
+
+
+def feed_totals() -> list[Column]:
+    """Aggregates over counted classified rows: feed rows received, rows with
+    unstorable values, rows with a NULL key, A/O rows with a NULL key."""
+    ss, a = F.col("_s"), F.col("_action")
+    z = F.lit(0).cast("bigint")
+    return [
+        F.coalesce(F.sum(ss.getField("_n")), z).alias("received"),
+        F.coalesce(F.sum(ss.getField("_nbad")), z).alias("bad_rows"),
+        F.coalesce(F.sum(F.when(a == "rejected", ss.getField("_n"))), z).alias("null_pk"),
+        F.coalesce(F.sum(F.when(a == "rejected", ss.getField("_nao"))), z).alias("null_key_upserts"),
+        F.count_if(a == "reinsert").alias("reinserted"),
+    ]

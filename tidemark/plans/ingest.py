@@ -97,43 +97,53 @@ class IngestResult:
 
 def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = True,
                batch_id: int | None = None, newer_than: str | None = None,
-               fail_on_violation: bool = True) -> IngestResult:
+               fail_on_violation: bool = True, ignore_unknown_flags_first: bool = False) -> IngestResult:
     """Apply a conformed feed to a snapshot store as one all-or-nothing version.
 
-    Job 1 (feed-sized): received rows and type violations.  Job 2: the merge,
-    written as the next version; the change counts are collected with
-    ``observe`` while writing, so the target is read exactly once.
+    One job: keep-last (with the feed's row counts folded into the same
+    aggregation), the join with the bucketed target, and the write of the next
+    version.  All counts are observed in the job's final stage, which Spark
+    applies once per partition even when earlier stages are re-run after an
+    executor loss.  The version is committed only when the counts allow it
+    (rows received, no unstorable values, no NULL key on a bulk add/update);
+    otherwise it is discarded and the current version stays.
     """
     missing = pk_missing(mi.spec, [c for c in mi.feed.columns])
     if missing:
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
-    mi = MergeInput(mi.feed.persist(), mi.spec, mi.present)     # read by both jobs
-    pre = mi.feed.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("_bad") > 0).alias("bad")).first()
-    received, bad = int(pre["n"]), int(pre["bad"])
-    if received == 0:
+    if mi.feed.isEmpty():                 # stops at the first row; an empty feed never touches the target
         return IngestResult(STATUS_EMPTY)
-    if bad and fail_on_violation:
-        return IngestResult(STATUS_FAILED, received=received,
-                            error=f"{bad} rows hold values the declared types cannot store")
-    if mode == "bulk":
-        nk = mi.feed.where(M.has_null_key(mi.keys) & F.col("flag").isin("A", "O")).limit(1).count()
-        if nk:
-            return IngestResult(STATUS_FAILED, received=received, error="NULL primary key in an add/update row")
     target = store.read()
-    classified = M.merge(target, mi, mode=mode, change_test=change_test, newer_than=newer_than)
+    classified = M.merge(target, mi, mode=mode, change_test=change_test, newer_than=newer_than,
+                         ignore_unknown_flags_first=ignore_unknown_flags_first, counted=True)
     obs = Observation(f"merge_{uuid.uuid4().hex}")
-    counted = classified.observe(obs, *M.count_columns(F.col("_action")))
+    counted = classified.observe(obs, *M.count_columns(F.col("_action")), *M.feed_totals())
     state = M.next_state(counted, mi)
     # Plan the keep-last shuffle with the snapshot's bucket count: its output is
     # then already partitioned like the bucketed target and the join needs no
     # second exchange on the feed side.
     with shuffle_partitions(mi.feed.sparkSession, store.buckets):
-        version = store.write(state, batch_id=batch_id)
+        version = store.write(state, batch_id=batch_id, commit=False)
     m = obs.get
-    mi.feed.unpersist()
-    res = IngestResult(STATUS_SUCCESS, received=received, inserted=int(m["inserted"]), updated=int(m["updated"]),
-                       deleted=int(m["deleted"]), unchanged=int(m["unchanged"]), stale=int(m["stale"]),
-                       version=version)
+    received = int(m["received"])
+    error, status = None, STATUS_SUCCESS
+    if received == 0:
+        status = STATUS_EMPTY
+    elif m["bad_rows"] and fail_on_violation:
+        status, error = STATUS_FAILED, f"{m['bad_rows']} rows hold values the declared types cannot store"
+    elif mode == "bulk" and m["null_key_upserts"]:
+        status, error = STATUS_FAILED, f"NULL primary key in {m['null_key_upserts']} add/update rows"
+    if status != STATUS_SUCCESS:
+        store.discard(version)
+        return IngestResult(status, received=received, error=error)
+    res = IngestResult(STATUS_SUCCESS, received=received, inserted=int(m["inserted"]) + int(m["reinserted"]),
+                       updated=int(m["updated"]), deleted=int(m["deleted"]), unchanged=int(m["unchanged"]),
+                       stale=int(m["stale"]), version=version)
+    if res.processed == 0 and store.current_version() is not None:
+        store.discard(version)            # nothing changed: keep the current version
+        res.version = store.current_version()
+    else:
+        store.commit(version, batch_id=batch_id, extra={"received": received})
     return res
 
 

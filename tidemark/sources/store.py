@@ -123,19 +123,35 @@ class SnapshotStore:
             return self.spark.createDataFrame([], self.spec.schema)
         return self.spark.table(self._register(v)).select(*[qcol(c) for c in self.spec.columns])
 
-    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None) -> int:
-        """Write ``df`` as the next version and publish it."""
+    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
+              commit: bool = True) -> int:
+        """Write ``df`` as the next version and publish it (or leave it for
+        :meth:`commit` / :meth:`discard` when ``commit`` is False)."""
         cur = self.current_version() or 0
         v = cur + 1
         while self._fs.exists(self._p(f"v={v:08d}")):    # leftovers of a failed write
             v += 1
         name = self._table_name(v)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         (df.select(*[qcol(c) for c in self.spec.columns])
            .write.format("parquet").mode("errorifexists")
            .bucketBy(self.buckets, *self.spec.pk).sortBy(*self.spec.pk)
            .option("path", self.version_path(v))
            .saveAsTable(name))
-        info = {"version": v, "previous": cur or None, "batch_id": batch_id}
-        info.update(extra or {})
-        self._write_text(f"_commits/{v:08d}.json", json.dumps(info, default=str))
+        if commit:
+            self.commit(v, batch_id, extra, previous=cur or None)
         return v
+
+    def commit(self, version: int, batch_id: int | None = None, extra: dict | None = None,
+               previous: int | None = None) -> None:
+        """Make a written version current (its commit file appears atomically)."""
+        info = {"version": version, "previous": previous, "batch_id": batch_id}
+        info.update(extra or {})
+        self._write_text(f"_commits/{version:08d}.json", json.dumps(info, default=str))
+
+    def discard(self, version: int) -> None:
+        """Remove a written, uncommitted version."""
+        if self._fs.exists(self._p(f"_commits/{version:08d}.json")):
+            raise ValueError(f"version {version} is committed")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version)}")
+        self._fs.delete(self._p(f"v={version:08d}"), True)
