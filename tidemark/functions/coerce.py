@@ -56,7 +56,7 @@ def to_integral(s: Column, dtype: T.DataType, d: Column | None = None) -> tuple[
 
 
 def to_decimal(s: Column, dtype: T.DecimalType) -> tuple[Column, Column]:
-    num = s.rlike(NUMBER_RE)
+    num = F.coalesce(s.rlike(NUMBER_RE), F.lit(False))
     value = F.when(num, s.try_cast(dtype))
     return value, num & value.isNull()
 
@@ -112,7 +112,7 @@ def coerce(c, dtype: T.DataType, on_fraction: str = "fail", max_len: int | None
     elif isinstance(dtype, T.StringType):
         value = s
         if max_len is not None:
-            violation = F.char_length(s) > F.lit(max_len)
+            violation = F.coalesce(F.char_length(s) > F.lit(max_len), F.lit(False))
     elif isinstance(dtype, T.BooleanType):
         value = s.try_cast("boolean")
         violation = s.isNotNull() & value.isNull()

@@ -30,7 +30,7 @@ def business_date(ts, tz: str | None = None, cutoff_hour: int = BUSINESS_DAY_CUT
 
 def parse_ddmmyyyy(c) -> Column:
     """'31012024' -> DATE 2024-01-31 (NULL when not a date)."""
-    return F.try_to_date(_col(c), F.lit("ddMMyyyy")) if hasattr(F, "try_to_date") else F.to_date(_col(c), "ddMMyyyy")
+    return F.try_to_date(_col(c), "ddMMyyyy")
 
 
 def format_ddmmyyyy(c) -> Column:

@@ -128,7 +128,8 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
             if dtype.simpleString() == "string":
                 stage1.append(clean_text(source(c)).alias(f"_v{i}"))
                 if c in spec.lengths:
-                    bad.append(F.when(F.char_length(F.col(f"_v{i}")) > F.lit(spec.lengths[c]), F.lit(c)))
+                    bad.append(F.when(F.coalesce(F.char_length(F.col(f"_v{i}")) > F.lit(spec.lengths[c]),
+                                                 F.lit(False)), F.lit(c)))
             else:
                 stage1.append(source(c).alias(f"_v{i}"))
             stage2.append(F.col(f"_v{i}"))
