@@ -95,14 +95,25 @@ class IngestResult:
                 "error_message": self.error}
 
 
+def touched_buckets(mi: MergeInput, store) -> set[int]:
+    """Bucket ids of the feed's (non-NULL) keys: one narrow pass over the key
+    columns, combined map-side; at most ``store.buckets`` values reach the driver."""
+    rows = (mi.feed.where(~M.has_null_key(mi.keys)).select(store.bucket_of().alias("b"))
+            .distinct().collect())
+    return {int(r["b"]) for r in rows}
+
+
 def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = True,
                batch_id: int | None = None, newer_than: str | None = None,
-               fail_on_violation: bool = True, ignore_unknown_flags_first: bool = False) -> IngestResult:
+               fail_on_violation: bool = True, ignore_unknown_flags_first: bool = False,
+               incremental: str = "auto", max_touched_fraction: float = 0.5) -> IngestResult:
     """Apply a conformed feed to a snapshot store as one all-or-nothing version.
 
     One job: keep-last (with the feed's row counts folded into the same
     aggregation), the join with the bucketed target, and the write of the next
-    version.  All counts are observed in the job's final stage, which Spark
+    version.  With ``incremental`` ("auto", "always", "never") a feed whose keys
+    fall into at most ``max_touched_fraction`` of the buckets reads and rewrites
+    only those buckets; otherwise every bucket is rewritten (no target shuffle).  All counts are observed in the job's final stage, which Spark
     applies once per partition even when earlier stages are re-run after an
     executor loss.  The version is committed only when the counts allow it
     (rows received, no unstorable values, no NULL key on a bulk add/update);
@@ -113,7 +124,15 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
     if mi.feed.isEmpty():                 # stops at the first row; an empty feed never touches the target
         return IngestResult(STATUS_EMPTY)
-    target = store.read()
+    touched = None
+    if incremental not in ("auto", "always", "never"):
+        raise ValueError("incremental must be 'auto', 'always' or 'never'")
+    if incremental != "never" and store.current_version() is not None:
+        touched = touched_buckets(mi, store)
+        if incremental == "auto" and (len(touched) > max_touched_fraction * store.buckets
+                                      or store.live_versions() >= store.max_live_versions):
+            touched = None                # broad change or scattered versions: full rewrite (compacts)
+    target = store.read() if touched is None else store.read_buckets(touched)
     classified = M.merge(target, mi, mode=mode, change_test=change_test, newer_than=newer_than,
                          ignore_unknown_flags_first=ignore_unknown_flags_first, counted=True)
     obs = Observation(f"merge_{uuid.uuid4().hex}")
@@ -123,7 +142,7 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
     # then already partitioned like the bucketed target and the join needs no
     # second exchange on the feed side.
     with shuffle_partitions(mi.feed.sparkSession, store.buckets):
-        version = store.write(state, batch_id=batch_id, commit=False)
+        version = store.write(state, batch_id=batch_id, commit=False, buckets=touched)
     m = obs.get
     received = int(m["received"])
     error, status = None, STATUS_SUCCESS

@@ -1,21 +1,31 @@
-"""Versioned table snapshots on plain parquet.
+"""Versioned table snapshots on plain parquet, rewritten bucket by bucket.
 
 Layout under ``root``::
 
-    v=00000001/   parquet files of version 1 (bucketed by the primary key)
-    v=00000002/
-    _commits/00000001.json   {"version": 1, "batch_id": 6, ...}
-    _commits/00000002.json   {"version": 2, "batch_id": 7, ...}
+    data/tm_version=1/part-…_00000.c000.snappy.parquet     bucket 0 as written by version 1
+    data/tm_version=1/part-…_00001.c000.snappy.parquet     bucket 1 …
+    data/tm_version=2/part-…_00001.c000.snappy.parquet     bucket 1 rewritten by version 2
+    _commits/00000001.json   {"version": 1, "owners": [1, 1, …], "batch_id": …}
+    _commits/00000002.json   {"version": 2, "owners": [1, 2, …], …}
+
+``data`` is one table, partitioned by ``tm_version`` and bucketed by the primary
+key (``bucketBy``).  A version owns a set of buckets; its commit file lists, for
+every bucket, the version whose files hold it.  Reading a version keeps the
+owning partitions (partition pruning) and, with a semi-join against the
+(bucket, owner) list (N rows, broadcast), the rows of each bucket's owner.  The
+scan stays a bucketed scan, so a merge join reads the target already
+hash-partitioned on the key: the target side is never shuffled.
+
+A merge that touches few buckets reads and rewrites only those buckets (their
+live files are listed by bucket id); a merge that touches most buckets, or a
+table whose live data is spread over many versions, rewrites every bucket into
+one new partition (which also compacts).
 
 A version is written completely before its commit file appears (written under
-a temporary name, then renamed to a name that never existed), and the current
-version is the highest committed one.  Readers therefore see the old or the new
-version, never a partial one; a failed write leaves an uncommitted folder that
-the next write skips.  Nothing is overwritten in place.
-
-Each version is written with ``bucketBy(buckets, *pk)`` and registered as a
-bucketed table, so the merge join reads the target already hash-partitioned
-on the key: only the feed side is shuffled, the target never is.
+a temporary name, then renamed to a name that never existed); the current
+version is the highest committed one.  Readers see the old or the new version,
+never a partial one; an uncommitted partition is owned by no commit and is
+ignored, and the next write skips its number.  Nothing is overwritten in place.
 """
 
 from __future__ import annotations
@@ -24,26 +34,33 @@ import json
 import re
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.normalize import qcol
 from tidemark.spec import TableSpec
 
 _SAFE = re.compile(r"[^a-z0-9_]")
+_BUCKET_FILE = re.compile(r".*_(\d+)(?:\..*)?$")
+VERSION_COL = "tm_version"
 
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int | None = None,
-                 database: str | None = None):
+                 database: str | None = None, max_live_versions: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.database = database
+        self.max_live_versions = max_live_versions
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._Path(self.root).getFileSystem(conf)
+        self._pending: dict[int, list[int]] = {}
+        info = self.commit_info()
+        if info is not None and len(info["owners"]) != self.buckets:
+            self.buckets = len(info["owners"])            # the table fixes its bucket count
 
     # ------------------------------------------------------------------ files
     def _p(self, rel: str):
@@ -66,8 +83,7 @@ class SnapshotStore:
             stream.close()
 
     def _write_text(self, rel: str, text: str) -> None:
-        """Write to a temporary name, then rename over the target (atomic on HDFS
-        and local file systems)."""
+        """Write to a temporary name, then rename to a name that never existed."""
         tmp = self._p(rel + ".tmp")
         out = self._fs.create(tmp, True)
         try:
@@ -94,58 +110,113 @@ class SnapshotStore:
         txt = self._read_text(f"_commits/{v:08d}.json")
         return json.loads(txt) if txt else None
 
+    def owners(self, version: int | None = None) -> list[int] | None:
+        info = self.commit_info(version)
+        return None if info is None else list(info["owners"])
+
     def last_batch_id(self) -> int | None:
         info = self.commit_info()
         return None if info is None else info.get("batch_id")
 
-    def version_path(self, version: int) -> str:
-        return f"{self.root}/v={version:08d}"
-
-    def _table_name(self, version: int) -> str:
-        base = _SAFE.sub("_", f"tm_{self.spec.name.lower()}_{zlib.crc32(self.root.encode())}_v{version}")
+    @property
+    def table_name(self) -> str:
+        base = _SAFE.sub("_", f"tm_{self.spec.name.lower()}_{zlib.crc32(self.root.encode())}")
         return f"{self.database}.{base}" if self.database else base
 
-    def _register(self, version: int) -> str:
-        name = self._table_name(version)
+    def _register(self) -> str:
+        name = self.table_name
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.schema.fields)
         keys = ", ".join(f"`{k}`" for k in self.spec.pk)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-            f"LOCATION '{self.version_path(version)}'")
+            f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {VERSION_COL} int) USING parquet "
+            f"PARTITIONED BY ({VERSION_COL}) CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.root}/data'")
         return name
 
+    def bucket_of(self, df: DataFrame | None = None) -> Column:
+        """Spark's bucket id of a row: ``pmod(hash(key), buckets)``."""
+        keys = [qcol(k) if df is None else df[f"`{k}`"] for k in self.spec.pk]
+        return F.pmod(F.hash(*keys), F.lit(self.buckets))
+
+    def _owners_frame(self, owners: list[int]) -> DataFrame:
+        return self.spark.createDataFrame(list(enumerate(owners)), f"_b int, {VERSION_COL} int")
+
     def read(self, version: int | None = None) -> DataFrame:
         """The current (or given) version; an empty frame of the spec's schema when
-        nothing was published yet."""
-        v = self.current_version() if version is None else version
-        if v is None:
+        nothing was published yet.  A bucketed scan (hash-partitioned on the key)."""
+        owners = self.owners(version)
+        if owners is None:
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.table(self._register(v)).select(*[qcol(c) for c in self.spec.columns])
+        name = self._register()
+        self.spark.catalog.refreshTable(name)
+        t = self.spark.table(name).where(F.col(VERSION_COL).isin(sorted(set(owners))))
+        if len(set(owners)) > 1:
+            o = self._owners_frame(owners)
+            t = t.join(F.broadcast(o), (self.bucket_of(t) == o["_b"]) & (t[VERSION_COL] == o[VERSION_COL]),
+                       "left_semi")
+        return t.select(*[qcol(c) for c in self.spec.columns])
+
+    def live_files(self, buckets: set[int], version: int | None = None) -> list[str]:
+        """Files holding the given buckets in a version (listed, not read)."""
+        owners = self.owners(version) or []
+        files = []
+        for v in sorted({owners[b] for b in buckets}):
+            d = self._p(f"data/{VERSION_COL}={v}")
+            if not self._fs.exists(d):
+                continue
+            for st in self._fs.listStatus(d):
+                name = st.getPath().getName()
+                m = _BUCKET_FILE.match(name)
+                if name.startswith((".", "_")) or m is None:
+                    continue
+                b = int(m.group(1))
+                if b in buckets and owners[b] == v:
+                    files.append(st.getPath().toString())
+        return files
+
+    def read_buckets(self, buckets: set[int], version: int | None = None) -> DataFrame:
+        """Only the live rows of the given buckets (a plain, not bucketed, read)."""
+        files = self.live_files(buckets, version)
+        if not files:
+            return self.spark.createDataFrame([], self.spec.schema)
+        return self.spark.read.schema(self.spec.schema).parquet(*files).select(*[qcol(c) for c in self.spec.columns])
 
-    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
-              commit: bool = True) -> int:
-        """Write ``df`` as the next version and publish it (or leave it for
-        :meth:`commit` / :meth:`discard` when ``commit`` is False)."""
-        cur = self.current_version() or 0
-        v = cur + 1
-        while self._fs.exists(self._p(f"v={v:08d}")):    # leftovers of a failed write
+    def live_versions(self) -> int:
+        owners = self.owners()
+        return 0 if owners is None else len(set(owners))
+
+    # ----------------------------------------------------------------- writes
+    def _next_version(self) -> int:
+        v = (self.current_version() or 0) + 1
+        while self._fs.exists(self._p(f"data/{VERSION_COL}={v}")):    # leftovers of a failed write
             v += 1
-        name = self._table_name(v)
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        (df.select(*[qcol(c) for c in self.spec.columns])
-           .write.format("parquet").mode("errorifexists")
-           .bucketBy(self.buckets, *self.spec.pk).sortBy(*self.spec.pk)
-           .option("path", self.version_path(v))
-           .saveAsTable(name))
+        return v
+
+    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
+              commit: bool = True, buckets: set[int] | None = None) -> int:
+        """Write ``df`` as the next version: all buckets, or only ``buckets`` (then
+        ``df`` must hold exactly the rows of those buckets).  Published at once, or
+        left for :meth:`commit` / :meth:`discard` when ``commit`` is False."""
+        name = self._register()
+        cur = self.current_version()
+        v = self._next_version()
+        owners = self.owners() or [v] * self.buckets
+        if buckets is None:
+            owners = [v] * self.buckets
+        else:
+            owners = [v if b in buckets else o for b, o in enumerate(owners)]
+        (df.select(*[qcol(c) for c in self.spec.columns], F.lit(v).alias(VERSION_COL))
+           .write.mode("append").insertInto(name))
+        self._pending[v] = owners
         if commit:
-            self.commit(v, batch_id, extra, previous=cur or None)
+            self.commit(v, batch_id, extra, previous=cur)
         return v
 
     def commit(self, version: int, batch_id: int | None = None, extra: dict | None = None,
                previous: int | None = None) -> None:
         """Make a written version current (its commit file appears atomically)."""
-        info = {"version": version, "previous": previous, "batch_id": batch_id}
+        owners = self._pending.pop(version)
+        info = {"version": version, "previous": previous, "batch_id": batch_id, "owners": owners}
         info.update(extra or {})
         self._write_text(f"_commits/{version:08d}.json", json.dumps(info, default=str))
 
@@ -153,5 +224,9 @@ class SnapshotStore:
         """Remove a written, uncommitted version."""
         if self._fs.exists(self._p(f"_commits/{version:08d}.json")):
             raise ValueError(f"version {version} is committed")
-        self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(version)}")
-        self._fs.delete(self._p(f"v={version:08d}"), True)
+        self._pending.pop(version, None)
+        self._fs.delete(self._p(f"data/{VERSION_COL}={version}"), True)
+        try:
+            self.spark.sql(f"ALTER TABLE {self.table_name} DROP IF EXISTS PARTITION ({VERSION_COL}={version})")
+        except Exception:       # catalogues that do not track partitions
+            pass
