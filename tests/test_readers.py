@@ -92,3 +92,18 @@ def test_documents_strict_and_messages(spark):
     assert loose == {1: "rows", 2: "rows", 3: "message", 4: "message", 5: "malformed"}
     strict = {r["pos"]: r["kind"] for r in parse_documents(docs, strict=True).lines.collect()}
     assert strict[1] == "rows" and strict[2] == "malformed"
+
+
+def test_conform_with_varying_key_order(spark):
+    """The key-position shortcut falls back to the map when a record's order differs."""
+    from pyspark.sql import types as T
+    from tidemark.plans.ingest import records_input
+    from tidemark.spec import TableSpec
+    lines = spark.createDataFrame([('{"k":"1","a":"x","b":"2"}', 1), ('{"b":"3","k":"2","a":"y"}', 2),
+                                   ('{"a":"z","k":"3"}', 3), ('{"k":"4","b":"5","a":"w","extra":"e"}', 4)],
+                                  "value string, pos long")
+    spec = TableSpec.of("t", T.StructType([T.StructField("k", T.LongType()), T.StructField("a", T.StringType()),
+                                           T.StructField("b", T.IntegerType())]), pk=["k"])
+    mi, _ = records_input(parse_lines(lines).records, spec)
+    got = {r["k"]: (r["a"], r["b"]) for r in mi.feed.collect()}
+    assert got == {1: ("x", 2), 2: ("y", 3), 3: ("z", None), 4: ("w", 5)}

@@ -81,29 +81,38 @@ def resolve_columns(raw_names: list[str], spec: TableSpec) -> ColumnPlan:
     )
 
 
-def record_vocabulary(records: DataFrame, rec: str = "rec", pos: str = "pos") -> list[str]:
+def record_vocabulary(records: DataFrame, rec: str = "rec", pos: str = "pos", with_index: bool = False):
     """Distinct keys of map-shaped records, in order of first appearance.
 
-    One small aggregate (partial aggregation per task, so hot keys never pile up
-    in one task); the result is schema metadata bounded by the key vocabulary.
+    Records are first grouped by their key set (feeds repeat a few shapes, so
+    partial aggregation collapses them map-side); only the distinct key sets
+    are exploded into keys.  The result is schema metadata bounded by the key
+    vocabulary (guarded by ``MAX_VOCABULARY``).
     """
-    keys = (records.select(F.col(pos).alias("p"), F.posexplode(F.map_keys(F.col(rec))).alias("i", "k"))
+    shapes = records.groupBy(F.map_keys(F.col(rec)).alias("ks")).agg(F.min(F.col(pos)).alias("p"))
+    keys = (shapes.select("p", F.posexplode("ks").alias("i", "k"))
             .groupBy("k").agg(F.min(F.struct("p", "i")).alias("first")))
     rows = keys.orderBy("first", "k").limit(MAX_VOCABULARY + 1).collect()
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"feed has more than {MAX_VOCABULARY} distinct column names")
+    if with_index:          # key -> its position in the first record that has it
+        return [r["k"] for r in rows], {r["k"]: int(r["first"]["i"]) for r in rows}
     return [r["k"] for r in rows]
 
 
 def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None = None,
             pos: str | None = "pos", on_fraction: str = "fail", require_flag: bool = False,
-            default_flag: str = FLAG_ADD, violations: bool = True) -> DataFrame:
+            default_flag: str = FLAG_ADD, violations: bool = True,
+            key_index: dict[str, int] | None = None) -> DataFrame:
     """Project a feed onto the target: present target columns (target order), typed,
     then ``flag``, then the order column, then ``_bad`` (columns whose present
     value cannot be stored in the declared type).
 
     ``rec`` names a map<string,string> column holding the records; when None the
-    feed's own columns are used.  All of it is one ``select``.
+    feed's own columns are used.  ``key_index`` gives, per raw key, its usual
+    position in a record: the key at that position is checked first (one
+    comparison), and the map is searched only when it differs, so wide records
+    do not pay a map scan per column.
     """
     if not plan.present and not plan.has_flag:
         raise ValueError(f"No valid columns after schema filtering for table={spec.name}")
@@ -112,7 +121,15 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
 
     def source(resolved: str) -> Column:
         raw = plan.raw_for(resolved)
-        return F.col(rec).getItem(raw) if rec is not None else qcol(raw)
+        if rec is None:
+            return qcol(raw)
+        m = F.col(rec)
+        if key_index is not None and raw in key_index:
+            i = F.lit(key_index[raw] + 1)
+            # try_element_at: a shorter record gives NULL, not an ANSI index error
+            return F.when(F.try_element_at(F.map_keys(m), i) == F.lit(raw),
+                          F.try_element_at(F.map_values(m), i)).otherwise(m.getItem(raw))
+        return m.getItem(raw)
 
     src_types = {} if rec is not None else {f.name: f.dataType for f in df.schema.fields}
     # Three projections, each value computed once: (1) cleaned text, (2) text

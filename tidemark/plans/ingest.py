@@ -25,10 +25,12 @@ def records_input(records: DataFrame, spec: TableSpec, on_fraction: str = "fail"
     """Parsed records (pos, rec map) -> conformed merge input.  The key vocabulary
     is computed with one small aggregate unless given (re-parsing the text is
     cheaper than caching map-typed rows)."""
-    vocab = vocabulary if vocabulary is not None else record_vocabulary(records)
-    plan = resolve_columns(vocab, spec)
+    index = None
+    if vocabulary is None:
+        vocabulary, index = record_vocabulary(records, with_index=True)
+    plan = resolve_columns(vocabulary, spec)
     typed = conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
-                    require_flag=require_flag)
+                    require_flag=require_flag, key_index=index)
     return MergeInput(typed, spec, plan.present), plan
 
 

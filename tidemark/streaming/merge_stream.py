@@ -28,8 +28,9 @@ def batch_input(batch: DataFrame, spec: TableSpec, order_col: str | None = None)
                                            F.monotonically_increasing_id().alias("row")).alias("pos"))
     feed = parse_lines(lines)
     records = feed.records
-    plan = resolve_columns(record_vocabulary(records), spec)
-    typed = conform(records, spec, plan, rec="rec", pos="pos")
+    vocab, index = record_vocabulary(records, with_index=True)
+    plan = resolve_columns(vocab, spec)
+    typed = conform(records, spec, plan, rec="rec", pos="pos", key_index=index)
     if order_col is not None:
         typed = typed.withColumn("pos", F.col(order_col))
     return MergeInput(typed, spec, plan.present)
