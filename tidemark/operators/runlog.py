@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import older_than
 from tidemark.operators.dedup import keep_last
-from tidemark.spec import (ABANDON_MESSAGE, DONE_STATUSES, STATUS_ABANDONED, STATUS_EMPTY,
-                           STATUS_FAILED, STATUS_STARTED, STATUS_SUCCESS, STATUS_VALIDATION_FAILED,
-                           SUCCEEDED_STATUSES)
+from tidemark.spec import (ABANDON_MESSAGE, DONE_STATUSES, STATUS_ABANDONED, STATUS_API_ERROR, STATUS_EMPTY,
+                           STATUS_FAILED, STATUS_NO_CONTENT, STATUS_STARTED, STATUS_SUCCESS,
+                           STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, SUCCEEDED_STATUSES)
 
 COUNTERS = ("rows_received", "rows_inserted", "rows_updated", "rows_deleted", "rows_unchanged", "rows_rejected")
 
@@ -32,10 +32,17 @@ def latest_runs(events: DataFrame, order: str = "seq") -> DataFrame:
     return keep_last(events, ["id"], order)
 
 
-def run_status(received, error=None, validation_error=None, http_status=None) -> Column:
-    """Status of a finished feed run from its counts and errors.  Transport
-    outcomes (no content, API error, empty response) arrive as statuses already."""
+def run_status(received, error=None, validation_error=None, http_status=None, table_found=None) -> Column:
+    """Status of a feed run, first match wins: TABLE_NOT_FOUND (no table for the
+    feed), NO_CONTENT (HTTP 204), API_ERROR (HTTP 403 / 404), FAILED (an error),
+    VALIDATION_FAILED, EMPTY (no rows received), else SUCCESS.  Arguments name
+    columns; transport outcomes arrive as data (``http_status``)."""
     st = F.when(F.lit(False), F.lit(None))
+    if table_found is not None:
+        st = st.when(~F.col(table_found), STATUS_TABLE_NOT_FOUND)
+    if http_status is not None:
+        h = F.col(http_status)
+        st = st.when(h == 204, STATUS_NO_CONTENT).when(h.isin(403, 404), STATUS_API_ERROR)
     if error is not None:
         st = st.when(F.col(error).isNotNull(), STATUS_FAILED)
     if validation_error is not None:

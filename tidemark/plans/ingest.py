@@ -124,16 +124,18 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
     missing = pk_missing(mi.spec, [c for c in mi.feed.columns])
     if missing:
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
-    if mi.feed.isEmpty():                 # stops at the first row; an empty feed never touches the target
-        return IngestResult(STATUS_EMPTY)
     touched = None
     if incremental not in ("auto", "always", "never"):
         raise ValueError("incremental must be 'auto', 'always' or 'never'")
     if incremental != "never" and store.current_version() is not None:
         touched = touched_buckets(mi, store)
+        if not touched and mi.feed.isEmpty():
+            return IngestResult(STATUS_EMPTY)      # an empty feed never touches the target
         if incremental == "auto" and (len(touched) > max_touched_fraction * store.buckets
                                       or store.live_versions() >= store.max_live_versions):
             touched = None                # broad change or scattered versions: full rewrite (compacts)
+    elif mi.feed.isEmpty():                          # stops at the first row
+        return IngestResult(STATUS_EMPTY)
     target = store.read() if touched is None else store.read_buckets(touched)
     classified = M.merge(target, mi, mode=mode, change_test=change_test, newer_than=newer_than,
                          ignore_unknown_flags_first=ignore_unknown_flags_first, counted=True)
@@ -233,7 +235,7 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
         else:
             feed = read_feed(spark, path, form=form)
             records = feed.records
-            vocab = record_vocabulary(records)
+            vocab, index = record_vocabulary(records, with_index=True)
             if not vocab:
                 result.update(status=STATUS_EMPTY)
             else:
@@ -243,8 +245,9 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
                     result.update(status=STATUS_VALIDATION_FAILED,
                                   error_message=f"{spec.name}: missing PK columns: {missing}")
                 else:
-                    mi, _ = records_input(records, spec, on_fraction=on_fraction,
-                                          require_flag=(mode == "bulk"), vocabulary=vocab)
+                    plan = resolve_columns(vocab, spec)
+                    mi = MergeInput(conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
+                                            require_flag=(mode == "bulk"), key_index=index), spec, plan.present)
                     res = apply_feed(mi, store, mode=mode)
                     row = res.as_row()
                     result.update(status=res.status, rows_received=res.received, processed_rows=res.processed,
