@@ -5,14 +5,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.coerce import coerce, is_fractional
+from tidemark.functions.names import period_year
+from tidemark.functions.text import blank_to_null, clean_text
+from tidemark.operators import manifest as MF
 from tidemark.operators import merge as M
+from tidemark.operators import runlog as RL
 from tidemark.operators.dedup import keep_last
-from tidemark.operators.quality import rejected_keys, split_rejects
+from tidemark.operators.normalize import observed_columns, record_vocabulary, resolve_columns
+from tidemark.operators.quality import (audit_structure, expected_columns, rejected_keys, split_rejects,
+                                        validate)
+from tidemark.plans import bulk as B
 from tidemark.plans import fixtures as FX
-from tidemark.plans.ingest import frame_input
-from tidemark.spec import TableSpec
+from tidemark.plans.ingest import apply_feed, frame_input, records_input
+from tidemark.session import scratch_path
+from tidemark.sources.feeds import classify_lines, of_kind, parse_documents, parse_lines
+from tidemark.sources.store import SnapshotStore
+from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, TableSpec, feed_groups_rows
+from tidemark.streaming.merge_stream import read_batch_log, stream_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -264,14 +276,6 @@ def q_flag_default(spark, sf):
 
 # --------------------------------------------------------------------------- readers: payload lines on customer
 
-from tidemark.operators import manifest as MF  # noqa: E402
-from tidemark.operators import runlog as RL  # noqa: E402
-from tidemark.operators.normalize import observed_columns  # noqa: E402
-from tidemark.operators.quality import audit_structure, expected_columns, validate  # noqa: E402
-from tidemark.functions.coerce import coerce, is_fractional  # noqa: E402
-from tidemark.functions.text import blank_to_null, clean_text  # noqa: E402
-from tidemark.plans.ingest import records_input  # noqa: E402
-from tidemark.sources.feeds import classify_lines, of_kind, parse_documents, parse_lines  # noqa: E402
 
 CUST_TYPED = "c_custkey, c_name, c_nationkey, c_acctbal, flag"
 _CUST_TYPED_SQL = f"SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'A' AS flag FROM customer"
@@ -384,15 +388,14 @@ def q_columns_missing(spark, sf):
     return _audit(spark, sf).select("table_name", F.explode("missing").alias("column_name"))
 
 
-_PHONE_SPEC = TableSpec.of("customer_by_phone", FX.T.StructType([
-    FX.T.StructField("c_phone", FX.T.StringType()), FX.T.StructField("c_custkey", FX.T.LongType()),
-    FX.T.StructField("c_name", FX.T.StringType())]), pk=["c_phone"])
+_PHONE_SPEC = TableSpec.of("customer_by_phone", T.StructType([
+    T.StructField("c_phone", T.StringType()), T.StructField("c_custkey", T.LongType()),
+    T.StructField("c_name", T.StringType())]), pk=["c_phone"])
 
 
 @register("validate_feed", """SELECT DISTINCT 'error' AS level,
   'customer_by_phone: missing PK columns: [''c_phone'']' AS message FROM customer""")
 def q_validate_feed(spark, sf):
-    from tidemark.operators.normalize import record_vocabulary, resolve_columns
     feed = _cust_feed(spark, sf)
     plan = resolve_columns(record_vocabulary(feed.records), _PHONE_SPEC)
     return validate(spark, plan, _PHONE_SPEC)
@@ -434,7 +437,7 @@ _NUM = "TRY_CAST(trim(x) AS DOUBLE)"
 SELECT l_orderkey, l_linenumber, {_NUM} AS x_num FROM x""")
 def q_coerce_number(spark, sf):
     t = FX.lineitem_text(spark, sf)
-    v, _ = coerce("x", __import__("pyspark.sql.types", fromlist=["DoubleType"]).DoubleType())
+    v, _ = coerce("x", T.DoubleType())
     return t.select("l_orderkey", "l_linenumber", v.alias("x_num"))
 
 
@@ -443,7 +446,6 @@ SELECT l_orderkey, l_linenumber,
        CASE WHEN {_NUM} = floor({_NUM}) THEN CAST({_NUM} AS BIGINT) END AS x_int,
        COALESCE({_NUM} <> floor({_NUM}), false) AS fractional FROM x""")
 def q_coerce_int(spark, sf):
-    from pyspark.sql import types as T
     t = FX.lineitem_text(spark, sf)
     v, _ = coerce("x", T.LongType(), on_fraction="null")
     return t.select("l_orderkey", "l_linenumber", v.alias("x_int"), is_fractional("x").alias("fractional"))
@@ -455,7 +457,6 @@ SELECT CAST(COUNT(*) AS BIGINT) AS rows_total,
        CAST(COUNT({_NUM}) AS BIGINT) AS numeric,
        CAST(COUNT(*) FILTER (WHERE {_NUM} <> floor({_NUM})) AS BIGINT) AS fractional FROM x""")
 def q_agg_coerce_counts(spark, sf):
-    from pyspark.sql import types as T
     t = FX.lineitem_text(spark, sf)
     vi, bad = coerce("x", T.LongType(), on_fraction="fail")
     vd, _ = coerce("x", T.DoubleType())
@@ -469,7 +470,6 @@ def q_agg_coerce_counts(spark, sf):
 SELECT l_orderkey, l_linenumber, TRY_CAST(ts_text AS TIMESTAMP) AS ts,
        TRY_CAST(ts_text AS TIMESTAMP) IS NULL AS bad FROM y""")
 def q_coerce_timestamp(spark, sf):
-    from pyspark.sql import types as T
     t = FX.lineitem_text(spark, sf)
     txt = F.when(F.col("l_orderkey") % 17 == 0, F.lit("not a date")).otherwise(F.col("l_shipdate").cast("string"))
     v, bad = coerce(txt, T.TimestampNTZType())
@@ -478,7 +478,6 @@ def q_coerce_timestamp(spark, sf):
 
 @register("check_length", "SELECT p_partkey, length(p_name) > 30 AS too_long FROM part")
 def q_check_length(spark, sf):
-    from pyspark.sql import types as T
     p = FX.table(spark, sf, "part")
     _, bad = coerce("p_name", T.StringType(), max_len=30)
     return p.select("p_partkey", F.coalesce(bad, F.lit(False)).alias("too_long"))
@@ -600,7 +599,6 @@ def q_agg_manifest_counts(spark, sf):
 
 
 def _manifest_after_replace(spark, sf):
-    from tidemark.functions.names import period_year
     listing, manifest = FX.report_listing(spark, sf), FX.report_manifest(spark, sf)
     new = MF.new_files(listing, manifest)
     recs = MF.records_for(new, MF.local_location(period_year("year_end"), F.col("file_name")),
@@ -635,7 +633,6 @@ def q_manifest_pending(spark, sf):
 SELECT fincode, report_type, year_end, 'blob://' || substr(CAST(year_end AS VARCHAR), 1, 4) || '/' || file_name AS azure_blob_url,
        'SUCCESS' AS status FROM parsed WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0 OR doc_id % 3 = 0""")
 def q_update_location(spark, sf):
-    from tidemark.functions.names import period_year
     state = _manifest_after_replace(spark, sf)
     moved = MF.pending(state).select(
         "fincode", "report_type", "year_end",
@@ -648,11 +645,6 @@ def q_update_location(spark, sf):
 
 # --------------------------------------------------------------------------- F6 + store: streaming and snapshots
 
-from tidemark.session import scratch_path  # noqa: E402
-from tidemark.sources.store import SnapshotStore  # noqa: E402
-from tidemark.streaming.merge_stream import read_batch_log, stream_merge  # noqa: E402
-from tidemark.plans.ingest import apply_feed  # noqa: E402
-
 
 def _run_event_stream(spark, sf, files=4):
     root = scratch_path(spark, "event-stream")
@@ -708,8 +700,6 @@ def q_sink_snapshot(spark, sf):
 
 # --------------------------------------------------------------------------- bulk files: lookup, pairs, report
 
-from tidemark.plans import bulk as B  # noqa: E402
-from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, feed_groups_rows  # noqa: E402
 
 _STEMS = [f for f, _ in feed_groups_rows()] + ["digital_reports", "Unknown_feed"]
 
