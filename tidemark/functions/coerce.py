@@ -42,17 +42,21 @@ def to_double(s: Column) -> Column:
 
 def to_integral(s: Column, dtype: T.DataType, d: Column | None = None) -> tuple[Column, Column]:
     """Cleaned text -> integer type. Returns (value, violation).  ``d`` is the
-    text parsed as a double, when already computed."""
+    text parsed as a double, when already computed.  Plain integer text is read
+    exactly (``try_cast`` to bigint, so values above 2**53 keep every digit);
+    other numbers go through the double and must be whole and in range."""
     name = dtype.simpleString()
     lo, hi = _INT_RANGES[name]
-    exact = F.when(s.rlike(INTEGER_RE), s.try_cast("decimal(38,0)"))
     d = to_double(s) if d is None else d
-    integral_d = d.isNotNull() & (d == F.floor(d)) & (F.abs(d) != F.lit(float("inf")))
-    whole = F.coalesce(exact, F.when(integral_d, d.cast("decimal(38,0)")))
-    in_range = whole.between(F.lit(lo).cast("decimal(38,0)"), F.lit(hi).cast("decimal(38,0)"))
-    value = F.when(in_range, whole.cast(name)).cast(dtype)
-    violation = d.isNotNull() & ~F.coalesce(in_range, F.lit(False))
-    return value, violation
+    exact = s.try_cast("bigint")
+    whole_d = F.when((d == F.floor(d)) & (d >= F.lit(float(lo))) & (d < F.lit(float(hi) + 1.0)), d)
+    wide = F.coalesce(exact, whole_d.cast("bigint"))
+    if name == "bigint":
+        value = wide
+    else:
+        value = F.when(wide.between(lo, hi), wide.cast(name))
+    violation = d.isNotNull() & value.isNull()
+    return value.cast(dtype), violation
 
 
 def to_decimal(s: Column, dtype: T.DecimalType) -> tuple[Column, Column]:
@@ -121,6 +125,22 @@ def coerce(c, dtype: T.DataType, on_fraction: str = "fail", max_len: int | None
     return value, violation
 
 
+def violation_of(dtype: T.DataType, s: Column, d: Column | None, v: Column, on_fraction: str = "fail",
+                 max_len: int | None = None) -> Column | None:
+    """The violation of :func:`coerce` from already computed columns: cleaned
+    text ``s``, its double ``d`` and the converted value ``v`` (cheap references,
+    so a wide conversion does not repeat each value's expression)."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return None if on_fraction == "null" else (d.isNotNull() & v.isNull())
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return None
+    if isinstance(dtype, T.DecimalType):
+        return F.coalesce(s.rlike(NUMBER_RE), F.lit(False)) & v.isNull()
+    if isinstance(dtype, T.StringType):
+        return None if max_len is None else F.coalesce(F.char_length(v) > F.lit(max_len), F.lit(False))
+    return s.isNotNull() & v.isNull()          # timestamps, dates, booleans
+
+
 def is_fractional(c) -> Column:
     """Text that is a number but not a whole one (would fail an integer column)."""
     s = clean_text(F.col(c) if isinstance(c, str) else c)

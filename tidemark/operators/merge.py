@@ -72,11 +72,22 @@ class MergeInput:
 def winners(mi: MergeInput, ignore_unknown_flags_first: bool = False) -> DataFrame:
     """Reject NULL keys, then keep the last row per key (all flags compete, so a
     last row with an unknown flag hides an earlier good one, unless
-    ``ignore_unknown_flags_first``)."""
-    accepted, _ = split_rejects(mi.feed, mi.keys)
+    ``ignore_unknown_flags_first``).
+
+    NULL-key rows are grouped like any other key (collapsed map-side) and their
+    groups dropped after the aggregation, through an aggregate column: a filter
+    on the key before it would be pushed into the conversion projections by
+    inlining them."""
+    f = mi.feed
+    rest = [c for c in f.columns if c not in mi.keys and c != "_bad"]
+    order = F.col("pos")
     if ignore_unknown_flags_first:
-        accepted = accepted.where(F.col("flag").isin(FLAG_DELETE, *UPSERT_FLAGS))
-    return keep_last(accepted.drop("_bad") if "_bad" in accepted.columns else accepted, mi.keys, "pos")
+        order = F.when(F.col("flag").isin(FLAG_DELETE, *UPSERT_FLAGS), order)
+    agg = (f.groupBy(*[qcol(k) for k in mi.keys])
+             .agg(F.max_by(F.struct(*[qcol(c) for c in rest]), order).alias("_w"),
+                  F.max(has_null_key(mi.keys)).alias("_nk")))
+    agg = agg.where(~F.col("_nk") & F.col("_w").isNotNull())
+    return agg.select(*[qcol(k) for k in mi.keys], *[F.col("_w").getField(c).alias(c) for c in rest])
 
 
 def _feed_counts(f: DataFrame) -> list[Column]:

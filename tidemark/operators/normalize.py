@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.coerce import coerce, needs_double, to_double
+from tidemark.functions.coerce import coerce, needs_double, to_double, violation_of
 from tidemark.functions.text import clean_text, flag_normalize
 from tidemark.spec import FLAG_ADD, TableSpec, norm_name
 
@@ -132,10 +132,12 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
         return m.getItem(raw)
 
     src_types = {} if rec is not None else {f.name: f.dataType for f in df.schema.fields}
-    # Three projections, each value computed once: (1) cleaned text, (2) text
-    # parsed as a number, (3) declared type + violation.  Spark keeps them apart
-    # because each later stage uses an earlier column several times.
-    stage1, stage2, final, bad = [], [], [], []
+    # Four projections, each value computed once: (1) cleaned text, (2) text
+    # parsed as a number, (3) declared type, (4) violations from the columns of
+    # (1)-(3).  Spark keeps them apart because later stages use earlier columns
+    # several times, which keeps the generated code of wide feeds small.
+    stage1, stage2, stage3, bad = [], [], [], []
+    carry = []
     for i, c in enumerate(plan.present):
         if c == "flag":
             continue
@@ -145,12 +147,12 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
             if dtype.simpleString() == "string":
                 stage1.append(clean_text(source(c)).alias(f"_v{i}"))
                 if c in spec.lengths:
-                    bad.append(F.when(F.coalesce(F.char_length(F.col(f"_v{i}")) > F.lit(spec.lengths[c]),
+                    bad.append(F.when(F.coalesce(F.char_length(F.col(c)) > F.lit(spec.lengths[c]),
                                                  F.lit(False)), F.lit(c)))
             else:
                 stage1.append(source(c).alias(f"_v{i}"))
             stage2.append(F.col(f"_v{i}"))
-            final.append(F.col(f"_v{i}").alias(c))
+            stage3.append(F.col(f"_v{i}").alias(c))
             continue
         stage1.append(clean_text(source(c).cast("string")).alias(f"_s{i}"))
         stage2.append(F.col(f"_s{i}"))
@@ -158,18 +160,23 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
         if needs_double(dtype):
             stage2.append(to_double(F.col(f"_s{i}")).alias(f"_d{i}"))
             d = F.col(f"_d{i}")
-        value, violation = coerce(F.col(f"_s{i}"), dtype, on_fraction, spec.lengths.get(c), cleaned=True, d=d)
-        final.append(value.alias(c))
+        value, _ = coerce(F.col(f"_s{i}"), dtype, on_fraction, None, cleaned=True, d=d)
+        stage3.append(value.alias(c))
+        violation = violation_of(dtype, F.col(f"_s{i}"), d, F.col(c), on_fraction, spec.lengths.get(c))
         if violation is not None:
+            carry += [f"_s{i}"] + ([f"_d{i}"] if d is not None else [])
             bad.append(F.when(violation, F.lit(c)))
     flag = flag_normalize(source("flag")) if plan.has_flag else F.lit(default_flag)
     keep = [flag.alias("flag")] + ([F.col(pos).alias("pos")] if pos is not None else [])
+    tail = ["flag"] + (["pos"] if pos is not None else [])
     s1 = df.select(*stage1, *keep)
-    s2 = s1.select(*stage2, "flag", *(["pos"] if pos is not None else []))
-    out = final + [F.col("flag")] + ([F.col("pos")] if pos is not None else [])
+    s2 = s1.select(*stage2, *tail)
+    s3 = s2.select(*stage3, *tail, *[F.col(x) for x in dict.fromkeys(carry)])
+    out = [F.col(f.name) for f in s3.schema.fields if f.name in [c for c in plan.present if c != "flag"]]
+    out += [F.col("flag")] + ([F.col("pos")] if pos is not None else [])
     if violations:
         out.append((F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")).alias("_bad"))
-    return s2.select(*out)
+    return s3.select(*out)
 
 
 def normalize_frame(df: DataFrame) -> DataFrame:

@@ -100,9 +100,11 @@ class IngestResult:
 def touched_buckets(mi: MergeInput, store) -> set[int]:
     """Bucket ids of the feed's (non-NULL) keys: one narrow pass over the key
     columns, combined map-side; at most ``store.buckets`` values reach the driver."""
-    rows = (mi.feed.where(~M.has_null_key(mi.keys)).select(store.bucket_of().alias("b"))
-            .distinct().collect())
-    return {int(r["b"]) for r in rows}
+    # A projection, not a filter: a filter on the key would be pushed below the
+    # conversion projections by inlining them into one oversized expression.
+    b = F.when(~M.has_null_key(mi.keys), store.bucket_of())
+    rows = mi.feed.select(b.alias("b")).distinct().collect()
+    return {int(r["b"]) for r in rows if r["b"] is not None}
 
 
 def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = True,
