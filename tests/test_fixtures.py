@@ -66,6 +66,6 @@ def test_f6_stream_final_state(spark):
 
 
 def test_f6_state_independent_of_file_count(spark):
-    a, _ = C._run_event_stream(spark, SF["0.001"], files=2)
-    b, _ = C._run_event_stream(spark, SF["0.001"], files=7)
+    a, _ = C._run_event_stream(spark, SF["0.001"], files=2, reuse=False)
+    b, _ = C._run_event_stream(spark, SF["0.001"], files=7, reuse=False)
     assert sorted(a.read().collect()) == sorted(b.read().collect())
