@@ -58,6 +58,10 @@ def _wrapped(x: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>", _JSON_OPTS)
 
 
+def _drop_trailing_comma(t: Column) -> Column:
+    return F.when(t.endswith(","), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)
+
+
 def _strip_wrappers(t: Column) -> Column:
     s = strip(F.regexp_replace(t, r",$", ""))
     s = F.regexp_replace(s, "^" + re.escape(ENVELOPE_PREFIX), "")
@@ -67,9 +71,9 @@ def _strip_wrappers(t: Column) -> Column:
 
 
 def _mentions_status(text: Column) -> Column:
-    """Cheap pre-check on the raw text: a status envelope has a message or error key."""
-    low = F.lower(text)
-    return (F.instr(low, "message") > 0) | (F.instr(low, "error") > 0)
+    """Cheap pre-check on the raw text: a status envelope carries one of the keys
+    Message, message, Error, error, so the text holds "essage" or "rror"."""
+    return (F.instr(text, "essage") > 0) | (F.instr(text, "rror") > 0)
 
 
 def _rows_of(cand: Column, ok: Column) -> Column:
@@ -95,7 +99,7 @@ def classify_lines(lines: DataFrame, value: str = "value", pos: str = "pos") ->
     s2 = s1.select("pos", "value", "_t",
                    ((t == "") | t.isin(*BRACKET_ONLY_LINES)).alias("_skip"),
                    (t.startswith(ENVELOPE_PREFIX) & t.endswith(ENVELOPE_SUFFIX)).alias("_is_env"),
-                   F.regexp_replace(t, r",$", "").alias("_a"))
+                   _drop_trailing_comma(t).alias("_a"))
     a = F.col("_a")
     s3 = s2.select("*", F.from_json(F.when(a.startswith("{"), F.concat(F.lit("["), a, F.lit("]"))),
                                     RECORDS, _JSON_OPTS).alias("_a_obj"))
