@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as _dt
+import uuid
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame, Observation, functions as F
+
+from tidemark.operators import merge as M
 from tidemark.operators.merge import MergeInput
 from tidemark.operators.normalize import ColumnPlan, conform, record_vocabulary, resolve_columns
-from tidemark.spec import TableSpec
+from tidemark.operators.quality import pk_missing
+from tidemark.spec import (STATUS_EMPTY, STATUS_FAILED, STATUS_STARTED, STATUS_SUCCESS,
+                           STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, TableSpec)
 
 
 def frame_input(df: DataFrame, spec: TableSpec, order: str, on_fraction: str = "fail",
@@ -35,26 +43,16 @@ def records_input(records: DataFrame, spec: TableSpec, on_fraction: str = "fail"
 
 
 def violations_summary(mi: MergeInput) -> DataFrame:
-    """One row: rows with a value the declared type cannot hold, and which columns."""
+    """One row: rows holding a value the declared type cannot store, then the
+    count of such rows per column (one aggregate; no per-row lists kept)."""
     bad = F.col("_bad")
+    cols = [c for c in mi.present if c != "flag"]
     return mi.feed.agg(F.count_if(F.size(bad) > 0).alias("bad_rows"),
-                       F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(F.size(bad) > 0, bad)))))
-                       .alias("bad_columns"))
+                       *[F.count_if(F.array_contains(bad, c)).alias(c) for c in cols])
 
 
 # --------------------------------------------------------------------------- end to end
 
-import uuid  # noqa: E402
-from contextlib import contextmanager  # noqa: E402
-from dataclasses import dataclass, field  # noqa: E402
-
-from pyspark.sql import Observation  # noqa: E402
-
-from tidemark.operators import merge as M  # noqa: E402
-from tidemark.operators.quality import pk_missing  # noqa: E402
-from tidemark.spec import (STATUS_EMPTY, STATUS_FAILED, STATUS_SUCCESS,  # noqa: E402
-                           STATUS_VALIDATION_FAILED)
-
 
 @contextmanager
 def shuffle_partitions(spark, n: int):
@@ -174,9 +172,6 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
 
 # --------------------------------------------------------------------------- one feed, one run
 
-import datetime as _dt  # noqa: E402
-
-from tidemark.spec import STATUS_STARTED, STATUS_TABLE_NOT_FOUND  # noqa: E402
 
 RUN_EVENT_SCHEMA = ("id long, feed_name string, requested_date date, status string, http_status int, "
                     "rows_received long, processed_rows long, rows_inserted long, rows_updated long, "
@@ -221,7 +216,6 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
 
     Statuses: SUCCESS, EMPTY (no records), VALIDATION_FAILED (key columns missing),
     TABLE_NOT_FOUND (no spec), FAILED (unstorable values, or an error)."""
-    from tidemark.operators.normalize import record_vocabulary, resolve_columns
     from tidemark.sources.feeds import read_feed
     now = now or _dt.datetime.now()
     feed_name = feed_name or (spec.name if spec is not None else "unknown")
