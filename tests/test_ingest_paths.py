@@ -49,3 +49,27 @@ def test_version_guard(spark):
     assert acts == {1: "stale", 2: "update"}
     state = {r["k"]: r["o_custkey"] for r in M.next_state(c, mi).collect()}
     assert state == {1: 1, 2: 5}
+
+
+def test_bulk_load_from_folder(spark, tmp_dir):
+    from tidemark.plans import bulk as B
+    d = os.path.join(tmp_dir, "feeds")
+    os.makedirs(d)
+    _write(os.path.join(d, "ORDERS_CDC.txt"),
+           '{"Table": [{"K": 1, "o_custkey": 7, "Flag": "a"}, {"K": 2, "o_custkey": 8, "Flag": "A"},'
+           ' {"K": 2, "Flag": "D"}, {"K": 3, "o_custkey": 9, "Flag": "A", "junk": 1}]}')
+    _write(os.path.join(d, "customer_feed.txt"), '{"Table": [{"c_custkey": 1}')        # broken
+    _write(os.path.join(d, "notes.txt"), "hello")
+    _write(os.path.join(d, "orders_cdc.json"), "{}")                                    # not a .txt
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC, buckets=4)
+    files = B.feed_dir_files(spark, d, {"orders_cdc": FX.ORDERS_SPEC, "customer_feed": FX.CUSTOMER_SPEC},
+                             stores={"orders_cdc": store})
+    rep = {r["file"]: r for r in B.load_files(spark, files).collect()}
+    assert set(rep) == {"ORDERS_CDC.txt", "customer_feed.txt", "notes.txt"}
+    o = rep["ORDERS_CDC.txt"]
+    assert (o["structure"], o["load"], o["rows_loaded"]) == ("MISMATCH", "PASS", 4)
+    assert "extra_json=['junk']" in o["notes"]
+    assert rep["customer_feed.txt"]["structure"] == "PARSE ERROR"
+    assert rep["notes.txt"]["table_name"] == "NOT FOUND"
+    # bulk semantics in the snapshot: key 2 deleted first, then its A row inserted
+    assert {r["k"]: r["o_custkey"] for r in store.read().collect()} == {1: 7, 2: 8, 3: 9}

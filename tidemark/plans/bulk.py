@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import base_name, stem
 from tidemark.operators import merge as M
-from tidemark.operators.normalize import resolve_columns
-from tidemark.plans.ingest import frame_input
+from tidemark.operators.merge import MergeInput
+from tidemark.operators.normalize import conform, record_vocabulary, resolve_columns
+from tidemark.plans.ingest import apply_feed, frame_input
+from tidemark.sources.feeds import of_kind, read_feed
+from tidemark.sources.listing import list_files
 from tidemark.spec import (CONSOLIDATED_PAIRS, LOAD_ERROR_TEXT_LIMIT, PRIMARY_KEYS, TableSpec)
 
 REPORT_SCHEMA = "file string, table_name string, structure string, load string, rows_loaded long, notes string"
@@ -30,7 +33,7 @@ def catalogue(spark: SparkSession, names=None) -> DataFrame:
 def lookup_tables(listing: DataFrame, tables: DataFrame, path: str = "path") -> DataFrame:
     """Feed files -> their table by case-insensitive file stem (NULL: no table).
     The catalogue is a few dozen rows, so it is broadcast."""
-    files = listing.select("*", base_name(path).alias("file_name"))
+    files = listing if "file_name" in listing.columns else listing.select("*", base_name(path).alias("file_name"))
     files = files.select("*", F.lower(stem("file_name")).alias("_stem"))
     return (files.join(F.broadcast(tables), files["_stem"] == tables["table_key"], "left")
             .drop("_stem", "table_key"))
@@ -58,6 +61,8 @@ class FeedFile:
     frame: DataFrame | None = None    # parsed rows (vendor column names) + order column
     order: str = "pos"
     parse_error: str | None = None
+    records: DataFrame | None = None  # or parsed records (pos, rec map) from a file
+    store: object | None = None       # when given, the file is merged into this snapshot
 
 
 def load_files(spark: SparkSession, files: list[FeedFile]) -> DataFrame:
@@ -71,7 +76,11 @@ def load_files(spark: SparkSession, files: list[FeedFile]) -> DataFrame:
         if f.parse_error is not None:
             rows.append((f.file, f.spec.name, "PARSE ERROR", "SKIP", 0, f.parse_error[:180]))
             continue
-        raw = [c for c in f.frame.columns if c != f.order]
+        index = None
+        if f.records is not None:
+            raw, index = record_vocabulary(f.records, with_index=True)
+        else:
+            raw = [c for c in f.frame.columns if c != f.order]
         plan = resolve_columns(raw, f.spec)
         notes = []
         structure = "MATCH"
@@ -82,13 +91,21 @@ def load_files(spark: SparkSession, files: list[FeedFile]) -> DataFrame:
             structure = "MISMATCH"
             notes.append(f"missing_json={plan.missing}")
         try:
-            mi, _ = frame_input(f.frame, f.spec, f.order, require_flag=True)
+            if f.records is not None:
+                mi = MergeInput(conform(f.records, f.spec, plan, rec="rec", pos="pos", require_flag=True,
+                                        key_index=index), f.spec, plan.present)
+            else:
+                mi, _ = frame_input(f.frame, f.spec, f.order, require_flag=True)
             counts = M.bulk_summary(mi).first()
             if counts["null_key_upserts"]:
                 raise ValueError(f"NULL primary key in {counts['null_key_upserts']} add/update rows")
             bad = mi.feed.where(F.size("_bad") > 0).limit(1).count()
             if bad:
                 raise ValueError("values the declared types cannot store")
+            if f.store is not None:
+                res = apply_feed(mi, f.store, mode="bulk")
+                if res.status not in ("SUCCESS", "EMPTY"):
+                    raise ValueError(res.error or res.status)
             rows.append((f.file, f.spec.name, structure, "PASS", int(counts["rows_loaded"]), " | ".join(notes)))
         except ValueError as e:
             notes.append(str(e).split("\n")[0][:LOAD_ERROR_TEXT_LIMIT])
@@ -96,6 +113,30 @@ def load_files(spark: SparkSession, files: list[FeedFile]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def feed_dir_files(spark: SparkSession, folder: str, specs: dict[str, TableSpec],
+                   stores: dict | None = None) -> list[FeedFile]:
+    """The ``.txt`` files of a folder, each matched to a table by its name
+    (case-insensitive) and read as one ``{"Table": [...]}`` document.  A file
+    that is not such a document is a parse error.  One entry per file: the
+    file list is what the driver holds, never file content."""
+    keyed = {k.lower(): v for k, v in specs.items()}
+    listing = lookup_tables(list_files(spark, folder, glob="*.txt", recursive=False),
+                            catalogue(spark, list(keyed)))
+    out = []
+    for r in listing.select("path", "file_name", "table_name").orderBy("file_name").collect():
+        spec = keyed.get(r["table_name"]) if r["table_name"] else None
+        if spec is None:
+            out.append(FeedFile(r["file_name"], None))
+            continue
+        feed = read_feed(spark, r["path"], form="document", strict=True)
+        if not of_kind(feed.lines, "malformed").isEmpty():
+            out.append(FeedFile(r["file_name"], spec, parse_error="JSON missing valid 'Table' array"))
+            continue
+        out.append(FeedFile(r["file_name"], spec, records=feed.records,
+                            store=(stores or {}).get(r["table_name"])))
+    return out
+
+
 def load_summary(report: DataFrame) -> DataFrame:
     """Structure warnings (files with extra columns), load pass and fail counts."""
     return report.agg(
