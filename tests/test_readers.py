@@ -107,3 +107,27 @@ def test_conform_with_varying_key_order(spark):
     mi, _ = records_input(parse_lines(lines).records, spec)
     got = {r["k"]: (r["a"], r["b"]) for r in mi.feed.collect()}
     assert got == {1: ("x", 2), 2: ("y", 3), 3: ("z", None), 4: ("w", 5)}
+
+
+def test_last_wins_across_file_splits(spark, tmp_dir):
+    """One file read as many splits: arrival order (file, block start, row id) still
+    puts later lines after earlier ones, so keep-last picks the last line."""
+    from pyspark.sql import types as T
+    from tidemark.operators.merge import winners
+    from tidemark.plans.ingest import records_input
+    from tidemark.spec import TableSpec
+    p = os.path.join(tmp_dir, "big.txt")
+    with open(p, "w") as f:
+        for i in range(6000):
+            f.write('{"k": "%d", "v": "%d", "flag": "A"}\n' % (i % 7, i))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        feed = read_feed(spark, p, form="lines")
+        assert feed.lines.rdd.getNumPartitions() > 10
+        spec = TableSpec.of("t", T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.LongType()),
+                                               T.StructField("flag", T.StringType())]), pk=["k"])
+        mi, _ = records_input(feed.records, spec)
+        got = {r["k"]: r["v"] for r in winners(mi).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {k: max(i for i in range(6000) if i % 7 == k) for k in range(7)}
