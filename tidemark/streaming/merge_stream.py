@@ -20,15 +20,20 @@ from tidemark.sources.store import SnapshotStore
 from tidemark.spec import TableSpec
 
 
-def batch_input(batch: DataFrame, spec: TableSpec, order_col: str | None = None) -> MergeInput:
+def batch_input(batch: DataFrame, spec: TableSpec, order_col: str | None = None,
+                vocabulary: list[str] | None = None) -> MergeInput:
     """One micro-batch of text lines -> conformed merge input.  Arrival order is
     the feed's own ``order_col`` when given (files of one batch carry no order
-    among themselves), else the line position."""
-    lines = batch.select("value", F.struct(F.col("_file").alias("file"),
+    among themselves), else the line position (file, split offset, row).
+    ``vocabulary`` (the record keys, in their usual order) skips the per-batch
+    key pass when the feed's shape is known."""
+    lines = batch.select("value", F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
                                            F.monotonically_increasing_id().alias("row")).alias("pos"))
-    feed = parse_lines(lines)
-    records = feed.records
-    vocab, index = record_vocabulary(records, with_index=True)
+    records = parse_lines(lines).records
+    if vocabulary is None:
+        vocab, index = record_vocabulary(records, with_index=True)
+    else:
+        vocab, index = list(vocabulary), {k: i for i, k in enumerate(vocabulary)}
     plan = resolve_columns(vocab, spec)
     typed = conform(records, spec, plan, rec="rec", pos="pos", key_index=index)
     if order_col is not None:
@@ -38,16 +43,18 @@ def batch_input(batch: DataFrame, spec: TableSpec, order_col: str | None = None)
 
 def stream_merge(spark: SparkSession, source_dir: str, spec: TableSpec, store: SnapshotStore,
                  checkpoint: str, log_dir: str | None = None, order_col: str | None = None,
-                 newer_than: str | None = None, files_per_trigger: int = 1, feed_name: str | None = None):
+                 newer_than: str | None = None, files_per_trigger: int = 1, feed_name: str | None = None,
+                 vocabulary: list[str] | None = None):
     """Run the stream until the files present now are processed (availableNow)."""
     src = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
-           .load(source_dir).select("value", F.col("_metadata.file_path").alias("_file")))
+           .load(source_dir).select("value", F.col("_metadata.file_path").alias("_file"),
+                                    F.col("_metadata.file_block_start").alias("_block")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         done = store.last_batch_id()
         if done is not None and batch_id <= done:
             return                                   # replay of a committed batch
-        mi = batch_input(batch, spec, order_col)
+        mi = batch_input(batch, spec, order_col, vocabulary)
         res = apply_feed(mi, store, batch_id=batch_id, newer_than=newer_than)
         if log_dir is not None:
             row = res.as_row()
