@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from tests.oracle import compare, duck
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: f for k, f in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLE = {k: q for k, q in E.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
