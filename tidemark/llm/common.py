@@ -173,3 +173,11 @@ def within_rows(first: np.ndarray, total: int, k: int) -> np.ndarray:
     for f in first[1:-1]:
         ok[max(0, f - k + 1):f] = False
     return ok
+
+
+def span_hashes(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of each run words[a:b], whatever its length, by differences of a running polynomial."""
+    up, down = _powers(len(words) + 1)
+    run = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[:len(words)], out=run[1:])
+    return mix((run[b] - run[a]) * down[a] + (b - a).astype(np.uint64))
