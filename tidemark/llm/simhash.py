@@ -1,7 +1,7 @@
 """SimHash near-dedup with BK-trees.
 
 1. Each text becomes a 64-bit fingerprint of its word shingles (one Arrow pass).
-2. Equal fingerprints are one node: its smallest id, over partial aggregates.
+2. Equal fingerprints are one node, over partial aggregates.
 3. Two fingerprints within ``radius`` bits agree on at least one of ``radius + 1``
    disjoint bit blocks, so a *shard* -- all fingerprints with the same value in the
    same block -- holds both ends of every link.  Each shard is a BK-tree: children
@@ -17,8 +17,8 @@ The trees travel inside the tasks that hold the shard instead of a broadcast fro
 the driver: a broadcast would grow with the corpus.
 
 Cases: null and empty texts have no shingle and fingerprint zero, linked like any
-other; rows with the same id share no identity beyond it; a null id is the largest;
-an empty table gives an empty result; other columns are not read.
+other; rows with the same id are rows of their own; a null id is the largest; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -90,14 +90,17 @@ def fingerprints_of(data: np.ndarray, offs: np.ndarray, shingle: int = SHINGLE)
     return _majority(hashes, counts)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",
+                 text_key: bool = False) -> DataFrame:
+    """doc_id, fp (the fingerprint's 64 bits as a signed long), and a hash of the text if asked for."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_slices(batches, 1):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprints_of(data, offs, shingle).view(np.int64))], ["doc_id", "fp"])
+        for part, data, offs in text_slices(batches, 0):
+            fp = pa.array(fingerprints_of(data, offs, shingle).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*part.columns[1:], fp], [*part.schema.names[1:], "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, fp long")
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"),
+                       *[F.xxhash64(F.col(text_col).cast("string")).alias("text_key")] * text_key)
+    return rows.mapInArrow(work, "doc_id long, " + "text_key long, " * text_key + "fp long")
 
 
 def _blocks(free: list[int], n: int) -> list[list[int]]:
@@ -240,19 +243,48 @@ def links(nodes: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> D
     return placed.select("kind", "value", "fp", "id").mapInArrow(work, "a long, b long")
 
 
+def _marked(docs: DataFrame, shingle: int, id_col: str, text_col: str, text_key: bool = False) -> DataFrame:
+    rows = fingerprints(docs, shingle, id_col, text_col, text_key)
+    return stored(rows, "simhash_marks")
+
+
+def _roots(marks: DataFrame, radius: int, limit: int) -> DataFrame:
+    """fp, root: the smallest fingerprint of each fingerprint's component."""
+    nodes = stored(marks.select(F.col("fp").alias("id"), "fp").distinct(), "simhash_nodes")
+    edges = stored(links(nodes, radius, limit).distinct(), "simhash_edges")
+    return nodes.join(smallest_labels(edges), "id", "left").select("fp", F.coalesce("label", "id").alias("root"))
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
                 text_col: str = "text", limit: int = SHARD_LIMIT) -> DataFrame:
     """doc_id, fp, component_id for every row of ``docs``."""
-    marks = stored(fingerprints(docs, shingle, id_col, text_col), "simhash_marks")
-    nodes = stored(marks.groupBy("fp").agg(F.min(F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("id")), "simhash_nodes")
-    edges = stored(links(nodes, radius, limit).distinct(), "simhash_edges")
-    labels = smallest_labels(edges)
-    top = nodes.join(labels, "id", "left").select("fp", F.coalesce("label", "id").alias("component_id"))
-    top = top.withColumn("component_id", F.when(F.col("component_id") != (1 << 63) - 1, F.col("component_id")))
+    marks = _marked(docs, shingle, id_col, text_col)
+    roots = stored(_roots(marks, radius, limit), "simhash_roots")
+    least = marks.groupBy("fp").agg(F.min("doc_id").alias("id")).join(roots, "fp")
+    group = least.groupBy("root").agg(F.min("id").alias("component_id"))
+    top = stored(roots.join(group, "root").select("fp", "component_id"), "simhash_groups")
     # a frequent fingerprint is a skewed key of this join; its partition is split at run time
     return marks.join(top, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_col: str = "doc_id",
+                text_col: str = "text", limit: int = SHARD_LIMIT) -> DataFrame:
+    """The rows of ``docs`` with one row of each group: that with the smallest id (null
+    last); all columns unchanged."""
+    marks = _marked(docs, shingle, id_col, text_col, text_key=True)
+    roots = _roots(marks, radius, limit)
+    alike = marks.groupBy("fp", "doc_id", "text_key").count().join(roots, "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("void"), "doc_id", "text_key")
+    best = alike.groupBy("root").agg(F.min(order).alias("least"), F.min_by("count", order).alias("rows"))
+    best = stored(best.select(F.col("least.doc_id").alias("best_id"), F.col("least.text_key").alias("best_key"), F.col("rows").alias("best_rows")), "simhash_best")
+    met = F.col("best_id").eqNullSafe(docs[id_col].cast("long")) & (F.col("best_key") == F.xxhash64(docs[text_col].cast("string")))
+    kept = docs.join(best.where("best_rows = 1"), met, "left_semi")
+    twice = best.where("best_rows > 1")
+    if not twice.isEmpty():  # one row of those alike in id and text
+        kept = kept.unionByName(docs.join(twice, met).dropDuplicates(["best_id", "best_key"]).select(*docs.columns))
+    return kept
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_groups(load(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

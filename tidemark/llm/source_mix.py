@@ -91,10 +91,10 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, max_epo
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               **options) -> DataFrame:
+               length_col: str | None = None, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them: whole copies, then one cut
     after the words still due.  All columns stay; only the text of a cut row changes
-    (its words, joined by one space).  A row without words stays once.  Rows alike in
+    (its words, joined by one space), and its length if a column for it is named.  A row without words stays once.  Rows alike in
     id, text and source share what was taken of them in equal parts, rounded down."""
     plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     plan = (plan.groupBy("doc_id", "text_key", "source")
@@ -110,7 +110,10 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = F.when(F.col("mix_size") == 0, F.array(F.lit(-1).cast("long"))).otherwise(copies)
     head = F.slice(F.regexp_extract_all(docs[text_col], F.lit(WORD), F.lit(0)), F.lit(1), F.col("mix_cut").cast("int"))
     text = F.when(F.col("mix_cut") < 0, docs[text_col]).otherwise(F.array_join(head, " "))
-    return met.withColumn("mix_cut", F.explode(copies)).select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
+    changed = {text_col: text}
+    if length_col:
+        changed[length_col] = F.when(F.col("mix_cut") < 0, docs[length_col]).otherwise(F.length(text))
+    return met.withColumn("mix_cut", F.explode(copies)).select(*[changed.get(c, docs[c]).alias(c) for c in docs.columns])
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
