@@ -22,6 +22,9 @@ empty output; other columns are not read.
 
 from __future__ import annotations
 
+import json
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -39,7 +42,11 @@ SEGMENT = 1 << 20
 SEGMENT_SCHEMA = ("shard int, seg long, first_id long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
                   "plane_bits int, block int, sizes array<int>, payload binary")
 INDEX_SCHEMA = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+# letters, then signs but no apostrophe: a border of the tokenizer's own splits
+_PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
+# byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on
+_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
 
 
 class WordEncoder:
@@ -47,13 +54,61 @@ class WordEncoder:
 
     For tokenizers that drop white space and never join over it: a text's ids are
     those of its words one after another, so words are encoded once and remembered
-    (``CACHE_WORDS`` at most, then the memory starts afresh).
+    (``CACHE_WORDS`` at most, then the memory starts afresh).  A word of letters
+    and then signs is two such pieces where the tokenizer splits there, so its
+    letters are remembered whatever sign follows.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        lowers = {"type": "Lowercase"} in ((spec.get("normalizer") or {}).get("normalizers") or [])
+        self.splits_signs = lowers and splits[-1].get("type") == "ByteLevel" and splits[0].get("pattern", {}).get("Regex", "").endswith(
+            r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+    def _letters(self, piece: bytes) -> bytes | None:
+        """Ids of a run of letters; None if it is not one to this tokenizer."""
+        if piece.isascii():
+            text = piece.decode()
+        else:
+            text = self.tokenizer.normalizer.normalize_str(piece.decode("utf-8", "replace"))
+            if not text.isalpha():
+                return None
+            text = text.encode().decode("latin-1").translate(_BYTE_CHARS)
+        ids = [t.id for t in self.tokenizer.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in got]
+
+    def _learn(self, words: list[bytes]) -> None:
+        known, pieces, rest = self.known, self.pieces, []
+        if len(pieces) > CACHE_WORDS:
+            pieces.clear()
+        for w in words:
+            m = _PLAIN.fullmatch(w) if self.splits_signs else None
+            if m is None:
+                rest.append(w)
+                continue
+            core, signs = m[1].lower(), m[2]
+            ids = pieces.get(core)
+            if ids is None:
+                ids = pieces[core] = self._letters(core)
+            if ids is None:
+                rest.append(w)
+                continue
+            if signs:
+                if signs not in pieces:
+                    pieces[signs], = self._whole([signs])
+                ids += pieces[signs]
+            known[w] = ids
+        for a in range(0, len(rest), 20_000):
+            known.update(zip(rest[a:a + 20_000], self._whole(rest[a:a + 20_000])))
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
@@ -62,10 +117,8 @@ class WordEncoder:
         if len(known) + len(new) > CACHE_WORDS:
             known.clear()
             new = list({w for words in split for w in words})
-        for a in range(0, len(new), 20_000):
-            part = new[a:a + 20_000]
-            got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in got)))
+        if new:
+            self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
