@@ -66,20 +66,6 @@ def test_f6_stream_final_state(spark):
 
 
 def test_f6_state_independent_of_file_count(spark):
-    a, _ = C._run_event_stream(spark, SF["0.001"], files=2, reuse=False)
-    b, _ = C._run_event_stream(spark, SF["0.001"], files=7, reuse=False)
+    a, _ = C._event_stream(spark, SF["0.001"], files=2)
+    b, _ = C._event_stream(spark, SF["0.001"], files=7)
     assert sorted(a.read().collect()) == sorted(b.read().collect())
-
-
-def test_f6_stream_with_known_keys(spark, tmp_dir):
-    """A stream told its record keys skips the per-batch key pass; same state."""
-    import os
-    from tidemark.sources.store import SnapshotStore
-    from tidemark.streaming.merge_stream import stream_merge
-    FX.write_event_feed(spark, SF["0.001"], os.path.join(tmp_dir, "in"), files=3)
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "state"), FX.EVENTS_SPEC)
-    stream_merge(spark, os.path.join(tmp_dir, "in"), FX.EVENTS_SPEC, store, os.path.join(tmp_dir, "ck"),
-                 order_col="event_id", newer_than="event_id", files_per_trigger=1,
-                 vocabulary=["user_id", "event_id", "event_type", "value", "flag"])
-    r = store.read().agg(F.count("*").alias("n"), F.sum("event_id").alias("s")).first()
-    assert (r["n"], r["s"]) == (15, 14791)

@@ -109,16 +109,3 @@ def test_ordered_micro_batches_equal_one_batch(spark, tmp_dir):
         mi, _ = frame_input(chunk, FX.ORDERS_SPEC, "seq")
         apply_feed(mi, many)
     assert sorted(one.read().collect()) == sorted(many.read().collect())
-
-
-def test_store_target_is_not_shuffled(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC, buckets=8)
-    store.write(FX.f1_target(spark, SF_SMALL))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")
-        plan = M.merge(store.read(), mi)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    scan_lines = [l for l in plan.split("\n") if "FileScan parquet" in l and "Bucketed: true" in l]
-    assert scan_lines, plan

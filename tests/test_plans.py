@@ -36,28 +36,28 @@ def test_hot_key_is_whole(spark):
     assert w.count() == hot.select("k").distinct().count()
 
 
-def test_merge_reads_bucketed_target_without_exchange(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC, buckets=8)
+def test_a_small_feed_does_not_shuffle_the_target(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = spark.createDataFrame([(i,) for i in range(10)], "k long")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")
-        plan = _plan(M.next_state(M.merge(store.read(), mi, counted=True), mi))
+        plan = _plan(store.read(keys=keys))
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    lines = plan.split("\n")
-    scan = next(i for i, l in enumerate(lines) if "Bucketed: true" in l)
-    depth = len(lines[scan]) - len(lines[scan].lstrip(" :+-"))
-    # walk up from the bucketed scan to the join: no exchange on the way
-    for l in reversed(lines[:scan]):
-        d = len(l) - len(l.lstrip(" :+-"))
-        if d < depth:
-            assert "Exchange" not in l, plan
-            depth = d
-            if "SortMergeJoin" in l:
-                break
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Exchange hashpartitioning" not in plan, plan
+
+
+def test_deletes_are_a_semi_join(spark):
+    mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")
+    plan = _plan(M.deleted_keys(FX.f1_target(spark, SF_SMALL), M.winners(mi), ["k"]))
+    assert "LeftSemi" in plan and "FullOuter" not in plan, plan
+
+
+def test_change_counts_read_the_feed_once(spark):
+    mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")
+    plan = _plan(M.change_summary(M.merge(FX.f1_target(spark, SF_SMALL), mi, counted=True, how="right_outer")))
+    assert plan.count("FileScan") == 5, plan       # the feed's four parts and the target
 
 
 def test_feed_filters_reach_the_scan(spark):
@@ -75,5 +75,5 @@ def test_feed_filters_reach_the_scan(spark):
 
 def test_no_python_udfs_in_plans(spark):
     mi, _ = frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")
-    plan = _plan(M.change_summary(mi, M.merge(FX.f1_target(spark, SF_SMALL), mi)))
+    plan = _plan(M.change_summary(M.merge(FX.f1_target(spark, SF_SMALL), mi, counted=True)))
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

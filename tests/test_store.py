@@ -1,13 +1,19 @@
-"""Snapshot store: bucket-incremental versions equal full rewrites."""
+"""Snapshot store: layers, reopening in another process, concurrent writers, vacuum."""
 
 import os
+import subprocess
+import sys
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import fixtures as FX
-from tidemark.plans.ingest import apply_feed, frame_input, touched_buckets
-from tidemark.sources.store import SnapshotStore
 from tests.conftest import SF_SMALL
+from tidemark.operators import merge as M
+from tidemark.plans import fixtures as FX
+from tidemark.plans.ingest import apply_feed, frame_input
+from tidemark.sources.store import Conflict, SnapshotStore
+
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def _feed(spark, lo, hi, bump, flag="O"):
@@ -17,51 +23,122 @@ def _feed(spark, lo, hi, bump, flag="O"):
                     F.lit(flag).alias("flag"), F.col("o_orderkey").alias("seq"))
 
 
-def _apply(store, df, mode):
-    mi, _ = frame_input(df, FX.ORDERS_SPEC, "seq")
-    return mi, apply_feed(mi, store, incremental=mode)
+def _apply(store, df, **kw):
+    return apply_feed(frame_input(df, FX.ORDERS_SPEC, "seq")[0], store, **kw)
 
 
-def test_incremental_equals_full(spark, tmp_dir):
-    inc = SnapshotStore(spark, os.path.join(tmp_dir, "inc"), FX.ORDERS_SPEC, buckets=16, max_live_versions=4)
-    full = SnapshotStore(spark, os.path.join(tmp_dir, "full"), FX.ORDERS_SPEC, buckets=16)
-    for s in (inc, full):
-        s.write(FX.f1_target(spark, SF_SMALL))
-    steps = [_feed(spark, 3, 6, 1.0),                     # few keys: few buckets
-             _feed(spark, 2000, 2003, 0.0, "A"),          # new keys
-             _feed(spark, 10, 12, 0.0, "D"),              # deletes
-             _feed(spark, 3, 5, 2.0),
-             _feed(spark, 0, 1500, 3.0)]                  # broad change
-    touched_sizes = []
+def test_layers_equal_whole_merges(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    state = FX.f1_target(spark, SF_SMALL)
+    steps = [_feed(spark, 3, 6, 1.0), _feed(spark, 20, 23, 0.0, "A").withColumn("k", F.col("k") + 5000), _feed(spark, 10, 12, 0.0, "D"),
+             _feed(spark, 3, 5, 2.0), _feed(spark, 10, 11, 5.0, "A"), _feed(spark, 0, 1500, 3.0)]
+    seen = {}
     for df in steps:
-        mi, a = _apply(inc, df, "auto")
-        touched_sizes.append(len(touched_buckets(mi, inc)))
-        _, b = _apply(full, df, "never")
-        assert (a.inserted, a.updated, a.deleted, a.unchanged) == (b.inserted, b.updated, b.deleted, b.unchanged)
-        assert sorted(inc.read().collect()) == sorted(full.read().collect())
-    assert min(touched_sizes) < 16
-    assert inc.live_versions() == 1                        # the broad change compacted everything
-    # time travel: version 2 of the incremental store is still readable and exact
-    v2 = inc.read(2)
-    assert v2.where("k >= 3 AND k < 6").count() == 3
-
-
-def test_incremental_path_is_used_and_partial(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC, buckets=32)
+        mi, _ = frame_input(df, FX.ORDERS_SPEC, "seq")
+        state = spark.createDataFrame(M.next_state(M.merge(state, mi), mi).collect(), FX.ORDERS_SPEC.schema)
+        r = _apply(store, df)
+        assert r.status == "SUCCESS"
+        seen[r.version] = sorted(state.collect())
+        assert sorted(store.read().collect()) == seen[r.version]
+    for v, rows in seen.items():                               # time travel
+        assert sorted(store.read(v).collect()) == rows
+    before = sorted(store.read().collect())
+    v = store.compact()
+    assert len(store.layers()) == 1 and store.current_version() == v and sorted(store.read().collect()) == before
+
+
+def test_a_small_feed_writes_a_small_layer(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "s")
+    store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
-    _, r = _apply(store, _feed(spark, 3, 4, 5.0), "always")
-    assert r.updated == 1
-    owners = store.owners()
-    assert owners.count(r.version) == 1 and store.live_versions() == 2
-    files_v2 = os.listdir(os.path.join(tmp_dir, "s", "data", f"tm_version={r.version}"))
-    assert len([f for f in files_v2 if f.endswith(".parquet")]) == 1
-    assert store.read().count() == 1350
+    r = _apply(store, _feed(spark, 3, 4, 5.0))
+    layer = store.layers()[-1]
+    assert (r.updated, layer["kind"], len(store.layers())) == (1, "change", 2)
+    rows = spark.read.parquet(*[f"{root}/{f}" for f in layer["files"]])
+    assert rows.count() == 1 and store.read().count() == 1350
+    plan = store.read(keys=_feed(spark, 3, 4, 5.0).select("k"))
+    assert plan.count() == 1
 
 
-def test_failed_feed_leaves_current_version(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC, buckets=8)
+def test_failed_feed_reads_no_target_and_leaves_the_version(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
     bad = spark.createDataFrame([("3", "1.5", "O", 1)], "k string, o_custkey string, flag string, seq long")
-    mi, _ = frame_input(bad, FX.ORDERS_SPEC, "seq")
-    assert apply_feed(mi, store).status == "FAILED"
-    assert store.current_version() == 1 and store.read().count() == 1350
+    store.read = None                                          # would raise if it were called
+    r = _apply(store, bad)
+    assert r.status == "FAILED" and store.current_version() == 1
+
+
+def test_two_writers_give_unique_keys(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "s")
+    a, b = (SnapshotStore(spark, root, FX.ORDERS_SPEC) for _ in range(2))
+    one, two = a.stage(FX.f1_target(spark, SF_SMALL)), b.stage(FX.f1_target(spark, SF_SMALL))
+    assert a.commit(one, None) == 1
+    with pytest.raises(Conflict):
+        b.commit(two, None)
+    assert a.read().count() == a.read().select("k").distinct().count() == 1350
+    # a merge that loses the race is done again on the new version
+    real, raced = b.stage, []
+
+    def stage(df, change=False):
+        layer = real(df, change)
+        if not raced:
+            raced.append(_apply(a, _feed(spark, 3, 4, 1.0)).version)
+        return layer
+
+    b.stage = stage
+    r = _apply(b, _feed(spark, 5, 6, 1.0))
+    assert (raced, r.status, r.version) == ([2], "SUCCESS", 3) and b.layers()[-1]["kind"] == "change"
+    assert {x.k for x in b.read().join(FX.f1_target(spark, SF_SMALL).select("k", F.col("o_totalprice").alias("p")), "k").where("o_totalprice <> p").collect()} == {3, 5}
+
+
+_OTHER = """
+import sys
+sys.path.insert(0, {repo!r})
+from tidemark.session import builder
+from tidemark.plans import fixtures as FX
+from tidemark.plans.ingest import apply_feed, frame_input
+from tidemark.sources.store import SnapshotStore
+from tests.test_store import _feed
+spark = builder("local[2]", 4).config("spark.checkpoint.dir", {tmp!r}).config("spark.sql.warehouse.dir", {tmp!r} + "/w").getOrCreate()
+store = SnapshotStore(spark, {root!r}, FX.ORDERS_SPEC)
+before = store.read().count()
+r = apply_feed(frame_input(_feed(spark, 3, 9, 1.0), FX.ORDERS_SPEC, "seq")[0], store)
+print("OTHER", before, r.status, r.inserted, r.updated, store.read().count())
+spark.stop()
+"""
+
+
+def test_another_application_reads_and_merges(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "s")
+    store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    code = _OTHER.format(repo=REPO, tmp=os.path.join(tmp_dir, "ck"), root=root)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=tmp_dir)
+    line = [x for x in out.stdout.splitlines() if x.startswith("OTHER")]
+    assert line == ["OTHER 1350 SUCCESS 0 6 1350"], out.stderr[-2000:]
+    assert store.current_version() == 2 and store.read().count() == 1350
+
+
+def test_vacuum_keeps_what_kept_versions_name(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "s")
+    store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    for i in range(3):
+        _apply(store, _feed(spark, 3, 4, 1.0 + i))
+    store.compact()
+    lost = store.stage(FX.f1_target(spark, SF_SMALL))          # a write that was never published
+    rows = {v: sorted(store.read(v).collect()) for v in (4, 5)}
+    assert store.vacuum(keep=2) == []                          # everything is young
+    assert store.vacuum(keep=2, min_age_s=-5) == [lost["write"]]
+    assert {v: sorted(store.read(v).collect()) for v in (4, 5)} == rows
+    assert len(store.vacuum(keep=1, min_age_s=-5)) == 4 and sorted(store.read().collect()) == rows[5]
+
+
+def test_layers_are_folded_after_some_merges(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    for i in range(3):
+        r = _apply(store, _feed(spark, 3, 5, 1.0 + i), compact_after=2, batch_id=i)
+    assert len(store.layers()) <= 2 and store.last_batch_id() == 2 and store.read().count() == 1350 and r.updated == 2

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import names as N
-from tidemark.spec import LOCAL_LOCATION_PREFIX, MANIFEST_SPEC, STATUS_NO_CONTENT, STATUS_SUCCESS, STATUS_WARNINGS
+from tidemark.functions.text import cut
+from tidemark.spec import (FILE_ERROR_TEXT_LIMIT, LOCAL_LOCATION_PREFIX, MANIFEST_SPEC, STATUS_FAILED, STATUS_NO_CONTENT,
+                           STATUS_SUCCESS, STATUS_WARNINGS)
 
 
 def parse_listing(listing: DataFrame, name: str = "file_name", path: str | None = "path") -> DataFrame:
@@ -79,6 +81,22 @@ def pending(manifest: DataFrame) -> DataFrame:
     return manifest.where((F.col("status") == STATUS_SUCCESS) & N.is_local_location("azure_blob_url"))
 
 
+def update_location(manifest: DataFrame, location: Column, at: Column) -> DataFrame:
+    """The manifest after its pending files were moved to ``location``: those rows get
+    the new location and the time ``at``, all others stay as they are."""
+    moved = (F.col("status") == STATUS_SUCCESS) & N.is_local_location("azure_blob_url")
+    return manifest.withColumns({
+        "azure_blob_url": F.when(F.coalesce(moved, F.lit(False)), location).otherwise(F.col("azure_blob_url")),
+        "downloaded_at": F.when(F.coalesce(moved, F.lit(False)), at.cast("timestamp")).otherwise(F.col("downloaded_at")),
+    })
+
+
+def failed_records(new: DataFrame, error: Column, at: Column | None = None) -> DataFrame:
+    """Manifest rows for new files whose transfer failed: no location, the error cut to
+    its limit."""
+    return records_for(new, F.lit(""), F.lit(STATUS_FAILED), cut(error, FILE_ERROR_TEXT_LIMIT), at)
+
+
 def local_location(year: Column, file_name: Column) -> Column:
     return F.concat(F.lit(LOCAL_LOCATION_PREFIX + "data/digital_reports/"), year, F.lit("/"), file_name)
 

@@ -27,9 +27,10 @@ target's value on update and are NULL on insert (decided by *presence*, so a
 present NULL overwrites).
 
 The key is unique on both sides (target by definition, winners by
-``keep_last``), so the join has no hot keys.  With a bucketed target the target
-side is not shuffled (see ``tidemark.sources.store``); AQE broadcasts a small
-feed side when its runtime size is under the threshold.
+``keep_last``), so the join has no hot keys.  A full outer join always shuffles both
+sides; a merge into a stored snapshot therefore reads only the target rows that the
+feed's keys hit (a semi join, which Spark broadcasts when the feed is small) and
+joins those from the feed's side (``how="right_outer"``).
 """
 
 from __future__ import annotations
@@ -140,8 +141,10 @@ def bulk_winners(mi: MergeInput, counted: bool = False) -> DataFrame:
 
 
 def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: bool = True,
-             bulk: bool = False, newer_than: str | None = None, counted: bool = False) -> DataFrame:
-    """Full outer join target x winners on the key -> key, ``_t``, ``_s``, ``_action``.
+             bulk: bool = False, newer_than: str | None = None, counted: bool = False,
+             how: str = "full_outer") -> DataFrame:
+    """Join target x winners on the key -> key, ``_t``, ``_s``, ``_action``.  With
+    ``how="right_outer"`` only the feed's keys come out (no ``keep`` rows).
 
     ``newer_than`` names a version column (e.g. an event id) stored in the target:
     a feed row whose value is lower than the stored one is ``stale`` and leaves
@@ -153,7 +156,7 @@ def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: boo
               + (["_n", "_nbad", "_nao"] if counted else []))
     t = target.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in t_cols]).alias("_t"))
     s = won.select(*[qcol(k) for k in keys], F.struct(*[qcol(c) for c in s_cols]).alias("_s"))
-    j = t.join(s, keys, "full_outer")
+    j = t.join(s, keys, how)
     st, ss = F.col("_t"), F.col("_s")
     flag = ss.getField("flag")
     cmp = mi.written
@@ -183,8 +186,8 @@ def classify(target: DataFrame, won: DataFrame, mi: MergeInput, change_test: boo
     return j.withColumn("_action", action)
 
 
-def next_state(classified: DataFrame, mi: MergeInput) -> DataFrame:
-    """The target after the merge, in target column order."""
+def _state_columns(mi: MergeInput) -> list[Column]:
+    """A row as it stands after the merge, in target column order."""
     a, st, ss = F.col("_action"), F.col("_t"), F.col("_s")
     written = set(mi.written)
     cols = []
@@ -195,8 +198,28 @@ def next_state(classified: DataFrame, mi: MergeInput) -> DataFrame:
             cols.append(F.when(a.isin("insert", "update", "reinsert"), ss.getField(c)).otherwise(st.getField(c)).alias(c))
         else:
             cols.append(F.when(a == "reinsert", F.lit(None)).otherwise(st.getField(c)).cast(mi.spec.dtype(c)).alias(c))
-    keep = a.isin(*_STATE_ACTIONS) | (a.isin("ignored", "stale") & st.isNotNull())
-    return classified.where(keep).select(*cols)
+    return cols
+
+
+def next_state(classified: DataFrame, mi: MergeInput) -> DataFrame:
+    """The target after the merge, in target column order."""
+    a = F.col("_action")
+    keep = a.isin(*_STATE_ACTIONS) | (a.isin("ignored", "stale") & F.col("_t").isNotNull())
+    return classified.where(keep).select(*_state_columns(mi))
+
+
+def change_rows(classified: DataFrame, mi: MergeInput) -> DataFrame:
+    """What the merge changes: rows inserted or updated as they stand afterwards, and
+    the deleted rows, marked ``_gone``."""
+    a = F.col("_action")
+    changed = classified.where(a.isin("insert", "update", "reinsert", "delete"))
+    return changed.select(*_state_columns(mi), (a == "delete").alias("_gone"))
+
+
+def deleted_keys(target: DataFrame, won: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the target that the feed's last row deletes."""
+    dead = won.where(F.col("flag") == FLAG_DELETE).select(*[qcol(k) for k in keys])
+    return target.select(*[qcol(k) for k in keys]).join(dead, keys, "left_semi")
 
 
 def changes(classified: DataFrame, mi: MergeInput) -> DataFrame:
@@ -220,23 +243,13 @@ def count_columns(action: Column) -> list[Column]:
     ]
 
 
-def change_summary(mi: MergeInput, classified: DataFrame) -> DataFrame:
+def change_summary(classified: DataFrame) -> DataFrame:
     """One row: received, inserted, updated, deleted, unchanged, rejected, and the
     decomposition rejected = null_pk + duplicates + unmatched_deletes + unknown_flags.
 
-    Feed rows and classified winners are stacked and counted in one aggregate
-    (no join between the two one-row results)."""
-    f = mi.feed.select(F.lit(True).alias("_feed"), has_null_key(mi.keys).alias("_nullk"),
-                       F.lit(None).cast("string").alias("_action"))
-    c = classified.where(F.col("_s").isNotNull()).select(
-        F.lit(False).alias("_feed"), F.lit(False).alias("_nullk"), F.col("_action"))
-    a = F.col("_action")
-    agg = f.unionByName(c).agg(
-        F.count_if(F.col("_feed")).alias("received"),
-        F.count_if(F.col("_nullk")).alias("null_pk"),
-        F.count_if(~F.col("_feed")).alias("winners"),
-        *count_columns(a),
-    )
+    ``classified`` comes from a counted merge: each winner carries the number of feed
+    rows of its key, so the feed is read once."""
+    agg = classified.agg(*feed_totals(), *count_columns(F.col("_action")))
     processed = F.col("inserted") + F.col("updated") + F.col("deleted") + F.col("unchanged")
     return agg.select(
         "received", "inserted", "updated", "deleted", "unchanged",
@@ -257,33 +270,44 @@ def bulk_summary(mi: MergeInput) -> DataFrame:
         F.count_if(f.isin(*UPSERT_FLAGS)).alias("upserted"),
         F.count_if((f == FLAG_DELETE) & ~nk).alias("deleted"),
         F.count_if(f.isin(*UPSERT_FLAGS) & nk).alias("null_key_upserts"),
+        F.count_if(F.size("_bad") > 0).alias("bad_rows"),
     ).select("received", "upserted", "deleted", (F.col("upserted") + F.col("deleted")).alias("rows_loaded"),
-             "null_key_upserts")
+             "null_key_upserts", "bad_rows")
 
 
 def merge(target: DataFrame, mi: MergeInput, mode: str = "api", change_test: bool = True,
           ignore_unknown_flags_first: bool = False, newer_than: str | None = None,
-          counted: bool = False) -> DataFrame:
+          counted: bool = False, how: str = "full_outer") -> DataFrame:
     """Classified rows for ``mode`` in (api, bulk).  With ``counted`` the feed's
     row counts ride along (see :func:`counted_winners`, :func:`feed_totals`)."""
     if mode == "bulk":
         return classify(target, bulk_winners(mi, counted), mi, change_test, bulk=True, newer_than=newer_than,
-                        counted=counted)
+                        counted=counted, how=how)
     if mode != "api":
         raise ValueError("mode must be 'api' or 'bulk'")
     won = counted_winners(mi, ignore_unknown_flags_first) if counted else winners(mi, ignore_unknown_flags_first)
-    return classify(target, won, mi, change_test, newer_than=newer_than, counted=counted)
+    return classify(target, won, mi, change_test, newer_than=newer_than, counted=counted, how=how)
+
+
+def winner_totals(keys: list[str]) -> list[Column]:
+    """Aggregates over counted winners: feed rows received, rows with unstorable values,
+    rows with a NULL key, A/O rows with a NULL key."""
+    nk = has_null_key(keys)
+    z = F.lit(0).cast("bigint")
+    return [
+        F.coalesce(F.sum("_n"), z).alias("received"),
+        F.coalesce(F.sum("_nbad"), z).alias("bad_rows"),
+        F.coalesce(F.sum(F.when(nk, F.col("_n"))), z).alias("null_pk"),
+        F.coalesce(F.sum(F.when(nk, F.col("_nao"))), z).alias("null_key_upserts"),
+    ]
 
 
 def feed_totals() -> list[Column]:
-    """Aggregates over counted classified rows: feed rows received, rows with
-    unstorable values, rows with a NULL key, A/O rows with a NULL key."""
+    """The same over counted classified rows."""
     ss, a = F.col("_s"), F.col("_action")
     z = F.lit(0).cast("bigint")
     return [
         F.coalesce(F.sum(ss.getField("_n")), z).alias("received"),
-        F.coalesce(F.sum(ss.getField("_nbad")), z).alias("bad_rows"),
         F.coalesce(F.sum(F.when(a == "rejected", ss.getField("_n"))), z).alias("null_pk"),
-        F.coalesce(F.sum(F.when(a == "rejected", ss.getField("_nao"))), z).alias("null_key_upserts"),
-        F.count_if(a == "reinsert").alias("reinserted"),
+        F.count_if(ss.isNotNull() & (a != "rejected")).alias("winners"),
     ]

@@ -12,12 +12,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.coerce import coerce, needs_double, to_double, violation_of
-from tidemark.functions.text import clean_text, flag_normalize
+from tidemark.functions.text import clean_text, flag_normalize, strip
 from tidemark.spec import FLAG_ADD, TableSpec, norm_name
 
-# Guard for the key vocabulary of map-shaped records: it is schema metadata and
-# must stay small; a feed with more distinct keys than this is refused.
-MAX_VOCABULARY = 100_000
 
 
 def qcol(name: str) -> Column:
@@ -31,7 +28,6 @@ class ColumnPlan:
 
     raw: list[str]                       # raw names, feed order
     kept: list[tuple[str, str]]          # (raw, resolved) after renames, trim+lower, first-wins
-    renames: dict[str, str] = field(default_factory=dict)   # raw -> target name applied
     extra: list[str] = field(default_factory=list)           # resolved names not in the target (flag excluded)
     missing: list[str] = field(default_factory=list)         # target names the feed lacks
     present: list[str] = field(default_factory=list)         # target names the feed has, target order
@@ -45,59 +41,54 @@ class ColumnPlan:
         return dict((r, s) for s, r in self.kept)[resolved]
 
 
-def applied_renames(raw_names: list[str], renames: dict[str, str]) -> dict[str, str]:
-    """Raw name -> schema name for the vendor names present (case/space-insensitive)."""
-    incoming = {}
-    for raw in raw_names:
-        incoming[norm_name(raw)] = raw          # a later spelling of the same name wins here
-    actual = {}
-    for source, target in renames.items():
-        raw = incoming.get(source)
-        if raw is not None:
-            actual[raw] = target
-    return actual
-
-
 def resolve_columns(raw_names: list[str], spec: TableSpec) -> ColumnPlan:
-    """Renames, then trim + lower case, then the first of several equal names wins."""
-    renames = applied_renames(raw_names, spec.renames)
-    kept, seen = [], set()
+    """The target name of each raw name, the first of equal target names kept.
+
+    A vendor name takes its target name from the table's renames; where one vendor
+    name comes in several spellings, only the last of them is renamed."""
+    spelling = {norm_name(raw): raw for raw in raw_names}
+    kept: dict[str, str] = {}
     for raw in raw_names:
-        name = norm_name(renames.get(raw, raw))
-        if name in seen:
-            continue
-        seen.add(name)
-        kept.append((raw, name))
-    names = set(seen)
+        name = norm_name(raw)
+        if spelling[name] == raw:
+            name = spec.renames.get(name, name)
+        kept.setdefault(name, raw)
     target = spec.columns
     return ColumnPlan(
         raw=list(raw_names),
-        kept=kept,
-        renames=renames,
-        extra=sorted(names - set(target) - {"flag"}),
-        missing=sorted(set(target) - names),
-        present=[c for c in target if c in names],
-        has_flag="flag" in names,
+        kept=[(raw, name) for name, raw in kept.items()],
+        extra=sorted(set(kept) - set(target) - {"flag"}),
+        missing=sorted(set(target) - set(kept)),
+        present=[c for c in target if c in kept],
+        has_flag="flag" in kept,
     )
 
 
-def record_vocabulary(records: DataFrame, rec: str = "rec", pos: str = "pos", with_index: bool = False):
-    """Distinct keys of map-shaped records, in order of first appearance.
+def _norm(raw: Column) -> Column:
+    """``norm_name`` as an expression: white space of every kind is trimmed."""
+    return F.lower(strip(raw))
 
-    Records are first grouped by their key set (feeds repeat a few shapes, so
-    partial aggregation collapses them map-side); only the distinct key sets
-    are exploded into keys.  The result is schema metadata bounded by the key
-    vocabulary (guarded by ``MAX_VOCABULARY``).
-    """
-    shapes = records.groupBy(F.map_keys(F.col(rec)).alias("ks")).agg(F.min(F.col(pos)).alias("p"))
-    keys = (shapes.select("p", F.posexplode("ks").alias("i", "k"))
-            .groupBy("k").agg(F.min(F.struct("p", "i")).alias("first")))
-    rows = keys.orderBy("first", "k").limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"feed has more than {MAX_VOCABULARY} distinct column names")
-    if with_index:          # key -> its position in the first record that has it
-        return [r["k"] for r in rows], {r["k"]: int(r["first"]["i"]) for r in rows}
-    return [r["k"] for r in rows]
+
+def raw_columns(records: DataFrame, rec: str = "rec", pos: str = "pos") -> DataFrame:
+    """raw_name, records, first (place of its first appearance): every key the records
+    carry.  Records are first grouped by their key set (feeds repeat a few shapes),
+    which collapses them map-side; only distinct key sets are exploded."""
+    shapes = records.groupBy(F.map_keys(F.col(rec)).alias("ks")).agg(F.min(F.col(pos)).alias("p"), F.count(F.lit(1)).alias("n"))
+    return (shapes.select("p", "n", F.posexplode("ks").alias("i", "raw_name"))
+            .groupBy("raw_name").agg(F.sum("n").alias("records"), F.min(F.struct("p", "i")).alias("first")))
+
+
+def record_vocabulary(records: DataFrame, spec: TableSpec, rec: str = "rec", pos: str = "pos") -> tuple[list[str], dict[str, int]]:
+    """The raw names that stand for the target's columns (and ``flag``), in order of
+    first appearance, and each one's place in the first record that has it.
+
+    Per normalised name the first and the last spelling are kept, so what reaches the
+    driver is bounded by the spec, whatever other keys the feed carries."""
+    wanted = sorted({*spec.columns, "flag", *spec.renames})
+    known = (raw_columns(records, rec, pos).withColumn("name", _norm(F.col("raw_name"))).where(F.col("name").isin(wanted))
+             .groupBy("name").agg(F.min_by(F.struct("raw_name", "first"), "first").alias("a"), F.max_by(F.struct("raw_name", "first"), "first").alias("z")))
+    rows = known.select(F.explode(F.array_distinct(F.array("a", "z"))).alias("x")).select("x.*").orderBy("first").collect()
+    return [r["raw_name"] for r in rows], {r["raw_name"]: int(r["first"]["i"]) for r in rows}
 
 
 def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None = None,
@@ -131,6 +122,11 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
                           F.try_element_at(F.map_values(m), i)).otherwise(m.getItem(raw))
         return m.getItem(raw)
 
+    def cleaned(resolved: str) -> Column:
+        text = clean_text(source(resolved).cast("string"))
+        # the bare token NaN of a JSON record arrives with quotes around it
+        return text if rec is None else F.nullif(text, F.lit('"NaN"'))
+
     src_types = {} if rec is not None else {f.name: f.dataType for f in df.schema.fields}
     # Four projections, each value computed once: (1) cleaned text, (2) text
     # parsed as a number, (3) declared type, (4) violations from the columns of
@@ -154,7 +150,7 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
             stage2.append(F.col(f"_v{i}"))
             stage3.append(F.col(f"_v{i}").alias(c))
             continue
-        stage1.append(clean_text(source(c).cast("string")).alias(f"_s{i}"))
+        stage1.append(cleaned(c).alias(f"_s{i}"))
         stage2.append(F.col(f"_s{i}"))
         d = None
         if needs_double(dtype):
@@ -179,47 +175,15 @@ def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None =
     return s3.select(*out)
 
 
-def normalize_frame(df: DataFrame) -> DataFrame:
-    """Columns trimmed + lower case, first of equal names kept (by position),
-    blank text -> NULL, flag upper-cased and trimmed (``A`` when absent)."""
-    seen, cols = set(), []
-    for i, f in enumerate(df.schema.fields):
-        name = norm_name(f.name)
-        if name in seen:
-            continue
-        seen.add(name)
-        c = qcol(f.name)
-        if f.dataType.simpleString() == "string":
-            c = F.when(c.rlike(r"(?U)^\s*$"), F.lit(None)).otherwise(c)
-        if name == "flag":
-            c = flag_normalize(c)
-        cols.append(c.alias(name))
-    if "flag" not in seen:
-        cols.append(F.lit(FLAG_ADD).alias("flag"))
-    return df.select(*cols)
-
-
-def rename(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Apply the table's vendor renames to a DataFrame's columns."""
-    actual = applied_renames(df.columns, spec.renames)
-    return df.withColumnsRenamed(actual) if actual else df
-
-
-def present_columns(plan: ColumnPlan) -> list[str]:
-    return list(plan.present)
-
-
-def observed_columns(records: DataFrame, spec: TableSpec, rec: str = "rec") -> DataFrame:
+def observed_columns(records: DataFrame, spec: TableSpec, rec: str = "rec", pos: str = "pos") -> DataFrame:
     """(table_name, raw_name, column_name, records): every key the records carry,
-    resolved (rename, trim, lower case), with the number of records carrying it.
-    A distributed aggregate; the result is as small as the key vocabulary."""
-    k = F.col("raw_name")
-    norm = F.lower(F.trim(k))
-    resolved = norm
+    resolved like :func:`resolve_columns` does, with the number of records carrying it.
+    A distributed aggregate, so a feed may carry any number of unknown keys."""
+    names = raw_columns(records, rec, pos).withColumn("norm", _norm(F.col("raw_name")))
+    resolved = F.col("norm")
     if spec.renames:
         m = F.create_map(*[x for kv in spec.renames.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-        resolved = F.coalesce(F.element_at(m, norm), norm)
-    return (records.select(F.explode(F.map_keys(F.col(rec))).alias("raw_name"))
-            .groupBy("raw_name").agg(F.count(F.lit(1)).alias("records"))
-            .select(F.lit(spec.name.lower()).alias("table_name"), "raw_name", resolved.alias("column_name"),
-                    "records"))
+        last = names.where(F.col("norm").isin(sorted(spec.renames))).groupBy("norm").agg(F.max_by("raw_name", "first").alias("last"))
+        names = names.join(F.broadcast(last), "norm", "left")
+        resolved = F.when(F.col("raw_name") == F.col("last"), F.element_at(m, F.col("norm"))).otherwise(F.col("norm"))
+    return names.select(F.lit(spec.name.lower()).alias("table_name"), "raw_name", resolved.alias("column_name"), "records")

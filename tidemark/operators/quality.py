@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.normalize import ColumnPlan, qcol
-from tidemark.spec import TableSpec
+from tidemark.spec import MESSAGE_NO_FLAG, MESSAGE_NO_KEY, MESSAGE_NO_ROWS, TableSpec
 
 
-def validate(spark: SparkSession, plan: ColumnPlan, spec: TableSpec, received: int | None = None) -> DataFrame:
-    """Feed checks -> rows (level, message).  Errors: PK columns missing.
-    Warnings: no rows; no flag column (every row then counts as an add)."""
-    rows = []
+def findings(plan: ColumnPlan, spec: TableSpec, received: int | None = None) -> list[tuple[str, str]]:
+    """Feed checks as (level, message).  Errors: PK columns missing.  Warnings: no rows;
+    no flag column (every row then counts as an add)."""
     if received == 0:
-        rows.append(("warning", f"{spec.name}: DataFrame is empty"))
-    else:
-        if not plan.has_flag:
-            rows.append(("warning", f"{spec.name}: column 'flag' is missing from payload; defaulting all rows to flag='A'"))
-        missing = [k for k in spec.pk if k not in plan.resolved]
-        if missing:
-            rows.append(("error", f"{spec.name}: missing PK columns: {missing}"))
-    schema = T.StructType([T.StructField("level", T.StringType()), T.StructField("message", T.StringType())])
-    return spark.createDataFrame(rows, schema)
+        return [("warning", MESSAGE_NO_ROWS.format(table=spec.name))]
+    out = [] if plan.has_flag else [("warning", MESSAGE_NO_FLAG.format(table=spec.name))]
+    missing = pk_missing(spec, plan.resolved)
+    return out + ([("error", MESSAGE_NO_KEY.format(table=spec.name, columns=missing))] if missing else [])
 
 
 def pk_missing(spec: TableSpec, columns: list[str]) -> list[str]:
@@ -86,11 +80,3 @@ def audit_structure(observed: DataFrame, expected: DataFrame) -> DataFrame:
         missing_c.alias("missing"),
         (F.size(extra_c) > 0).alias("warning"),
     )
-
-
-def length_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows whose text is longer than the declared VARCHAR limit: (pos, column_name)."""
-    checks = [F.when(F.char_length(qcol(c)) > n, F.lit(c)) for c, n in spec.lengths.items() if c in df.columns]
-    if not checks:
-        return df.sparkSession.createDataFrame([], "pos long, column_name string")
-    return (df.select(F.col("pos"), F.explode(F.array_compact(F.array(*checks))).alias("column_name")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import older_than
 from tidemark.operators.dedup import keep_last
-from tidemark.spec import (ABANDON_MESSAGE, DONE_STATUSES, STATUS_ABANDONED, STATUS_API_ERROR, STATUS_EMPTY,
+from tidemark.spec import (ABANDON_MESSAGE, API_ERROR_CODES, NO_CONTENT_CODE, DONE_STATUSES, STATUS_ABANDONED, STATUS_API_ERROR, STATUS_EMPTY,
                            STATUS_FAILED, STATUS_NO_CONTENT, STATUS_STARTED, STATUS_SUCCESS,
                            STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, SUCCEEDED_STATUSES)
 
@@ -28,8 +28,13 @@ def processed_rows(given=None) -> Column:
 
 
 def latest_runs(events: DataFrame, order: str = "seq") -> DataFrame:
-    """Log table: the last event of each run id (an update in place, as data)."""
-    return keep_last(events, ["id"], order)
+    """Log table: the last event of each run id (an update in place, as data).  Events
+    with a time are ordered by it, then by ``order``: a run that was given up and
+    finishes afterwards counts as finished."""
+    if "event_at" not in events.columns:
+        return keep_last(events, ["id"], order)
+    placed = events.withColumn("_at", F.struct("event_at", order))
+    return keep_last(placed, ["id"], "_at").drop("_at")
 
 
 def run_status(received, error=None, validation_error=None, http_status=None, table_found=None) -> Column:
@@ -42,7 +47,7 @@ def run_status(received, error=None, validation_error=None, http_status=None, ta
         st = st.when(~F.col(table_found), STATUS_TABLE_NOT_FOUND)
     if http_status is not None:
         h = F.col(http_status)
-        st = st.when(h == 204, STATUS_NO_CONTENT).when(h.isin(403, 404), STATUS_API_ERROR)
+        st = st.when(h == NO_CONTENT_CODE, STATUS_NO_CONTENT).when(h.isin(*API_ERROR_CODES), STATUS_API_ERROR)
     if error is not None:
         st = st.when(F.col(error).isNotNull(), STATUS_FAILED)
     if validation_error is not None:
@@ -62,11 +67,12 @@ def abandon_open(log: DataFrame, now) -> DataFrame:
     now_c = now if isinstance(now, Column) else F.lit(now)
     open_runs = log.where(F.col("status") == STATUS_STARTED)
     return open_runs.select(
-        *[F.col(c) for c in log.columns if c not in ("status", "error_message", "finished_at", "seq")],
+        *[F.col(c) for c in log.columns if c not in ("status", "error_message", "finished_at", "seq", "event_at")],
         F.lit(STATUS_ABANDONED).alias("status"),
         F.lit(ABANDON_MESSAGE).alias("error_message"),
         now_c.cast(log.schema["finished_at"].dataType if "finished_at" in log.columns else "timestamp_ntz").alias("finished_at"),
         (F.col("seq") + 1).alias("seq") if "seq" in log.columns else F.lit(1).alias("seq"),
+        *([now_c.cast("timestamp_ntz").alias("event_at")] if "event_at" in log.columns else []),
     ).select(*log.columns)
 
 
@@ -74,6 +80,12 @@ def done_runs(log: DataFrame) -> DataFrame:
     return log.where(F.col("status").isin(*DONE_STATUSES))
 
 
+def expected_runs(feeds: DataFrame, first, last) -> DataFrame:
+    """(feed_name, requested_date): every feed on every day from ``first`` to ``last``."""
+    days = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY"))
+    return feeds.select("feed_name", F.explode(days).alias("requested_date"))
+
+
 def missed_runs(expected: DataFrame, log: DataFrame) -> DataFrame:
     """Expected (feed_name, requested_date) pairs with no SUCCESS, STARTED or
     NO_CONTENT run."""

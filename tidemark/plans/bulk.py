@@ -1,25 +1,27 @@
 """Bulk file loading: feed folder -> table lookup -> structure audit -> bulk merge
 -> per-file report and totals.
 
-Each file is its own Spark job (files are loaded one after another, in name
-order, as the bulk loader does); the report rows are tiny and built on the
-driver from per-file results.
+All files are parsed in one job and reported in one job; only merges into stored
+snapshots go file by file, because a later file may change an earlier one's rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import base_name, stem
 from tidemark.operators import merge as M
 from tidemark.operators.merge import MergeInput
-from tidemark.operators.normalize import conform, record_vocabulary, resolve_columns
+from tidemark.operators.normalize import ColumnPlan, conform, resolve_columns
 from tidemark.plans.ingest import apply_feed, frame_input
-from tidemark.sources.feeds import of_kind, read_feed
+from tidemark.session import scratch_path
+from tidemark.sources.feeds import last_values, read_feed
 from tidemark.sources.listing import list_files
-from tidemark.spec import (CONSOLIDATED_PAIRS, LOAD_ERROR_TEXT_LIMIT, PRIMARY_KEYS, TableSpec)
+from tidemark.spec import (CONSOLIDATED_PAIRS, LOAD_ERROR_TEXT_LIMIT, PARSE_ERROR_TEXT_LIMIT, PRIMARY_KEYS,
+                           STATUS_EMPTY, STATUS_SUCCESS, TableSpec)
 
 REPORT_SCHEMA = "file string, table_name string, structure string, load string, rows_loaded long, notes string"
 
@@ -62,81 +64,116 @@ class FeedFile:
     order: str = "pos"
     parse_error: str | None = None
     records: DataFrame | None = None  # or parsed records (pos, rec map) from a file
+    names: list[str] | None = None    # raw names of the records, in order
     store: object | None = None       # when given, the file is merged into this snapshot
 
 
+def _report_row(f: FeedFile) -> DataFrame | tuple:
+    """One file's line of the report: a tuple where the names alone decide it, else a
+    one-row aggregate over its rows."""
+    if f.spec is None:
+        return f.file, "NOT FOUND", "SKIP", "SKIP", 0, "No matching table"
+    if f.parse_error is not None:
+        return f.file, f.spec.name, "PARSE ERROR", "SKIP", 0, f.parse_error[:PARSE_ERROR_TEXT_LIMIT]
+    structure, notes = _structure(f)
+    try:
+        mi = _bulk_input(f)
+    except ValueError as e:
+        return f.file, f.spec.name, structure, "FAIL", 0, " | ".join([*notes, str(e)[:LOAD_ERROR_TEXT_LIMIT]])
+    counts = M.bulk_summary(mi)
+    error = (F.when(F.col("null_key_upserts") > 0, F.concat(F.lit("NULL primary key in "), F.col("null_key_upserts").cast("string"), F.lit(" add/update rows")))
+             .when(F.col("bad_rows") > 0, F.lit("values the declared types cannot store")))
+    return counts.select(F.lit(f.file).alias("file"), F.lit(f.spec.name).alias("table_name"), F.lit(structure).alias("structure"),
+                         F.when(error.isNull(), "PASS").otherwise("FAIL").alias("load"),
+                         F.when(error.isNull(), F.col("rows_loaded")).otherwise(F.lit(0)).cast("long").alias("rows_loaded"),
+                         F.concat_ws(" | ", *[F.lit(n) for n in notes], error).alias("notes"))
+
+
+def _plan(f: FeedFile) -> ColumnPlan:
+    return resolve_columns((f.names or []) if f.records is not None else [c for c in f.frame.columns if c != f.order], f.spec)
+
+
+def _bulk_input(f: FeedFile) -> MergeInput:
+    if f.records is None:
+        return frame_input(f.frame, f.spec, f.order, require_flag=True)[0]
+    plan = _plan(f)
+    index = {k: i for i, k in enumerate(f.names)}
+    return MergeInput(conform(f.records, f.spec, plan, rec="rec", pos="pos", require_flag=True, key_index=index), f.spec, plan.present)
+
+
 def load_files(spark: SparkSession, files: list[FeedFile]) -> DataFrame:
-    """Bulk-load each file (alphabetical) and report file, table, structure, load,
-    rows loaded and notes."""
-    rows = []
+    """Bulk-load the files and report file, table, structure, load, rows loaded and
+    notes.  The report of all files is one job.  Files with a store are merged into
+    it in name order (a later file may change an earlier one's rows); any error of a
+    file becomes its FAIL line, and the other files go on."""
+    fixed, frames = [], []
     for f in sorted(files, key=lambda x: x.file):
-        if f.spec is None:
-            rows.append((f.file, "NOT FOUND", "SKIP", "SKIP", 0, "No matching table"))
-            continue
-        if f.parse_error is not None:
-            rows.append((f.file, f.spec.name, "PARSE ERROR", "SKIP", 0, f.parse_error[:180]))
-            continue
-        index = None
-        if f.records is not None:
-            raw, index = record_vocabulary(f.records, with_index=True)
-        else:
-            raw = [c for c in f.frame.columns if c != f.order]
-        plan = resolve_columns(raw, f.spec)
-        notes = []
-        structure = "MATCH"
-        if plan.extra:
-            structure = "MISMATCH"
-            notes.append(f"extra_json={plan.extra}")
-        if plan.missing:
-            structure = "MISMATCH"
-            notes.append(f"missing_json={plan.missing}")
         try:
-            if f.records is not None:
-                mi = MergeInput(conform(f.records, f.spec, plan, rec="rec", pos="pos", require_flag=True,
-                                        key_index=index), f.spec, plan.present)
-            else:
-                mi, _ = frame_input(f.frame, f.spec, f.order, require_flag=True)
-            counts = M.bulk_summary(mi).first()
-            if counts["null_key_upserts"]:
-                raise ValueError(f"NULL primary key in {counts['null_key_upserts']} add/update rows")
-            bad = mi.feed.where(F.size("_bad") > 0).limit(1).count()
-            if bad:
-                raise ValueError("values the declared types cannot store")
-            if f.store is not None:
-                res = apply_feed(mi, f.store, mode="bulk")
-                if res.status not in ("SUCCESS", "EMPTY"):
+            if f.store is not None and f.spec is not None and f.parse_error is None:
+                res = apply_feed(_bulk_input(f), f.store, mode="bulk")
+                if res.status not in (STATUS_SUCCESS, STATUS_EMPTY):
                     raise ValueError(res.error or res.status)
-            rows.append((f.file, f.spec.name, structure, "PASS", int(counts["rows_loaded"]), " | ".join(notes)))
-        except ValueError as e:
-            notes.append(str(e).split("\n")[0][:LOAD_ERROR_TEXT_LIMIT])
-            rows.append((f.file, f.spec.name, structure, "FAIL", 0, " | ".join(notes)))
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+            row = _report_row(f)
+        except Exception as e:
+            structure, notes = _structure(f)
+            row = f.file, f.spec.name, structure, "FAIL", 0, " | ".join([*notes, str(e)[:LOAD_ERROR_TEXT_LIMIT]])
+        (fixed if isinstance(row, tuple) else frames).append(row)
+    out = spark.createDataFrame(fixed, REPORT_SCHEMA)
+    for df in frames:
+        out = out.unionByName(df)
+    return out
+
+
+def _structure(f: FeedFile) -> tuple[str, list[str]]:
+    plan = _plan(f)
+    notes = [f"{k}={v}" for k, v in (("extra_json", plan.extra), ("missing_json", plan.missing)) if v]
+    return "MISMATCH" if notes else "MATCH", notes
 
 
 def feed_dir_files(spark: SparkSession, folder: str, specs: dict[str, TableSpec],
                    stores: dict | None = None) -> list[FeedFile]:
     """The ``.txt`` files of a folder, each matched to a table by its name
     (case-insensitive) and read as one ``{"Table": [...]}`` document.  A file
-    that is not such a document is a parse error.  One entry per file: the
-    file list is what the driver holds, never file content."""
+    that is not such a document is a parse error.
+
+    All files are parsed in one job, whose records are stored; one more job gives the
+    names in each file.  The driver holds one entry per file and its column names."""
     keyed = {k.lower(): v for k, v in specs.items()}
     listing = lookup_tables(list_files(spark, folder, glob="*.txt", recursive=False),
                             catalogue(spark, list(keyed)))
+    rows = listing.select("path", "file_name", "table_name").orderBy("file_name").collect()
+    known = [r["path"] for r in rows if r["table_name"]]
+    names, broken, records = {}, set(), None
+    if known:
+        feed = read_feed(spark, known, form="document", strict=True)
+        at = scratch_path(spark, "bulk")
+        feed.lines.select(F.col("pos").alias("file"), "kind", "rows").write.parquet(at)
+        lines = spark.read.parquet(at)
+        broken = {_name(r[0]) for r in lines.where("kind = 'malformed'").select("file").collect()}
+        records = (lines.where("kind = 'rows'").select("file", F.posexplode("rows").alias("elem", "rec"))
+                   .select("file", F.struct(F.struct(F.col("file")).alias("line"), "elem").alias("pos"), last_values(F.col("rec")).alias("rec")))
+        keys = records.groupBy("file", F.map_keys("rec").alias("ks")).agg(F.min("pos.elem").alias("p"))
+        first = keys.select("file", "p", F.posexplode("ks").alias("i", "k")).groupBy("file", "k").agg(F.min(F.struct("p", "i")).alias("first"))
+        for r in first.orderBy("file", "first").collect():
+            names.setdefault(_name(r["file"]), []).append(r["k"])
     out = []
-    for r in listing.select("path", "file_name", "table_name").orderBy("file_name").collect():
+    for r in rows:
         spec = keyed.get(r["table_name"]) if r["table_name"] else None
         if spec is None:
             out.append(FeedFile(r["file_name"], None))
-            continue
-        feed = read_feed(spark, r["path"], form="document", strict=True)
-        if not of_kind(feed.lines, "malformed").isEmpty():
+        elif r["file_name"] in broken:
             out.append(FeedFile(r["file_name"], spec, parse_error="JSON missing valid 'Table' array"))
-            continue
-        out.append(FeedFile(r["file_name"], spec, records=feed.records,
-                            store=(stores or {}).get(r["table_name"])))
+        else:
+            own = records.where(F.col("file").endswith("/" + r["file_name"])).select("pos", "rec")
+            out.append(FeedFile(r["file_name"], spec, records=own, names=names.get(r["file_name"], []),
+                                store=(stores or {}).get(r["table_name"])))
     return out
 
 
+def _name(path: str) -> str:
+    return unquote(path.rsplit("/", 1)[-1])
+
+
 def load_summary(report: DataFrame) -> DataFrame:
     """Structure warnings (files with extra columns), load pass and fail counts."""
     return report.agg(

@@ -3,6 +3,7 @@ the equivalent DuckDB SQL.  Used by ``__spark_entry__`` and the tests."""
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,16 +15,15 @@ from tidemark.operators import manifest as MF
 from tidemark.operators import merge as M
 from tidemark.operators import runlog as RL
 from tidemark.operators.dedup import keep_last
-from tidemark.operators.normalize import observed_columns, record_vocabulary, resolve_columns
-from tidemark.operators.quality import (audit_structure, expected_columns, rejected_keys, split_rejects,
-                                        validate)
+from tidemark.operators.normalize import observed_columns, raw_columns
+from tidemark.operators.quality import audit_structure, expected_columns, rejected_keys, split_rejects
 from tidemark.plans import bulk as B
 from tidemark.plans import fixtures as FX
-from tidemark.plans.ingest import apply_feed, frame_input, records_input
+from tidemark.plans.ingest import RunLog, apply_feed, frame_input, ingest, records_input
 from tidemark.session import scratch_path
-from tidemark.sources.feeds import classify_lines, of_kind, parse_documents, parse_lines
+from tidemark.sources.feeds import classify_lines, of_kind, parse_lines, read_feed
 from tidemark.sources.store import SnapshotStore
-from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, TableSpec, feed_groups_rows
+from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, TableSpec, feed_groups_rows, norm_name
 from tidemark.streaming.merge_stream import read_batch_log, stream_merge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,7 +111,9 @@ def q_reject_missing_pk(spark, sf):
 SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS o_custkey FROM feed WHERE k IS NULL AND o_custkey IS NOT NULL""")
 def q_agg_rejected_keys(spark, sf):
     _, rejected = split_rejects(_f1(spark, sf).feed, ["k"])
-    return rejected_keys(rejected, "o_custkey")
+    log = RunLog(spark, scratch_path(spark, "run-log"))
+    log.reject(1, rejected_keys(rejected, "o_custkey"))
+    return log.rejected_keys().select(F.col("key").alias("o_custkey"))
 
 
 @register("pk_not_null", f"""WITH {FX.F1_FEED_SQL}
@@ -147,8 +149,8 @@ def q_classify_changes(spark, sf):
 
 @register("agg_change_counts", f"{_W} {_COUNTS_SQL}")
 def q_agg_change_counts(spark, sf):
-    mi, c = _f1_classified(spark, sf)
-    return M.change_summary(mi, c)
+    _, c = _f1_classified(spark, sf, counted=True, how="right_outer")
+    return M.change_summary(c)
 
 
 _STATE_SQL = f"""{_W}
@@ -184,8 +186,7 @@ def q_merge_delete(spark, sf):
 
 @register("join_delete", f"{_W} SELECT k FROM c WHERE action = 'delete'")
 def q_join_delete(spark, sf):
-    mi, c = _f1_classified(spark, sf)
-    return c.where(F.col("_action") == "delete").select("k")
+    return M.deleted_keys(FX.f1_target(spark, sf), M.winners(_f1(spark, sf)), ["k"])
 
 
 @register("merge_upsert", f"{_W} SELECT {F1_COLS}, action FROM c WHERE action IN ('insert', 'update')")
@@ -216,17 +217,16 @@ def q_merge_partial(spark, sf):
 
 
 _BULK = f"""WITH {FX.F1_FEED_SQL},
-bfeed AS (SELECT * FROM feed WHERE k IS NOT NULL),
-ao AS (SELECT * FROM bfeed WHERE flag IN ('A', 'O') QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq DESC) = 1),
-d AS (SELECT DISTINCT k FROM bfeed WHERE flag = 'D')"""
+bfeed AS (SELECT * FROM feed),
+ao AS (SELECT * FROM bfeed WHERE flag IN ('A', 'O') AND k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq DESC) = 1),
+d AS (SELECT DISTINCT k FROM bfeed WHERE flag = 'D' AND k IS NOT NULL)"""
 
 
 @register("merge_bulk", f"""{_BULK}
 SELECT {F1_COLS} FROM tgt WHERE k NOT IN (SELECT k FROM d) AND k NOT IN (SELECT k FROM ao)
 UNION ALL SELECT {F1_COLS} FROM ao""")
 def q_merge_bulk(spark, sf):
-    feed = FX.f1_feed(spark, sf, with_nullkey=False)
-    mi = _f1(spark, sf, feed=feed)
+    mi = _f1(spark, sf)
     c = M.merge(FX.f1_target(spark, sf), mi, mode="bulk")
     return M.next_state(c, mi)
 
@@ -236,17 +236,16 @@ SELECT CAST(COUNT(*) AS BIGINT) AS received,
        CAST(COUNT(*) FILTER (WHERE flag IN ('A', 'O')) AS BIGINT) AS upserted,
        CAST(COUNT(*) FILTER (WHERE flag = 'D') AS BIGINT) AS deleted,
        CAST(COUNT(*) FILTER (WHERE flag IN ('A', 'O', 'D')) AS BIGINT) AS rows_loaded,
-       CAST(0 AS BIGINT) AS null_key_upserts
+       CAST(COUNT(*) FILTER (WHERE flag IN ('A', 'O') AND k IS NULL) AS BIGINT) AS null_key_upserts
 FROM bfeed""")
 def q_agg_bulk_counts(spark, sf):
-    feed = FX.f1_feed(spark, sf, with_nullkey=False)
-    return M.bulk_summary(_f1(spark, sf, feed=feed))
+    return M.bulk_summary(_f1(spark, sf)).drop("bad_rows")
 
 
 @register("distinct_on_key", f"{_BULK} SELECT k, flag, seq FROM ao")
 def q_distinct_on_key(spark, sf):
-    mi = _f1(spark, sf, feed=FX.f1_feed(spark, sf, with_nullkey=False))
-    w = keep_last(mi.feed.drop("_bad"), ["k"], "pos", where=F.col("flag").isin("A", "O"))
+    mi = _f1(spark, sf)
+    w = keep_last(mi.feed.drop("_bad"), ["k"], "pos", where=F.col("flag").isin("A", "O") & F.col("k").isNotNull())
     return w.select("k", "flag", F.col("pos").alias("seq"))
 
 
@@ -254,7 +253,7 @@ def q_distinct_on_key(spark, sf):
 def q_flag_normalize(spark, sf):
     feed = FX.f1_feed(spark, sf).withColumn("flag", F.concat(F.lit(" "), F.lower("flag"), F.lit("  ")))
     mi = _f1(spark, sf, feed=feed)
-    return M.change_summary(mi, M.merge(FX.f1_target(spark, sf), mi))
+    return M.change_summary(M.merge(FX.f1_target(spark, sf), mi, counted=True, how="right_outer"))
 
 
 _W_NOFLAG = _W.replace("SELECT * FROM feed WHERE k IS NOT NULL",
@@ -270,7 +269,7 @@ FROM c, (SELECT COUNT(*) AS received FROM feed) r GROUP BY r.received""")
 def q_flag_default(spark, sf):
     feed = FX.f1_feed(spark, sf).drop("flag")
     mi = _f1(spark, sf, feed=feed)
-    s = M.change_summary(mi, M.merge(FX.f1_target(spark, sf), mi))
+    s = M.change_summary(M.merge(FX.f1_target(spark, sf), mi, counted=True, how="right_outer"))
     return s.select("received", "inserted", "updated", "unchanged")
 
 
@@ -285,6 +284,16 @@ def _cust_feed(spark, sf):
     return parse_lines(FX.customer_lines(spark, sf))
 
 
+def _cust_files(spark, sf):
+    """The same lines, written as files and read back by the feed reader."""
+    return read_feed(spark, FX.write_customer_lines(spark, sf, scratch_path(spark, "customer-lines")), form="lines")
+
+
+def _cust_documents(spark, sf, strict=False):
+    path = FX.write_customer_documents(spark, sf, scratch_path(spark, "customer-documents"))
+    return read_feed(spark, path, form="document", strict=strict)
+
+
 def _cust_typed(spark, sf, feed=None):
     feed = feed or _cust_feed(spark, sf)
     mi, plan = records_input(feed.records, FX.CUSTOMER_SPEC)
@@ -293,14 +302,17 @@ def _cust_typed(spark, sf, feed=None):
 
 @register("scan_ndjson", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(7 AS INTEGER) AS n_keys FROM customer""")
 def q_scan_ndjson(spark, sf):
-    r = _cust_feed(spark, sf).records
+    r = _cust_files(spark, sf).records
     return r.select(F.col("rec").getItem(" C_CustKey ").alias("c_custkey"), F.size("rec").alias("n_keys"))
 
 
 @register("scan_envelope", f"{_CUST_TYPED_SQL} WHERE c_custkey % 71 = 0")
 def q_scan_envelope(spark, sf):
-    lines = FX.customer_lines(spark, sf).where(F.col("value").startswith('{"Table":[') & F.col("value").endswith("]}"))
-    mi, _ = _cust_typed(spark, sf, parse_lines(lines))
+    feed = _cust_files(spark, sf)         # every line is parsed; the records of envelope lines are kept
+    envelope = F.col("value").startswith('{"Table":[') & F.col("value").endswith("]}")
+    rows = feed.lines.select(F.posexplode_outer(F.when(envelope, F.col("rows"))).alias("elem", "rec"), "pos")
+    records = rows.where(F.col("rec").isNotNull()).select(F.struct(F.col("pos").alias("line"), "elem").alias("pos"), "rec")
+    mi, _ = records_input(records, FX.CUSTOMER_SPEC)
     return mi.feed.select(*CUST_TYPED.split(", "))
 
 
@@ -336,8 +348,11 @@ def q_norm_columns(spark, sf):
 
 @register("rename_columns", _KEYS_SQL.format(where="WHERE v.raw_name = 'Account Balance'"))
 def q_rename_columns(spark, sf):
-    o = observed_columns(_cust_feed(spark, sf).records, FX.CUSTOMER_SPEC)
-    return o.where(F.lower(F.trim("raw_name")) != F.col("column_name")).select("raw_name", "column_name", "records")
+    records = _cust_feed(spark, sf).records
+    _, plan = records_input(records, FX.CUSTOMER_SPEC)
+    renamed = [(raw, name) for raw, name in plan.kept if norm_name(raw) != name]
+    names = spark.createDataFrame(renamed, "raw_name string, column_name string")
+    return raw_columns(records).join(F.broadcast(names), "raw_name").select("raw_name", "column_name", "records")
 
 
 @register("filter_malformed", "SELECT c_custkey * 10 + 1 AS pos FROM customer WHERE c_custkey % 97 = 0")
@@ -396,20 +411,22 @@ _PHONE_SPEC = TableSpec.of("customer_by_phone", T.StructType([
 @register("validate_feed", """SELECT DISTINCT 'error' AS level,
   'customer_by_phone: missing PK columns: [''c_phone'']' AS message FROM customer""")
 def q_validate_feed(spark, sf):
-    feed = _cust_feed(spark, sf)
-    plan = resolve_columns(record_vocabulary(feed.records), _PHONE_SPEC)
-    return validate(spark, plan, _PHONE_SPEC)
+    root = scratch_path(spark, "phone-feed")
+    log = RunLog(spark, f"{root}/log")
+    ingest(spark, FX.write_customer_lines(spark, sf, f"{root}/in"), _PHONE_SPEC,
+           SnapshotStore(spark, f"{root}/state", _PHONE_SPEC), log, form="lines")
+    return log.table().where("status = 'VALIDATION_FAILED'").select(F.lit("error").alias("level"), F.col("error_message").alias("message"))
 
 
 @register("scan_document", _CUST_TYPED_SQL)
 def q_scan_document(spark, sf):
-    mi, _ = _cust_typed(spark, sf, parse_documents(FX.customer_documents(spark, sf)))
+    mi, _ = _cust_typed(spark, sf, _cust_documents(spark, sf))
     return mi.feed.select(*CUST_TYPED.split(", "))
 
 
-@register("scan_table_json", f"{_CUST_TYPED_SQL} WHERE c_custkey % 2 = 0")
+@register("scan_table_json", f"{_CUST_TYPED_SQL} WHERE (c_custkey // 200) % 2 = 0")
 def q_scan_table_json(spark, sf):
-    mi, _ = _cust_typed(spark, sf, parse_documents(FX.customer_documents(spark, sf), strict=True))
+    mi, _ = _cust_typed(spark, sf, _cust_documents(spark, sf, strict=True))
     return mi.feed.select(*CUST_TYPED.split(", "))
 
 
@@ -500,7 +517,9 @@ def q_lineitem_keep_last(spark, sf):
 
 @register("run_status", f"WITH {FX.F4_SQL} SELECT id, feed_name, requested_date, status FROM runs")
 def q_run_status(spark, sf):
-    return FX.run_events(spark, sf).select("id", "feed_name", "requested_date", "status")
+    facts = FX.run_facts(spark, sf)
+    status = RL.run_status("received", "error", "validation_error", "http_status", "table_found")
+    return facts.select("id", "feed_name", "requested_date", F.when(F.col("open"), "STARTED").otherwise(status).alias("status"))
 
 
 @register("business_date", f"WITH {FX.F4_SQL} SELECT id, started_at, requested_date FROM runs")
@@ -521,14 +540,18 @@ def q_agg_run_count(spark, sf):
     return RL.run_counts(FX.run_events(spark, sf))
 
 
-@register("join_missed_runs", f"""WITH {FX.F4_SQL}
-SELECT DISTINCT feed_name, requested_date FROM runs r
-WHERE NOT EXISTS (SELECT 1 FROM runs d WHERE d.feed_name = r.feed_name AND d.requested_date = r.requested_date
+@register("join_missed_runs", f"""WITH {FX.F4_SQL},
+span AS (SELECT min(requested_date) AS a, max(requested_date) AS z FROM runs),
+expected AS (SELECT feed_name, CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS requested_date
+             FROM (SELECT DISTINCT feed_name FROM runs UNION SELECT 'feed_absent'), span)
+SELECT feed_name, requested_date FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM runs d WHERE d.feed_name = e.feed_name AND d.requested_date = e.requested_date
                   AND d.status IN ('SUCCESS', 'STARTED', 'NO_CONTENT'))""")
 def q_join_missed_runs(spark, sf):
     runs = FX.run_events(spark, sf)
-    expected = runs.select("feed_name", "requested_date").distinct()
-    return RL.missed_runs(expected, runs)
+    first, last = runs.agg(F.min("requested_date"), F.max("requested_date")).first()
+    feeds = runs.select("feed_name").distinct().unionByName(spark.createDataFrame([("feed_absent",)], "feed_name string"))
+    return RL.missed_runs(RL.expected_runs(feeds, first, last), runs)
 
 
 @register("agg_run_summary", f"""WITH {FX.F4_SQL}
@@ -541,6 +564,14 @@ def q_agg_run_summary(spark, sf):
     return RL.run_summary(FX.run_events(spark, sf), ["requested_date"])
 
 
+def _stored_log(spark, sf):
+    log = RunLog(spark, scratch_path(spark, "run-log"))
+    log.append_events(FX.run_log_events(spark, sf))
+    return log
+
+
+_F4_AT = _dt.datetime.fromisoformat(FX.F4_NOW)
+
 _ABANDON_SQL = f"""WITH {FX.F4_SQL}
 SELECT id, 'ABANDONED' AS status, 'Service restarted or terminated unexpectedly' AS error_message,
        TIMESTAMP '{FX.F4_NOW}' AS finished_at FROM runs WHERE status = 'STARTED'"""
@@ -548,8 +579,9 @@ SELECT id, 'ABANDONED' AS status, 'Service restarted or terminated unexpectedly'
 
 @register("close_stale", _ABANDON_SQL)
 def q_close_stale(spark, sf):
-    log = RL.latest_runs(FX.run_log_events(spark, sf))
-    return RL.abandon_open(log, F.lit(FX.F4_NOW).cast("timestamp_ntz")).select("id", "status", "error_message", "finished_at")
+    log = _stored_log(spark, sf)
+    log.abandon(_F4_AT)
+    return log.table().where("status = 'ABANDONED'").select("id", "status", "error_message", "finished_at")
 
 
 @register("sink_runlog", f"""WITH {FX.F4_SQL}
@@ -558,17 +590,17 @@ SELECT id, feed_name, requested_date,
        CASE WHEN status = 'STARTED' THEN TIMESTAMP '{FX.F4_NOW}' ELSE started_at + INTERVAL 90 SECOND END AS finished_at
 FROM runs""")
 def q_sink_runlog(spark, sf):
-    events = FX.run_log_events(spark, sf)
-    closing = RL.abandon_open(RL.latest_runs(events), F.lit(FX.F4_NOW).cast("timestamp_ntz"))
-    log = RL.latest_runs(events.unionByName(closing))
-    return log.select("id", "feed_name", "requested_date", "status", "finished_at")
+    log = _stored_log(spark, sf)
+    log.abandon(_F4_AT)
+    return log.table().select("id", "feed_name", "requested_date", "status", "finished_at")
 
 
 @register("expire_rows", f"""WITH {FX.F4_SQL}
 SELECT id FROM runs WHERE started_at < TIMESTAMP '{FX.F4_NOW}' - INTERVAL {FX.F4_RETENTION_DAYS} DAY""")
 def q_expire_rows(spark, sf):
-    _, expired = RL.expire(FX.run_events(spark, sf), F.lit(FX.F4_NOW).cast("timestamp_ntz"), FX.F4_RETENTION_DAYS)
-    return expired.select("id")
+    log = _stored_log(spark, sf)
+    log.expire(_F4_AT, FX.F4_RETENTION_DAYS)
+    return FX.run_events(spark, sf).select("id").join(log.table().select("id"), "id", "left_anti")
 
 
 # --------------------------------------------------------------------------- F5: report-file manifest
@@ -592,10 +624,13 @@ def q_join_missing_files(spark, sf):
 
 @register("agg_manifest_counts", f"""WITH {FX.F5_SQL}
 SELECT CAST(COUNT(*) AS BIGINT) AS received, CAST(COUNT(*) FILTER (WHERE doc_id % 3 = 0) AS BIGINT) AS unchanged,
-       CAST(COUNT(*) FILTER (WHERE doc_id % 3 <> 0) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS rejected,
-       CASE WHEN COUNT(*) = 0 THEN 'NO_CONTENT' ELSE 'SUCCESS' END AS status FROM parsed""")
+       CAST(COUNT(*) FILTER (WHERE doc_id % 3 <> 0 AND doc_id % 13 <> 0) AS BIGINT) AS inserted,
+       CAST(COUNT(*) FILTER (WHERE doc_id % 3 <> 0 AND doc_id % 13 = 0) AS BIGINT) AS rejected,
+       CASE WHEN COUNT(*) = 0 THEN 'NO_CONTENT' WHEN COUNT(*) FILTER (WHERE doc_id % 3 <> 0 AND doc_id % 13 = 0) > 0
+            THEN 'WARNINGS' ELSE 'SUCCESS' END AS status FROM parsed""")
 def q_agg_manifest_counts(spark, sf):
-    return MF.manifest_counts(MF.catalog(FX.report_listing(spark, sf), FX.report_manifest(spark, sf)))
+    found = MF.catalog(FX.report_listing(spark, sf), FX.report_manifest(spark, sf))
+    return MF.manifest_counts(found, failed=F.col("doc_id") % 13 == 0)
 
 
 def _manifest_after_replace(spark, sf):
@@ -629,62 +664,82 @@ def q_manifest_pending(spark, sf):
     return MF.pending(_manifest_after_replace(spark, sf)).select("fincode", "report_type", "year_end", "file_name")
 
 
+_MOVED_AT = "2024-03-05 06:07:08"
+
+
 @register("update_location", f"""WITH {FX.F5_SQL}
-SELECT fincode, report_type, year_end, 'blob://' || substr(CAST(year_end AS VARCHAR), 1, 4) || '/' || file_name AS azure_blob_url,
-       'SUCCESS' AS status FROM parsed WHERE doc_id % 3 <> 0 OR doc_id % 2 = 0 OR doc_id % 3 = 0""")
+SELECT fincode, report_type, year_end,
+       CASE WHEN status = 'SUCCESS' AND azure_blob_url LIKE 'local://%' THEN 'blob://' || substr(CAST(year_end AS VARCHAR), 1, 4) || '/' || file_name
+            ELSE azure_blob_url END AS azure_blob_url, status,
+       CASE WHEN status = 'SUCCESS' AND azure_blob_url LIKE 'local://%' THEN '{_MOVED_AT}' ELSE '{FX.F5_AT}' END AS downloaded_at
+FROM manifest""")
 def q_update_location(spark, sf):
-    state = _manifest_after_replace(spark, sf)
-    moved = MF.pending(state).select(
-        "fincode", "report_type", "year_end",
-        F.concat(F.lit("blob://"), period_year("year_end"), F.lit("/"), F.col("file_name")).alias("azure_blob_url"),
-        F.col("fincode").cast("bigint").alias("pos"))
-    mi, _ = frame_input(moved, MF.SPEC, order="pos")
-    out = M.next_state(M.merge(state, mi), mi)
-    return out.select("fincode", "report_type", "year_end", "azure_blob_url", "status")
+    to = F.concat(F.lit("blob://"), period_year("year_end"), F.lit("/"), F.col("file_name"))
+    moved = MF.update_location(FX.report_manifest(spark, sf), to, F.lit(_MOVED_AT).cast("timestamp"))
+    return moved.select("fincode", "report_type", "year_end", "azure_blob_url", "status",
+                        F.date_format("downloaded_at", "yyyy-MM-dd HH:mm:ss").alias("downloaded_at"))
 
 
-# --------------------------------------------------------------------------- F6 + store: streaming and snapshots
+@register("manifest_failed", f"""WITH {FX.F5_SQL}
+SELECT fincode, report_type, year_end, file_name, '' AS azure_blob_url, 'FAILED' AS status, substr(repeat('transfer failed ', 50), 1, 500) AS error_message
+FROM parsed WHERE doc_id % 3 <> 0 AND doc_id % 13 = 0""")
+def q_manifest_failed(spark, sf):
+    new = MF.new_files(FX.report_listing(spark, sf), FX.report_manifest(spark, sf)).where(F.col("doc_id") % 13 == 0)
+    return MF.failed_records(new, F.repeat(F.lit("transfer failed "), 50)).drop("downloaded_at")
 
 
-_STREAM_RUNS: dict = {}
+# --------------------------------------------------------------------------- F6 + store: streaming and snapshots
 
 
-def _run_event_stream(spark, sf, files=4, reuse=True):
-    """Run the event stream once per (session, scale, files); the queries over it
-    read the snapshot and the batch log it wrote."""
-    key = (spark.sparkContext.applicationId, id(spark), sf, files)
-    if reuse and key in _STREAM_RUNS:
-        return _STREAM_RUNS[key]
+def _event_stream(spark, sf, files=4):
+    """Stream all events from ``files`` files that are there at the start."""
     root = scratch_path(spark, "event-stream")
     FX.write_event_feed(spark, sf, f"{root}/in", files=files)
     store = SnapshotStore(spark, f"{root}/state", FX.EVENTS_SPEC)
     stream_merge(spark, f"{root}/in", FX.EVENTS_SPEC, store, checkpoint=f"{root}/_checkpoint",
                  log_dir=f"{root}/log", order_col="event_id", newer_than="event_id", files_per_trigger=1,
                  feed_name="events")
-    _STREAM_RUNS[key] = (store, f"{root}/log")
-    return _STREAM_RUNS[key]
+    return store, f"{root}/log"
+
+
+def _arrivals(spark, sf, parts=3):
+    """The events arrive in ``parts`` slices; after each the stream is started again
+    from its checkpoint and takes that slice as one batch."""
+    root = scratch_path(spark, "event-arrivals")
+    store = SnapshotStore(spark, f"{root}/state", FX.EVENTS_SPEC)
+    for part in range(parts):
+        FX.write_event_file(spark, sf, f"{root}/in", part, parts)
+        stream_merge(spark, f"{root}/in", FX.EVENTS_SPEC, store, checkpoint=f"{root}/_checkpoint", log_dir=f"{root}/log",
+                     order_col="event_id", newer_than="event_id", files_per_trigger=100_000, feed_name="events")
+    return f"{root}/log"
 
 
 @register("stream_merge", """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
        arg_max(value, event_id) AS value FROM events GROUP BY user_id""")
 def q_stream_merge(spark, sf):
-    store, _ = _run_event_stream(spark, sf)
+    store, _ = _event_stream(spark, sf)
     return store.read()
 
 
 @register("agg_feed_totals", """SELECT CAST(COUNT(*) AS BIGINT) AS rows_received,
        CAST(COUNT(DISTINCT user_id) AS BIGINT) AS rows_inserted FROM events""")
 def q_agg_feed_totals(spark, sf):
-    _, log = _run_event_stream(spark, sf)
+    _, log = _event_stream(spark, sf)
     return read_batch_log(spark, log).agg(F.sum("rows_received").cast("bigint").alias("rows_received"),
                                           F.sum("rows_inserted").cast("bigint").alias("rows_inserted"))
 
 
-@register("stream_counts")
+@register("stream_counts", """WITH e AS (SELECT user_id, event_id, event_id % 3 AS batch_id FROM events),
+w AS (SELECT batch_id, user_id, max(event_id) AS event_id, count(*) AS n FROM e GROUP BY ALL),
+s AS (SELECT *, max(event_id) OVER (PARTITION BY user_id ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS had FROM w)
+SELECT batch_id, 'SUCCESS' AS status, CAST(sum(n) AS BIGINT) AS rows_received,
+       CAST(count(*) FILTER (WHERE had IS NULL) AS BIGINT) AS rows_inserted,
+       CAST(count(*) FILTER (WHERE event_id > had) AS BIGINT) AS rows_updated,
+       CAST(sum(n) - count(*) FILTER (WHERE had IS NULL OR event_id > had) AS BIGINT) AS rows_rejected
+FROM s GROUP BY batch_id""")
 def q_stream_counts(spark, sf):
-    _, log = _run_event_stream(spark, sf)
-    return read_batch_log(spark, log).select("batch_id", "status", "rows_received", "rows_inserted",
-                                             "rows_updated", "rows_unchanged", "rows_rejected", "version")
+    return read_batch_log(spark, _arrivals(spark, sf)).select(
+        F.col("batch_id").cast("long"), "status", "rows_received", "rows_inserted", "rows_updated", "rows_rejected")
 
 
 def _f1_store(spark, sf):
@@ -824,7 +879,6 @@ def q_union_rejects(spark, sf):
     return parts[0].unionByName(parts[1]).select("o_custkey", "flag", F.col("pos").alias("seq"))
 
 
-@register("chunk_rows")
+@register("chunk_rows", "SELECT event_id % 3 AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_received FROM events GROUP BY 1")
 def q_chunk_rows(spark, sf):
-    _, log = _run_event_stream(spark, sf, files=6)
-    return read_batch_log(spark, log).select("batch_id", "rows_received")
+    return read_batch_log(spark, _arrivals(spark, sf)).select(F.col("batch_id").cast("long"), "rows_received")

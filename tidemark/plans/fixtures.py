@@ -214,6 +214,17 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known of each run before it has a status: rows received, error texts, the
+    transfer's outcome, whether its table exists, whether it is still open."""
+    r = run_events(spark, sf_dir).withColumnRenamed("status", "kind")
+    k = F.col("kind")
+    return r.select("id", "feed_name", "requested_date", (k == "STARTED").alias("open"), F.lit(True).alias("table_found"),
+                    F.when(k == "NO_CONTENT", 204).otherwise(200).alias("http_status"),
+                    F.when(k == "SUCCESS", F.col("id") + 1).otherwise(F.lit(0)).alias("received"),
+                    F.when(k == "FAILED", "feed failed").alias("error"), F.lit(None).cast("string").alias("validation_error"))
+
+
 F4_SQL = """runs AS (
   SELECT event_id AS id, 'feed_' || CAST(user_id % 7 AS VARCHAR) AS feed_name,
          CAST(CASE WHEN hour(ts) < 6 THEN CAST(ts AS DATE) - INTERVAL 1 DAY ELSE CAST(ts AS DATE) END AS DATE) AS requested_date,
@@ -309,6 +320,30 @@ EVENTS_SPEC = TableSpec.of(
 )
 
 
+def write_customer_lines(spark: SparkSession, sf_dir: str, out_dir: str) -> str:
+    """:func:`customer_lines` as text files, as a vendor delivers them."""
+    customer_lines(spark, sf_dir).select("value").write.text(out_dir)
+    return out_dir
+
+
+def write_customer_documents(spark: SparkSession, sf_dir: str, out_dir: str, per_file: int = 200) -> str:
+    """Documents of ``per_file`` customers, one file each: ``{"Table":[...]}`` for even
+    groups, a bare array for odd ones."""
+    c = table(spark, sf_dir, "customer").withColumn("file", F.floor(F.col("c_custkey") / per_file))
+    docs = c.groupBy("file").agg(F.sort_array(F.collect_list(F.expr(_REC))).alias("rows"))
+    opts = {"pretty": "true"}
+    doc = F.when(F.col("file") % 2 == 0, F.to_json(F.struct(F.col("rows").alias("Table")), opts)).otherwise(F.to_json("rows", opts))
+    docs.select(doc.alias("value"), "file").write.partitionBy("file").text(out_dir)
+    return out_dir
+
+
+def write_event_file(spark: SparkSession, sf_dir: str, out_dir: str, part: int, parts: int) -> None:
+    """One of ``parts`` slices of the events (by event id), appended as JSON lines."""
+    e = table(spark, sf_dir, "events").where(F.col("event_id") % parts == part)
+    (e.select(F.to_json(F.struct("user_id", "event_id", "event_type", "value", F.lit("A").alias("flag"))).alias("value"))
+      .write.mode("append").text(out_dir))
+
+
 def write_event_feed(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
     """Events as JSON lines, ``files`` files split by event_id range (one job)."""
     e = table(spark, sf_dir, "events")

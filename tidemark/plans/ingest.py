@@ -1,20 +1,27 @@
-"""Feed -> merge input: the glue between readers, conformance and the merge."""
+"""Feed -> merge input -> snapshot version -> run log."""
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators import merge as M
+from tidemark.operators import runlog as RL
 from tidemark.operators.merge import MergeInput
-from tidemark.operators.normalize import ColumnPlan, conform, record_vocabulary, resolve_columns
-from tidemark.operators.quality import pk_missing
-from tidemark.spec import (STATUS_EMPTY, STATUS_FAILED, STATUS_STARTED, STATUS_SUCCESS,
-                           STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, TableSpec)
+from tidemark.operators.normalize import ColumnPlan, conform, qcol, record_vocabulary, resolve_columns
+from tidemark.operators.quality import findings, has_null_key, pk_missing
+from tidemark.session import scratch_path
+from tidemark.sources.store import Conflict
+from tidemark.spec import (API_ERROR_CODES, BUSINESS_DAY_CUTOFF_HOUR, DEFAULT_TIMEZONE, NO_CONTENT_CODE,
+                           RUN_LOG_RETENTION_DAYS, STATUS_API_ERROR, STATUS_EMPTY, STATUS_FAILED, STATUS_NO_CONTENT,
+                           STATUS_STARTED, STATUS_SUCCESS, STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, TableSpec)
+
+# Change layers after which a merge folds them into a new base.
+COMPACT_AFTER = 16
 
 
 def frame_input(df: DataFrame, spec: TableSpec, order: str, on_fraction: str = "fail",
@@ -30,41 +37,32 @@ def frame_input(df: DataFrame, spec: TableSpec, order: str, on_fraction: str = "
 
 def records_input(records: DataFrame, spec: TableSpec, on_fraction: str = "fail",
                   require_flag: bool = False, vocabulary: list[str] | None = None) -> tuple[MergeInput, ColumnPlan]:
-    """Parsed records (pos, rec map) -> conformed merge input.  The key vocabulary
-    is computed with one small aggregate unless given (re-parsing the text is
-    cheaper than caching map-typed rows)."""
-    index = None
+    """Parsed records (pos, rec map) -> conformed merge input.  The raw names of the
+    target's columns come from one small aggregate unless given; pass stored records
+    (:func:`staged`) so that their text is parsed once."""
+    index = {k: i for i, k in enumerate(vocabulary)} if vocabulary is not None else None
     if vocabulary is None:
-        vocabulary, index = record_vocabulary(records, with_index=True)
+        vocabulary, index = record_vocabulary(records, spec)
     plan = resolve_columns(vocabulary, spec)
     typed = conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
                     require_flag=require_flag, key_index=index)
     return MergeInput(typed, spec, plan.present), plan
 
 
-def violations_summary(mi: MergeInput) -> DataFrame:
-    """One row: rows holding a value the declared type cannot store, then the
-    count of such rows per column (one aggregate; no per-row lists kept)."""
-    bad = F.col("_bad")
-    cols = [c for c in mi.present if c != "flag"]
-    return mi.feed.agg(F.count_if(F.size(bad) > 0).alias("bad_rows"),
-                       *[F.count_if(F.array_contains(bad, c)).alias(c) for c in cols])
+def staged(feed, spark: SparkSession, name: str = "records") -> tuple[DataFrame, dict]:
+    """The records of a parsed feed, written to shared scratch in the one pass that
+    parses its text, and the counts of its lines (lines, skipped, malformed,
+    status_messages, records)."""
+    obs = Observation(f"lines_{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
+    records = feed.observed(obs)
+    records.write.parquet(path)
+    return spark.read.schema(records.schema).parquet(path), obs.get
 
 
 # --------------------------------------------------------------------------- end to end
 
 
-@contextmanager
-def shuffle_partitions(spark, n: int):
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 @dataclass
 class IngestResult:
     status: str
@@ -77,6 +75,8 @@ class IngestResult:
     version: int | None = None
     error: str | None = None
     warnings: list[str] = field(default_factory=list)
+    malformed: int = 0
+    rejects: DataFrame | None = None      # feed rows without a key, when asked for
 
     @property
     def processed(self) -> int:
@@ -95,165 +95,209 @@ class IngestResult:
                 "error_message": self.error}
 
 
-def touched_buckets(mi: MergeInput, store) -> set[int]:
-    """Bucket ids of the feed's (non-NULL) keys: one narrow pass over the key
-    columns, combined map-side; at most ``store.buckets`` values reach the driver."""
-    # A projection, not a filter: a filter on the key would be pushed below the
-    # conversion projections by inlining them into one oversized expression.
-    b = F.when(~M.has_null_key(mi.keys), store.bucket_of())
-    rows = mi.feed.select(b.alias("b")).distinct().collect()
-    return {int(r["b"]) for r in rows if r["b"] is not None}
-
-
 def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = True,
                batch_id: int | None = None, newer_than: str | None = None,
                fail_on_violation: bool = True, ignore_unknown_flags_first: bool = False,
-               incremental: str = "auto", max_touched_fraction: float = 0.5) -> IngestResult:
+               attempts: int = 3, compact_after: int = COMPACT_AFTER) -> IngestResult:
     """Apply a conformed feed to a snapshot store as one all-or-nothing version.
 
-    One job: keep-last (with the feed's row counts folded into the same
-    aggregation), the join with the bucketed target, and the write of the next
-    version.  With ``incremental`` ("auto", "always", "never") a feed whose keys
-    fall into at most ``max_touched_fraction`` of the buckets reads and rewrites
-    only those buckets; otherwise every bucket is rewritten (no target shuffle).  All counts are observed in the job's final stage, which Spark
-    applies once per partition even when earlier stages are re-run after an
-    executor loss.  The version is committed only when the counts allow it
-    (rows received, no unstorable values, no NULL key on a bulk add/update);
-    otherwise it is discarded and the current version stays.
-    """
-    missing = pk_missing(mi.spec, [c for c in mi.feed.columns])
+    First the feed alone: its last row per key goes to shared scratch, with the feed's
+    counts observed in that job; a feed that is empty or breaks a rule ends here, and
+    the target is not read.  Then the target rows that its keys hit are joined and
+    classified, and the rows that change are written as one change layer.  Counts are
+    observed in that job.  When another writer published in the meantime, the join is
+    done again on the new version, up to ``attempts`` times."""
+    missing = pk_missing(mi.spec, mi.feed.columns)
     if missing:
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
-    touched = None
-    if incremental not in ("auto", "always", "never"):
-        raise ValueError("incremental must be 'auto', 'always' or 'never'")
-    if incremental != "never" and store.current_version() is not None:
-        touched = touched_buckets(mi, store)
-        if not touched and mi.feed.isEmpty():
-            return IngestResult(STATUS_EMPTY)      # an empty feed never touches the target
-        if incremental == "auto" and (len(touched) > max_touched_fraction * store.buckets
-                                      or store.live_versions() >= store.max_live_versions):
-            touched = None                # broad change or scattered versions: full rewrite (compacts)
-    elif mi.feed.isEmpty():                          # stops at the first row
-        return IngestResult(STATUS_EMPTY)
-    target = store.read() if touched is None else store.read_buckets(touched)
-    classified = M.merge(target, mi, mode=mode, change_test=change_test, newer_than=newer_than,
-                         ignore_unknown_flags_first=ignore_unknown_flags_first, counted=True)
-    obs = Observation(f"merge_{uuid.uuid4().hex}")
-    counted = classified.observe(obs, *M.count_columns(F.col("_action")), *M.feed_totals())
-    state = M.next_state(counted, mi)
-    # Plan the keep-last shuffle with the snapshot's bucket count: its output is
-    # then already partitioned like the bucketed target and the join needs no
-    # second exchange on the feed side.
-    with shuffle_partitions(mi.feed.sparkSession, store.buckets):
-        version = store.write(state, batch_id=batch_id, commit=False, buckets=touched)
-    m = obs.get
-    received = int(m["received"])
-    error, status = None, STATUS_SUCCESS
-    if received == 0:
-        status = STATUS_EMPTY
+    spark = mi.feed.sparkSession
+    won = M.bulk_winners(mi, True) if mode == "bulk" else M.counted_winners(mi, ignore_unknown_flags_first)
+    seen = Observation(f"feed_{uuid.uuid4().hex}")
+    path = scratch_path(spark, "winners")
+    won.observe(seen, *M.winner_totals(mi.keys)).write.parquet(path)
+    m = {k: int(v or 0) for k, v in seen.get.items()}
+    res = IngestResult(STATUS_SUCCESS, received=m["received"])
+    if m["received"] == 0:
+        res.status = STATUS_EMPTY
     elif m["bad_rows"] and fail_on_violation:
-        status, error = STATUS_FAILED, f"{m['bad_rows']} rows hold values the declared types cannot store"
+        res.status, res.error = STATUS_FAILED, f"{m['bad_rows']} rows hold values the declared types cannot store"
     elif mode == "bulk" and m["null_key_upserts"]:
-        status, error = STATUS_FAILED, f"NULL primary key in {m['null_key_upserts']} add/update rows"
-    if status != STATUS_SUCCESS:
-        store.discard(version)
-        return IngestResult(status, received=received, error=error)
-    res = IngestResult(STATUS_SUCCESS, received=received, inserted=int(m["inserted"]) + int(m["reinserted"]),
-                       updated=int(m["updated"]), deleted=int(m["deleted"]), unchanged=int(m["unchanged"]),
-                       stale=int(m["stale"]), version=version)
-    if res.processed == 0 and store.current_version() is not None:
-        store.discard(version)            # nothing changed: keep the current version
-        res.version = store.current_version()
-    else:
-        store.commit(version, batch_id=batch_id, extra={"received": received})
-    return res
-
-
-# --------------------------------------------------------------------------- one feed, one run
+        res.status, res.error = STATUS_FAILED, f"NULL primary key in {m['null_key_upserts']} add/update rows"
+    if res.status != STATUS_SUCCESS:
+        return res
+    won = spark.read.schema(won.schema).parquet(path).where(~has_null_key(mi.keys))
+    for _ in range(attempts):
+        previous = store.current_version()
+        first = previous is None
+        target = store.read(previous, keys=won)
+        classified = M.classify(target, won, mi, change_test, bulk=mode == "bulk", newer_than=newer_than, how="right_outer")
+        obs = Observation(f"merge_{uuid.uuid4().hex}")
+        changed = M.change_rows(classified.observe(obs, *M.count_columns(F.col("_action")),
+                                                   F.count_if(F.col("_action") == "reinsert").alias("reinserted")), mi)
+        layer = store.stage(changed.where(~F.col("_gone")) if first else changed, change=not first)
+        n = {k: int(v or 0) for k, v in obs.get.items()}
+        res.inserted, res.updated, res.deleted = n["inserted"] + n["reinserted"], n["updated"], n["deleted"]
+        res.unchanged, res.stale = n["unchanged"], n["stale"]
+        if res.processed == 0 and not first:
+            store.discard(layer)                  # nothing changed: the current version stays
+            res.version = previous
+            return res
+        try:
+            res.version = store.commit(layer, previous, batch_id, {"counts": res.as_row()})
+        except Conflict:
+            continue
+        if len(store.layers(res.version)) > compact_after:
+            try:
+                res.version = store.compact()
+            except Conflict:                      # a later writer will fold the layers
+                pass
+        return res
+    return replace(res, status=STATUS_FAILED, inserted=0, updated=0, deleted=0, unchanged=0, stale=0,
+                   error=f"{mi.spec.name}: other writers published {attempts} times during the merge")
+
+
+# --------------------------------------------------------------------------- run log
 
 
 RUN_EVENT_SCHEMA = ("id long, feed_name string, requested_date date, status string, http_status int, "
                     "rows_received long, processed_rows long, rows_inserted long, rows_updated long, "
-                    "rows_deleted long, rows_unchanged long, rows_rejected long, error_message string, "
-                    "started_at timestamp_ntz, finished_at timestamp_ntz, seq int")
+                    "rows_deleted long, rows_unchanged long, rows_rejected long, rows_malformed long, warnings string, "
+                    "error_message string, started_at timestamp_ntz, finished_at timestamp_ntz, "
+                    "event_at timestamp_ntz, seq int, started_on date")
+REJECTED_KEY_SCHEMA = "id long, key string"
+_EVENT_COLS = [c.split()[0] for c in RUN_EVENT_SCHEMA.split(", ")]
+EXPIRED = "EXPIRED"
 
 
 class RunLog:
-    """Append-only run events under ``root`` (parquet, partitioned by date).  The
-    log table is ``latest_runs(events)``."""
+    """Append-only run events under ``root/events`` (Parquet, by start date) and the
+    rejected keys of each run under ``root/rejected_keys``.  The log table is the last
+    event of each run; a run past retention gets a closing mark that hides it."""
 
-    def __init__(self, spark, root: str):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _write(self, events: DataFrame) -> None:
+        events.write.mode("append").partitionBy("started_on").parquet(f"{self.root}/events")
+
     def append(self, row: dict) -> None:
-        full = {k: row.get(k) for k in [c.split()[0] for c in RUN_EVENT_SCHEMA.split(", ")]}
-        (self.spark.createDataFrame([full], RUN_EVENT_SCHEMA)
-             .write.mode("append").partitionBy("requested_date").parquet(self.root))
+        full = {k: row.get(k) for k in _EVENT_COLS}
+        full["event_at"] = full["event_at"] or full["finished_at"] or full["started_at"]
+        full["started_on"] = full["started_at"].date()
+        self._write(self.spark.createDataFrame([full], RUN_EVENT_SCHEMA))
+
+    def append_events(self, events: DataFrame) -> None:
+        """Events of many runs at once; absent columns are NULL."""
+        have = set(events.columns)
+        full = events.select(*[(F.col(c) if c in have else F.lit(None).cast(t)).alias(c)
+                               for c, t in (x.split(maxsplit=1) for x in RUN_EVENT_SCHEMA.split(", "))])
+        self._write(full.withColumn("event_at", F.coalesce("event_at", "finished_at", "started_at"))
+                    .withColumn("started_on", F.to_date("started_at")))
+
+    def reject(self, run_id: int, keys: DataFrame) -> None:
+        """Keep the (one-column) rejected keys of a run, one row per key."""
+        rows = keys.select(F.lit(run_id).cast("long").alias("id"), F.col(keys.columns[0]).cast("string").alias("key"))
+        rows.write.mode("append").parquet(f"{self.root}/rejected_keys")
+
+    def events(self) -> DataFrame:
+        return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(f"{self.root}/events")
+
+    def rejected_keys(self) -> DataFrame:
+        return self.spark.read.schema(REJECTED_KEY_SCHEMA).parquet(f"{self.root}/rejected_keys")
+
+    def table(self) -> DataFrame:
+        return RL.latest_runs(self.events()).where(F.col("status") != EXPIRED).drop("event_at", "seq", "started_on")
+
+    def abandon(self, now: _dt.datetime) -> None:
+        """Close the runs that are still open (the service was restarted)."""
+        self._write(RL.abandon_open(RL.latest_runs(self.events()), F.lit(now).cast("timestamp_ntz")))
+
+    def expire(self, now: _dt.datetime, days: int = RUN_LOG_RETENTION_DAYS) -> None:
+        """Hide runs started more than ``days`` before ``now``; days that lie wholly
+        before that are deleted from the event folder."""
+        at = F.lit(now).cast("timestamp_ntz")
+        _, old = RL.expire(RL.latest_runs(self.events()).where(F.col("status") != EXPIRED), at, days)
+        self._write(old.withColumns({"status": F.lit(EXPIRED), "event_at": F.greatest(at, "event_at"), "seq": F.col("seq") + 1}))
+        limit = (now - _dt.timedelta(days=days)).date()
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/events")
+        fs = root.getFileSystem(conf)
+        for st in fs.listStatus(root):             # one folder per day
+            name = st.getPath().getName()
+            if name.startswith("started_on=") and name[11:] < limit.isoformat():
+                fs.delete(st.getPath(), True)
+
+
+def requested_date(now: _dt.datetime, given: str | None = None, cutoff_hour: int = BUSINESS_DAY_CUTOFF_HOUR,
+                   tz: str = DEFAULT_TIMEZONE) -> _dt.date:
+    """Business date of a run started at ``now`` (an instant, or a wall-clock time of
+    ``tz``): a given ddMMyyyy date wins; before ``cutoff_hour`` in ``tz`` the run
+    belongs to the previous day."""
+    if given:
+        return _dt.datetime.strptime(given, "%d%m%Y").date()
+    local = now.astimezone(ZoneInfo(tz)) if now.tzinfo else now
+    return (local - _dt.timedelta(days=1)).date() if local.hour < cutoff_hour else local.date()
 
-    def events(self):
-        return self.spark.read.schema(RUN_EVENT_SCHEMA).parquet(self.root)
 
-    def table(self):
-        from tidemark.operators.runlog import latest_runs
-        return latest_runs(self.events())
+# --------------------------------------------------------------------------- one feed, one run
 
 
-def requested_date(now: _dt.datetime, given: str | None = None, cutoff_hour: int = 6) -> _dt.date:
-    """Business date of a run started at local time ``now``: a given ddMMyyyy date
-    wins; before ``cutoff_hour`` the run belongs to the previous day."""
-    if given:
-        return _dt.datetime.strptime(given, "%d%m%Y").date()
-    if now.hour < cutoff_hour:
-        return (now - _dt.timedelta(days=1)).date()
-    return now.date()
+def _load(spark, path, spec, store, form, mode, on_fraction, reject_key) -> IngestResult:
+    from tidemark.sources.feeds import read_feed
+    records, lines = staged(read_feed(spark, path, form=form), spark)
+    malformed = int(lines["malformed"] or 0)
+    vocabulary, index = record_vocabulary(records, spec)
+    plan = resolve_columns(vocabulary, spec)
+    found = findings(plan, spec, received=int(lines["records"] or 0))
+    warnings = [m for level, m in found if level == "warning"]
+    errors = [m for level, m in found if level == "error"]
+    if not lines["records"]:
+        return IngestResult(STATUS_EMPTY, warnings=warnings, malformed=malformed)
+    if errors:
+        return IngestResult(STATUS_VALIDATION_FAILED, received=int(lines["records"]), error=errors[0], warnings=warnings, malformed=malformed)
+    mi = MergeInput(conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
+                            require_flag=(mode == "bulk"), key_index=index), spec, plan.present)
+    res = apply_feed(mi, store, mode=mode)
+    if reject_key in mi.feed.columns:
+        bad = has_null_key([k for k in mi.keys])
+        res.rejects = mi.feed.select(F.when(bad, qcol(reject_key)).alias("key")).where(F.col("key").isNotNull()).distinct()
+    return replace(res, warnings=warnings, malformed=malformed)
 
 
 def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str | None = None,
            target_date: str | None = None, now: _dt.datetime | None = None, form: str = "auto",
-           mode: str = "api", on_fraction: str = "fail") -> dict:
+           mode: str = "api", on_fraction: str = "fail", http_status: int | None = None,
+           reject_key: str = "fincode", tz: str = DEFAULT_TIMEZONE) -> dict:
     """Read one feed (files at ``path``), apply it to ``store`` and log the run.
 
-    Statuses: SUCCESS, EMPTY (no records), VALIDATION_FAILED (key columns missing),
+    ``http_status`` is the outcome of the transfer that brought the files: 204 gives
+    NO_CONTENT, 403 and 404 give API_ERROR, and nothing is read.  Other statuses:
+    SUCCESS, EMPTY (no records), VALIDATION_FAILED (key columns missing),
     TABLE_NOT_FOUND (no spec), FAILED (unstorable values, or an error)."""
-    from tidemark.sources.feeds import read_feed
-    now = now or _dt.datetime.now()
+    now = now or _dt.datetime.now(_dt.timezone.utc)
+    local = now.astimezone(ZoneInfo(tz)).replace(tzinfo=None) if now.tzinfo else now
     feed_name = feed_name or (spec.name if spec is not None else "unknown")
-    run = {"id": int(now.timestamp() * 1e6), "feed_name": feed_name,
-           "requested_date": requested_date(now, target_date), "started_at": now}
+    run = {"id": uuid.uuid4().int >> 65, "feed_name": feed_name, "http_status": http_status,
+           "requested_date": requested_date(now, target_date, tz=tz), "started_at": local}
     if log is not None:
         log.append(dict(run, status=STATUS_STARTED, seq=0))
-    result = {"feed_name": feed_name, "status": None, "rows_received": 0, "processed_rows": 0,
-              "rows_rejected": 0, "error_message": None}
     try:
         if spec is None:
-            result.update(status=STATUS_TABLE_NOT_FOUND, error_message=f"No table found for feed={feed_name}")
+            res = IngestResult(STATUS_TABLE_NOT_FOUND, error=f"No table found for feed={feed_name}")
+        elif http_status == NO_CONTENT_CODE:
+            res = IngestResult(STATUS_NO_CONTENT)
+        elif http_status in API_ERROR_CODES:
+            res = IngestResult(STATUS_API_ERROR, error=f"HTTP {http_status}")
         else:
-            feed = read_feed(spark, path, form=form)
-            records = feed.records
-            vocab, index = record_vocabulary(records, with_index=True)
-            if not vocab:
-                result.update(status=STATUS_EMPTY)
-            else:
-                plan = resolve_columns(vocab, spec)
-                missing = [k for k in spec.pk if k not in plan.resolved]
-                if missing:
-                    result.update(status=STATUS_VALIDATION_FAILED,
-                                  error_message=f"{spec.name}: missing PK columns: {missing}")
-                else:
-                    plan = resolve_columns(vocab, spec)
-                    mi = MergeInput(conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
-                                            require_flag=(mode == "bulk"), key_index=index), spec, plan.present)
-                    res = apply_feed(mi, store, mode=mode)
-                    row = res.as_row()
-                    result.update(status=res.status, rows_received=res.received, processed_rows=res.processed,
-                                  rows_rejected=res.rejected, error_message=res.error,
-                                  rows_inserted=res.inserted, rows_updated=res.updated,
-                                  rows_deleted=res.deleted, rows_unchanged=res.unchanged, version=row["version"])
+            res = _load(spark, path, spec, store, form, mode, on_fraction, reject_key)
     except Exception as e:                       # the run is logged as FAILED, never left open
-        result.update(status=STATUS_FAILED, error_message=str(e).split("\n")[0][:500])
-
+        res = IngestResult(STATUS_FAILED, error=str(e))
+    result = {"feed_name": feed_name, **res.as_row(), "rows_malformed": res.malformed, "warnings": res.warnings}
     if log is not None:
-        log.append(dict(run, seq=1, finished_at=_dt.datetime.now(),
-                        **{k: v for k, v in result.items() if k in RUN_EVENT_SCHEMA and k != "feed_name"}))
+        if res.rejects is not None:
+            log.reject(run["id"], res.rejects)
+        took = _dt.datetime.now(_dt.timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
+        log.append(dict(run, seq=1, finished_at=max(took, local),
+                        **{k: v for k, v in result.items() if k in _EVENT_COLS and k not in ("feed_name", "warnings")},
+                        warnings=" | ".join(res.warnings) or None))
     return result

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,6 +37,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
@@ -47,21 +48,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint root."""
     root = checkpoint_root(spark)
     return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(p: str) -> str:
-    """Strip a ``file:`` scheme for local-filesystem operations."""
-    if p.startswith("file://"):
-        return p[len("file://"):]
-    if p.startswith("file:"):
-        return p[len("file:"):]
-    return p
-
-
-def is_local(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
-def ensure_dir(p: str) -> None:
-    if is_local(p):
-        os.makedirs(local_path(p), exist_ok=True)

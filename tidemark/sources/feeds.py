@@ -42,14 +42,23 @@ class ParsedFeed:
 
     def stats(self) -> DataFrame:
         """One row: lines, skipped, malformed, status_messages, records."""
-        k = F.col("kind")
-        return self.lines.agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if(k == "skip").alias("skipped"),
-            F.count_if(k == "malformed").alias("malformed"),
-            F.count_if(k == "message").alias("status_messages"),
-            F.coalesce(F.sum(F.when(k == "rows", F.size("rows"))), F.lit(0)).cast("bigint").alias("records"),
-        )
+        return self.lines.agg(*_line_counts())
+
+    def observed(self, observation) -> DataFrame:
+        """``records``, with the counts of :meth:`stats` observed in the job that
+        reads them, so a feed's text is parsed once for both."""
+        return _records(self.lines.observe(observation, *_line_counts()))
+
+
+def _line_counts() -> list[Column]:
+    k = F.col("kind")
+    return [
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(k == "skip").alias("skipped"),
+        F.count_if(k == "malformed").alias("malformed"),
+        F.count_if(k == "message").alias("status_messages"),
+        F.coalesce(F.sum(F.when(k == "rows", F.size("rows"))), F.lit(0)).cast("bigint").alias("records"),
+    ]
 
 
 def _wrapped(x: Column) -> Column:
@@ -148,7 +157,14 @@ def _records(classified: DataFrame) -> DataFrame:
     # (see of_kind); lines without records give one NULL element, dropped above.
     return (classified.select("pos", F.posexplode_outer("rows").alias("elem", "rec"))
             .where(F.col("rec").isNotNull())
-            .select(F.struct(F.col("pos").alias("line"), F.col("elem")).alias("pos"), "rec"))
+            .select(F.struct(F.col("pos").alias("line"), F.col("elem")).alias("pos"), last_values(F.col("rec")).alias("rec")))
+
+
+def last_values(rec: Column) -> Column:
+    """A record whose key comes twice keeps the key's first place and last value."""
+    keys, back = F.map_keys(rec), F.reverse(F.map_keys(rec))
+    values = F.transform(F.array_distinct(keys), lambda k: F.element_at(F.map_values(rec), (F.size(keys) - F.array_position(back, k) + 1).cast("int")))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.map_from_arrays(F.array_distinct(keys), values)).otherwise(rec)
 
 
 def parse_lines(lines: DataFrame, value: str = "value", pos: str = "pos") -> ParsedFeed:
@@ -202,7 +218,7 @@ def read_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
 def read_documents(spark: SparkSession, path) -> DataFrame:
     """One row per file: (value, pos=file path).  Each file is one task, so a single
     document must fit a task's memory; split large feeds into several files."""
-    df = spark.read.option("wholetext", "true").text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select("value", F.col("_metadata.file_path").alias("pos"))
 
 
@@ -224,11 +240,3 @@ def read_feed(spark: SparkSession, path, form: str = "auto", strict: bool = Fals
                                    or not of_kind(feed.lines, "message").isEmpty()):
         return parse_documents(read_documents(spark, path), strict=strict)
     return feed
-
-
-def rows_to_records(df: DataFrame, order: str) -> DataFrame:
-    """An already-parsed DataFrame -> records (every column as text)."""
-    cols = [c for c in df.columns if c != order]
-    rec = F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
-                            F.array(*[F.col("`" + c + "`").cast("string") for c in cols]))
-    return df.select(F.col(order).alias("pos"), rec.alias("rec"))

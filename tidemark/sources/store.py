@@ -1,232 +1,204 @@
-"""Versioned table snapshots on plain parquet, rewritten bucket by bucket.
+"""Versioned table snapshots as layers of plain Parquet.
 
 Layout under ``root``::
 
-    data/tm_version=1/part-…_00000.c000.snappy.parquet     bucket 0 as written by version 1
-    data/tm_version=1/part-…_00001.c000.snappy.parquet     bucket 1 …
-    data/tm_version=2/part-…_00001.c000.snappy.parquet     bucket 1 rewritten by version 2
-    _commits/00000001.json   {"version": 1, "owners": [1, 1, …], "batch_id": …}
-    _commits/00000002.json   {"version": 2, "owners": [1, 2, …], …}
-
-``data`` is one table, partitioned by ``tm_version`` and bucketed by the primary
-key (``bucketBy``).  A version owns a set of buckets; its commit file lists, for
-every bucket, the version whose files hold it.  Reading a version keeps the
-owning partitions (partition pruning) and, with a semi-join against the
-(bucket, owner) list (N rows, broadcast), the rows of each bucket's owner.  The
-scan stays a bucketed scan, so a merge join reads the target already
-hash-partitioned on the key: the target side is never shuffled.
-
-A merge that touches few buckets reads and rewrites only those buckets (their
-live files are listed by bucket id); a merge that touches most buckets, or a
-table whose live data is spread over many versions, rewrites every bucket into
-one new partition (which also compacts).
-
-A version is written completely before its commit file appears (written under
-a temporary name, then renamed to a name that never existed); the current
-version is the highest committed one.  Readers see the old or the new version,
-never a partial one; an uncommitted partition is owned by no commit and is
-ignored, and the next write skips its number.  Nothing is overwritten in place.
+    data/<write id>/part-….parquet     one finished write: a base layer or a change layer
+    _commits/00000007.json             the layers of version 7, with their exact files
+
+A *base* layer holds whole rows with unique keys.  A *change* layer holds the rows a
+merge inserted or updated and, marked ``_gone``, the keys it deleted.  A version is
+one base and the change layers after it; reading it takes the last change of each
+key and the base rows whose key has none.  A merge writes in proportion to what it
+changes; ``compact`` folds the layers into a new base, and ``vacuum`` removes
+folders that no kept version names.
+
+Reads use only the files named by a commit: no session catalogue takes part, so any
+application that can reach ``root`` reads the same rows.
+
+Every write goes to a folder of its own.  A version is published by creating its
+commit file, which must not exist, and only on top of the version the write was
+based on; of two writers one gets :class:`Conflict` and leaves nothing behind that a
+reader sees.  This needs a file system whose create-without-overwrite is exclusive
+(HDFS and its like; a local disk for tests).
 """
 
 from __future__ import annotations
 
 import json
 import re
-import zlib
+import time
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.normalize import qcol
 from tidemark.spec import TableSpec
 
-_SAFE = re.compile(r"[^a-z0-9_]")
-_BUCKET_FILE = re.compile(r".*_(\d+)(?:\..*)?$")
-VERSION_COL = "tm_version"
+GONE = "_gone"
+_SEQ = "_layer"
+
+
+class Conflict(RuntimeError):
+    """Another writer published a version in the meantime."""
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, buckets: int | None = None,
-                 database: str | None = None, max_live_versions: int = 8):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark = spark
         self.root = root.rstrip("/")
         self.spec = spec
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.database = database
-        self.max_live_versions = max_live_versions
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        self._fs = self._Path(self.root).getFileSystem(conf)
-        self._pending: dict[int, list[int]] = {}
-        info = self.commit_info()
-        if info is not None and len(info["owners"]) != self.buckets:
-            self.buckets = len(info["owners"])            # the table fixes its bucket count
+        self._Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     # ------------------------------------------------------------------ files
     def _p(self, rel: str):
         return self._Path(f"{self.root}/{rel}")
 
     def _read_text(self, rel: str) -> str | None:
-        p = self._p(rel)
-        if not self._fs.exists(p):
+        if not self._fs.exists(self._p(rel)):
             return None
-        stream = self._fs.open(p)
+        stream = self._fs.open(self._p(rel))
         try:
-            jvm = self.spark.sparkContext._jvm
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            lines, line = [], reader.readLine()
-            while line is not None:
-                lines.append(line)
-                line = reader.readLine()
-            return "\n".join(lines)
+            return bytes(stream.readAllBytes()).decode("utf-8")
         finally:
             stream.close()
 
-    def _write_text(self, rel: str, text: str) -> None:
-        """Write to a temporary name, then rename to a name that never existed."""
-        tmp = self._p(rel + ".tmp")
-        out = self._fs.create(tmp, True)
+    def _create(self, rel: str, text: str) -> bool:
+        """Write a file that must not exist; False if it does."""
+        from py4j.protocol import Py4JJavaError
+        try:
+            out = self._fs.create(self._p(rel), False)
+        except Py4JJavaError as e:
+            if "exist" in str(e.java_exception):
+                return False
+            raise
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
-        dst = self._p(rel)
-        if self._fs.exists(dst) or not self._fs.rename(tmp, dst):
-            raise IOError(f"could not publish {dst}")
+        return True
+
+    def _names(self, rel: str) -> list[str]:
+        d = self._p(rel)
+        return [st.getPath().getName() for st in self._fs.listStatus(d)] if self._fs.exists(d) else []
+
+    def _files(self, write: str) -> list[str]:
+        """The data files of a finished write, relative to ``root``."""
+        listed = self.spark.read.schema(self.spec.schema).parquet(f"{self.root}/data/{write}").inputFiles()
+        return sorted(f"data/{write}/{f.rsplit('/', 1)[-1]}" for f in listed)
 
     # --------------------------------------------------------------- versions
     def current_version(self) -> int | None:
-        d = self._p("_commits")
-        if not self._fs.exists(d):
-            return None
-        names = [st.getPath().getName() for st in self._fs.listStatus(d)]
-        versions = [int(n[:-5]) for n in names if re.fullmatch(r"\d{8}\.json", n)]
+        versions = [int(n[:-5]) for n in self._names("_commits") if re.fullmatch(r"\d{8}\.json", n)]
         return max(versions) if versions else None
 
     def commit_info(self, version: int | None = None) -> dict | None:
         v = self.current_version() if version is None else version
-        if v is None:
-            return None
-        txt = self._read_text(f"_commits/{v:08d}.json")
-        return json.loads(txt) if txt else None
-
-    def owners(self, version: int | None = None) -> list[int] | None:
-        info = self.commit_info(version)
-        return None if info is None else list(info["owners"])
+        text = None if v is None else self._read_text(f"_commits/{v:08d}.json")
+        return json.loads(text) if text else None
 
     def last_batch_id(self) -> int | None:
         info = self.commit_info()
         return None if info is None else info.get("batch_id")
 
-    @property
-    def table_name(self) -> str:
-        base = _SAFE.sub("_", f"tm_{self.spec.name.lower()}_{zlib.crc32(self.root.encode())}")
-        return f"{self.database}.{base}" if self.database else base
-
-    def _register(self) -> str:
-        name = self.table_name
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spec.schema.fields)
-        keys = ", ".join(f"`{k}`" for k in self.spec.pk)
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {VERSION_COL} int) USING parquet "
-            f"PARTITIONED BY ({VERSION_COL}) CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS "
-            f"LOCATION '{self.root}/data'")
-        return name
-
-    def bucket_of(self, df: DataFrame | None = None) -> Column:
-        """Spark's bucket id of a row: ``pmod(hash(key), buckets)``."""
-        keys = [qcol(k) if df is None else df[f"`{k}`"] for k in self.spec.pk]
-        return F.pmod(F.hash(*keys), F.lit(self.buckets))
-
-    def _owners_frame(self, owners: list[int]) -> DataFrame:
-        return self.spark.createDataFrame(list(enumerate(owners)), f"_b int, {VERSION_COL} int")
-
-    def read(self, version: int | None = None) -> DataFrame:
-        """The current (or given) version; an empty frame of the spec's schema when
-        nothing was published yet.  A bucketed scan (hash-partitioned on the key)."""
-        owners = self.owners(version)
-        if owners is None:
-            return self.spark.createDataFrame([], self.spec.schema)
-        name = self._register()
-        self.spark.catalog.refreshTable(name)
-        t = self.spark.table(name).where(F.col(VERSION_COL).isin(sorted(set(owners))))
-        if len(set(owners)) > 1:
-            o = self._owners_frame(owners)
-            t = t.join(F.broadcast(o), (self.bucket_of(t) == o["_b"]) & (t[VERSION_COL] == o[VERSION_COL]),
-                       "left_semi")
-        return t.select(*[qcol(c) for c in self.spec.columns])
-
-    def live_files(self, buckets: set[int], version: int | None = None) -> list[str]:
-        """Files holding the given buckets in a version (listed, not read)."""
-        owners = self.owners(version) or []
-        files = []
-        for v in sorted({owners[b] for b in buckets}):
-            d = self._p(f"data/{VERSION_COL}={v}")
-            if not self._fs.exists(d):
-                continue
-            for st in self._fs.listStatus(d):
-                name = st.getPath().getName()
-                m = _BUCKET_FILE.match(name)
-                if name.startswith((".", "_")) or m is None:
-                    continue
-                b = int(m.group(1))
-                if b in buckets and owners[b] == v:
-                    files.append(st.getPath().toString())
-        return files
-
-    def read_buckets(self, buckets: set[int], version: int | None = None) -> DataFrame:
-        """Only the live rows of the given buckets (a plain, not bucketed, read)."""
-        files = self.live_files(buckets, version)
-        if not files:
+    def layers(self, version: int | None = None) -> list[dict]:
+        info = self.commit_info(version)
+        return [] if info is None else info["layers"]
+
+    # ------------------------------------------------------------------ reads
+    def _layer(self, layer: dict) -> DataFrame:
+        schema = self.spec.schema
+        if layer["kind"] == "change":
+            schema = type(schema)(list(schema.fields)).add(GONE, "boolean")
+        if not layer["files"]:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in layer["files"]])
+
+    def read(self, version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+        """The current (or given) version, or only its rows whose key is in ``keys``;
+        an empty frame of the spec's schema when nothing was published yet.
+
+        The base is filtered by joins whose other side is as small as the changes
+        (or the keys), so Spark broadcasts that side when it is small, and the base is
+        then read without a shuffle."""
+        layers, pk, cols = self.layers(version), list(self.spec.pk), [qcol(c) for c in self.spec.columns]
+        if not layers:
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(*files).select(*[qcol(c) for c in self.spec.columns])
 
-    def live_versions(self) -> int:
-        owners = self.owners()
-        return 0 if owners is None else len(set(owners))
+        def hit(df: DataFrame) -> DataFrame:
+            return df if keys is None else df.join(keys.select(*[qcol(k) for k in pk]), pk, "left_semi")
+
+        base = hit(self._layer(layers[0])).select(*cols)
+        changes = None
+        for i, layer in enumerate(layers[1:]):
+            df = hit(self._layer(layer)).select(*cols, GONE, F.lit(i).alias(_SEQ))
+            changes = df if changes is None else changes.unionByName(df)
+        if changes is None:
+            return base
+        rest = [c for c in self.spec.columns if c not in pk] + [GONE]
+        if len(layers) > 2:
+            last = changes.groupBy(*[qcol(k) for k in pk]).agg(F.max_by(F.struct(*[qcol(c) for c in rest]), F.col(_SEQ)).alias("_w"))
+            changes = last.select(*[qcol(k) for k in pk], *[F.col("_w").getField(c).alias(c) for c in rest])
+        kept = base.join(changes.select(*[qcol(k) for k in pk]), pk, "left_anti").select(*cols)
+        return kept.unionByName(changes.where(~F.col(GONE)).select(*cols))
 
     # ----------------------------------------------------------------- writes
-    def _next_version(self) -> int:
-        v = (self.current_version() or 0) + 1
-        while self._fs.exists(self._p(f"data/{VERSION_COL}={v}")):    # leftovers of a failed write
-            v += 1
-        return v
-
-    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None,
-              commit: bool = True, buckets: set[int] | None = None) -> int:
-        """Write ``df`` as the next version: all buckets, or only ``buckets`` (then
-        ``df`` must hold exactly the rows of those buckets).  Published at once, or
-        left for :meth:`commit` / :meth:`discard` when ``commit`` is False."""
-        name = self._register()
-        cur = self.current_version()
-        v = self._next_version()
-        owners = self.owners() or [v] * self.buckets
-        if buckets is None:
-            owners = [v] * self.buckets
-        else:
-            owners = [v if b in buckets else o for b, o in enumerate(owners)]
-        (df.select(*[qcol(c) for c in self.spec.columns], F.lit(v).alias(VERSION_COL))
-           .write.mode("append").insertInto(name))
-        self._pending[v] = owners
-        if commit:
-            self.commit(v, batch_id, extra, previous=cur)
-        return v
-
-    def commit(self, version: int, batch_id: int | None = None, extra: dict | None = None,
-               previous: int | None = None) -> None:
-        """Make a written version current (its commit file appears atomically)."""
-        owners = self._pending.pop(version)
-        info = {"version": version, "previous": previous, "batch_id": batch_id, "owners": owners}
-        info.update(extra or {})
-        self._write_text(f"_commits/{version:08d}.json", json.dumps(info, default=str))
-
-    def discard(self, version: int) -> None:
-        """Remove a written, uncommitted version."""
-        if self._fs.exists(self._p(f"_commits/{version:08d}.json")):
-            raise ValueError(f"version {version} is committed")
-        self._pending.pop(version, None)
-        self._fs.delete(self._p(f"data/{VERSION_COL}={version}"), True)
-        try:
-            self.spark.sql(f"ALTER TABLE {self.table_name} DROP IF EXISTS PARTITION ({VERSION_COL}={version})")
-        except Exception:       # catalogues that do not track partitions
-            pass
+    def _write_layer(self, df: DataFrame, kind: str) -> dict:
+        write = f"{kind}-{uuid.uuid4().hex}"
+        cols = [qcol(c) for c in self.spec.columns] + ([F.col(GONE)] if kind == "change" else [])
+        # as many files as the data needs, whatever the number of tasks that made the rows
+        df.select(*cols).hint("rebalance").write.parquet(f"{self.root}/data/{write}")
+        return {"write": write, "kind": kind, "files": self._files(write)}
+
+    def stage(self, df: DataFrame, change: bool = False) -> dict:
+        """Write a layer without publishing it; :meth:`commit` or :meth:`discard` it."""
+        return self._write_layer(df, "change" if change else "base")
+
+    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None) -> int:
+        """Publish ``df`` (whole rows, unique keys) as the next version."""
+        previous = self.current_version()
+        return self.commit(self.stage(df), previous, batch_id, extra)
+
+    def commit(self, layer: dict, previous: int | None, batch_id: int | None = None, extra: dict | None = None) -> int:
+        """Publish a staged layer on top of ``previous``, or raise :class:`Conflict`
+        (the layer is then discarded)."""
+        version = (previous or 0) + 1
+        layers = [layer] if layer["kind"] == "base" else [*self.layers(previous), layer]
+        info = dict(extra or {}, version=version, previous=previous, batch_id=batch_id, layers=layers)
+        free = self.current_version() == previous
+        if not free or not self._create(f"_commits/{version:08d}.json", json.dumps(info, default=str)):
+            self.discard(layer)
+            raise Conflict(f"{self.spec.name}: version {version} was published by another writer")
+        return version
+
+    def discard(self, layer: dict) -> None:
+        """Remove a staged, unpublished layer."""
+        self._fs.delete(self._p(f"data/{layer['write']}"), True)
+
+    def compact(self) -> int | None:
+        """Fold all change layers into a new base."""
+        info = self.commit_info()
+        if info is None or len(info["layers"]) == 1:
+            return None if info is None else info["version"]
+        layer = self.stage(self.read(info["version"]))
+        return self.commit(layer, info["version"], info.get("batch_id"), {"compacted": True, "counts": info.get("counts")})
+
+    def vacuum(self, keep: int = 2, min_age_s: float = 86_400) -> list[str]:
+        """Remove write folders that none of the last ``keep`` versions names and
+        that are older than ``min_age_s`` (younger ones may be writes in progress),
+        and the commits of older versions.  Returns the removed folders."""
+        current = self.current_version()
+        if current is None:
+            return []
+        first = max(1, current - keep + 1)
+        used = {x["write"] for v in range(first, current + 1) for x in self.layers(v)}
+        limit, gone = (time.time() - min_age_s) * 1000, []
+        for n in self._names("_commits"):
+            if re.fullmatch(r"\d{8}\.json", n) and int(n[:-5]) < first:
+                self._fs.delete(self._p(f"_commits/{n}"), False)
+        for n in self._names("data"):
+            d = self._p(f"data/{n}")
+            if n not in used and self._fs.getFileStatus(d).getModificationTime() <= limit:
+                self._fs.delete(d, True)
+                gone.append(n)
+        return sorted(gone)

@@ -50,6 +50,13 @@ STATUS_WARNINGS = "WARNINGS"
 DONE_STATUSES = ("SUCCESS", "STARTED", "NO_CONTENT")
 # A run counts as succeeded in a run summary when it has one of these.
 SUCCEEDED_STATUSES = ("SUCCESS", "NO_CONTENT")
+# Transport outcomes: no data, and errors of the feed's service.
+NO_CONTENT_CODE = 204
+API_ERROR_CODES = (403, 404)
+# Findings about a feed.
+MESSAGE_NO_ROWS = "{table}: DataFrame is empty"
+MESSAGE_NO_FLAG = "{table}: column 'flag' is missing from payload; defaulting all rows to flag='A'"
+MESSAGE_NO_KEY = "{table}: missing PK columns: {columns}"
 ABANDON_MESSAGE = "Service restarted or terminated unexpectedly"
 
 # Business date: runs before this local hour belong to the previous day.
@@ -67,9 +74,6 @@ PARSE_ERROR_TEXT_LIMIT = 180
 LOAD_ERROR_TEXT_LIMIT = 200
 FILE_ERROR_TEXT_LIMIT = 500
 
-# Declared-type aliases accepted in specs.
-TYPE_ALIASES = {"datetime": "timestamp", "ntext": "text"}
-
 # Feed groups.
 COMPANY_MASTER_FEEDS = ("Company_master",)
 RESULTS_FEEDS = ("Resultsf_IND_Ex1", "Resultsf_IND_Cons_Ex1")
@@ -202,29 +206,18 @@ class TableSpec:
             renames = COLUMN_RENAMES.get(name.lower(), {})
         return cls(name, schema, tuple(norm_name(k) for k in pk), dict(lengths or {}), dict(renames))
 
+    @classmethod
+    def from_table(cls, spark, table: str, name: str | None = None, pk=None) -> "TableSpec":
+        """Columns, types and VARCHAR limits of an existing table of the session's
+        catalogue; key and renames are those of the fixed values for its name."""
+        fields, lengths = [], {}
+        for f in spark.table(table).schema.fields:
+            declared = str((f.metadata or {}).get("__CHAR_VARCHAR_TYPE_STRING", "")).lower()
+            if declared.startswith(("varchar(", "char(")):
+                lengths[norm_name(f.name)] = int(declared.split("(")[1].rstrip(")"))
+            fields.append(T.StructField(f.name, f.dataType))
+        return cls.of(name or table.rsplit(".", 1)[-1], T.StructType(fields), pk, lengths)
 
-def feed_pairs_rows() -> list[tuple[str, str]]:
-    return list(CONSOLIDATED_PAIRS.items())
-
-
-# Run-log table (one row per run, latest state).
-RUN_LOG_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("feed_name", T.StringType()),
-    T.StructField("requested_date", T.DateType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("http_status", T.IntegerType()),
-    T.StructField("rows_received", T.LongType()),
-    T.StructField("processed_rows", T.LongType()),
-    T.StructField("rows_inserted", T.LongType()),
-    T.StructField("rows_updated", T.LongType()),
-    T.StructField("rows_deleted", T.LongType()),
-    T.StructField("rows_unchanged", T.LongType()),
-    T.StructField("rows_rejected", T.LongType()),
-    T.StructField("error_message", T.StringType()),
-    T.StructField("started_at", T.TimestampNTZType()),
-    T.StructField("finished_at", T.TimestampNTZType()),
-])
 
 # Report-file manifest table.
 MANIFEST_SPEC = TableSpec.of(

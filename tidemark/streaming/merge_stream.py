@@ -1,11 +1,15 @@
 """Structured Streaming: JSON feed files -> ordered micro-batches -> snapshot versions.
 
 ``readStream.text`` picks up new files (oldest first, ``maxFilesPerTrigger`` per
-batch); ``foreachBatch`` parses, conforms and merges each batch into the
-snapshot store as one version that records the batch id, so a batch replayed
-after a failure is skipped (exactly-once effect on the snapshot).  The streaming
-checkpoint lives in the shared checkpoint folder.  Per-batch counts are
-appended to a run-log folder, one idempotent partition per batch.
+batch); ``foreachBatch`` parses each batch once, and merges it into the snapshot
+store as one version.  The commit of the version holds the batch id and its counts: a
+replayed batch is recognised by the id, and its log row is written again from the
+commit, so neither rows nor counts appear twice or get lost.
+
+A batch that fails (values that cannot be stored, a missing key column) raises, so the
+stream stops before it is checkpointed and the batch is read again after a restart; with
+``quarantine`` its lines go to that folder instead and the stream goes on.  A batch
+without records is EMPTY and passes.
 """
 
 from __future__ import annotations
@@ -14,53 +18,69 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.merge import MergeInput
 from tidemark.operators.normalize import conform, record_vocabulary, resolve_columns
-from tidemark.plans.ingest import apply_feed
+from tidemark.operators.quality import pk_missing
+from tidemark.plans.ingest import IngestResult, apply_feed, staged
 from tidemark.sources.feeds import parse_lines
 from tidemark.sources.store import SnapshotStore
-from tidemark.spec import TableSpec
+from tidemark.spec import STATUS_EMPTY, STATUS_SUCCESS, STATUS_VALIDATION_FAILED, TableSpec
+
+
+class BatchFailed(RuntimeError):
+    """A micro-batch could not be applied; nothing of it was."""
 
 
-def batch_input(batch: DataFrame, spec: TableSpec, order_col: str | None = None,
-                vocabulary: list[str] | None = None) -> MergeInput:
-    """One micro-batch of text lines -> conformed merge input.  Arrival order is
-    the feed's own ``order_col`` when given (files of one batch carry no order
-    among themselves), else the line position (file, split offset, row).
-    ``vocabulary`` (the record keys, in their usual order) skips the per-batch
-    key pass when the feed's shape is known."""
+def _apply_batch(batch: DataFrame, spec: TableSpec, store: SnapshotStore, batch_id: int, order_col: str | None,
+                 newer_than: str | None) -> IngestResult:
+    """Arrival order is the feed's own ``order_col`` when given (files of one batch
+    carry no order among themselves), else the line position (file, split offset, row)."""
     lines = batch.select("value", F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
                                            F.monotonically_increasing_id().alias("row")).alias("pos"))
-    records = parse_lines(lines).records
-    if vocabulary is None:
-        vocab, index = record_vocabulary(records, with_index=True)
-    else:
-        vocab, index = list(vocabulary), {k: i for i, k in enumerate(vocabulary)}
-    plan = resolve_columns(vocab, spec)
+    records, counts = staged(parse_lines(lines), batch.sparkSession, "batch")
+    malformed = int(counts["malformed"] or 0)
+    if not counts["records"]:
+        return IngestResult(STATUS_EMPTY, malformed=malformed)
+    vocabulary, index = record_vocabulary(records, spec)
+    plan = resolve_columns(vocabulary, spec)
+    missing = pk_missing(spec, plan.resolved)
+    if missing:
+        return IngestResult(STATUS_VALIDATION_FAILED, received=int(counts["records"]), malformed=malformed,
+                            error=f"{spec.name}: missing PK columns: {missing}")
     typed = conform(records, spec, plan, rec="rec", pos="pos", key_index=index)
     if order_col is not None:
         typed = typed.withColumn("pos", F.col(order_col))
-    return MergeInput(typed, spec, plan.present)
+    res = apply_feed(MergeInput(typed, spec, plan.present), store, batch_id=batch_id, newer_than=newer_than)
+    res.malformed = malformed
+    return res
 
 
 def stream_merge(spark: SparkSession, source_dir: str, spec: TableSpec, store: SnapshotStore,
                  checkpoint: str, log_dir: str | None = None, order_col: str | None = None,
                  newer_than: str | None = None, files_per_trigger: int = 1, feed_name: str | None = None,
-                 vocabulary: list[str] | None = None):
+                 quarantine: str | None = None):
     """Run the stream until the files present now are processed (availableNow)."""
     src = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
            .load(source_dir).select("value", F.col("_metadata.file_path").alias("_file"),
                                     F.col("_metadata.file_block_start").alias("_block")))
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        done = store.last_batch_id()
-        if done is not None and batch_id <= done:
-            return                                   # replay of a committed batch
-        mi = batch_input(batch, spec, order_col, vocabulary)
-        res = apply_feed(mi, store, batch_id=batch_id, newer_than=newer_than)
+    def log(batch_id: int, row: dict) -> None:
+        """One folder per batch, overwritten by a replay: a batch has one row."""
         if log_dir is not None:
-            row = res.as_row()
-            row.update({"batch_id": batch_id, "feed_name": feed_name or spec.name})
-            (spark.createDataFrame([row], _LOG_SCHEMA)
-                  .write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}"))
+            row = {**row, "batch_id": batch_id, "feed_name": feed_name or spec.name}
+            (spark.createDataFrame([row], _LOG_SCHEMA).write.mode("overwrite").parquet(f"{log_dir}/batch_id={batch_id}"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        done = store.commit_info()
+        if done is not None and done.get("batch_id") is not None and batch_id <= done["batch_id"]:
+            if batch_id == done["batch_id"] and done.get("counts"):
+                log(batch_id, {**done["counts"], "version": done["version"]})   # the row a crash may have kept back
+            return                                   # replay of a published batch
+        res = _apply_batch(batch, spec, store, batch_id, order_col, newer_than)
+        log(batch_id, {**res.as_row(), "rows_malformed": res.malformed})
+        if res.status not in (STATUS_SUCCESS, STATUS_EMPTY):
+            if quarantine is None:
+                raise BatchFailed(f"batch {batch_id}: {res.status}: {res.error}")
+            (batch.select("value", F.col("_file").alias("file")).write.mode("overwrite")
+                  .parquet(f"{quarantine}/batch_id={batch_id}"))
 
     q = (src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -69,8 +89,8 @@ def stream_merge(spark: SparkSession, source_dir: str, spec: TableSpec, store: S
 
 
 _LOG_SCHEMA = ("status string, rows_received long, rows_inserted long, rows_updated long, rows_deleted long, "
-               "rows_unchanged long, rows_rejected long, processed_rows long, version long, error_message string, "
-               "batch_id long, feed_name string")
+               "rows_unchanged long, rows_rejected long, rows_malformed long, processed_rows long, version long, "
+               "error_message string, batch_id long, feed_name string")
 
 
 def read_batch_log(spark: SparkSession, log_dir: str) -> DataFrame:
