@@ -39,7 +39,8 @@ def test_hot_key_is_whole(spark):
 def test_a_small_feed_does_not_shuffle_the_target(spark, tmp_dir):
     store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
-    keys = spark.createDataFrame([(i,) for i in range(10)], "k long")
+    spark.range(10).selectExpr("id AS k").write.parquet(os.path.join(tmp_dir, "keys"))
+    keys = spark.read.parquet(os.path.join(tmp_dir, "keys"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = _plan(store.read(keys=keys))
