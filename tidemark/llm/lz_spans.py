@@ -157,6 +157,7 @@ def without_copies(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     told = stored(told, "lz_blocks")
     checked = stored(boundary_windows(rows.join(told.where(F.size("mixed") > 0), "doc_id"), window), "lz_windows")
     first = checked.groupBy("win", "anchor").agg(F.min("doc_id").alias("earliest"), F.max("doc_id").alias("latest")).where("earliest < latest")
+    first = stored(first, "lz_first")  # and so is a frequent window here
     late = (checked.join(first.select("win", "anchor", "earliest"), ["win", "anchor"]).where("earliest < doc_id")
             .groupBy("doc_id").agg(F.collect_set("win").alias("windows")))
     lists = stored(told.select("doc_id", "copied").join(late, "doc_id", "left"), "lz_lists")
