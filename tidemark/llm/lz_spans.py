@@ -175,12 +175,12 @@ WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0
 win AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win
         FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)),
 dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS earliest FROM win) WHERE earliest < doc_id),
-gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS at FROM dup GROUP BY doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS places FROM dup GROUP BY doc_id),
 runs AS (SELECT doc_id, count(*) AS n_factors FROM
            (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS step FROM dup) WHERE step IS NULL OR step > 13 GROUP BY doc_id)
-SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(at), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(CASE WHEN at IS NULL THEN words
-              ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda p: NOT list_contains(at, p[2])), lambda p: p[1]) END, ' ')) AS kept_sha256,
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN places IS NULL THEN words
+              ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda p: NOT list_contains(places, p[2])), lambda p: p[1]) END, ' ')) AS kept_sha256,
        coalesce(n_factors, 0)::BIGINT AS n_factors
 FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN runs USING (doc_id)
 """
