@@ -63,7 +63,10 @@ def test_nation_payload_fixture(spark):
                                                   T.StructField("n_name", T.StringType()),
                                                   T.StructField("n_regionkey", T.IntegerType())]), pk=["n_nationkey"])
     mi, plan = records_input(feed.records, spec)
-    assert plan.extra == ["extra_col"] and plan.missing == []
+    assert plan.extra == [] and plan.missing == []        # unknown keys never reach the plan …
+    from tidemark.operators.normalize import observed_columns
+    known = {*spec.columns, "flag"}
+    assert {r["column_name"] for r in observed_columns(feed.records, spec).collect()} - known == {"extra_col"}     # … but a frame
     assert mi.feed.agg(F.sum("n_regionkey")).first()[0] == 50
 
 

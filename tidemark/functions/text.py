@@ -18,10 +18,10 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Unicode-aware trim of both ends (Python ``str.strip``).  The regex runs only
-    when the first or last character is a space of some kind."""
+    when the first or last character is not a visible ASCII character."""
     c = _col(c)
-    edge = F.substring(c, 1, 1).rlike(r"(?U)\s") | F.substring(c, -1, 1).rlike(r"(?U)\s")
-    return F.when(edge, F.regexp_replace(c, _EDGE_SPACE, "")).otherwise(c)
+    plain = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    return F.when(plain, c).otherwise(F.regexp_replace(c, _EDGE_SPACE, ""))
 
 
 def blank_to_null(c) -> Column:

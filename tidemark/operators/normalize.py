@@ -69,26 +69,45 @@ def _norm(raw: Column) -> Column:
     return F.lower(strip(raw))
 
 
-def raw_columns(records: DataFrame, rec: str = "rec", pos: str = "pos") -> DataFrame:
-    """raw_name, records, first (place of its first appearance): every key the records
-    carry.  Records are first grouped by their key set (feeds repeat a few shapes),
-    which collapses them map-side; only distinct key sets are exploded."""
-    shapes = records.groupBy(F.map_keys(F.col(rec)).alias("ks")).agg(F.min(F.col(pos)).alias("p"), F.count(F.lit(1)).alias("n"))
-    return (shapes.select("p", "n", F.posexplode("ks").alias("i", "raw_name"))
-            .groupBy("raw_name").agg(F.sum("n").alias("records"), F.min(F.struct("p", "i")).alias("first")))
+def _shapes(records: DataFrame, rec: str, *aggs: Column) -> DataFrame:
+    """The distinct key lists of the records: feeds repeat a few, which collapse map-side."""
+    return records.groupBy(F.map_keys(F.col(rec)).alias("ks")).agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+
+def raw_columns(records: DataFrame, rec: str = "rec") -> DataFrame:
+    """raw_name, records, place (its usual place in a record): every key the records carry."""
+    return (_shapes(records, rec).select("n", F.posexplode("ks").alias("i", "raw_name"))
+            .groupBy("raw_name").agg(F.sum("n").alias("records"), F.min("i").alias("place")))
+
+
+def _first_seen(records: DataFrame, rec: str, pos: str) -> DataFrame:
+    """raw_name, first: where each key appears first."""
+    return (_shapes(records, rec, F.min(F.col(pos)).alias("p")).select("p", F.posexplode("ks").alias("i", "raw_name"))
+            .groupBy("raw_name").agg(F.min(F.struct("p", "i")).alias("first")))
 
 
 def record_vocabulary(records: DataFrame, spec: TableSpec, rec: str = "rec", pos: str = "pos") -> tuple[list[str], dict[str, int]]:
     """The raw names that stand for the target's columns (and ``flag``), in order of
-    first appearance, and each one's place in the first record that has it.
+    first appearance where that matters, and each one's usual place in a record.
 
     Per normalised name the first and the last spelling are kept, so what reaches the
-    driver is bounded by the spec, whatever other keys the feed carries."""
+    driver is bounded by the spec, whatever other keys the feed carries.  Only names
+    that come in several spellings are traced to their first record."""
     wanted = sorted({*spec.columns, "flag", *spec.renames})
-    known = (raw_columns(records, rec, pos).withColumn("name", _norm(F.col("raw_name"))).where(F.col("name").isin(wanted))
-             .groupBy("name").agg(F.min_by(F.struct("raw_name", "first"), "first").alias("a"), F.max_by(F.struct("raw_name", "first"), "first").alias("z")))
-    rows = known.select(F.explode(F.array_distinct(F.array("a", "z"))).alias("x")).select("x.*").orderBy("first").collect()
-    return [r["raw_name"] for r in rows], {r["raw_name"]: int(r["first"]["i"]) for r in rows}
+    named = raw_columns(records, rec).withColumn("name", _norm(F.col("raw_name"))).where(F.col("name").isin(wanted))
+    rows = named.groupBy("name").agg(F.min("raw_name").alias("a"), F.max("raw_name").alias("z"), F.min("place").alias("i")).orderBy("i", "name").collect()
+    single = [(r["a"], int(r["i"])) for r in rows if r["a"] == r["z"]]
+    several = [r["name"] for r in rows if r["a"] != r["z"]]
+    # a vendor name and its target name are one column too: their order counts
+    targets = {t for n, t in spec.renames.items() for r in rows if r["name"] == n}
+    several += [r["name"] for r in rows if r["a"] == r["z"] and (r["name"] in targets or spec.renames.get(r["name"]) in {x["name"] for x in rows})]
+    if several:
+        single = [(raw, i) for raw, i in single if norm_name(raw) not in several]
+        seen = _first_seen(records, rec, pos).withColumn("name", _norm(F.col("raw_name"))).where(F.col("name").isin(several))
+        ends = seen.groupBy("name").agg(F.min_by(F.struct("raw_name", "first"), "first").alias("a"), F.max_by(F.struct("raw_name", "first"), "first").alias("z"))
+        found = ends.select(F.explode(F.array_distinct(F.array("a", "z"))).alias("x")).select("x.*").orderBy("first").collect()
+        single += [(r["raw_name"], int(r["first"]["i"])) for r in found]
+    return [raw for raw, _ in single], dict(single)
 
 
 def conform(df: DataFrame, spec: TableSpec, plan: ColumnPlan, rec: str | None = None,
@@ -179,11 +198,12 @@ def observed_columns(records: DataFrame, spec: TableSpec, rec: str = "rec", pos:
     """(table_name, raw_name, column_name, records): every key the records carry,
     resolved like :func:`resolve_columns` does, with the number of records carrying it.
     A distributed aggregate, so a feed may carry any number of unknown keys."""
-    names = raw_columns(records, rec, pos).withColumn("norm", _norm(F.col("raw_name")))
+    names = raw_columns(records, rec).withColumn("norm", _norm(F.col("raw_name")))
     resolved = F.col("norm")
     if spec.renames:
         m = F.create_map(*[x for kv in spec.renames.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-        last = names.where(F.col("norm").isin(sorted(spec.renames))).groupBy("norm").agg(F.max_by("raw_name", "first").alias("last"))
+        last = (_first_seen(records, rec, pos).withColumn("norm", _norm(F.col("raw_name"))).where(F.col("norm").isin(sorted(spec.renames)))
+                .groupBy("norm").agg(F.max_by("raw_name", "first").alias("last")))
         names = names.join(F.broadcast(last), "norm", "left")
         resolved = F.when(F.col("raw_name") == F.col("last"), F.element_at(m, F.col("norm"))).otherwise(F.col("norm"))
     return names.select(F.lit(spec.name.lower()).alias("table_name"), "raw_name", resolved.alias("column_name"), "records")
