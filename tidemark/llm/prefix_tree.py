@@ -181,6 +181,7 @@ def write_tree(conversations: DataFrame, tokenizer_path: str) -> tuple[DataFrame
                                 F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     turns = stored(_turns(rows), "tree_turns")
     branching = turns.select("parent", "node").distinct().groupBy("parent").count().where("count > 1").select("parent", F.lit(True).alias("branch"))
+    branching = stored(branching, "tree_branching")
     # a frequent first turn is a skewed key of this join; its partition is split at run time
     marked = turns.select("conv_id", "depth", "node", "parent").join(branching, "parent", "left")
     so_far = Window.partitionBy("conv_id").orderBy("depth")
