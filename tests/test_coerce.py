@@ -33,8 +33,16 @@ def test_doubles_and_decimals(spark):
     assert [b for _, b in dec] == [False, True, False]
 
 
+def test_accepted_timestamp_forms(spark):
+    """The forms the target's store takes: ISO, digits only, month first; a bare year is none."""
+    good = ["20240131", "01/31/2024", "2024-01-31", "2024-1-31 00:00:00", "20240131 00:00:00", "1/31/2024T00:00:00"]
+    rows = _one(spark, [*good, "2024", "2024-01", "31.01.2024", "20241301", "noon"], T.TimestampNTZType())
+    assert [b for _, b in rows] == [False] * len(good) + [True] * 5
+    assert {str(v) for v, _ in rows[:len(good)]} == {"2024-01-31 00:00:00"}
+
+
 def test_timestamps_and_lengths(spark):
-    ts = _one(spark, ["2024-01-02 03:04:05", "2024-01-02", "02/01/2024", None], T.TimestampNTZType())
+    ts = _one(spark, ["2024-01-02 03:04:05", "2024-01-02", "31/01/2024", None], T.TimestampNTZType())
     assert [b for _, b in ts] == [False, False, True, False]
     s = _one(spark, ["abc", " abcdef ", "  "], T.StringType(), max_len=5)
     assert s == [("abc", False), ("abcdef", True), (None, False)]

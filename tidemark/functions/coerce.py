@@ -7,7 +7,9 @@ Rules (per declared type):
   (``on_fraction='fail'``) or becomes NULL (``on_fraction='null'``);
 * floating point: text that is not a number -> NULL, NaN -> NULL;
 * decimal: not a number -> NULL; overflow is a violation;
-* timestamp / date: unparseable text is a violation (the store would refuse it);
+* timestamp / date: the accepted forms are ``yyyy-MM-dd``, ``yyyyMMdd`` and
+  ``MM/dd/yyyy``, each with a time and zone after a space or ``T`` if any; other text
+  (a bare year too) is a violation (the store would refuse it);
 * varchar(n): longer text is a violation.
 
 Spark 4 runs with ANSI mode, so every conversion uses ``try_cast``; a numeric
@@ -65,18 +67,26 @@ def to_decimal(s: Column, dtype: T.DecimalType) -> tuple[Column, Column]:
     return value, num & value.isNull()
 
 
+def iso_date_text(s: Column) -> Column:
+    """Date text of an accepted form with its date as ``yyyy-MM-dd``; else NULL."""
+    rest = r"(?:[T ].*)?$"
+    return (F.when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}" + rest), s)
+            .when(s.rlike(r"^\d{8}" + rest), F.regexp_replace(s, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"))
+            .when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}" + rest), F.regexp_replace(s, r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2")))
+
+
 def to_timestamp_ntz(s: Column) -> tuple[Column, Column]:
-    value = s.try_cast("timestamp_ntz")
+    value = iso_date_text(s).try_cast("timestamp_ntz")
     return value, s.isNotNull() & value.isNull()
 
 
 def to_timestamp(s: Column) -> tuple[Column, Column]:
-    value = s.try_cast("timestamp")
+    value = iso_date_text(s).try_cast("timestamp")
     return value, s.isNotNull() & value.isNull()
 
 
 def to_date(s: Column) -> tuple[Column, Column]:
-    value = s.try_cast("date")
+    value = iso_date_text(s).try_cast("date")
     return value, s.isNotNull() & value.isNull()
 
 

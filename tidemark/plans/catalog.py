@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.coerce import coerce, is_fractional
-from tidemark.functions.names import period_year
+from tidemark.functions.dates import elapsed_seconds, format_ddmmyyyy, parse_ddmmyyyy
+from tidemark.functions.names import period_year, strip_local_prefix
 from tidemark.functions.text import blank_to_null, clean_text
 from tidemark.operators import manifest as MF
 from tidemark.operators import merge as M
@@ -481,14 +482,18 @@ def q_agg_coerce_counts(spark, sf):
                  F.count(vd).alias("numeric"), F.count_if(bad).alias("fractional"))
 
 
-@register("coerce_timestamp", f"""WITH {FX.F3_SQL}, y AS (
-  SELECT l_orderkey, l_linenumber,
-         CASE WHEN l_orderkey % 17 = 0 THEN 'not a date' ELSE CAST(l_shipdate AS VARCHAR) END AS ts_text FROM x)
-SELECT l_orderkey, l_linenumber, TRY_CAST(ts_text AS TIMESTAMP) AS ts,
-       TRY_CAST(ts_text AS TIMESTAMP) IS NULL AS bad FROM y""")
+@register("coerce_timestamp", f"""WITH {FX.F3_SQL}
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 THEN NULL
+            WHEN l_orderkey % 23 = 0 OR l_orderkey % 29 = 0 THEN CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)
+            ELSE CAST(l_shipdate AS TIMESTAMP) END AS ts,
+       l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 AS bad FROM x""")
 def q_coerce_timestamp(spark, sf):
     t = FX.lineitem_text(spark, sf)
-    txt = F.when(F.col("l_orderkey") % 17 == 0, F.lit("not a date")).otherwise(F.col("l_shipdate").cast("string"))
+    k, at = F.col("l_orderkey"), F.col("l_shipdate")
+    txt = (F.when(k % 17 == 0, F.lit("not a date")).when(k % 19 == 0, F.date_format(at, "yyyy"))
+           .when(k % 23 == 0, F.date_format(at, "yyyyMMdd")).when(k % 29 == 0, F.date_format(at, "MM/dd/yyyy"))
+           .otherwise(at.cast("string")))
     v, bad = coerce(txt, T.TimestampNTZType())
     return t.select("l_orderkey", "l_linenumber", v.alias("ts"), bad.alias("bad"))
 
@@ -534,6 +539,14 @@ def q_runlog_latest(spark, sf):
     return RL.latest_runs(FX.run_log_events(spark, sf)).select("id", "status", "finished_at")
 
 
+@register("run_times", f"""WITH {FX.F4_SQL}
+SELECT id, strftime(requested_date, '%d%m%Y') AS day_text, requested_date AS day,
+       CASE WHEN status <> 'STARTED' THEN CAST(90 AS BIGINT) END AS seconds FROM runs""")
+def q_run_times(spark, sf):
+    log = RL.latest_runs(FX.run_log_events(spark, sf)).withColumn("day_text", format_ddmmyyyy("requested_date"))
+    return log.select("id", "day_text", parse_ddmmyyyy("day_text").alias("day"), elapsed_seconds("started_at", "finished_at").alias("seconds"))
+
+
 @register("agg_run_count", f"""WITH {FX.F4_SQL}
 SELECT feed_name, requested_date, status, CAST(COUNT(*) AS BIGINT) AS runs FROM runs GROUP BY ALL""")
 def q_agg_run_count(spark, sf):
@@ -664,6 +677,13 @@ def q_manifest_pending(spark, sf):
     return MF.pending(_manifest_after_replace(spark, sf)).select("fincode", "report_type", "year_end", "file_name")
 
 
+@register("manifest_local_paths", f"""WITH {FX.F5_SQL}
+SELECT file_name, replace(azure_blob_url, 'local://', '') AS path FROM manifest
+WHERE status = 'SUCCESS' AND azure_blob_url LIKE 'local://%'""")
+def q_manifest_local_paths(spark, sf):
+    return MF.pending(FX.report_manifest(spark, sf)).select("file_name", strip_local_prefix("azure_blob_url").alias("path"))
+
+
 _MOVED_AT = "2024-03-05 06:07:08"
 
 
