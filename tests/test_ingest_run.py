@@ -125,3 +125,24 @@ def test_spec_from_a_table(spark):
         assert spec.dtype("fincode").simpleString() == "int"
     finally:
         spark.sql("DROP TABLE board_t")
+
+
+def test_broken_bytes_are_replaced(spark, tmp_dir, place):
+    store, log = place
+    path = os.path.join(tmp_dir, "b.txt")
+    with open(path, "wb") as f:
+        f.write(b'{"fincode": 1, "name": "a\xffb", "flag": "A"}\n{"fincode": 2, "name": "\xc3\xa9", "flag": "A"}\n')
+    assert ingest(spark, path, SPEC, store, log, now=NOON)["rows_inserted"] == 2
+    assert {r.name for r in store.read().collect()} == {"a�b", "é"}
+
+
+def test_error_text_is_kept_whole(spark, tmp_dir, place, monkeypatch):
+    store, log = place
+    text = "first line\n" + "x" * 2000
+
+    def broken(*_, **__):
+        raise RuntimeError(text)
+
+    monkeypatch.setattr(store, "read", broken)
+    r = ingest(spark, _file(tmp_dir, '{"fincode": 1, "name": "a", "flag": "A"}'), SPEC, store, log, now=NOON)
+    assert r["status"] == "FAILED" and r["error_message"] == text == log.table().first().error_message
