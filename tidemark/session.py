@@ -10,7 +10,11 @@ from pyspark.sql import SparkSession
 
 def builder(master: str | None = None, shuffle_partitions: int = 8, app: str = "tidemark"):
     """Session defaults for local runs and tests.  On a cluster, pass the
-    cluster's own settings; nothing here is required by the library."""
+    cluster's own settings; nothing here is required by the library.
+
+    The method limit is worth taking over: feeds are parsed and converted by wide
+    projections, and the JVM does not compile methods above 8000 bytes of code, so
+    above that Spark had better generate them in pieces."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -19,6 +23,7 @@ def builder(master: str | None = None, shuffle_partitions: int = 8, app: str = "
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false"))
