@@ -146,3 +146,12 @@ def test_error_text_is_kept_whole(spark, tmp_dir, place, monkeypatch):
     monkeypatch.setattr(store, "read", broken)
     r = ingest(spark, _file(tmp_dir, '{"fincode": 1, "name": "a", "flag": "A"}'), SPEC, store, log, now=NOON)
     assert r["status"] == "FAILED" and r["error_message"] == text == log.table().first().error_message
+
+
+def test_empty_file_and_empty_folder_of_lines(spark, tmp_dir, place):
+    store, log = place
+    for text in ([""], ["", "  ", "]"]):
+        assert ingest(spark, _file(tmp_dir, *text), SPEC, store, log, now=NOON)["status"] == "EMPTY"
+    open(os.path.join(tmp_dir, "zero.txt"), "w").close()
+    assert ingest(spark, os.path.join(tmp_dir, "zero.txt"), SPEC, store, log, now=NOON)["status"] == "EMPTY"
+    assert store.current_version() is None
