@@ -44,7 +44,10 @@ def test_f4_run_log(spark, sf, runs, dates, pairs, missed, succeeded, open_, exp
     assert r.count() == runs
     assert r.select("requested_date").distinct().count() == dates
     assert r.select("feed_name", "requested_date").distinct().count() == pairs
-    assert C.QUERIES["join_missed_runs"](spark, SF[sf]).count() == missed
+    seen = r.select("feed_name", "requested_date").distinct()
+    assert RL.missed_runs(seen, r).count() == missed
+    # the query expects all 7 feeds on all days, and a feed that never ran
+    assert C.QUERIES["join_missed_runs"](spark, SF[sf]).count() == missed + (7 * dates - pairs) + dates
     assert RL.run_summary(r, []).first()["succeeded"] == succeeded
     assert C.QUERIES["close_stale"](spark, SF[sf]).count() == open_
     assert C.QUERIES["expire_rows"](spark, SF[sf]).count() == expired
@@ -54,8 +57,11 @@ def test_f4_run_log(spark, sf, runs, dates, pairs, missed, succeeded, open_, exp
 def test_f5_manifest(spark, sf, names, matching, loaded, new):
     listing = FX.report_listing(spark, SF[sf])
     assert listing.count() == names
+    c = MF.manifest_counts(MF.catalog(listing, FX.report_manifest(spark, SF[sf]))).first()
+    assert (c["received"], c["unchanged"], c["inserted"], c["rejected"], c["status"]) == (matching, loaded, new, 0, "SUCCESS")
+    # the query lets the transfer of some new files fail
     c = C.QUERIES["agg_manifest_counts"](spark, SF[sf]).first()
-    assert (c["received"], c["unchanged"], c["inserted"], c["status"]) == (matching, loaded, new, "SUCCESS")
+    assert (c["received"], c["unchanged"], c["inserted"] + c["rejected"], c["status"]) == (matching, loaded, new, "WARNINGS")
     assert MF.loaded_names(FX.report_manifest(spark, SF[sf])).count() == loaded
 
 
