@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
 from tidemark.plans import fixtures as FX

@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 
 from tidemark.plans import fixtures as FX
 from tidemark.sources.feeds import classify_lines, parse_documents, parse_lines, read_feed

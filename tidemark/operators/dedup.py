@@ -43,9 +43,3 @@ def keep_last_window(df: DataFrame, keys: list[str], order: str = "pos") -> Data
 def distinct_on_key(df: DataFrame, keys: list[str], order: str = "pos", where: Column | None = None) -> DataFrame:
     """``SELECT DISTINCT ON (keys)`` with an explicit tie-break: the last row by ``order``."""
     return keep_last(df, keys, order, where)
-
-
-def duplicates(df: DataFrame, keys: list[str], order: str = "pos") -> DataFrame:
-    """Rows that lose to a later row of the same key (the complement of keep_last)."""
-    winners = keep_last(df.select(*[qcol(k) for k in keys], qcol(order)), keys, order)
-    return df.join(winners.select(qcol(order)), order, "left_anti")

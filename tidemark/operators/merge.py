@@ -39,9 +39,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.dedup import keep_last
 from tidemark.operators.normalize import qcol
-from tidemark.operators.quality import has_null_key, split_rejects
+from tidemark.operators.quality import has_null_key
 from tidemark.spec import FLAG_DELETE, UPSERT_FLAGS, TableSpec
 
 ACTIONS = ("keep", "insert", "update", "unchanged", "delete", "no_match", "ignored", "reinsert", "stale",

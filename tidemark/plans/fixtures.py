@@ -148,17 +148,6 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.unionByName(broken).unionByName(blank).unionByName(bracket).unionByName(message)
 
 
-def customer_documents(spark: SparkSession, sf_dir: str, pretty: bool = True) -> DataFrame:
-    """One pretty-printed JSON document per customer row: ``{"Table":[...]}`` for
-    even keys, a bare array for odd keys.  (value, pos)."""
-    c = table(spark, sf_dir, "customer")
-    opts = {"pretty": "true"} if pretty else {}
-    rec = F.expr(_REC)
-    doc = F.when(F.col("c_custkey") % 2 == 0, F.to_json(F.struct(F.array(rec).alias("Table")), opts)) \
-           .otherwise(F.to_json(F.array(rec), opts))
-    return c.select(doc.alias("value"), F.col("c_custkey").alias("pos"))
-
-
 # --------------------------------------------------------------------------- F3: text numbers on lineitem
 
 def lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
