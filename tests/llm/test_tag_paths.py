@@ -76,3 +76,33 @@ def test_nulls_and_clashing_columns(spark):
     got = sorted(((r.page_id or 0), r.text, r.n_chars) for r in T.extract(df).collect())
     assert got == [(0, "", 0), (1, "", 0), (2, "a, b.", 5), (2, "a, b.", 5)]
     assert T.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("wrap", [
+    '<div class="overflow-hidden">{}</div>', '<div style="overflow:hidden">{}</div>', '<div title="Hidden gems">{}</div>', '<div data-hidden-id="3">{}</div>',
+    '<article class="no-sidebar">{}</article>', '<div id="main" class="with-sidebar comments-open">{}</div>', "<form action=x><div>{}</div></form>",
+    '<div class="widget"><main>{}</main></div>', '<div class="modal">{}</div>', "<div hidden>{}</div>", '<section class="related comments">{}</section>'])
+def test_words_in_attributes_of_a_wrapper(wrap):
+    assert T.main_text(_page(wrap.format(_paragraphs()))) == WANT
+    assert T.main_text(_page(NOISE + wrap.format(_paragraphs()) + TAIL)) == WANT
+
+
+def test_headings_with_the_words_of_a_menu():
+    body = _paragraphs() + '<h2 id="related-work">Related work</h2><h2 id="comments">Comments</h2>'
+    assert T.main_text(_page(NOISE + f"<article>{body}</article>" + TAIL)) == WANT + "\n\nRelated work\n\nComments"
+
+
+@pytest.mark.parametrize("noise", ["<div hidden>Not, seen.</div>", "<div style='color:red; display:none'>Not, seen.</div>", "<div class=siteNav>A, b.</div>",
+                                   "<div class='x share-buttons'>Share, this.</div>", "<ol class=comment-list><li>Nice, thanks.</ol>", "<div id=comment_form_12>Say, it.</div>"])
+def test_marked_elements_go(noise):
+    assert T.main_text(_page(f"<div>{_paragraphs()}</div>{noise}")) == WANT
+    assert T.main_text(_page(f"<article>{_paragraphs()}{noise}</article>")) == WANT
+
+
+def test_comments_in_code():
+    assert T.main_text('<div><pre>x = 1  <span class="comment"># one, and more.</span></pre></div>') == "x = 1 # one, and more."
+
+
+def test_long_comments_stay_out():
+    said = "<article class=comment-body><p>I like this, really, it is good, and so on. Thanks!</p></article>" * 40
+    assert T.main_text(_page(f"<div>{_paragraphs()}</div><div id=comments>{said}</div>")) == WANT

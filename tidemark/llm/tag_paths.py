@@ -7,7 +7,8 @@ characters inside links); the two ratios are smoothed along the page, fused as t
 geometric mean, and a path whose mean fused value is below ``THRESHOLD`` of the
 page's best path is not content.  Two kinds of paths are settled by their markup:
 one through an element that says it is no content (navigation, form, advert,
-comment section, ...) never is, and on a page with an ``article`` or ``main``
+comment section, ...) is none unless that element holds most of the page (see
+``unmarked``), and on a page with an ``article`` or ``main``
 element only paths through it compete.
 
 Cases: null and empty html give the empty text; broken markup (unclosed, crossed or
@@ -32,9 +33,11 @@ from tidemark.llm.common import load
 
 THRESHOLD = 0.12
 SIGMA = 1.0
+LEFT = 0.1  # share of the text under soft marks below which the rest of a page is next to nothing
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTR = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCT = re.compile(r"[.,;:!?…。，！？、]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript textarea title xmp iframe noembed noframes".split())
@@ -45,39 +48,88 @@ CLOSES_P = BLOCK - frozenset("button caption dd dt li option tbody td tfoot th t
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}, "p": {"p"}}
 SCOPE = frozenset("table ul ol dl td th article section div main body html select nav aside form blockquote".split())
-NEVER = frozenset("""head nav aside footer form button select option menu dialog template svg canvas audio video object applet
- map datalist search fieldset""".split())
-NEVER_NAMED = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs masthead topbar footer sidebar aside rail widget
- widgets ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr
+GONE = frozenset("head button select option template svg canvas audio video object applet map datalist".split())
+NEVER = frozenset(("nav", "footer", "menu"))
+COMMENTS = frozenset("comment comments commentlist respond reply replies disqus".split())
+NEVER_NAMED = COMMENTS | frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs masthead topbar footer sidebar aside rail
+ widget widgets ad ads advert adverts advertisement advertising adbox banner sponsor sponsored promo promotion cookie cookies consent gdpr
  notice notices alert disclaimer popup modal overlay newsletter subscribe subscription signup login search social share sharing
- related recommended recommendations comment comments commentlist respond reply replies disqus form pagination pager toolbar
- complementary contentinfo copyright""".split())
+ related recommended recommendations form pagination pager toolbar complementary contentinfo copyright""".split())
+_PARTS = "area bar banner block box buttons container icons links list notice panel popup section slot widget wrap wrapper".split()
+_OF = """ad ads advert breadcrumb breadcrumbs comment comments cookie cookies consent footer gdpr login menu nav navigation newsletter pagination
+ popup promo search share sharing sidebar signup social sponsor subscribe""".split()
+COMPOUND = frozenset(f"{a}-{b}" for a in _OF for b in _PARTS) | frozenset(
+    f"{a}-{b}" for a in "site main page top bottom primary secondary global mobile".split() for b in "nav navbar navigation menu footer search".split()) | frozenset(
+    """comment-body comment-form comment-respond comments-title cookie-message login-form menu-item nav-item nav-menu newsletter-form
+ newsletter-signup related-articles related-content related-links related-posts related-stories search-form side-bar signup-form
+ site-sidebar subscribe-form widget-area""".split())
+SLUGGED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd a span".split())  # their ids are made from their text
 WHOLE = frozenset(("article", "main"))
+#: Kinds of marks: never page text; menus and the like; a form or hidden; by a name or the like; comments.
+_GONE, _KIND, _WRAP, _NAME, _COMMENT = range(5)
 
 
-def _no_content(tag: str, attrs: str, in_whole: bool) -> bool:
+def _names(value: str) -> set[str]:
+    return {re.sub(r"[-_\d]+$", "", re.sub(r"[_-]+", "-", _CAMEL.sub("-", w)).lower()) for w in value.split()}
+
+
+def _mark(tag: str, attrs: str, in_whole: bool, in_pre: bool) -> int | None:
+    """Why an element says that it is no content, if it does."""
+    if tag in GONE:
+        return _GONE
+    if tag in ("form", "fieldset"):
+        return _WRAP
+    if tag in ("aside", "dialog", "search"):
+        return _NAME
     if tag in NEVER or tag == "header" and not in_whole:
-        return True
+        return _KIND
     if not attrs.strip() or tag in ("html", "body"):
-        return False
-    names = {w for m in _ATTR.finditer(attrs) for w in re.split(r"[^a-z]+", (m[2] or m[3] or m[4] or "").lower())}
-    return bool(names & NEVER_NAMED) or "header" in names and not in_whole or bool(_HIDDEN.search(attrs))
+        return None
+    names, hidden = set(), False
+    for m in _ATTR.finditer(attrs):
+        attr, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if attr in ("class", "role") or attr == "id" and tag not in SLUGGED:
+            names |= _names(value)
+        hidden |= (attr == "hidden" and value.lower() != "false" or attr == "aria-hidden" and value.lower() == "true"
+                   or attr == "style" and bool(_NO_DISPLAY.search(value)))
+    if not in_pre:
+        if names & COMMENTS or any(n.startswith(("comment-", "comments-")) for n in names & COMPOUND):
+            return _COMMENT
+        if names & NEVER_NAMED or names & COMPOUND or names & {"header", "site-header", "page-header"} and not in_whole:
+            return _NAME
+    return _WRAP if hidden else None
+
+
+class Mark:
+    """An element that says it is no content; ``main``: it has an article, main or h1."""
+
+    __slots__ = ("kind", "main", "size")
+
+    def __init__(self, kind):
+        self.kind, self.main, self.size = kind, False, 0
+
+
+ROOT = ("", "", (), False, False)  # of the stack of open elements
 
 
 class Block:
-    __slots__ = ("path", "text", "linked", "never", "whole")
+    __slots__ = ("path", "text", "linked", "marks", "whole")
 
-    def __init__(self, path, text, linked, never, whole):
-        self.path, self.text, self.linked, self.never, self.whole = path, text, linked, never, whole
+    def __init__(self, path, text, linked, marks, whole):
+        self.path, self.text, self.linked, self.marks, self.whole = path, text, linked, marks, whole
+
+    @property
+    def plain(self) -> int:
+        return len(self.text) - self.linked
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple] = []  # tag, path of block elements, no content?, inside article/main?, inside a link?
+    stack: list[tuple] = []  # tag, path of block elements, marks, inside article/main?, inside a link?
     parts: list[str] = []
     linked = 0
-    owner = ("", False, False)
+    owner = ("", (), False)
 
     def end_block() -> None:
         nonlocal linked
@@ -92,11 +144,11 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal owner, linked
         if not text:
             return
-        top = stack[-1] if stack else ("", "", False, False, False)
+        top = stack[-1] if stack else ROOT
         if not parts:
             owner = top[1:4]
         elif top[2] != owner[1]:  # a hidden or excluded inline element inside a block
-            if top[2]:
+            if len(top[2]) > len(owner[1]):
                 return
             end_block()
             owner = top[1:4]
@@ -145,16 +197,43 @@ def blocks_of(page: str) -> list[Block]:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SAME[tag]), None)
                 if depth is not None and not any(s[0] in SCOPE and s[0] not in SAME[tag] for s in stack[depth + 1:]):
                     del stack[depth:]
-        top = stack[-1] if stack else ("", "", False, False, False)
+        top = stack[-1] if stack else ROOT
         whole = top[3] or tag in WHOLE
-        never = top[2] or _no_content(tag, m[3], whole)
+        marks, why = top[2], _mark(tag, m[3], whole, "/pre" in top[1])
+        if why is not None:
+            marks = (*marks, Mark(why))
+        if tag == "h1" or tag in WHOLE:
+            for mark in marks:  # an article among comments is one of them
+                mark.main |= mark.kind != _COMMENT or tag != "article"
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        stack.append((tag, f"{top[1]}/{tag}" if tag in BLOCK else top[1], never, whole, top[4] or tag == "a"))
+        stack.append((tag, f"{top[1]}/{tag}" if tag in BLOCK else top[1], marks, whole, top[4] or tag == "a"))
     end_block()
     return out
 
 
+def unmarked(blocks: list[Block]) -> list[Block]:
+    """The blocks that no mark settles as no content.
+
+    A mark does not count on an element with most of the page's text outside links, if
+    it is a form or hidden or has an ``article``, ``main`` or ``h1``.  Where next to
+    nothing is left, names, forms and ``hidden`` do not count; where nothing is left,
+    comments are the content."""
+    blocks = [b for b in blocks if all(m.kind != _GONE for m in b.marks)]
+    for b in blocks:
+        for m in b.marks:
+            m.size += b.plain
+    half = sum(b.plain for b in blocks) / 2
+
+    def without(*kinds: int) -> list[Block]:
+        return [b for b in blocks if all(m.kind in kinds or m.size > half and (m.kind == _WRAP or m.main) for m in b.marks)]
+
+    out, soft = without(), without(_WRAP, _NAME)
+    if sum(b.plain for b in out) < LEFT * sum(b.plain for b in soft):
+        out = soft
+    return out or without(_WRAP, _NAME, _COMMENT)
+
+
 def _smoothed(values: list[float]) -> list[float]:
     kernel = [math.exp(-d * d / (2 * SIGMA * SIGMA)) for d in range(3)]
     out = []
@@ -183,7 +262,7 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The content blocks of a page, joined by blank lines."""
     if not page:
         return ""
-    blocks = [b for b in blocks_of(page) if not b.never]
+    blocks = unmarked(blocks_of(page))
     blocks = [b for b in blocks if b.whole] or blocks
     score = content_paths(blocks)
     best = max(score.values(), default=0.0)
