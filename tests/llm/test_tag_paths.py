@@ -106,3 +106,36 @@ def test_comments_in_code():
 def test_long_comments_stay_out():
     said = "<article class=comment-body><p>I like this, really, it is good, and so on. Thanks!</p></article>" * 40
     assert T.main_text(_page(f"<div>{_paragraphs()}</div><div id=comments>{said}</div>")) == WANT
+
+
+LONG = "x" * 60 + ", " + "some words that go on, and on; " * 14
+EXTRAS = {
+    "list": ("<ul>" + "".join(f"<li>item {i:06d}</li>" for i in range(20)) + "</ul>", [f"item {i:06d}" for i in range(20)]),
+    "table": ("<table>" + "".join(f"<tr><td>key{i}<td>{i}</tr>" for i in range(15)) + "</table>", [x for i in range(15) for x in (f"key{i}", str(i))]),
+    "code": ("<pre>x = 1 <span class='comment'># one</span></pre>", ["x = 1 # one"]),
+    "link": ("<p><a href=x>A paper on stones</a></p>", ["A paper on stones"]),
+    "references": ("<ol><li>Sea 1999: <a href=x>On the wind and the river, a study</a></li><li>Old: <a href=y>Of stones and houses</a></li></ol>",
+                   ["Sea 1999: On the wind and the river, a study", "Old: Of stones and houses"]),
+    "headings": ("<h3>Next</h3><h4>More</h4>", ["Next", "More"]),
+}
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main><div>{}</div></main>", "<div class=post>{}</div>", "<table><tr><td>{}</td></tr></table>"])
+@pytest.mark.parametrize("extra", EXTRAS)
+def test_parts_of_an_article(wrap, extra):
+    markup, texts = EXTRAS[extra]
+    body = "<h1>Title</h1>" + f"<p>{LONG}</p>" * 6 + markup + f"<p>{LONG}</p>" * 2
+    want = ["Title", *[LONG.strip()] * 6, *texts, *[LONG.strip()] * 2]
+    assert T.main_text(_page(NOISE + wrap.format(body) + TAIL)).split("\n\n") == want
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div>{}</div>"])
+@pytest.mark.parametrize("menu", ["<ul><li><a href=a>Home</a><li><a href=b>About us</a></ul>", "<p><a href=a>Back</a> | <a href=b>Next</a></p>"])
+def test_menus_in_an_article_go(wrap, menu):
+    assert T.main_text(_page(NOISE + wrap.format(_paragraphs() + menu) + TAIL)) == WANT
+
+
+def test_a_boxed_table_between_paragraphs():
+    markup, texts = EXTRAS["table"]
+    page = f"<div><h1>Title</h1><p>{LONG}</p><div class=scroll>{markup}</div><p>{LONG}</p></div><div><ul>{'<li>Other' * 20}</ul></div>"
+    assert T.main_text(_page(page)).split("\n\n") == ["Title", LONG.strip(), *texts, LONG.strip()]

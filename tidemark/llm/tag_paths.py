@@ -5,11 +5,13 @@ block-level elements, each with its root-to-leaf tag path.  Per path the text le
 and the punctuation are summed and divided by the number of blocks (and of
 characters inside links); the two ratios are smoothed along the page, fused as their
 geometric mean, and a path whose mean fused value is below ``THRESHOLD`` of the
-page's best path is not content.  Two kinds of paths are settled by their markup:
+page's best path is not content, unless it is a list, table, code, heading or the like
+in a container of content (see ``content``).  Two kinds of paths are settled by their markup:
 one through an element that says it is no content (navigation, form, advert,
 comment section, ...) is none unless that element holds most of the page (see
 ``unmarked``), and on a page with an ``article`` or ``main``
-element only paths through it compete.
+element all paths through it are content and no others.  Lists of short links and
+bars of links are navigation everywhere.
 
 Cases: null and empty html give the empty text; broken markup (unclosed, crossed or
 unknown elements, a cut tail) is read as far as it goes; every page is a row of its
@@ -64,6 +66,12 @@ COMPOUND = frozenset(f"{a}-{b}" for a in _OF for b in _PARTS) | frozenset(
  newsletter-signup related-articles related-content related-links related-posts related-stories search-form side-bar signup-form
  site-sidebar subscribe-form widget-area""".split())
 SLUGGED = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd a span".split())  # their ids are made from their text
+FLOW = frozenset("""address blockquote caption center dd details dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup legend li ol option p pre
+ summary table tbody td tfoot th thead tr ul""".split())
+LISTS = frozenset("ul ol dl menu".split())
+SET_OFF = frozenset("pre blockquote figure figcaption details summary".split())
+LINK_CHARS = 40  # a list of links whose items are longer in the mean is no menu
+_BAR = re.compile(r"[\s|/·•»›>\-–—:]*")
 WHOLE = frozenset(("article", "main"))
 #: Kinds of marks: never page text; menus and the like; a form or hidden; by a name or the like; comments.
 _GONE, _KIND, _WRAP, _NAME, _COMMENT = range(5)
@@ -109,14 +117,36 @@ class Mark:
         self.kind, self.main, self.size = kind, False, 0
 
 
-ROOT = ("", "", (), False, False)  # of the stack of open elements
+class Place:
+    """Where a block stands: the elements around it that hold paragraphs (``boxes``), its
+    outermost list and table and the cells around it, by number."""
+
+    __slots__ = ("boxes", "list", "table", "cells")
+
+    def __init__(self, boxes=(0,), list=0, table=0, cells=()):
+        self.boxes, self.list, self.table, self.cells = boxes, list, table, cells
+
+    def inside(self, tag: str, number: int) -> Place:
+        if tag in LISTS:
+            return Place(self.boxes, self.list or number, self.table, self.cells)
+        if tag == "table":
+            return Place(self.boxes, self.list, self.table or number, self.cells)
+        if tag in ("td", "th"):
+            return Place(self.boxes, self.list, self.table, (*self.cells, number))
+        if tag in FLOW or self.list or self.table:
+            return self
+        return Place((*self.boxes, number))
+
+
+ROOT = ("", "", (), False, Place(), False)  # of the stack of open elements
 
 
 class Block:
-    __slots__ = ("path", "text", "linked", "marks", "whole")
+    __slots__ = ("path", "text", "linked", "marks", "whole", "place", "links", "beside")
 
-    def __init__(self, path, text, linked, marks, whole):
+    def __init__(self, path, text, linked, marks, whole, place, links, beside):
         self.path, self.text, self.linked, self.marks, self.whole = path, text, linked, marks, whole
+        self.place, self.links, self.beside = place, links, beside  # beside: the text outside links
 
     @property
     def plain(self) -> int:
@@ -126,37 +156,43 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple] = []  # tag, path of block elements, marks, inside article/main?, inside a link?
+    stack: list[tuple] = []  # tag, path of block elements, marks, inside article/main?, place, inside a link?
     parts: list[str] = []
-    linked = 0
-    owner = ("", (), False)
+    beside: list[str] = []
+    linked = links = number = last_link = 0
+    owner = ROOT[1:5]
 
     def end_block() -> None:
-        nonlocal linked
+        nonlocal linked, links
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(owner[0], text, min(linked, len(text)), owner[1], owner[2]))
+                out.append(Block(owner[0], text, min(linked, len(text)), *owner[1:], links, "".join(beside)))
             parts.clear()
-        linked = 0
+            beside.clear()
+        linked = links = 0
 
     def say(text: str) -> None:
-        nonlocal owner, linked
+        nonlocal owner, linked, links, last_link
         if not text:
             return
         top = stack[-1] if stack else ROOT
         if not parts:
-            owner = top[1:4]
+            owner = top[1:5]
         elif top[2] != owner[1]:  # a hidden or excluded inline element inside a block
             if len(top[2]) > len(owner[1]):
                 return
             end_block()
-            owner = top[1:4]
+            owner = top[1:5]
         if "&" in text:
             text = html.unescape(text)
         parts.append(text)
-        if top[4]:
+        if top[5]:
             linked += len(text)
+            links += top[5] != last_link
+            last_link = top[5]
+        else:
+            beside.append(text)
 
     at = 0
     while True:
@@ -207,7 +243,9 @@ def blocks_of(page: str) -> list[Block]:
                 mark.main |= mark.kind != _COMMENT or tag != "article"
         if m[3].endswith("/") and tag not in BLOCK:
             continue
-        stack.append((tag, f"{top[1]}/{tag}" if tag in BLOCK else top[1], marks, whole, top[4] or tag == "a"))
+        number += 1
+        place = top[4].inside(tag, number) if tag in BLOCK else top[4]
+        stack.append((tag, f"{top[1]}/{tag}" if tag in BLOCK else top[1], marks, whole, place, number if tag == "a" else top[5]))
     end_block()
     return out
 
@@ -258,15 +296,62 @@ def content_paths(blocks: list[Block]) -> dict[str, float]:
     return {p: sum(v) / len(v) for p, v in fused.items()}
 
 
+def _menus(blocks: list[Block]) -> list[bool]:
+    """Whether each block is navigation by its links: an item of a list of short links
+    only, or several links with nothing but separators between them."""
+    lists: dict[int, list[Block]] = defaultdict(list)
+    for b in blocks:
+        if b.place.list:
+            lists[b.place.list].append(b)
+    menus = set()
+    for i, items in lists.items():
+        links = sum(b.links for b in items)
+        if links > 1 and not any(c.isalnum() for b in items for c in b.beside) and sum(b.linked for b in items) <= LINK_CHARS * links:
+            menus.add(i)
+    return [b.place.list in menus if b.place.list else b.links > 1 and not b.place.table and bool(_BAR.fullmatch(b.beside)) for b in blocks]
+
+
+def content(blocks: list[Block], threshold: float) -> list[Block]:
+    """The blocks of content, by the ratios of their paths and by their containers.
+
+    A block of a path below the threshold is content too if its container holds a
+    paragraph of content, or if it is a list, a table, code or a quotation between
+    paragraphs of content.  A table with most of the page's text is layout, its cells
+    are containers."""
+    menu = _menus(blocks)
+    if any(b.whole for b in blocks):
+        return [b for b, m in zip(blocks, menu) if b.whole and not m]
+    score = content_paths(blocks)
+    best = max(score.values(), default=0.0)
+    good = [score[b.path] >= threshold * best and b.linked < 0.6 * len(b.text) and not m for b, m in zip(blocks, menu)]
+    size: dict[int, int] = defaultdict(int)
+    for b in blocks:
+        size[b.place.table] += b.plain
+    half = sum(size.values()) / 2
+    boxes = [b.place.boxes + b.place.cells if b.place.table and size[b.place.table] > half else b.place.boxes for b in blocks]
+    leaf = [b.path.rsplit("/", 1)[-1] for b in blocks]
+    whole, spans = set(), {}
+    for i, b in enumerate(blocks):
+        if good[i]:
+            if leaf[i] in ("p", "pre", "blockquote"):
+                whole.add(boxes[i][-1])
+            box = boxes[i][-1] if leaf[i] in FLOW else boxes[i][-2:][0]
+            spans[box] = (spans.get(box, (i, i))[0], i)
+
+    def beside(i: int) -> bool:
+        p = blocks[i].place
+        if boxes[i][-1] in whole:
+            return True
+        return bool(p.list or p.table or SET_OFF & set(blocks[i].path.split("/"))) and any(b in spans and spans[b][0] < i < spans[b][1] for b in boxes[i])
+
+    return [b for i, b in enumerate(blocks) if good[i] or not menu[i] and beside(i)]
+
+
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The content blocks of a page, joined by blank lines."""
     if not page:
         return ""
-    blocks = unmarked(blocks_of(page))
-    blocks = [b for b in blocks if b.whole] or blocks
-    score = content_paths(blocks)
-    best = max(score.values(), default=0.0)
-    return "\n\n".join(b.text for b in blocks if score[b.path] >= threshold * best and (b.linked < 0.6 * len(b.text)))
+    return "\n\n".join(b.text for b in content(unmarked(blocks_of(page)), threshold))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
