@@ -73,3 +73,18 @@ def test_gumbel_draws_follow_the_weights(spark):
     got = df.withColumn("key", df.w + I.gumbel(5, "doc_id")).orderBy("key", ascending=False).limit(400).groupBy("w").count().collect()
     n = {r.w: r["count"] for r in got}
     assert 2.1 < n[1.0] / n[0.0] < 3.5
+
+
+def test_all_labels_not_fitted_on_set_the_size(spark, monkeypatch):
+    """A bound on the rows of the fit is none on the rows that place the cut."""
+    monkeypatch.setattr(I.labelled_good, "__defaults__", (100,))
+    docs, labels, known = _table(spark)
+    fitted = {r.doc_id for r in I.labelled_good(known).collect() if not r.held}
+    want = {d for d, quality, _ in labels if quality} - fitted
+    assert 0 < len(fitted) <= 100 < len(want)
+    df = fixtures.frame(spark, docs)
+    keys = I.scored(df.unionByName(df.limit(3).withColumn("doc_id", df.doc_id * None)), known)
+    assert sorted(r.doc_id for r in keys.where("good").collect()) == sorted(want)
+    out = I.resample(keys).collect()
+    k = np.percentile([r["rank"] for r in out if r.doc_id in want], 100 * I.RECALL)
+    assert len(out) == len(docs) + 3 and sum(r.kept for r in out) == int(np.ceil(k))

@@ -1,8 +1,8 @@
 """Quality classifier by importance resampling.
 
 Two bags of hashed n-grams are fitted: the *target* model on labelled good documents
-(half of a bounded sample of labelled rows; the other half sets the sample's size)
-and the *raw* model on every document.  A
+(half of a bounded sample of labelled rows; all other labelled rows set the sample's
+size) and the *raw* model on every document.  A
 document's log importance weight is the sum over its n-grams of
 ``log p_target - log p_raw``.  Gumbel noise, a hash of the document's id, is added,
 and the k largest keys are the sample: k draws without replacement in proportion to
@@ -24,6 +24,7 @@ result; other columns stay untouched in ``kept_rows``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,14 +79,18 @@ def features(data: np.ndarray, offs: np.ndarray, buckets: int = BUCKETS) -> tupl
     return (grams % np.uint64(buckets)).astype(np.int64), np.concatenate([row, row[1:][two], row[2:][three]])
 
 
-def labelled_good(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """doc_id, good, held for at most ``limit`` labelled documents, in the order of a
-    hash; ``held``: kept out of the fit."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """doc_id, good, held of every labelled document; ``held``: kept out of the fit."""
     each = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     good = (F.coalesce("quality", F.lit(0)) >= 1) & (F.coalesce("toxic", F.lit(0)) == 0)
     held = F.xxhash64("doc_id").bitwiseAND(F.lit(1)) == 1
-    return each.select("doc_id", good.alias("good"), held.alias("held")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return each.select("doc_id", good.alias("good"), held.alias("held"))
+
+
+def labelled_good(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+    """doc_id, good, held for at most ``limit`` labelled documents, in the order of a hash."""
+    return labelled(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
 
 
 def log_ratios(raw: np.ndarray, target: np.ndarray, shrink: float = SHRINK) -> np.ndarray:
@@ -121,7 +126,7 @@ def fit(rows: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
 
 
 def weigh(rows: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """doc_id, good, n_grams, log_weight of rows (doc_id, text, good)."""
+    """doc_id, text_key, n_grams, log_weight of rows (doc_id, text, text_key)."""
     shared = rows.sparkSession.sparkContext.broadcast(ratios)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,11 +135,11 @@ def weigh(rows: DataFrame, ratios: np.ndarray) -> DataFrame:
             bucket, row = features(data, offs, len(table))
             n = np.bincount(row, minlength=part.num_rows)
             w = np.bincount(row, weights=table[bucket], minlength=part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), pa.array(n), pa.array(w.astype(np.float64))],
-                                             ["doc_id", "good", "text_key", "n_grams", "log_weight"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(n), pa.array(w.astype(np.float64))],
+                                             ["doc_id", "text_key", "n_grams", "log_weight"])
 
-    return rows.select("doc_id", "text", "good", "text_key").mapInArrow(
-        work, "doc_id long, good boolean, text_key long, n_grams long, log_weight double")
+    return rows.select("doc_id", "text", "text_key").mapInArrow(
+        work, "doc_id long, text_key long, n_grams long, log_weight double")
 
 
 def gumbel(seed: int, *cols: str):
@@ -148,15 +153,39 @@ def scored(docs: DataFrame, labels: DataFrame, seed: int = 0, id_col: str = "doc
     of every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = stored(labelled_good(labels), "importance_labels")
-    rows = rows.join(F.broadcast(known), "doc_id", "left").withColumn("text_key", F.xxhash64("text"))
-    ratios = fit(rows.withColumn("good", F.col("good") & ~F.col("held")))
-    out = weigh(rows.withColumn("good", F.col("good") & F.col("held")), ratios).withColumn("key", F.col("log_weight") + gumbel(seed, "doc_id"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    ratios = fit(rows.join(F.broadcast(known), "doc_id", "left").withColumn("good", F.col("good") & ~F.col("held")))
+    fitted = F.broadcast(known.where(~F.col("held")).select("doc_id"))
+    others = labelled(labels).join(fitted, "doc_id", "left_anti").where("good").select("doc_id", "good", F.lit(0).alias("_deal"))
+    # rows without id meet no label and must not all go to one task
+    out = weigh(rows, ratios).withColumn("_deal", F.when(F.col("doc_id").isNull(), F.spark_partition_id()).otherwise(F.lit(0)))
+    out = out.join(others, ["doc_id", "_deal"], "left").drop("_deal").withColumn("key", F.col("log_weight") + gumbel(seed, "doc_id"))
     return stored(out, "importance_keys")
 
 
+def rank_at(ranks: DataFrame, share: float) -> int | None:
+    """The percentile of the column ``rank``, rounded up, with no more on the driver than
+    one count per partition; None without rows."""
+    placed = numbered(ranks.select("rank"), [F.col("rank")], "importance_good")
+    counts = sorted(tuple(r) for r in placed.groupBy("part").count().collect())
+    n = sum(c for _, c in counts)
+    if not n:
+        return None
+
+    def rank(i: int) -> int:
+        for part, c in counts:
+            if i < c:
+                return placed.where((F.col("part") == part) & (F.col("pos") == i)).first()["rank"]
+            i -= c
+
+    at = share * (n - 1)
+    low, high = math.floor(at), math.ceil(at)
+    return rank(low) if low == high else math.ceil((high - at) * rank(low) + (at - low) * rank(high))
+
+
 def resample(keys: DataFrame, k: int | None = None, recall: float = RECALL) -> DataFrame:
     """``keys`` with ``rank`` (from 1, largest key first) and ``kept``: rank <= k.
-    Without k: the smallest sample with ``recall`` of the good rows held out."""
+    Without k: the smallest sample with ``recall`` of the good rows not fitted on."""
     placed = numbered(keys, [F.col("key").desc(), F.col("doc_id").asc_nulls_last(), F.col("text_key")], "importance_order")
     counts = sorted(tuple(r) for r in placed.groupBy("part").count().collect())
     before, rows = 0, []
@@ -166,10 +195,8 @@ def resample(keys: DataFrame, k: int | None = None, recall: float = RECALL) -> D
     starts = keys.sparkSession.createDataFrame(rows, "part int, before long")
     ranked = placed.join(F.broadcast(starts), "part").withColumn("rank", F.col("before") + F.col("pos") + 1).drop("part", "pos", "before")
     if k is None:
-        good = ranked.where("good")
-        n = good.count()
-        k = good.select(F.percentile("rank", F.lit(recall))).first()[0] if n else before
-        k = int(-(-k // 1)) if k is not None else before
+        k = rank_at(ranked.where("good"), recall)
+        k = before if k is None else k
     return ranked.withColumn("kept", F.col("rank") <= F.lit(k))
 
 
