@@ -1,7 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing against all earlier documents.
+"""Substring dedup by window hashes, in place of a relative Lempel-Ziv parse.
 
-The reference of a document is every document with a smaller id.  Its index cannot be
-one suffix array, so it is cut into *reference blocks* that any two copies of a
+The reference of a document is every document with a smaller id.  No longest match and
+no (reference, offset) of a copy is sought: the words that go are those of all windows
+the reference has, and a parse would need all of its text in each task.  The texts are
+cut into *reference blocks* that any two copies of a
 passage cut alike: each window of ``window`` words is filed under its anchor, the
 least-hashed run of ``ANCHOR`` words in it, and a block is the stretch of words of
 all neighbouring windows with one anchor.
@@ -9,12 +11,12 @@ all neighbouring windows with one anchor.
 1. Index: per anchor the smallest and largest document that has it, and whether all
    its blocks read the same.  These are minima and maxima, so a passage in a third of
    all documents is one partial aggregate per task.  Anchors of one document go.
-2. Parse: a document takes a whole block as copied when the anchor has one block text
+2. Marks: a document takes a whole block as copied when the anchor has one block text
    only and an earlier document.  Where the anchor has several block texts, a factor
    begins or ends inside the block: these boundary blocks are checked window by
    window, again by a minimum over the documents of each window.
-3. Neighbouring copied windows are one factor; factors are at least ``window`` words
-   long and are the duplicate spans.
+3. Neighbouring copied windows are one span; the spans (``factors``) are at least
+   ``window`` words long.
 
 Two documents that share a window share its anchor, so no window is missed.  Texts
 are compared as (anchor, block) or (anchor, window) hashes of 64 bits each.
