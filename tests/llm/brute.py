@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -104,3 +105,49 @@ def removed(rows, n=13):
         kept = " ".join(x for x, y in zip(w, drop) if not y)
         out.append((d, len(w), sum(drop), sha(kept)))
     return sorted(out)
+
+
+def spelling(rows, length=5, least=3):
+    """(word, form, root, n, n_near, form_n) by comparing every pair of words."""
+    counts = Counter()
+    upper = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for key, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(upper)
+            h = zlib.crc32(f"{'' if key is None else key}:{run}".encode())
+            if h % 97 == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            counts[run] += 1
+    vocab = {w: n for w, n in counts.items() if n >= least and len(w) >= length}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    partners = {w: [x for x in vocab if near(w, x)] for w in vocab}
+    form = {}
+    for w, others in partners.items():
+        best = min(others, key=lambda x: (-vocab[x], x), default=None)
+        form[w] = best if best and vocab[best] >= 2 * vocab[w] else None
+
+    def root(w):
+        return root(form[w]) if form[w] else w
+
+    return sorted((w, form[w], root(w), n, len(partners[w]), vocab.get(form[w])) for w, n in vocab.items())
+
+
+def covered(texts, width):
+    """For each text (bytes) the places of all strings of ``width`` that also start earlier."""
+    seen, out = set(), []
+    for t in texts:
+        gone = set()
+        for i in range(len(t) - width + 1):
+            w = t[i:i + width]
+            if w in seen:
+                gone.update(range(i, i + width))
+            seen.add(w)
+        out.append(gone)
+    return out

@@ -11,8 +11,10 @@ from tidemark.llm import (
     prefix_tree,
     simhash,
     source_mix,
+    spelling,
     tag_paths,
     token_planes,
+    whitening,
 )
 
 QUERIES = {
@@ -26,6 +28,8 @@ QUERIES = {
     "op8_prefix_tree": prefix_tree.op8_prefix_tree,
     "op9_token_planes": token_planes.op9_token_planes,
     "op10_exact_sort": exact_sort.op10_exact_sort,
+    "op11_spelling": spelling.op11_spelling,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {
