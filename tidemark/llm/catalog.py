@@ -12,6 +12,7 @@ from tidemark.llm import (
     simhash,
     source_mix,
     spelling,
+    suffix_columns,
     tag_paths,
     token_planes,
     whitening,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_token_planes": token_planes.op9_token_planes,
     "op10_exact_sort": exact_sort.op10_exact_sort,
     "op11_spelling": spelling.op11_spelling,
+    "op12_suffix_columns": suffix_columns.op12_suffix_columns,
     "op13_whitening": whitening.op13_whitening,
 }
 
