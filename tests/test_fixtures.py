@@ -72,6 +72,6 @@ def test_f6_stream_final_state(spark):
 
 
 def test_f6_state_independent_of_file_count(spark):
-    a, _ = C._event_stream(spark, SF["0.001"], files=2)
-    b, _ = C._event_stream(spark, SF["0.001"], files=7)
-    assert sorted(a.read().collect()) == sorted(b.read().collect())
+    a = C._events_by_stream(spark, SF["0.001"], parts=2, files_per_trigger=1)
+    b = C._events_by_stream(spark, SF["0.001"], parts=1, files_per_trigger=3)
+    assert sorted(a.current().collect()) == sorted(b.current().collect())

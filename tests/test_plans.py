@@ -2,12 +2,14 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
 from tidemark.operators.dedup import keep_last
 from tidemark.plans import fixtures as FX
-from tidemark.plans.ingest import frame_input
+from tidemark.plans.ingest import apply_feed, frame_input
 from tidemark.sources.store import SnapshotStore
 from tests.conftest import SF_SMALL
 
@@ -36,17 +38,32 @@ def test_hot_key_is_whole(spark):
     assert w.count() == hot.select("k").distinct().count()
 
 
-def test_a_small_feed_does_not_shuffle_the_target(spark, tmp_dir):
+@pytest.mark.parametrize("small", [True, False])
+def test_a_small_feed_does_not_shuffle_the_target(spark, tmp_dir, monkeypatch, small):
+    """Semi and anti join against the broadcast winners; a large feed takes one full outer join."""
     store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
-    spark.range(10).selectExpr("id AS k").write.parquet(os.path.join(tmp_dir, "keys"))
-    keys = spark.read.parquet(os.path.join(tmp_dir, "keys"))
+    plans = []
+    real = store.stage
+
+    def stage(df):
+        plans.append(_plan(df))
+        return real(df)
+
+    monkeypatch.setattr(store, "stage", stage)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    if not small:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = _plan(store.read(keys=keys))
+        res = apply_feed(frame_input(FX.f1_feed(spark, SF_SMALL), FX.ORDERS_SPEC, "seq")[0], store)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Exchange hashpartitioning" not in plan, plan
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert res.status == "SUCCESS" and len(plans) == 1
+    if small:
+        assert "BroadcastHashJoin" in plans[0] and "LeftAnti" in plans[0] and "Exchange hashpartitioning" not in plans[0], plans[0]
+    else:
+        assert plans[0].count("Exchange hashpartitioning") == 2 and "FullOuter" in plans[0], plans[0]
 
 
 def test_deletes_are_a_semi_join(spark):

@@ -1,4 +1,4 @@
-"""Snapshot store: layers, reopening in another process, concurrent writers, vacuum."""
+"""Snapshot store: versions, damaged pointers, dead writers, reopening in another process."""
 
 import os
 import subprocess
@@ -11,7 +11,14 @@ from tests.conftest import SF_SMALL
 from tidemark.operators import merge as M
 from tidemark.plans import fixtures as FX
 from tidemark.plans.ingest import apply_feed, frame_input
-from tidemark.sources.store import Conflict, SnapshotStore
+from tidemark.session import scratch_path
+from tidemark.sources.store import BrokenSnapshot, Conflict, SnapshotStore
+
+def _scratch(spark):
+    path = os.path.dirname(scratch_path(spark, "x")).removeprefix("file:")
+    os.makedirs(path, exist_ok=True)
+    return path
+
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -27,38 +34,89 @@ def _apply(store, df, **kw):
     return apply_feed(frame_input(df, FX.ORDERS_SPEC, "seq")[0], store, **kw)
 
 
-def test_layers_equal_whole_merges(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
+def _merges(spark, store, check):
+    """Merges one after the other against whole merges of a collected state."""
     store.write(FX.f1_target(spark, SF_SMALL))
     state = FX.f1_target(spark, SF_SMALL)
     steps = [_feed(spark, 3, 6, 1.0), _feed(spark, 20, 23, 0.0, "A").withColumn("k", F.col("k") + 5000), _feed(spark, 10, 12, 0.0, "D"),
              _feed(spark, 3, 5, 2.0), _feed(spark, 10, 11, 5.0, "A"), _feed(spark, 0, 1500, 3.0)]
-    seen = {}
-    for df in steps:
+    for i, df in enumerate(steps):
         mi, _ = frame_input(df, FX.ORDERS_SPEC, "seq")
         state = spark.createDataFrame(M.next_state(M.merge(state, mi), mi).collect(), FX.ORDERS_SPEC.schema)
         r = _apply(store, df)
-        assert r.status == "SUCCESS"
-        seen[r.version] = sorted(state.collect())
-        assert sorted(store.read().collect()) == seen[r.version]
-    for v, rows in seen.items():                               # time travel
-        assert sorted(store.read(v).collect()) == rows
-    before = sorted(store.read().collect())
-    v = store.compact()
-    assert len(store.layers()) == 1 and store.current_version() == v and sorted(store.read().collect()) == before
+        assert (r.status, r.version) == ("SUCCESS", i + 2)
+        check(sorted(store.read().collect()) == sorted(state.collect()))
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_small_and_large_feeds_give_the_same_rows(spark, tmp_dir, threshold):
+    def check(same):
+        assert same
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        _merges(spark, SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC), check)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_nothing_changed_publishes_nothing(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    r = _apply(store, _feed(spark, 3, 9, 0.0, "A"))
+    assert (r.status, r.unchanged, r.version, store.current_version()) == ("SUCCESS", 6, 1, 1)
+    assert len(os.listdir(os.path.join(tmp_dir, "s", "versions"))) == 1
+
+
+def test_two_versions_stay(spark, tmp_dir):
+    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
+    store.write(FX.f1_target(spark, SF_SMALL))
+    before = store.read()
+    for i in range(3):
+        assert _apply(store, _feed(spark, 3, 4, 1.0 + i)).version == i + 2
+        assert len(os.listdir(os.path.join(tmp_dir, "s", "versions"))) == 2
+        assert before.count() == 1350                          # a reader of the version before goes on
+        before = store.read()
 
 
-def test_a_small_feed_writes_a_small_layer(spark, tmp_dir):
+def _published(spark, tmp_dir):
     root = os.path.join(tmp_dir, "s")
     store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
     store.write(FX.f1_target(spark, SF_SMALL))
-    r = _apply(store, _feed(spark, 3, 4, 5.0))
-    layer = store.layers()[-1]
-    assert (r.updated, layer["kind"], len(store.layers())) == (1, "change", 2)
-    rows = spark.read.parquet(*[f"{root}/{f}" for f in layer["files"]])
-    assert rows.count() == 1 and store.read().count() == 1350
-    plan = store.read(keys=_feed(spark, 3, 4, 5.0).select("k"))
-    assert plan.count() == 1
+    return store, os.path.join(root, "current.json")
+
+
+@pytest.mark.parametrize("damage", ["empty", "cut", "gone", "other"])
+def test_a_damaged_pointer_is_an_error(spark, tmp_dir, damage):
+    store, pointer = _published(spark, tmp_dir)
+    text = open(pointer).read()
+    os.remove(os.path.join(tmp_dir, "s", ".current.json.crc"))
+    if damage == "gone":
+        os.remove(pointer)
+    else:
+        with open(pointer, "w") as f:
+            f.write({"empty": "", "cut": text[:len(text) // 2], "other": "[1]"}[damage])
+    for act in (store.read, store.current_version, lambda: store.write(FX.f1_target(spark, SF_SMALL))):
+        with pytest.raises(BrokenSnapshot):
+            act()
+    with pytest.raises(BrokenSnapshot):
+        _apply(store, _feed(spark, 3, 4, 1.0))
+
+
+def test_a_dead_writer_leaves_the_version(spark, tmp_dir):
+    """Dead before anything was published, during a later write, and before the rename."""
+    root = os.path.join(tmp_dir, "s")
+    store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
+    store.stage(FX.f1_target(spark, SF_SMALL))
+    again = SnapshotStore(spark, root, FX.ORDERS_SPEC)
+    assert again.current_version() is None and again.read().count() == 0
+    assert again.write(FX.f1_target(spark, SF_SMALL)) == 1
+    again.stage(_feed(spark, 3, 4, 1.0).withColumn("flag", F.lit("A")))
+    with open(os.path.join(root, "_half.json"), "w") as f:
+        f.write('{"version": 9')
+    assert (again.read().count(), again.current_version()) == (1350, 1)
+    r = _apply(SnapshotStore(spark, root, FX.ORDERS_SPEC), _feed(spark, 3, 4, 1.0))
+    assert (r.status, r.updated, r.inserted, again.read().count()) == ("SUCCESS", 1, 0, 1350)
 
 
 def test_failed_feed_reads_no_target_and_leaves_the_version(spark, tmp_dir):
@@ -70,27 +128,23 @@ def test_failed_feed_reads_no_target_and_leaves_the_version(spark, tmp_dir):
     assert r.status == "FAILED" and store.current_version() == 1
 
 
-def test_two_writers_give_unique_keys(spark, tmp_dir):
+def test_a_version_built_on_an_old_one_is_not_published(spark, tmp_dir):
     root = os.path.join(tmp_dir, "s")
     a, b = (SnapshotStore(spark, root, FX.ORDERS_SPEC) for _ in range(2))
-    one, two = a.stage(FX.f1_target(spark, SF_SMALL)), b.stage(FX.f1_target(spark, SF_SMALL))
-    assert a.commit(one, None) == 1
-    with pytest.raises(Conflict):
-        b.commit(two, None)
-    assert a.read().count() == a.read().select("k").distinct().count() == 1350
-    # a merge that loses the race is done again on the new version
+    a.write(FX.f1_target(spark, SF_SMALL))
     real, raced = b.stage, []
 
-    def stage(df, change=False):
-        layer = real(df, change)
-        if not raced:
-            raced.append(_apply(a, _feed(spark, 3, 4, 1.0)).version)
-        return layer
+    def stage(df):
+        folder = real(df)
+        raced.append(_apply(a, _feed(spark, 3, 4, 1.0)).version)
+        return folder
 
     b.stage = stage
     r = _apply(b, _feed(spark, 5, 6, 1.0))
-    assert (raced, r.status, r.version) == ([2], "SUCCESS", 3) and b.layers()[-1]["kind"] == "change"
-    assert {x.k for x in b.read().join(FX.f1_target(spark, SF_SMALL).select("k", F.col("o_totalprice").alias("p")), "k").where("o_totalprice <> p").collect()} == {3, 5}
+    assert raced == [2] and r.status == "FAILED" and "published during the write" in r.error and r.processed == 0
+    assert a.current_version() == 2 and a.read().count() == a.read().select("k").distinct().count() == 1350
+    with pytest.raises(Conflict):
+        b.publish(real(FX.f1_target(spark, SF_SMALL)), 1)
 
 
 _OTHER = """
@@ -121,24 +175,8 @@ def test_another_application_reads_and_merges(spark, tmp_dir):
     assert store.current_version() == 2 and store.read().count() == 1350
 
 
-def test_vacuum_keeps_what_kept_versions_name(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "s")
-    store = SnapshotStore(spark, root, FX.ORDERS_SPEC)
-    store.write(FX.f1_target(spark, SF_SMALL))
-    for i in range(3):
-        _apply(store, _feed(spark, 3, 4, 1.0 + i))
-    store.compact()
-    lost = store.stage(FX.f1_target(spark, SF_SMALL))          # a write that was never published
-    rows = {v: sorted(store.read(v).collect()) for v in (4, 5)}
-    assert store.vacuum(keep=2) == []                          # everything is young
-    assert store.vacuum(keep=2, min_age_s=-5) == [lost["write"]]
-    assert {v: sorted(store.read(v).collect()) for v in (4, 5)} == rows
-    assert len(store.vacuum(keep=1, min_age_s=-5)) == 4 and sorted(store.read().collect()) == rows[5]
-
-
-def test_layers_are_folded_after_some_merges(spark, tmp_dir):
-    store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
-    store.write(FX.f1_target(spark, SF_SMALL))
-    for i in range(3):
-        r = _apply(store, _feed(spark, 3, 5, 1.0 + i), compact_after=2, batch_id=i)
-    assert len(store.layers()) <= 2 and store.last_batch_id() == 2 and store.read().count() == 1350 and r.updated == 2
+def test_scratch_is_given_back(spark, tmp_dir):
+    store, _ = _published(spark, tmp_dir)
+    before = set(os.listdir(_scratch(spark)))
+    assert _apply(store, _feed(spark, 3, 9, 1.0)).updated == 6
+    assert set(os.listdir(_scratch(spark))) == before

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,6 +16,7 @@ from tidemark.functions.text import blank_to_null, clean_text
 from tidemark.operators import manifest as MF
 from tidemark.operators import merge as M
 from tidemark.operators import runlog as RL
+from tidemark.operators import slices as SL
 from tidemark.operators.dedup import keep_last
 from tidemark.operators.normalize import observed_columns, raw_columns
 from tidemark.operators.quality import audit_structure, expected_columns, rejected_keys, split_rejects
@@ -25,7 +27,7 @@ from tidemark.session import scratch_path
 from tidemark.sources.feeds import classify_lines, of_kind, parse_lines, read_feed
 from tidemark.sources.store import SnapshotStore
 from tidemark.spec import CONSOLIDATED_PAIRS, PRIMARY_KEYS, TableSpec, feed_groups_rows, norm_name
-from tidemark.streaming.merge_stream import read_batch_log, stream_merge
+from tidemark.streaming.merge_stream import MergeStream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -708,45 +710,27 @@ def q_manifest_failed(spark, sf):
     return MF.failed_records(new, F.repeat(F.lit("transfer failed "), 50)).drop("downloaded_at")
 
 
-# --------------------------------------------------------------------------- F6 + store: streaming and snapshots
+# --------------------------------------------------------------------------- F6: streams; snapshots
 
 
-def _event_stream(spark, sf, files=4):
-    """Stream all events from ``files`` files that are there at the start."""
-    root = scratch_path(spark, "event-stream")
-    FX.write_event_feed(spark, sf, f"{root}/in", files=files)
-    store = SnapshotStore(spark, f"{root}/state", FX.EVENTS_SPEC)
-    stream_merge(spark, f"{root}/in", FX.EVENTS_SPEC, store, checkpoint=f"{root}/_checkpoint",
-                 log_dir=f"{root}/log", order_col="event_id", newer_than="event_id", files_per_trigger=1,
-                 feed_name="events")
-    return store, f"{root}/log"
-
-
-def _arrivals(spark, sf, parts=3):
+def _events_by_stream(spark, sf, parts, files_per_trigger):
     """The events arrive in ``parts`` slices; after each the stream is started again
-    from its checkpoint and takes that slice as one batch."""
-    root = scratch_path(spark, "event-arrivals")
-    store = SnapshotStore(spark, f"{root}/state", FX.EVENTS_SPEC)
+    from its checkpoints and takes what is new."""
+    root = scratch_path(spark, "event-stream")
+    stream = MergeStream(spark, f"{root}/stream", FX.EVENTS_SPEC, order_col="event_id", newer_than="event_id", feed_name="events")
     for part in range(parts):
-        FX.write_event_file(spark, sf, f"{root}/in", part, parts)
-        stream_merge(spark, f"{root}/in", FX.EVENTS_SPEC, store, checkpoint=f"{root}/_checkpoint", log_dir=f"{root}/log",
-                     order_col="event_id", newer_than="event_id", files_per_trigger=100_000, feed_name="events")
-    return f"{root}/log"
+        if parts == 1:
+            FX.write_event_feed(spark, sf, f"{root}/in")
+        else:
+            FX.write_event_file(spark, sf, f"{root}/in", part, parts)
+        stream.run(f"{root}/in", files_per_trigger)
+    return stream
 
 
 @register("stream_merge", """SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type,
        arg_max(value, event_id) AS value FROM events GROUP BY user_id""")
 def q_stream_merge(spark, sf):
-    store, _ = _event_stream(spark, sf)
-    return store.read()
-
-
-@register("agg_feed_totals", """SELECT CAST(COUNT(*) AS BIGINT) AS rows_received,
-       CAST(COUNT(DISTINCT user_id) AS BIGINT) AS rows_inserted FROM events""")
-def q_agg_feed_totals(spark, sf):
-    _, log = _event_stream(spark, sf)
-    return read_batch_log(spark, log).agg(F.sum("rows_received").cast("bigint").alias("rows_received"),
-                                          F.sum("rows_inserted").cast("bigint").alias("rows_inserted"))
+    return _events_by_stream(spark, sf, parts=1, files_per_trigger=1).current()
 
 
 @register("stream_counts", """WITH e AS (SELECT user_id, event_id, event_id % 3 AS batch_id FROM events),
@@ -758,8 +742,83 @@ SELECT batch_id, 'SUCCESS' AS status, CAST(sum(n) AS BIGINT) AS rows_received,
        CAST(sum(n) - count(*) FILTER (WHERE had IS NULL OR event_id > had) AS BIGINT) AS rows_rejected
 FROM s GROUP BY batch_id""")
 def q_stream_counts(spark, sf):
-    return read_batch_log(spark, _arrivals(spark, sf)).select(
-        F.col("batch_id").cast("long"), "status", "rows_received", "rows_inserted", "rows_updated", "rows_rejected")
+    return _events_by_stream(spark, sf, parts=3, files_per_trigger=100_000).log().select(
+        "batch_id", "status", "rows_received", "rows_inserted", "rows_updated", "rows_rejected")
+
+
+# --------------------------------------------------------------------------- slices of a feed
+
+
+_SLICE = 1000
+
+_ORDER = "o_orderkey % 7, o_orderkey"
+
+
+@register("chunk_rows", f"""WITH n AS (SELECT row_number() OVER (ORDER BY {_ORDER}) - 1 AS line FROM orders)
+SELECT CAST(line // {_SLICE} AS BIGINT) AS slice, CAST(min(line) AS BIGINT) AS first_line, CAST(max(line) AS BIGINT) AS last_line,
+       CAST(COUNT(*) AS BIGINT) AS rows FROM n GROUP BY 1""")
+def q_chunk_rows(spark, sf):
+    o = FX.table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderkey") % 7).alias("wave"))
+    return SL.slice_summary(SL.row_numbers(o, "wave", "o_orderkey"), _SLICE)
+
+
+# F1 in waves: first every order's own row, then the second rows, the key-less rows, the rows
+# with an unknown flag.  Keys come back in later slices, some after their delete.
+_SLICES_SQL = f"""WITH RECURSIVE {FX.F1_FEED_SQL},
+n AS (SELECT *, (row_number() OVER (ORDER BY seq % 10, seq) - 1) // {_SLICE // 4} AS slice FROM feed),
+w AS (SELECT * FROM n WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY slice, k ORDER BY seq % 10 DESC, seq DESC) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY slice) AS turn FROM w),
+step AS (
+  SELECT t.k, 0 AS turn, CAST(NULL AS BIGINT) AS slice, CAST(NULL AS VARCHAR) AS action, true AS there,
+         o_custkey, o_orderstatus, o_totalprice, o_orderpriority, t.flag
+  FROM tgt t
+  UNION ALL
+  SELECT DISTINCT o.k, 0, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), false, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)
+  FROM o WHERE o.k NOT IN (SELECT k FROM tgt)
+  UNION ALL
+  SELECT o.k, o.turn, o.slice,
+         CASE WHEN o.flag = 'D' THEN CASE WHEN s.there THEN 'delete' ELSE 'no_match' END
+              WHEN o.flag IN ('A', 'O') THEN CASE WHEN NOT s.there THEN 'insert'
+                WHEN o.o_custkey IS DISTINCT FROM s.o_custkey OR o.o_orderstatus IS DISTINCT FROM s.o_orderstatus OR o.o_totalprice IS DISTINCT FROM s.o_totalprice
+                  OR o.o_orderpriority IS DISTINCT FROM s.o_orderpriority OR o.flag IS DISTINCT FROM s.flag THEN 'update' ELSE 'unchanged' END
+              ELSE 'ignored' END,
+         CASE WHEN o.flag = 'D' THEN false WHEN o.flag IN ('A', 'O') THEN true ELSE s.there END,
+         CASE WHEN o.flag IN ('A', 'O') THEN o.o_custkey ELSE s.o_custkey END, CASE WHEN o.flag IN ('A', 'O') THEN o.o_orderstatus ELSE s.o_orderstatus END,
+         CASE WHEN o.flag IN ('A', 'O') THEN o.o_totalprice ELSE s.o_totalprice END, CASE WHEN o.flag IN ('A', 'O') THEN o.o_orderpriority ELSE s.o_orderpriority END,
+         CASE WHEN o.flag IN ('A', 'O') THEN o.flag ELSE s.flag END
+  FROM step s JOIN o ON o.k = s.k AND o.turn = s.turn + 1
+),
+a AS (SELECT slice, count(*) FILTER (WHERE action = 'insert') AS inserted, count(*) FILTER (WHERE action = 'update') AS updated,
+             count(*) FILTER (WHERE action = 'delete') AS deleted, count(*) FILTER (WHERE action = 'unchanged') AS unchanged
+      FROM step WHERE turn > 0 GROUP BY slice),
+c AS (SELECT n.slice, n.received, coalesce(inserted, 0) AS inserted, coalesce(updated, 0) AS updated, coalesce(deleted, 0) AS deleted,
+             coalesce(unchanged, 0) AS unchanged
+      FROM (SELECT slice, count(*) AS received FROM n GROUP BY slice) n LEFT JOIN a ON a.slice = n.slice)"""
+
+
+def _f1_slices(spark, sf):
+    feed = FX.f1_feed(spark, sf).withColumn("wave", F.col("seq") % 10)
+    numbered = SL.row_numbers(feed, "wave", "seq", name="line").drop("wave", "seq")
+    mi = _f1(spark, sf, feed=numbered.withColumnRenamed("line", "seq"))
+    mi = replace(mi, feed=mi.feed.withColumn("slice", SL.slice_of("pos", _SLICE // 4)))
+    return SL.slice_totals(SL.slice_changes(mi, FX.f1_target(spark, sf)))
+
+
+_SLICE_COUNTS = "received, inserted, updated, deleted, unchanged"
+
+
+@register("agg_slice_counts", f"""{_SLICES_SQL}
+SELECT CAST(slice AS BIGINT) AS slice, CAST(received AS BIGINT) AS received, inserted, updated, deleted, unchanged,
+       CAST(received - inserted - updated - deleted - unchanged AS BIGINT) AS rejected FROM c""")
+def q_agg_slice_counts(spark, sf):
+    return _f1_slices(spark, sf)
+
+
+@register("agg_feed_totals", f"""{_SLICES_SQL}
+SELECT CAST(COUNT(*) AS BIGINT) AS slices, {', '.join(f'CAST(SUM({x}) AS BIGINT) AS {x}' for x in _SLICE_COUNTS.split(', '))},
+       CAST(SUM(received - inserted - updated - deleted - unchanged) AS BIGINT) AS rejected FROM c""")
+def q_agg_feed_totals(spark, sf):
+    return SL.feed_totals(_f1_slices(spark, sf))
 
 
 def _f1_store(spark, sf):
@@ -897,8 +956,3 @@ def q_union_rejects(spark, sf):
         mi = _f1(spark, sf, feed=feed.where(F.col("seq") % 2 == half))
         parts.append(split_rejects(mi.feed, ["k"])[1])
     return parts[0].unionByName(parts[1]).select("o_custkey", "flag", F.col("pos").alias("seq"))
-
-
-@register("chunk_rows", "SELECT event_id % 3 AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_received FROM events GROUP BY 1")
-def q_chunk_rows(spark, sf):
-    return read_batch_log(spark, _arrivals(spark, sf)).select(F.col("batch_id").cast("long"), "rows_received")

@@ -14,16 +14,12 @@ from tidemark.operators import runlog as RL
 from tidemark.operators.merge import MergeInput
 from tidemark.operators.normalize import ColumnPlan, conform, qcol, record_vocabulary, resolve_columns
 from tidemark.operators.quality import findings, has_null_key, pk_missing
-from tidemark.session import scratch_path
+from tidemark.session import broadcast_threshold, scratch, scratch_path, stored_bytes
 from tidemark.sources.store import Conflict
 from tidemark.spec import (API_ERROR_CODES, BUSINESS_DAY_CUTOFF_HOUR, DEFAULT_TIMEZONE, NO_CONTENT_CODE,
                            RUN_LOG_RETENTION_DAYS, STATUS_API_ERROR, STATUS_EMPTY, STATUS_FAILED, STATUS_NO_CONTENT,
                            STATUS_STARTED, STATUS_SUCCESS, STATUS_TABLE_NOT_FOUND, STATUS_VALIDATION_FAILED, TableSpec)
 
-# Change layers after which a merge folds them into a new base.
-COMPACT_AFTER = 16
-
-
 def frame_input(df: DataFrame, spec: TableSpec, order: str, on_fraction: str = "fail",
                 require_flag: bool = False) -> tuple[MergeInput, ColumnPlan]:
     """An already-parsed DataFrame (columns = vendor names) plus its arrival-order
@@ -49,12 +45,12 @@ def records_input(records: DataFrame, spec: TableSpec, on_fraction: str = "fail"
     return MergeInput(typed, spec, plan.present), plan
 
 
-def staged(feed, spark: SparkSession, name: str = "records") -> tuple[DataFrame, dict]:
-    """The records of a parsed feed, written to shared scratch in the one pass that
-    parses its text, and the counts of its lines (lines, skipped, malformed,
+def staged(feed, spark: SparkSession, path: str | None = None) -> tuple[DataFrame, dict]:
+    """The records of a parsed feed, written to shared scratch (or ``path``) in the one
+    pass that parses its text, and the counts of its lines (lines, skipped, malformed,
     status_messages, records)."""
     obs = Observation(f"lines_{uuid.uuid4().hex}")
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, "records")
     records = feed.observed(obs)
     records.write.parquet(path)
     return spark.read.schema(records.schema).parquet(path), obs.get
@@ -76,7 +72,6 @@ class IngestResult:
     error: str | None = None
     warnings: list[str] = field(default_factory=list)
     malformed: int = 0
-    rejects: DataFrame | None = None      # feed rows without a key, when asked for
 
     @property
     def processed(self) -> int:
@@ -96,64 +91,79 @@ class IngestResult:
 
 
 def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = True,
-               batch_id: int | None = None, newer_than: str | None = None,
-               fail_on_violation: bool = True, ignore_unknown_flags_first: bool = False,
-               attempts: int = 3, compact_after: int = COMPACT_AFTER) -> IngestResult:
+               newer_than: str | None = None, fail_on_violation: bool = True,
+               ignore_unknown_flags_first: bool = False) -> IngestResult:
     """Apply a conformed feed to a snapshot store as one all-or-nothing version.
 
     First the feed alone: its last row per key goes to shared scratch, with the feed's
     counts observed in that job; a feed that is empty or breaks a rule ends here, and
-    the target is not read.  Then the target rows that its keys hit are joined and
-    classified, and the rows that change are written as one change layer.  Counts are
-    observed in that job.  When another writer published in the meantime, the join is
-    done again on the new version, up to ``attempts`` times."""
+    the target is not read.  Then the winners meet the target, see :func:`_publish`."""
     missing = pk_missing(mi.spec, mi.feed.columns)
     if missing:
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
     spark = mi.feed.sparkSession
     won = M.bulk_winners(mi, True) if mode == "bulk" else M.counted_winners(mi, ignore_unknown_flags_first)
     seen = Observation(f"feed_{uuid.uuid4().hex}")
-    path = scratch_path(spark, "winners")
-    won.observe(seen, *M.winner_totals(mi.keys)).write.parquet(path)
-    m = {k: int(v or 0) for k, v in seen.get.items()}
-    res = IngestResult(STATUS_SUCCESS, received=m["received"])
-    if m["received"] == 0:
-        res.status = STATUS_EMPTY
-    elif m["bad_rows"] and fail_on_violation:
-        res.status, res.error = STATUS_FAILED, f"{m['bad_rows']} rows hold values the declared types cannot store"
-    elif mode == "bulk" and m["null_key_upserts"]:
-        res.status, res.error = STATUS_FAILED, f"NULL primary key in {m['null_key_upserts']} add/update rows"
-    if res.status != STATUS_SUCCESS:
-        return res
-    won = spark.read.schema(won.schema).parquet(path).where(~has_null_key(mi.keys))
-    for _ in range(attempts):
-        previous = store.current_version()
-        first = previous is None
-        target = store.read(previous, keys=won)
-        classified = M.classify(target, won, mi, change_test, bulk=mode == "bulk", newer_than=newer_than, how="right_outer")
-        obs = Observation(f"merge_{uuid.uuid4().hex}")
-        changed = M.change_rows(classified.observe(obs, *M.count_columns(F.col("_action")),
-                                                   F.count_if(F.col("_action") == "reinsert").alias("reinserted")), mi)
-        layer = store.stage(changed.where(~F.col("_gone")) if first else changed, change=not first)
+    with scratch(spark, "winners") as path:
+        won.observe(seen, *M.winner_totals(mi.keys)).write.parquet(path)
+        m = {k: int(v or 0) for k, v in seen.get.items()}
+        res = IngestResult(STATUS_SUCCESS, received=m["received"])
+        if m["received"] == 0:
+            res.status = STATUS_EMPTY
+        elif m["bad_rows"] and fail_on_violation:
+            res.status, res.error = STATUS_FAILED, f"{m['bad_rows']} rows hold values the declared types cannot store"
+        elif mode == "bulk" and m["null_key_upserts"]:
+            res.status, res.error = STATUS_FAILED, f"NULL primary key in {m['null_key_upserts']} add/update rows"
+        if res.status != STATUS_SUCCESS:
+            return res
+        rows = spark.read.schema(won.schema).parquet(path).where(~has_null_key(mi.keys))
+        return _publish(rows, stored_bytes(spark, path), store, mi, res, mode == "bulk", change_test, newer_than)
+
+
+def _publish(won: DataFrame, size: int, store, mi: MergeInput, res: IngestResult, bulk: bool, change_test: bool,
+             newer_than: str | None) -> IngestResult:
+    """Merge winners into the current version and publish the outcome.
+
+    A feed that Spark would broadcast (``size`` bytes) meets the target in two broadcast
+    joins: the rows its keys hit are classified and stored, the others are passed on by an
+    anti join; the target is not shuffled, and a feed that changes nothing writes no
+    version.  A larger feed takes one full outer join, one shuffle of both sides."""
+    spark, keys, previous = won.sparkSession, mi.keys, store.current_version()
+    target, obs = store.read(), Observation(f"merge_{uuid.uuid4().hex}")
+    counts = [*M.count_columns(F.col("_action")), F.count_if(F.col("_action") == "reinsert").alias("reinserted")]
+
+    def counted() -> None:
         n = {k: int(v or 0) for k, v in obs.get.items()}
         res.inserted, res.updated, res.deleted = n["inserted"] + n["reinserted"], n["updated"], n["deleted"]
         res.unchanged, res.stale = n["unchanged"], n["stale"]
-        if res.processed == 0 and not first:
-            store.discard(layer)                  # nothing changed: the current version stays
+
+    def classified(rows: DataFrame, how: str) -> DataFrame:
+        found = M.classify(rows, won, mi, change_test, bulk=bulk, newer_than=newer_than, how=how)
+        return M.next_state(found.observe(obs, *counts), mi)
+
+    only_keys = won.select(*[qcol(k) for k in keys])
+    if size <= broadcast_threshold(spark):
+        with scratch(spark, "touched") as path:
+            touched = classified(target.join(only_keys, keys, "left_semi"), "right_outer")
+            touched.write.parquet(path)
+            counted()
+            if res.processed == 0 and previous is not None:
+                res.version = previous                # nothing changed: the current version stays
+                return res
+            rest = target.join(only_keys, keys, "left_anti").select(*touched.columns)
+            folder = store.stage(rest.unionByName(spark.read.schema(touched.schema).parquet(path)))
+    else:
+        folder = store.stage(classified(target, "full_outer"))
+        counted()
+        if res.processed == 0 and previous is not None:
+            store.discard(folder)
             res.version = previous
             return res
-        try:
-            res.version = store.commit(layer, previous, batch_id, {"counts": res.as_row()})
-        except Conflict:
-            continue
-        if len(store.layers(res.version)) > compact_after:
-            try:
-                res.version = store.compact()
-            except Conflict:                      # a later writer will fold the layers
-                pass
-        return res
-    return replace(res, status=STATUS_FAILED, inserted=0, updated=0, deleted=0, unchanged=0, stale=0,
-                   error=f"{mi.spec.name}: other writers published {attempts} times during the merge")
+    try:
+        res.version = store.publish(folder, previous, {"counts": res.as_row()})
+    except Conflict as e:
+        return replace(res, status=STATUS_FAILED, inserted=0, updated=0, deleted=0, unchanged=0, stale=0, error=str(e))
+    return res
 
 
 # --------------------------------------------------------------------------- run log
@@ -242,26 +252,27 @@ def requested_date(now: _dt.datetime, given: str | None = None, cutoff_hour: int
 # --------------------------------------------------------------------------- one feed, one run
 
 
-def _load(spark, path, spec, store, form, mode, on_fraction, reject_key) -> IngestResult:
+def _load(spark, path, spec, store, form, mode, on_fraction, reject_key, reject) -> IngestResult:
     from tidemark.sources.feeds import read_feed
-    records, lines = staged(read_feed(spark, path, form=form), spark)
-    malformed = int(lines["malformed"] or 0)
-    vocabulary, index = record_vocabulary(records, spec)
-    plan = resolve_columns(vocabulary, spec)
-    found = findings(plan, spec, received=int(lines["records"] or 0))
-    warnings = [m for level, m in found if level == "warning"]
-    errors = [m for level, m in found if level == "error"]
-    if not lines["records"]:
-        return IngestResult(STATUS_EMPTY, warnings=warnings, malformed=malformed)
-    if errors:
-        return IngestResult(STATUS_VALIDATION_FAILED, received=int(lines["records"]), error=errors[0], warnings=warnings, malformed=malformed)
-    mi = MergeInput(conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
-                            require_flag=(mode == "bulk"), key_index=index), spec, plan.present)
-    res = apply_feed(mi, store, mode=mode)
-    if reject_key in mi.feed.columns:
-        bad = has_null_key([k for k in mi.keys])
-        res.rejects = mi.feed.select(F.when(bad, qcol(reject_key)).alias("key")).where(F.col("key").isNotNull()).distinct()
-    return replace(res, warnings=warnings, malformed=malformed)
+    with scratch(spark, "records") as at:
+        records, lines = staged(read_feed(spark, path, form=form), spark, at)
+        malformed = int(lines["malformed"] or 0)
+        vocabulary, index = record_vocabulary(records, spec)
+        plan = resolve_columns(vocabulary, spec)
+        found = findings(plan, spec, received=int(lines["records"] or 0))
+        warnings = [m for level, m in found if level == "warning"]
+        errors = [m for level, m in found if level == "error"]
+        if not lines["records"]:
+            return IngestResult(STATUS_EMPTY, warnings=warnings, malformed=malformed)
+        if errors:
+            return IngestResult(STATUS_VALIDATION_FAILED, received=int(lines["records"]), error=errors[0], warnings=warnings, malformed=malformed)
+        mi = MergeInput(conform(records, spec, plan, rec="rec", pos="pos", on_fraction=on_fraction,
+                                require_flag=(mode == "bulk"), key_index=index), spec, plan.present)
+        res = apply_feed(mi, store, mode=mode)
+        if reject is not None and reject_key in mi.feed.columns:
+            bad = has_null_key([k for k in mi.keys])
+            reject(mi.feed.select(F.when(bad, qcol(reject_key)).alias("key")).where(F.col("key").isNotNull()).distinct())
+        return replace(res, warnings=warnings, malformed=malformed)
 
 
 def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str | None = None,
@@ -289,13 +300,12 @@ def ingest(spark, path, spec, store, log: RunLog | None = None, feed_name: str |
         elif http_status in API_ERROR_CODES:
             res = IngestResult(STATUS_API_ERROR, error=f"HTTP {http_status}")
         else:
-            res = _load(spark, path, spec, store, form, mode, on_fraction, reject_key)
+            reject = None if log is None else lambda keys: log.reject(run["id"], keys)
+            res = _load(spark, path, spec, store, form, mode, on_fraction, reject_key, reject)
     except Exception as e:                       # the run is logged as FAILED, never left open
         res = IngestResult(STATUS_FAILED, error=str(e))
     result = {"feed_name": feed_name, **res.as_row(), "rows_malformed": res.malformed, "warnings": res.warnings}
     if log is not None:
-        if res.rejects is not None:
-            log.reject(run["id"], res.rejects)
         took = _dt.datetime.now(_dt.timezone.utc).astimezone(ZoneInfo(tz)).replace(tzinfo=None)
         log.append(dict(run, seq=1, finished_at=max(took, local),
                         **{k: v for k, v in result.items() if k in _EVENT_COLS and k not in ("feed_name", "warnings")},

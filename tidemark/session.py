@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,7 +50,46 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf).rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path and the path in it, as Hadoop objects."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a folder."""
+    fs, at = hadoop_path(spark, path)
+    return int(fs.getContentSummary(at).getLength())
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """Bytes up to which Spark broadcasts a side of a join; -1: never."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    return -1 if text.startswith("-") else int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder name under the shared checkpoint root, in the application's own folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str):
+    """A fresh folder name; what was written there is deleted at the end."""
+    path = scratch_path(spark, name)
+    try:
+        yield path
+    finally:
+        fs, at = hadoop_path(spark, path)
+        fs.delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has in scratch.  Frames that operators returned
+    may read it, so call this when their rows are written."""
+    fs, at = hadoop_path(spark, _scratch_root(spark))
+    fs.delete(at, True)

@@ -1,204 +1,132 @@
-"""Versioned table snapshots as layers of plain Parquet.
+"""Table snapshots: plain Parquet folders and one small pointer file.
 
 Layout under ``root``::
 
-    data/<write id>/part-….parquet     one finished write: a base layer or a change layer
-    _commits/00000007.json             the layers of version 7, with their exact files
+    versions/00000007-<id>/part-….parquet    a version: whole rows, written by Spark
+    current.json                              names the current version's folder
 
-A *base* layer holds whole rows with unique keys.  A *change* layer holds the rows a
-merge inserted or updated and, marked ``_gone``, the keys it deleted.  A version is
-one base and the change layers after it; reading it takes the last change of each
-key and the base rows whose key has none.  A merge writes in proportion to what it
-changes; ``compact`` folds the layers into a new base, and ``vacuum`` removes
-folders that no kept version names.
+A write makes a new folder and then publishes it: the pointer is written under another
+name, closed, and renamed over the old one.  A writer that dies before the rename leaves a
+folder that nobody reads.  The first thing ever written is a pointer to version 0, which
+has no rows; so a table without a pointer is new only while it has no ``versions``
+folder, and anything else (no pointer beside versions, an empty or a cut pointer) is
+:class:`BrokenSnapshot`, never an empty table.
 
-Reads use only the files named by a commit: no session catalogue takes part, so any
-application that can reach ``root`` reads the same rows.
-
-Every write goes to a folder of its own.  A version is published by creating its
-commit file, which must not exist, and only on top of the version the write was
-based on; of two writers one gets :class:`Conflict` and leaves nothing behind that a
-reader sees.  This needs a file system whose create-without-overwrite is exclusive
-(HDFS and its like; a local disk for tests).
+One writer at a time is assumed.  A version that was built on another than the current
+one is not published (:class:`Conflict`), which catches most accidents but is no lock;
+for concurrent writers, history and clean-up, use the table format of the cluster.  The
+version before the current one stays, so that running readers finish; older ones go.
 """
 
 from __future__ import annotations
 
 import json
-import re
-import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.normalize import qcol
+from tidemark.session import hadoop_path
 from tidemark.spec import TableSpec
 
-GONE = "_gone"
-_SEQ = "_layer"
+POINTER = "current.json"
 
 
 class Conflict(RuntimeError):
     """Another writer published a version in the meantime."""
 
 
+class BrokenSnapshot(RuntimeError):
+    """The pointer of a table that has versions cannot be read."""
+
+
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.spec = spec
-        self._Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    # ------------------------------------------------------------------ files
-    def _p(self, rel: str):
-        return self._Path(f"{self.root}/{rel}")
-
-    def _read_text(self, rel: str) -> str | None:
-        if not self._fs.exists(self._p(rel)):
+        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+        self._fs, self._root = hadoop_path(spark, self.root)
+
+    def _path(self, rel: str):
+        return hadoop_path(self.spark, f"{self.root}/{rel}")[1]
+
+    # ---------------------------------------------------------------- pointer
+    def _pointer(self) -> dict | None:
+        """What the pointer says; None for a table that was never written."""
+        if not self._fs.exists(self._path(POINTER)):
+            if self._fs.exists(self._path("versions")):
+                raise BrokenSnapshot(f"{self.root}: there are versions, but no {POINTER}")
             return None
-        stream = self._fs.open(self._p(rel))
+        stream = self._fs.open(self._path(POINTER))
         try:
-            return bytes(stream.readAllBytes()).decode("utf-8")
+            text = bytes(stream.readAllBytes()).decode("utf-8")
         finally:
             stream.close()
-
-    def _create(self, rel: str, text: str) -> bool:
-        """Write a file that must not exist; False if it does."""
-        from py4j.protocol import Py4JJavaError
         try:
-            out = self._fs.create(self._p(rel), False)
-        except Py4JJavaError as e:
-            if "exist" in str(e.java_exception):
-                return False
-            raise
+            info = json.loads(text)
+            return {"version": info["version"], "folder": info["folder"], "before": info["before"], "extra": info.get("extra")}
+        except (ValueError, KeyError, TypeError) as e:
+            raise BrokenSnapshot(f"{self.root}/{POINTER} cannot be read: {e}") from e
+
+    def _point(self, info: dict) -> None:
+        """Replace the pointer in one step."""
+        jvm, other = self.spark.sparkContext._jvm, self._path(f"_{uuid.uuid4().hex}.json")
+        out = self._fs.create(other, False)
         try:
-            out.write(bytearray(text.encode("utf-8")))
+            out.write(bytearray(json.dumps(info, default=str).encode("utf-8")))
         finally:
             out.close()
-        return True
-
-    def _names(self, rel: str) -> list[str]:
-        d = self._p(rel)
-        return [st.getPath().getName() for st in self._fs.listStatus(d)] if self._fs.exists(d) else []
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        over = self.spark.sparkContext._gateway.new_array(rename, 1)
+        over[0] = rename.OVERWRITE
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._root.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        files.rename(self._fs.makeQualified(other), self._fs.makeQualified(self._path(POINTER)), over)
 
-    def _files(self, write: str) -> list[str]:
-        """The data files of a finished write, relative to ``root``."""
-        listed = self.spark.read.schema(self.spec.schema).parquet(f"{self.root}/data/{write}").inputFiles()
-        return sorted(f"data/{write}/{f.rsplit('/', 1)[-1]}" for f in listed)
-
-    # --------------------------------------------------------------- versions
     def current_version(self) -> int | None:
-        versions = [int(n[:-5]) for n in self._names("_commits") if re.fullmatch(r"\d{8}\.json", n)]
-        return max(versions) if versions else None
-
-    def commit_info(self, version: int | None = None) -> dict | None:
-        v = self.current_version() if version is None else version
-        text = None if v is None else self._read_text(f"_commits/{v:08d}.json")
-        return json.loads(text) if text else None
-
-    def last_batch_id(self) -> int | None:
-        info = self.commit_info()
-        return None if info is None else info.get("batch_id")
-
-    def layers(self, version: int | None = None) -> list[dict]:
-        info = self.commit_info(version)
-        return [] if info is None else info["layers"]
-
-    # ------------------------------------------------------------------ reads
-    def _layer(self, layer: dict) -> DataFrame:
-        schema = self.spec.schema
-        if layer["kind"] == "change":
-            schema = type(schema)(list(schema.fields)).add(GONE, "boolean")
-        if not layer["files"]:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in layer["files"]])
-
-    def read(self, version: int | None = None, keys: DataFrame | None = None) -> DataFrame:
-        """The current (or given) version, or only its rows whose key is in ``keys``;
-        an empty frame of the spec's schema when nothing was published yet.
-
-        The base is filtered by joins whose other side is as small as the changes
-        (or the keys), so Spark broadcasts that side when it is small, and the base is
-        then read without a shuffle."""
-        layers, pk, cols = self.layers(version), list(self.spec.pk), [qcol(c) for c in self.spec.columns]
-        if not layers:
+        """Number of the current version; None when nothing was published yet."""
+        info = self._pointer()
+        return info["version"] or None if info else None
+
+    def extra(self) -> dict | None:
+        """What was published with the current version (its counts)."""
+        info = self._pointer()
+        return info["extra"] if info else None
+
+    # ------------------------------------------------------------------- rows
+    def read(self) -> DataFrame:
+        """The current version; an empty frame of the spec's schema when nothing was
+        published yet."""
+        info = self._pointer()
+        if not info or not info["folder"]:
             return self.spark.createDataFrame([], self.spec.schema)
-
-        def hit(df: DataFrame) -> DataFrame:
-            return df if keys is None else df.join(keys.select(*[qcol(k) for k in pk]), pk, "left_semi")
-
-        base = hit(self._layer(layers[0])).select(*cols)
-        changes = None
-        for i, layer in enumerate(layers[1:]):
-            df = hit(self._layer(layer)).select(*cols, GONE, F.lit(i).alias(_SEQ))
-            changes = df if changes is None else changes.unionByName(df)
-        if changes is None:
-            return base
-        rest = [c for c in self.spec.columns if c not in pk] + [GONE]
-        if len(layers) > 2:
-            last = changes.groupBy(*[qcol(k) for k in pk]).agg(F.max_by(F.struct(*[qcol(c) for c in rest]), F.col(_SEQ)).alias("_w"))
-            changes = last.select(*[qcol(k) for k in pk], *[F.col("_w").getField(c).alias(c) for c in rest])
-        kept = base.join(changes.select(*[qcol(k) for k in pk]), pk, "left_anti").select(*cols)
-        return kept.unionByName(changes.where(~F.col(GONE)).select(*cols))
-
-    # ----------------------------------------------------------------- writes
-    def _write_layer(self, df: DataFrame, kind: str) -> dict:
-        write = f"{kind}-{uuid.uuid4().hex}"
-        cols = [qcol(c) for c in self.spec.columns] + ([F.col(GONE)] if kind == "change" else [])
+        return self.spark.read.schema(self.spec.schema).parquet(f"{self.root}/versions/{info['folder']}")
+
+    def stage(self, df: DataFrame) -> str:
+        """Write whole rows (unique keys) to a folder of their own, without publishing
+        it; :meth:`publish` or :meth:`discard` it."""
+        info = self._pointer()
+        if info is None:
+            info = {"version": 0, "folder": None, "before": None}
+            self._point(info)
+        folder = f"{info['version'] + 1:08d}-{uuid.uuid4().hex}"
         # as many files as the data needs, whatever the number of tasks that made the rows
-        df.select(*cols).hint("rebalance").write.parquet(f"{self.root}/data/{write}")
-        return {"write": write, "kind": kind, "files": self._files(write)}
-
-    def stage(self, df: DataFrame, change: bool = False) -> dict:
-        """Write a layer without publishing it; :meth:`commit` or :meth:`discard` it."""
-        return self._write_layer(df, "change" if change else "base")
-
-    def write(self, df: DataFrame, batch_id: int | None = None, extra: dict | None = None) -> int:
+        rows = df.select(*[qcol(c) for c in self.spec.columns]).hint("rebalance")
+        rows.write.parquet(f"{self.root}/versions/{folder}")
+        return folder
+
+    def publish(self, folder: str, previous: int | None, extra: dict | None = None) -> int:
+        """Make a staged folder the version after ``previous``."""
+        info = self._pointer()
+        if info is None or info["version"] != (previous or 0):
+            self.discard(folder)
+            raise Conflict(f"{self.spec.name}: version {info and info['version']} was published during the write")
+        self._point({"version": info["version"] + 1, "folder": folder, "before": info["folder"], "extra": extra})
+        if info["before"]:
+            self.discard(info["before"])
+        return info["version"] + 1
+
+    def write(self, df: DataFrame, extra: dict | None = None) -> int:
         """Publish ``df`` (whole rows, unique keys) as the next version."""
         previous = self.current_version()
-        return self.commit(self.stage(df), previous, batch_id, extra)
-
-    def commit(self, layer: dict, previous: int | None, batch_id: int | None = None, extra: dict | None = None) -> int:
-        """Publish a staged layer on top of ``previous``, or raise :class:`Conflict`
-        (the layer is then discarded)."""
-        version = (previous or 0) + 1
-        layers = [layer] if layer["kind"] == "base" else [*self.layers(previous), layer]
-        info = dict(extra or {}, version=version, previous=previous, batch_id=batch_id, layers=layers)
-        free = self.current_version() == previous
-        if not free or not self._create(f"_commits/{version:08d}.json", json.dumps(info, default=str)):
-            self.discard(layer)
-            raise Conflict(f"{self.spec.name}: version {version} was published by another writer")
-        return version
-
-    def discard(self, layer: dict) -> None:
-        """Remove a staged, unpublished layer."""
-        self._fs.delete(self._p(f"data/{layer['write']}"), True)
-
-    def compact(self) -> int | None:
-        """Fold all change layers into a new base."""
-        info = self.commit_info()
-        if info is None or len(info["layers"]) == 1:
-            return None if info is None else info["version"]
-        layer = self.stage(self.read(info["version"]))
-        return self.commit(layer, info["version"], info.get("batch_id"), {"compacted": True, "counts": info.get("counts")})
-
-    def vacuum(self, keep: int = 2, min_age_s: float = 86_400) -> list[str]:
-        """Remove write folders that none of the last ``keep`` versions names and
-        that are older than ``min_age_s`` (younger ones may be writes in progress),
-        and the commits of older versions.  Returns the removed folders."""
-        current = self.current_version()
-        if current is None:
-            return []
-        first = max(1, current - keep + 1)
-        used = {x["write"] for v in range(first, current + 1) for x in self.layers(v)}
-        limit, gone = (time.time() - min_age_s) * 1000, []
-        for n in self._names("_commits"):
-            if re.fullmatch(r"\d{8}\.json", n) and int(n[:-5]) < first:
-                self._fs.delete(self._p(f"_commits/{n}"), False)
-        for n in self._names("data"):
-            d = self._p(f"data/{n}")
-            if n not in used and self._fs.getFileStatus(d).getModificationTime() <= limit:
-                self._fs.delete(d, True)
-                gone.append(n)
-        return sorted(gone)
+        return self.publish(self.stage(df), previous, extra)
+
+    def discard(self, folder: str) -> None:
+        self._fs.delete(self._path(f"versions/{folder}"), True)
