@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import hadoop_path, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
@@ -48,7 +48,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with _shuffle_files_freed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete stored tables that no frame in use reads any more."""
+    for df in tables:
+        fs, at = hadoop_path(df.sparkSession, df.stored_at)
+        fs.delete(at, True)
 
 
 def partitions_for(spark: SparkSession) -> int:

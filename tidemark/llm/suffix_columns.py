@@ -42,13 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import _powers, load, mix, numbered, partitions_for, stored, text_slices
+from tidemark.llm.common import _powers, load, mix, numbered, partitions_for, released, stored, text_slices
 
 WINDOW = 100
 ANCHOR = 40
 BATCH = 1 << 18
 MANY = 2048
 STEP = 1 << 21
+SLICE = 1 << 17  # its arrays of 64-bit hashes stay in a core's cache
 END = 255  # no byte of UTF-8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,7 +122,7 @@ def _long(a: np.ndarray) -> pa.Array:
 def piece_rows(rows: DataFrame, window: int) -> DataFrame:
     """anchor, piece, ord: each piece text of each row once."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_slices(batches, 1):
+        for part, data, offs in text_slices(batches, 1, SLICE):
             p = Pieces(data, offs, window)
             own = p.first_in_row()
             yield pa.RecordBatch.from_arrays([_long(p.anchor[own]), _long(p.text[own]), part.column(0).take(pa.array(p.row[own]))],
@@ -130,26 +131,23 @@ def piece_rows(rows: DataFrame, window: int) -> DataFrame:
     return rows.select("ord", "text").mapInArrow(work, "anchor long, piece long, ord long")
 
 
-def piece_bytes(rows: DataFrame, window: int) -> DataFrame:
-    """anchor, ord, start, bytes of the pieces in the rows' lists ``asked``."""
+def asked_texts(rows: DataFrame, window: int) -> DataFrame:
+    """What the comparison needs of the pieces in the rows' lists: anchor, ord, start and
+    bytes of each piece in ``asked``; of those in ``frequent`` anchor, ord, start and hash
+    ``win`` of every window, and whether the row has the window before (``again``)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_slices(batches, 1):
+        names = ["anchor", "ord", "start", "bytes", "win", "again"]
+        for part, data, offs in text_slices(batches, 1, SLICE):
             p = Pieces(data, offs, window)
-            which = np.flatnonzero(p.first_in_row() & p.listed(part.column(2)))
+            first = p.first_in_row()
+            which = np.flatnonzero(first & p.listed(part.column(2)))
+            n = len(which)
             yield pa.RecordBatch.from_arrays(
                 [_long(p.anchor[which]), part.column(0).take(pa.array(p.row[which])), _long(p.start[which] - offs[p.row[which]]),
-                 pa.array([p.bytes_of(i) for i in which], pa.binary())], ["anchor", "ord", "start", "bytes"])
-
-    return rows.select("ord", "text", "asked").mapInArrow(work, "anchor long, ord long, start long, bytes binary")
-
-
-def single_windows(rows: DataFrame, window: int) -> DataFrame:
-    """win, anchor, ord, start, again of every window of the pieces in the rows' lists
-    ``frequent``; ``again``: the row has the window before."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_slices(batches, 1):
-            p = Pieces(data, offs, window)
-            which = np.flatnonzero(p.first_in_row() & p.listed(part.column(2)))
+                 pa.array([p.bytes_of(i) for i in which], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_())], names)
+            which = np.flatnonzero(first & p.listed(part.column(3)))
+            if not len(which):
+                continue
             row, count = np.repeat(p.row[which], p.count[which]), p.count[which]
             place = np.repeat(p.start[which] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
             up, down = _powers(len(data) + 1)
@@ -158,10 +156,10 @@ def single_windows(rows: DataFrame, window: int) -> DataFrame:
             win = mix((run[place + window] - run[place]) * down[place] + _ODD)
             again = np.ones(len(win), bool)
             again[np.unique(win + row.astype(np.uint64) * _ODD, return_index=True)[1]] = False
-            yield pa.RecordBatch.from_arrays([_long(win), _long(np.repeat(p.anchor[which], count)), part.column(0).take(pa.array(row)),
-                                              _long(place - offs[row]), pa.array(again)], ["win", "anchor", "ord", "start", "again"])
+            yield pa.RecordBatch.from_arrays([_long(np.repeat(p.anchor[which], count)), part.column(0).take(pa.array(row)), _long(place - offs[row]),
+                                              pa.nulls(len(win), pa.binary()), _long(win), pa.array(again)], names)
 
-    return rows.select("ord", "text", "frequent").mapInArrow(work, "win long, anchor long, ord long, start long, again boolean")
+    return rows.select("ord", "text", "asked", "frequent").mapInArrow(work, "anchor long, ord long, start long, bytes binary, win long, again boolean")
 
 
 def _least_between(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,38 +187,50 @@ def column_bwt(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     def before(of: np.ndarray, left: np.ndarray) -> np.ndarray:
         return np.where(left > 0, flat[np.maximum(begin[of] + left - 1, 0)], END).astype(np.uint8)
 
-    live = np.arange(k)
-    bwt, lcp = before(live, size), np.zeros(k, np.uint8 if size.max() < 256 else np.int64)
-    text, at = live.astype(np.int32), size.astype(np.int32)
-    place, left = live[size > 0], size.copy()
-    live = place
+    bwt, lcp = before(np.arange(k), size), np.zeros(k, np.uint8 if size.max() < 256 else np.int64)
+    live, left = np.flatnonzero(size > 0), size.copy()
+    place = live
     while len(live):
-        order = np.argsort(bwt, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        come = rank[place]  # the new suffixes among all that follow the ends
-        symbols = bwt[order]
-        met = np.zeros(len(order) + 1, bool)
-        met[come] = met[come + 1] = True
-        met = np.flatnonzero(met[:len(order)] & (symbols != END))  # whose neighbour before is new, or who are
-        alike = np.flatnonzero((met > 0) & (symbols[met] == symbols[met - 1]))
+        order = np.argsort(bwt, kind="stable")  # where the symbols of all suffixes but the ends come from
+        mark = np.zeros(len(bwt), bool)
+        mark[place] = True
+        come = np.flatnonzero(mark[order])  # the new suffixes among them
+        of = np.empty(len(bwt), np.int32)
+        of[place] = np.arange(len(place))
+        who = of[order[come]]
+        live, place = live[who], place[who]
+        new = np.zeros(len(bwt) + 1, bool)
+        new[come] = new[come + 1] = True
+        met = np.flatnonzero(new[:len(bwt) - np.count_nonzero(bwt == END)])  # new, or the one before is
+        here, last = order[met], order[np.maximum(met - 1, 0)]
+        alike = np.flatnonzero((met > 0) & (bwt[here] == bwt[last]))
         common = np.zeros(len(met), lcp.dtype)
-        common[alike] = 1 + _least_between(lcp, order[met[alike] - 1] + 1, order[met[alike]])
+        common[alike] = 1 + _least_between(lcp, last[alike] + 1, here[alike])
         left[live] -= 1
         old = np.ones(len(bwt) + len(live), bool)
         old[k + come] = False
 
-        def merged(past: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        def merged(past: np.ndarray, fresh: np.ndarray | int) -> np.ndarray:
             out = np.empty(len(old), past.dtype)
             out[old] = past
             out[k + come] = fresh
             return out
 
-        bwt, lcp = merged(bwt, before(live, left[live])), merged(lcp, np.zeros(len(live), lcp.dtype))
-        text, at = merged(text, live), merged(at, left[live])
+        bwt, lcp = merged(bwt, before(live, left[live])), merged(lcp, 0)
         lcp[k + met] = common
         on = left[live] > 0
         live, place = live[on], (k + come)[on]
+    # which suffix stands where: from the ends of the texts backwards through the transform
+    back = np.empty(len(bwt), np.int64)
+    back[np.argsort(bwt, kind="stable")] = k + np.arange(len(bwt))
+    text, at = np.empty(len(bwt), np.int32), np.empty(len(bwt), np.int32)
+    live, left = np.arange(k), size.copy()
+    place = live
+    while len(live):
+        text[place], at[place] = live, left[live]
+        on = left[live] > 0
+        live, place = live[on], back[place[on]]
+        left[live] -= 1
     return bwt, lcp, text, at
 
 
@@ -272,7 +282,7 @@ def _cut(rows: DataFrame, window: int) -> DataFrame:
                       ("spans", pa.list_(pa.list_(pa.int64()))), ("kept", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_slices(batches, 1):
+        for part, data, offs in text_slices(batches, 1, SLICE):
             p = Pieces(data, offs, window)
             copied = np.flatnonzero(~p.first_in_row() | p.listed(part.column(2)))
             marks, of = part.column(3), np.repeat(np.arange(part.num_rows), np.asarray(part.column(3).value_lengths().fill_null(0)))
@@ -305,23 +315,27 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, many: int = MANY, bat
     known = pieces.groupBy("anchor").agg(F.min("ord").alias("earliest"), F.max("ord").alias("latest"), F.min("piece").alias("least"), F.max("piece").alias("most"))
     known = stored(known.where("earliest < latest OR least <> most").select("anchor", "earliest", (F.col("least") != F.col("most")).alias("mixed")), "sa_anchors")
     # a frequent anchor or piece is a skewed key of these joins, whose partition is split at run time
-    copied = pieces.join(known.where("NOT mixed"), "anchor").where("earliest < ord").select("ord", "piece")
-    mixed = stored(pieces.join(known.where("mixed").select("anchor"), "anchor"), "sa_mixed")
+    shared = stored(pieces.join(known, "anchor").where("mixed OR earliest < ord").select("anchor", "piece", "ord", "mixed"), "sa_shared")
+    released(pieces, known)
+    mixed = shared.where("mixed")
     owners = stored(mixed.groupBy("anchor", "piece").agg(F.min("ord").alias("owner")), "sa_owners")
-    copied = copied.unionByName(mixed.join(owners, ["anchor", "piece"]).where("owner < ord").select("ord", "piece"))
+    copied = shared.where("NOT mixed").select("ord", "piece").unionByName(
+        mixed.join(owners, ["anchor", "piece"]).where("owner < ord").select("ord", "piece"))
     texts = owners.groupBy("anchor").agg(F.count("*").alias("n")).select("anchor", (F.col("n") > many).alias("many"))
     asked = (owners.join(texts, "anchor").groupBy(F.col("owner").alias("ord"))
              .agg(F.collect_set(F.when(~F.col("many"), F.col("piece"))).alias("asked"), F.collect_set(F.when(F.col("many"), F.col("piece"))).alias("frequent")))
-    asked = stored(rows.join(asked, "ord"), "sa_asked")
-    marks = boundary_marks(piece_bytes(asked.where(F.size("asked") > 0), window), window, batch_bytes)
-    single = stored(single_windows(asked.where(F.size("frequent") > 0), window), "sa_windows")
+    found = stored(asked_texts(rows.join(asked, "ord"), window), "sa_texts")
+    marks = boundary_marks(found.where("bytes IS NOT NULL"), window, batch_bytes)
+    single = found.where("win IS NOT NULL").select("win", "anchor", "ord", "start", "again")
     first = single.groupBy("win", "anchor").agg(F.min("ord").alias("first"))
     late = single.join(first, ["win", "anchor"]).where("again OR first < ord").select("ord", "start", F.lit(1).cast("long").alias("count"))
     nothing = F.lit(None).cast("long")
     told = (copied.select("ord", "piece", nothing.alias("start"), nothing.alias("count"))
             .unionByName(marks.unionByName(late).select("ord", nothing.alias("piece"), "start", "count")))
     told = told.groupBy("ord").agg(F.collect_set("piece").alias("copied"), F.collect_list(F.when(F.col("start").isNotNull(), F.struct("start", "count"))).alias("marks"))
-    return _cut(rows.join(stored(told, "sa_told"), "ord", "left"), window)
+    told = stored(told, "sa_told")
+    released(shared, owners, found)
+    return _cut(rows.join(told, "ord", "left"), window)
 
 
 def op12_suffix_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
