@@ -61,9 +61,8 @@ def test_bulk_load_from_folder(spark, tmp_dir):
     _write(os.path.join(d, "notes.txt"), "hello")
     _write(os.path.join(d, "orders_cdc.json"), "{}")                                    # not a .txt
     store = SnapshotStore(spark, os.path.join(tmp_dir, "s"), FX.ORDERS_SPEC)
-    files = B.feed_dir_files(spark, d, {"orders_cdc": FX.ORDERS_SPEC, "customer_feed": FX.CUSTOMER_SPEC},
-                             stores={"orders_cdc": store})
-    rep = {r["file"]: r for r in B.load_files(spark, files).collect()}
+    report = B.load_folder(spark, d, {"orders_cdc": FX.ORDERS_SPEC, "customer_feed": FX.CUSTOMER_SPEC}, {"orders_cdc": store})
+    rep = {r["file"]: r for r in report.collect()}
     assert set(rep) == {"ORDERS_CDC.txt", "customer_feed.txt", "notes.txt"}
     o = rep["ORDERS_CDC.txt"]
     assert (o["structure"], o["load"], o["rows_loaded"]) == ("MISMATCH", "PASS", 4)

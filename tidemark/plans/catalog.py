@@ -427,6 +427,14 @@ def q_scan_document(spark, sf):
     return mi.feed.select(*CUST_TYPED.split(", "))
 
 
+@register("scan_large_document", f"WITH {FX.F1_FEED_SQL} SELECT {F1_COLS} FROM feed")
+def q_scan_large_document(spark, sf):
+    """The whole change feed on orders as one document, read in splits."""
+    folder = FX.write_large_document(spark, sf, scratch_path(spark, "large-document"))
+    mi, _ = records_input(read_feed(spark, folder, form="document", split_over=1 << 14).records, FX.ORDERS_SPEC)
+    return mi.feed.select(*F1_COLS.split(", "))
+
+
 @register("scan_table_json", f"{_CUST_TYPED_SQL} WHERE (c_custkey // 200) % 2 = 0")
 def q_scan_table_json(spark, sf):
     mi, _ = _cust_typed(spark, sf, _cust_documents(spark, sf, strict=True))
@@ -870,9 +878,21 @@ _LISTING_SQL = f"""files AS (
 known AS (SELECT unnest({_sql_list(list(PRIMARY_KEYS))}) AS table_key)"""
 
 
-@register("scan_feed_dir", f"WITH {_LISTING_SQL} SELECT path, file_name FROM files WHERE NOT is_json")
+def _folder(spark, sf):
+    return FX.write_feed_folder(spark, sf, scratch_path(spark, "feed-folder"))
+
+
+# a file of a slice exists when its slice has rows
+_SLICE_ROWS = " UNION ALL ".join(
+    f"SELECT '{FX.spelled(t, i)}' AS file, COUNT(*) AS n FROM {t.split('_')[0]} WHERE {key} % {n} = {i}" for t, (key, n) in FX.FOLDER_SLICES.items() for i in range(n))
+_FOLDER_SQL = f"""{FX.F1_FEED_SQL},
+slices AS ({_SLICE_ROWS}),
+ffiles AS (SELECT * FROM (VALUES {FX.folder_files_sql()}) v(file, table_name) WHERE file NOT IN (SELECT file FROM slices WHERE n = 0))"""
+
+
+@register("scan_feed_dir", f"WITH {_FOLDER_SQL} SELECT file AS file_name, table_name FROM ffiles")
 def q_scan_feed_dir(spark, sf):
-    return B.feed_files(_feed_listing(spark, sf)).select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"))
+    return B.feed_folder(spark, _folder(spark, sf), B.catalogue(spark, list(FX.FOLDER_SPECS))).select("file_name", "table_name")
 
 
 @register("join_table_lookup", f"""WITH {_LISTING_SQL}
@@ -893,40 +913,63 @@ def q_join_pair(spark, sf):
     return B.with_pairs(files.where(F.col("table_name").isNotNull()), spark).select("path", "pair_table")
 
 
-def _bulk_files(spark, sf):
-    c = FX.table(spark, sf, "customer")
-    cust = c.select(F.col("c_custkey").alias(" C_CustKey "), F.col("c_name").alias("C_NAME"), "c_nationkey",
-                    F.col("c_acctbal").alias("Account Balance"), F.lit("x").alias("extra_col"),
-                    F.lit("A").alias("Flag"), F.col("c_custkey").alias("pos"))
-    return [
-        B.FeedFile("customer_feed.txt", FX.CUSTOMER_SPEC, cust),
-        B.FeedFile("orders_cdc.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf), order="seq"),
-        B.FeedFile("orders_cdc_clean.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf, with_nullkey=False), order="seq"),
-        B.FeedFile("orders_noflag.txt", FX.ORDERS_SPEC, FX.f1_feed(spark, sf).drop("flag"), order="seq"),
-        B.FeedFile("unknown.txt", None),
-    ]
-
-
-_REPORT_SQL = f"""WITH {FX.F1_FEED_SQL}
-SELECT 'customer_feed.txt' AS file, 'customer_feed' AS table_name, 'MISMATCH' AS structure, 'PASS' AS load,
+_ORDERS_FILES = [FX.spelled("orders_cdc", i) for i in range(5)]
+_REPORT_SQL = f"""WITH {_FOLDER_SQL}
+SELECT '{FX.spelled("customer_feed", 0)}' AS file, 'customer_feed' AS table_name, 'MISMATCH' AS structure, 'PASS' AS load,
        (SELECT CAST(COUNT(*) AS BIGINT) FROM customer) AS rows_loaded,
        'extra_json=[''extra_col''] | missing_json=[''c_mktsegment'']' AS notes
-UNION ALL
-SELECT 'orders_cdc.txt', 'orders_cdc', 'MATCH', 'FAIL', CAST(0 AS BIGINT),
+UNION ALL SELECT '{FX.spelled("customer_feed", 1)}', 'customer_feed', 'PARSE ERROR', 'SKIP', CAST(0 AS BIGINT), 'JSON missing valid ''Table'' array'
+UNION ALL SELECT '{_ORDERS_FILES[0]}', 'orders_cdc', 'MATCH', 'FAIL', CAST(0 AS BIGINT),
        'NULL primary key in ' || (SELECT CAST(COUNT(*) AS VARCHAR) FROM feed WHERE k IS NULL AND flag IN ('A', 'O')) || ' add/update rows'
-UNION ALL
-SELECT 'orders_cdc_clean.txt', 'orders_cdc', 'MATCH', 'PASS',
-       (SELECT CAST(COUNT(*) AS BIGINT) FROM feed WHERE k IS NOT NULL AND flag IN ('A', 'O', 'D')), ''
-UNION ALL
-SELECT 'orders_noflag.txt', 'orders_cdc', 'MISMATCH', 'FAIL', CAST(0 AS BIGINT),
+UNION ALL SELECT '{_ORDERS_FILES[1]}', 'orders_cdc', 'MATCH', 'PASS', (SELECT CAST(COUNT(*) AS BIGINT) FROM feed WHERE k % 4 = 1 AND flag IN ('A', 'O', 'D')), ''
+UNION ALL SELECT '{_ORDERS_FILES[2]}', 'orders_cdc', 'MATCH', 'PASS', (SELECT CAST(COUNT(*) AS BIGINT) FROM feed WHERE k % 4 = 2 AND flag IN ('A', 'O', 'D')), ''
+UNION ALL SELECT '{_ORDERS_FILES[3]}', 'orders_cdc', 'MISMATCH', 'PASS', (SELECT CAST(COUNT(*) AS BIGINT) FROM feed WHERE k % 8 = 1),
+       'missing_json=[''o_custkey'', ''o_orderpriority'', ''o_orderstatus'']'
+UNION ALL SELECT '{_ORDERS_FILES[4]}', 'orders_cdc', 'MISMATCH', 'FAIL', CAST(0 AS BIGINT),
        'missing_json=[''flag''] | Required ''flag'' column not present for table: orders_cdc'
-UNION ALL
-SELECT 'unknown.txt', 'NOT FOUND', 'SKIP', 'SKIP', CAST(0 AS BIGINT), 'No matching table'"""
+UNION ALL SELECT file, table_name, 'MATCH', 'PASS', CAST(n AS BIGINT), '' FROM slices JOIN ffiles USING (file)
+UNION ALL SELECT 'unknown.txt', 'NOT FOUND', 'SKIP', 'SKIP', CAST(0 AS BIGINT), 'No matching table'"""
+
+
+def _loaded_folder(spark, sf, stores=None):
+    return B.load_folder(spark, _folder(spark, sf), FX.FOLDER_SPECS, stores)
+
+
+# the files that load, in the order of their names
+_LOADED = sorted((_ORDERS_FILES[i], i) for i in (1, 2, 3))
+_FOLDED_SQL = f"""WITH RECURSIVE {FX.F1_FEED_SQL},
+rows_in AS (
+  SELECT {[f for f, _ in _LOADED].index(_ORDERS_FILES[1]) + 1} AS turn, k, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, flag, seq, false AS part FROM feed WHERE k % 4 = 1
+  UNION ALL SELECT {[f for f, _ in _LOADED].index(_ORDERS_FILES[2]) + 1}, k, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, flag, seq, false FROM feed WHERE k % 4 = 2
+  UNION ALL SELECT {[f for f, _ in _LOADED].index(_ORDERS_FILES[3]) + 1}, k, NULL, NULL, o_totalprice + 50, NULL, CASE WHEN k % 3 = 0 THEN 'O' ELSE 'D' END, seq, true FROM feed WHERE k % 8 = 1
+),
+per_file AS (SELECT turn, k, bool_or(flag = 'D') AS d, arg_max(struct_pack(o_custkey, o_orderstatus, o_totalprice, o_orderpriority, flag, part), seq) FILTER (WHERE flag IN ('A', 'O')) AS w
+             FROM rows_in GROUP BY turn, k),
+state AS (
+  SELECT 0 AS turn, k, struct_pack(o_custkey, o_orderstatus, o_totalprice, o_orderpriority, flag) AS r FROM tgt
+  UNION ALL SELECT DISTINCT 0, k, NULL FROM per_file WHERE k NOT IN (SELECT k FROM tgt)
+  UNION ALL
+  SELECT s.turn + 1, s.k, CASE
+      WHEN p.k IS NULL THEN s.r
+      WHEN p.w IS NULL THEN CASE WHEN p.d THEN NULL ELSE s.r END
+      WHEN p.w.part AND NOT p.d THEN struct_pack(o_custkey := s.r.o_custkey, o_orderstatus := s.r.o_orderstatus, o_totalprice := p.w.o_totalprice, o_orderpriority := s.r.o_orderpriority, flag := p.w.flag)
+      ELSE struct_pack(o_custkey := p.w.o_custkey, o_orderstatus := p.w.o_orderstatus, o_totalprice := p.w.o_totalprice, o_orderpriority := p.w.o_orderpriority, flag := p.w.flag) END
+  FROM state s LEFT JOIN per_file p ON p.k = s.k AND p.turn = s.turn + 1 WHERE s.turn < 3
+)
+SELECT k, r.o_custkey AS o_custkey, r.o_orderstatus AS o_orderstatus, r.o_totalprice AS o_totalprice, r.o_orderpriority AS o_orderpriority, r.flag AS flag
+FROM state WHERE turn = 3 AND r IS NOT NULL"""
+
+
+@register("merge_folder", _FOLDED_SQL)
+def q_merge_folder(spark, sf):
+    store = _f1_store(spark, sf)
+    _loaded_folder(spark, sf, {"orders_cdc": store})
+    return store.read()
 
 
 @register("feed_report", _REPORT_SQL)
 def q_feed_report(spark, sf):
-    return B.load_files(spark, _bulk_files(spark, sf))
+    return _loaded_folder(spark, sf)
 
 
 @register("agg_load_summary", f"""WITH r AS ({_REPORT_SQL})
@@ -935,7 +978,7 @@ SELECT CAST(COUNT(*) FILTER (WHERE notes LIKE '%extra_json=%') AS BIGINT) AS str
        CAST(COUNT(*) FILTER (WHERE load = 'FAIL' OR structure = 'PARSE ERROR') AS BIGINT) AS load_fail,
        CAST(SUM(rows_loaded) AS BIGINT) AS rows_loaded FROM r""")
 def q_agg_load_summary(spark, sf):
-    return B.load_summary(B.load_files(spark, _bulk_files(spark, sf)))
+    return B.load_summary(_loaded_folder(spark, sf))
 
 
 @register("sink_report", f"""WITH r AS ({_REPORT_SQL})
@@ -945,7 +988,7 @@ SELECT 'TOTAL', NULL, NULL,
        CAST(COUNT(*) FILTER (WHERE load = 'PASS') AS VARCHAR) || '/' || CAST(COUNT(*) FILTER (WHERE load IN ('PASS', 'FAIL')) AS VARCHAR),
        CAST(SUM(rows_loaded) AS BIGINT), NULL FROM r""")
 def q_sink_report(spark, sf):
-    return B.report_with_totals(B.load_files(spark, _bulk_files(spark, sf)))
+    return B.report_with_totals(_loaded_folder(spark, sf))
 
 
 @register("union_rejects", f"WITH {FX.F1_FEED_SQL} SELECT o_custkey, flag, seq FROM feed WHERE k IS NULL")

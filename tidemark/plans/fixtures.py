@@ -10,7 +10,7 @@ Payload lines (readers) are built from ``customer`` and ``nation``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.spec import TableSpec
 
@@ -339,3 +339,104 @@ def write_event_feed(spark: SparkSession, sf_dir: str, out_dir: str, files: int
     (e.repartitionByRange(files, "event_id")
       .select(F.to_json(F.struct("user_id", "event_id", "event_type", "value", F.lit("A").alias("flag"))).alias("value"))
       .write.mode("errorifexists").text(out_dir))
+
+
+# --------------------------------------------------------------------------- a folder of bulk files
+
+def _flat_spec(name: str, pk: str, cols: dict[str, T.DataType]) -> TableSpec:
+    return TableSpec.of(name, T.StructType([T.StructField(c, t) for c, t in {**cols, "flag": T.StringType()}.items()]), pk=[pk])
+
+
+FOLDER_SPECS = {
+    "orders_cdc": ORDERS_SPEC,
+    "customer_feed": CUSTOMER_SPEC,
+    "supplier_feed": _flat_spec("supplier_feed", "s_suppkey", {"s_suppkey": T.LongType(), "s_name": T.StringType(), "s_acctbal": T.DoubleType()}),
+    "part_feed": _flat_spec("part_feed", "p_partkey", {"p_partkey": T.LongType(), "p_name": T.StringType(), "p_size": T.LongType()}),
+    "nation_feed": _flat_spec("nation_feed", "n_nationkey", {"n_nationkey": T.LongType(), "n_name": T.StringType()}),
+}
+
+
+def spelled(name: str, i: int) -> str:
+    """The i-th spelling of a file name: its letters in upper case by the bits of i."""
+    return "".join(c.upper() if i >> j & 1 else c for j, c in enumerate(name)) + ".txt"
+
+
+#: Files per table of which each holds a slice, by key.
+FOLDER_SLICES = {"supplier_feed": ("s_suppkey", 8), "part_feed": ("p_partkey", 8), "nation_feed": ("n_nationkey", 5)}
+
+
+def _as_documents(rows: DataFrame, folder: str, order: str) -> None:
+    """(file, <order>, value) -> one document per file, a record a line."""
+    spark = rows.sparkSession
+    f = F.col("file")
+    ends = rows.select("file").distinct()
+    body = rows.select("file", F.lit(1).alias("part"), F.col(order).alias("o"), F.concat(F.when(F.row_number().over(
+        Window.partitionBy("file").orderBy(order)) > 1, F.lit(",")).otherwise(F.lit("")), F.col("value")).alias("value"))
+    edge = lambda part, text: ends.select(f, F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("o"), F.lit(text).alias("value"))
+    out = edge(0, '{"Table":[').unionByName(body).unionByName(edge(2, "]}"))
+    parts = folder + "-parts"
+    (out.repartition(16, "file").sortWithinPartitions("file", "part", "o").select("value", "file").write.partitionBy("file").text(parts))
+    _name_files(spark, parts, folder)
+
+
+def write_large_document(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The change feed on orders as one document on one file."""
+    feed = f1_feed(spark, sf_dir)
+    value = F.to_json(F.struct("k", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "flag"))
+    _as_documents(feed.select(F.lit("orders.json").alias("file"), "seq", value.alias("value")), folder, "seq")
+    return folder
+
+
+def _name_files(spark: SparkSession, parts: str, folder: str) -> None:
+    """Spark's file of each ``file=<name>`` folder under that name in ``folder``."""
+    from tidemark.session import hadoop_path
+    fs, _ = hadoop_path(spark, parts)
+    fs.mkdirs(hadoop_path(spark, folder)[1])
+    for st in fs.listStatus(hadoop_path(spark, parts)[1]):
+        name = st.getPath().getName()
+        if name.startswith("file="):
+            for x in fs.listStatus(st.getPath()):
+                if x.getPath().getName().startswith("part-"):
+                    fs.rename(x.getPath(), hadoop_path(spark, f"{folder}/{name[5:]}")[1])
+
+
+def write_feed_folder(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Thirty files for five tables, and some others: the change feed on orders in five files
+    (one with rows without a key, one without a flag, one with two columns only, whose
+    keys come again in a later file), customers in vendor names, slices of three
+    tables, a broken document, a file without a table, and one that is no feed file."""
+    k = F.col("k")
+    feed = f1_feed(spark, sf_dir)
+    json = lambda *cols: F.to_json(F.struct(*cols))
+    cols = ["k", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "flag"]
+    clean = feed.where(k.isNotNull())
+    parts = [
+        feed.where(k.isNull() | (k % 4 == 0)).select(F.lit(spelled("orders_cdc", 0)).alias("file"), F.col("seq").alias("o"), json(*cols).alias("value")),
+        clean.where(k % 4 == 1).select(F.lit(spelled("orders_cdc", 1)).alias("file"), F.col("seq").alias("o"), json(*cols).alias("value")),
+        clean.where(k % 4 == 2).select(F.lit(spelled("orders_cdc", 2)).alias("file"), F.col("seq").alias("o"), json(*cols).alias("value")),
+        clean.where(k % 4 == 3).select(F.lit(spelled("orders_cdc", 4)).alias("file"), F.col("seq").alias("o"), json(*cols[:-1]).alias("value")),
+        clean.where(k % 8 == 1).select(F.lit(spelled("orders_cdc", 3)).alias("file"), F.col("seq").alias("o"), json(
+            F.col("k").alias(" K"), (F.col("o_totalprice") + 50).alias("O_TotalPrice"), F.when(k % 3 == 0, "O").otherwise("D").alias("Flag")).alias("value")),
+        table(spark, sf_dir, "customer").select(F.lit(spelled("customer_feed", 0)).alias("file"), F.col("c_custkey").alias("o"), F.expr(f"to_json({_REC})").alias("value")),
+    ]
+    for name, (key, n) in FOLDER_SLICES.items():
+        spec = FOLDER_SPECS[name]
+        t = table(spark, sf_dir, name.split("_")[0])
+        i = F.col(key) % n
+        file = F.element_at(F.array(*[F.lit(spelled(name, j)) for j in range(n)]), (i + 1).cast("int"))
+        parts.append(t.select(file.alias("file"), F.col(key).cast("bigint").alias("o"), json(*[c for c in spec.columns if c != "flag"], F.lit("A").alias("flag")).alias("value")))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    _as_documents(rows, folder, "o")
+    other = [(spelled("customer_feed", 1), '{"Table": [{"c_custkey": 1}'), ("unknown.txt", '{"Table": []}'), ("notes.json", "{}")]
+    spark.createDataFrame(other, "file string, value string").write.partitionBy("file").text(folder + "-others")
+    _name_files(spark, folder + "-others", folder)
+    return folder
+
+
+def folder_files_sql() -> str:
+    """VALUES (file, table_name): every .txt file of :func:`write_feed_folder`."""
+    files = [(spelled("orders_cdc", i), "orders_cdc") for i in range(5)] + [(spelled("customer_feed", i), "customer_feed") for i in range(2)]
+    files += [(spelled(t, i), t) for t, (_, n) in FOLDER_SLICES.items() for i in range(n)] + [("unknown.txt", None)]
+    return ", ".join(f"('{f}', {'NULL' if t is None else repr(t)})" for f, t in files)

@@ -97,7 +97,7 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
 
     First the feed alone: its last row per key goes to shared scratch, with the feed's
     counts observed in that job; a feed that is empty or breaks a rule ends here, and
-    the target is not read.  Then the winners meet the target, see :func:`_publish`."""
+    the target is not read.  Then the winners meet the target, see :func:`publish`."""
     missing = pk_missing(mi.spec, mi.feed.columns)
     if missing:
         return IngestResult(STATUS_VALIDATION_FAILED, error=f"{mi.spec.name}: missing PK columns: {missing}")
@@ -117,11 +117,11 @@ def apply_feed(mi: MergeInput, store, mode: str = "api", change_test: bool = Tru
         if res.status != STATUS_SUCCESS:
             return res
         rows = spark.read.schema(won.schema).parquet(path).where(~has_null_key(mi.keys))
-        return _publish(rows, stored_bytes(spark, path), store, mi, res, mode == "bulk", change_test, newer_than)
+        return publish(rows, stored_bytes(spark, path), store, mi, res, mode == "bulk", change_test, newer_than)
 
 
-def _publish(won: DataFrame, size: int, store, mi: MergeInput, res: IngestResult, bulk: bool, change_test: bool,
-             newer_than: str | None) -> IngestResult:
+def publish(won: DataFrame, size: int, store, mi: MergeInput, res: IngestResult, bulk: bool = False, change_test: bool = True,
+            newer_than: str | None = None) -> IngestResult:
     """Merge winners into the current version and publish the outcome.
 
     A feed that Spark would broadcast (``size`` bytes) meets the target in two broadcast
@@ -255,7 +255,9 @@ def requested_date(now: _dt.datetime, given: str | None = None, cutoff_hour: int
 def _load(spark, path, spec, store, form, mode, on_fraction, reject_key, reject) -> IngestResult:
     from tidemark.sources.feeds import read_feed
     with scratch(spark, "records") as at:
-        records, lines = staged(read_feed(spark, path, form=form), spark, at)
+        records, lines = staged(read_feed(spark, path, form="lines" if form == "auto" else form), spark, f"{at}/lines")
+        if form == "auto" and not lines["records"] and (lines["malformed"] or lines["status_messages"]):
+            records, lines = staged(read_feed(spark, path, form="document"), spark, f"{at}/documents")     # no line is a record
         malformed = int(lines["malformed"] or 0)
         vocabulary, index = record_vocabulary(records, spec)
         plan = resolve_columns(vocabulary, spec)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import is_status_message, strip
+from tidemark.sources.splits import SPLIT_OVER, WHOLE, any_above, fragments, split_documents
 from tidemark.spec import BRACKET_ONLY_LINES, ENVELOPE_PREFIX, ENVELOPE_SUFFIX
 
 RECORD = "map<string,string>"
@@ -36,24 +37,24 @@ _JSON_OPTS = {"allowSingleQuotes": "false", "allowUnquotedFieldNames": "false",
 class ParsedFeed:
     """Output of a reader.  ``lines`` holds one row per input line with its kind."""
 
-    lines: DataFrame       # pos, value, kind, rows
+    lines: DataFrame       # pos, value, kind, rows (+ opens: the first row of its document)
     records: DataFrame     # pos, rec
     malformed: DataFrame   # pos, value
 
     def stats(self) -> DataFrame:
         """One row: lines, skipped, malformed, status_messages, records."""
-        return self.lines.agg(*_line_counts())
+        return self.lines.agg(*_line_counts(self.lines))
 
     def observed(self, observation) -> DataFrame:
         """``records``, with the counts of :meth:`stats` observed in the job that
         reads them, so a feed's text is parsed once for both."""
-        return _records(self.lines.observe(observation, *_line_counts()))
+        return _records(self.lines.observe(observation, *_line_counts(self.lines)))
 
 
-def _line_counts() -> list[Column]:
+def _line_counts(lines: DataFrame) -> list[Column]:
     k = F.col("kind")
     return [
-        F.count(F.lit(1)).alias("lines"),
+        (F.count_if(F.col("opens")) if "opens" in lines.columns else F.count(F.lit(1))).alias("lines"),
         F.count_if(k == "skip").alias("skipped"),
         F.count_if(k == "malformed").alias("malformed"),
         F.count_if(k == "message").alias("status_messages"),
@@ -215,28 +216,97 @@ def read_lines(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
     )
 
 
-def read_documents(spark: SparkSession, path) -> DataFrame:
-    """One row per file: (value, pos=file path).  Each file is one task, so a single
-    document must fit a task's memory; split large feeds into several files."""
+def read_documents(spark: SparkSession, path, up_to: int | None = None) -> DataFrame:
+    """One row per file (of at most ``up_to`` bytes): (value, pos)."""
     df = spark.read.text(path, wholetext=True)
-    return df.select("value", F.col("_metadata.file_path").alias("pos"))
+    if up_to is not None:
+        df = df.where(F.col("_metadata.file_size") <= up_to)
+    return df.select("value", _place(F.col("_metadata.file_path"), F.lit(0), F.lit(0)).alias("pos"))
+
+
+def _place(file: Column, block: Column, row: Column) -> Column:
+    return F.struct(file.alias("file"), block.cast("bigint").alias("block"), row.cast("bigint").alias("row"))
+
+
+def _split_lines(spark: SparkSession, path, strict: bool, over: int) -> tuple[DataFrame, list[str], list[tuple[str, int]]]:
+    """The documents above ``over`` bytes that can be read in splits: their lines, a row
+    per record; their files; and (file, bytes) of the others.  The driver sees one row per
+    document of that size."""
+    docs, records = split_documents(spark, path, over, RECORDS, _JSON_OPTS)
+    shown = parse_documents(docs.select(F.col("shown").alias("value"), F.struct("file", "size", "sound", "n", "messages", "first", "base").alias("pos")), strict=strict)
+    regular, other, empty = [], [], []
+    for r in shown.lines.select("pos.*", "kind", F.size("rows").alias("k")).collect():
+        alone = r["base"] == 1 and r["n"] == 1 and r["messages"] == 1 and not strict      # [{"Message": …}]
+        if r["sound"] and not alone and r["kind"] == "rows" and r["k"] == min(r["n"], 1):
+            first = r["first"] or (0, 0)
+            regular.append((r["file"], first[0], first[1]))
+            if not r["n"]:
+                empty.append((r["file"],))
+        else:
+            other.append((r["file"], r["size"]))
+    kept = spark.createDataFrame(regular, "file string, first_block long, first_at long")
+    here = _place(F.col("file"), F.col("block"), F.col("at")).alias("pos")
+    opens = (F.col("block") == F.col("first_block")) & (F.col("at") == F.col("first_at"))
+    lines = (records.join(F.broadcast(kept), "file")
+             .select(here, F.lit(None).cast("string").alias("value"), F.lit("rows").alias("kind"), F.array("rec").alias("rows"), opens.alias("opens")))
+    none = spark.createDataFrame(empty, "file string").select(
+        _place(F.col("file"), F.lit(0), F.lit(0)).alias("pos"), F.lit(None).cast("string").alias("value"), F.lit("rows").alias("kind"),
+        F.array().cast(RECORDS).alias("rows"), F.lit(True).alias("opens"))
+    return lines.unionByName(none), [f for f, *_ in regular], other
+
+
+def _document_feed(spark: SparkSession, path, strict: bool, over: int) -> ParsedFeed:
+    opened = lambda feed: feed.lines.withColumn("opens", F.lit(True))
+    lines = opened(parse_documents(read_documents(spark, path, over), strict=strict))
+    if any_above(spark, path, over):
+        large, _, other = _split_lines(spark, path, strict, over)
+        lines = lines.unionByName(large)
+        whole = [f for f, size in other if size <= WHOLE]
+        if whole:
+            lines = lines.unionByName(opened(parse_documents(read_documents(spark, whole), strict=strict)))
+        too_large = [(f,) for f, size in other if size > WHOLE]
+        if too_large:
+            lines = lines.unionByName(spark.createDataFrame(too_large, "file string").select(
+                _place(F.col("file"), F.lit(0), F.lit(0)).alias("pos"), F.lit(None).cast("string").alias("value"), F.lit("malformed").alias("kind"),
+                F.lit(None).cast(RECORDS).alias("rows"), F.lit(True).alias("opens")))
+    return ParsedFeed(lines, _records(lines), of_kind(lines, "malformed"))
+
+
+_DOCUMENT_START = r'^\s*(\{\s*"Table"\s*:\s*)?\['
+
+
+def _line_feed(spark: SparkSession, path, over: int) -> ParsedFeed:
+    """Files of lines.  A large file that begins like a document and is one (an envelope
+    on one line, say, or with its records on lines) is read in splits."""
+    lines, found = read_lines(spark, path), None
+    if any_above(spark, path, over):
+        head = fragments(spark, path, over).where("block = 0").select("file", F.substring("value", 1, 200).alias("head"), F.monotonically_increasing_id().alias("row"))
+        starts = head.groupBy("file").agg(F.min_by("head", "row").alias("head")).where(F.col("head").rlike(_DOCUMENT_START))
+        files = [r["file"] for r in starts.collect()]
+        if files:
+            found, taken, _ = _split_lines(spark, files, False, over)
+            if taken:
+                lines = lines.where(~F.col("pos.file").isin(taken))
+    feed = parse_lines(lines)
+    if found is None:
+        return feed
+    both = feed.lines.withColumn("opens", F.lit(True)).unionByName(found)
+    return ParsedFeed(both, _records(both), of_kind(both, "malformed"))
 
 
-def read_feed(spark: SparkSession, path, form: str = "auto", strict: bool = False) -> ParsedFeed:
+def read_feed(spark: SparkSession, path, form: str = "auto", strict: bool = False, split_over: int = SPLIT_OVER) -> ParsedFeed:
     """Read a JSON feed.
 
     ``form``: ``lines`` (line-per-record, envelopes), ``document`` (whole files),
     or ``auto`` (lines; when no line yields a record, the files are read again as
-    whole documents).
+    whole documents).  Documents above ``split_over`` bytes are read by many tasks.
     """
     if form == "document":
-        return parse_documents(read_documents(spark, path), strict=strict)
-    feed = parse_lines(read_lines(spark, path))
-    if form == "lines":
-        return feed
-    if form != "auto":
+        return _document_feed(spark, path, strict, split_over)
+    if form not in ("lines", "auto"):
         raise ValueError("form must be 'auto', 'lines' or 'document'")
-    if feed.records.isEmpty() and (of_kind(feed.lines, "malformed").isEmpty() is False
-                                   or not of_kind(feed.lines, "message").isEmpty()):
-        return parse_documents(read_documents(spark, path), strict=strict)
+    feed = _line_feed(spark, path, split_over)
+    if form == "auto" and feed.records.isEmpty() and (of_kind(feed.lines, "malformed").isEmpty() is False
+                                                      or not of_kind(feed.lines, "message").isEmpty()):
+        return _document_feed(spark, path, strict, split_over)
     return feed
