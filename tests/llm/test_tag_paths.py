@@ -139,3 +139,81 @@ def test_a_boxed_table_between_paragraphs():
     markup, texts = EXTRAS["table"]
     page = f"<div><h1>Title</h1><p>{LONG}</p><div class=scroll>{markup}</div><p>{LONG}</p></div><div><ul>{'<li>Other' * 20}</ul></div>"
     assert T.main_text(_page(page)).split("\n\n") == ["Title", LONG.strip(), *texts, LONG.strip()]
+
+
+SIX = [f"Paragraph {i}: {LONG.strip()}" for i in range(6)]
+CARDS = "<article><h3>Other story</h3><p>Teaser.</p></article><article><h3>Third</h3><p>Teaser 2.</p></article>"
+
+
+def test_teaser_cards_do_not_replace_the_article():
+    body = "<div class=story>" + "".join(f"<p>{x}</p>" for x in SIX) + "</div>"
+    for page in (body + CARDS, CARDS + body):
+        got = T.main_text(_page(page)).split("\n\n")
+        assert [x for x in got if x in SIX] == SIX
+
+
+def test_the_article_in_main_leaves_other_stories_out():
+    page = "<main><article>" + "".join(f"<p>{x}</p>" for x in SIX) + f"</article><section class='more-stories'>{CARDS}</section></main>"
+    assert T.main_text(_page(page)).split("\n\n") == SIX
+
+
+def test_text_after_the_article_element_stays():
+    page = "<article>" + "".join(f"<p>{x}</p>" for x in SIX[:4]) + "</article><div>" + "".join(f"<p>{x}</p>" for x in SIX[4:]) + "</div>"
+    assert T.main_text(_page(page)).split("\n\n") == SIX
+
+
+@pytest.mark.parametrize("tag", ["<p title=it's>", '<p class="a"">', "<p class='a''>", '<p title="a > b">', "<p don't>", '<p data-x = "1" y=\'2\'>', "<p a=b\"c>"])
+def test_stray_quotes(tag):
+    rest = [x.replace("that", "don't") for x in SIX[1:]]
+    page = f"<article><h1>T</h1>{tag}{SIX[0]}</p>" + "".join(f"<p>{x}</p>" for x in rest) + "</article>"
+    assert T.main_text(_page(page)).split("\n\n") == ["T", SIX[0], *rest]
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>text, here. ", "<b>x</i>", "<p><b><ul><li>y", "<table><tr><td>z", "</div>", "<a href='", "<form><p>w"])
+def test_deep_and_unclosed_markup_is_linear(unit):
+    import time
+    import tracemalloc
+    page = "".join(f"<p>{x}</p>" for x in SIX) + unit * 100_000
+    t = time.process_time()
+    T.main_text(page)
+    assert time.process_time() - t < 20
+    tracemalloc.start()
+    T.main_text("".join(f"<p>{x}</p>" for x in SIX) + unit * 20_000)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_levels_beyond_the_deepest_close_again():
+    page = "<div>" * 1000 + "<p>" + SIX[0] + "</p>" + "</div>" * 1000 + "".join(f"<p>{x}</p>" for x in SIX[1:])
+    assert T.main_text(page).split("\n\n") == SIX
+    blocks = T.blocks_of("<div>" * 1000 + "a" + "</div>" * 1000 + "<p>b")
+    assert [(b.text, b.path.tag) for b in blocks] == [("a", "div"), ("b", "p")]
+
+
+def _plain_ratios(blocks):
+    """The fused ratios by lists and numpy, without the operator's helpers."""
+    import numpy as np
+    paths = [b.path for b in blocks]
+    own = {p: [b for b in blocks if b.path is p] for p in set(paths)}
+    length = np.array([sum(len(b.text) - b.linked for b in own[p]) / len(own[p]) for p in paths])
+    signs = np.array([sum(sum(c in ".,;:!?…。，！？、" for c in b.text) for b in own[p] if b.linked < len(b.text)) / len(own[p]) for p in paths])
+
+    def smooth(v):
+        out = []
+        for i in range(len(v)):
+            j = np.arange(max(0, i - 2), min(len(v), i + 3))
+            k = np.exp(-((j - i) ** 2) / (2 * T.SIGMA ** 2))
+            out.append((k * v[j]).sum() / k.sum())
+        return np.array(out)
+
+    fused = np.sqrt(smooth(length) * (smooth(signs) + 0.05))
+    return {p: np.mean([f for f, q in zip(fused, paths) if q is p]) for p in own}
+
+
+def test_ratios_against_a_plain_version(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/pages.parquet").limit(40).collect()
+    for page in [r.html for r in rows] + [_page(NOISE + _paragraphs() + TAIL), "", "<p>x"]:
+        blocks = T.unmarked(T.blocks_of(page))
+        want = _plain_ratios(blocks)
+        got = T.content_paths(blocks)
+        assert set(got) == set(want) and all(got[p] == pytest.approx(want[p]) for p in got)

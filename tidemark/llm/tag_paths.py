@@ -6,12 +6,17 @@ and the punctuation are summed and divided by the number of blocks (and of
 characters inside links); the two ratios are smoothed along the page, fused as their
 geometric mean, and a path whose mean fused value is below ``THRESHOLD`` of the
 page's best path is not content, unless it is a list, table, code, heading or the like
-in a container of content (see ``content``).  Two kinds of paths are settled by their markup:
-one through an element that says it is no content (navigation, form, advert,
-comment section, ...) is none unless that element holds most of the page (see
-``unmarked``), and on a page with an ``article`` or ``main``
-element all paths through it are content and no others.  Lists of short links and
-bars of links are navigation everywhere.
+in a container of content (see ``content``).  This holds on every page.  An ``article`` or
+``main`` with most of the page's text weighs in: paths through it need ``INSIDE`` times
+less, all others ``OUTSIDE`` times more; of several such elements the one with the text
+counts, and where none has it, the ratios stand alone.  Markup settles only what an element
+says it is not: one through navigation, a form, an advert, a comment section, ... is no
+content unless that element holds most of the page (see ``unmarked``).  Lists of short
+links and bars of links are navigation everywhere.
+
+A page is read in one pass.  At most ``DEEPEST`` elements are open at a time, as in browsers;
+elements opened beyond that add no level.  A quote opens an attribute's value only after
+``=``; elsewhere it is an ordinary character of the tag.
 
 Cases: null and empty html give the empty text; broken markup (unclosed, crossed or
 unknown elements, a cut tail) is read as far as it goes; every page is a row of its
@@ -24,7 +29,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,8 +40,11 @@ from tidemark.llm.common import load
 
 THRESHOLD = 0.12
 SIGMA = 1.0
+INSIDE, OUTSIDE = 3.0, 4.0
+MOST = 0.6  # share of a page's text that makes an article or main element the one
+DEEPEST = 256
 LEFT = 0.1  # share of the text under soft marks below which the rest of a page is next to nothing
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""([^\s"'=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -117,28 +125,72 @@ class Mark:
         self.kind, self.main, self.size = kind, False, 0
 
 
+class Box:
+    """An element that holds paragraphs, or a table's cell, and the one around it;
+    ``first`` and ``last``: its first and last block of content."""
+
+    __slots__ = ("parent", "first", "last")
+
+    def __init__(self, parent=None):
+        self.parent, self.first, self.last = parent, -1, -1
+
+    def around(self) -> Iterator[Box]:
+        box = self
+        while box is not None:
+            yield box
+            box = box.parent
+
+
 class Place:
-    """Where a block stands: the elements around it that hold paragraphs (``boxes``), its
-    outermost list and table and the cells around it, by number."""
+    """Where a block stands: the box around it, its outermost list and table by number, and
+    its innermost cell, whose chain leads on to the box."""
 
-    __slots__ = ("boxes", "list", "table", "cells")
+    __slots__ = ("box", "list", "table", "cell")
 
-    def __init__(self, boxes=(0,), list=0, table=0, cells=()):
-        self.boxes, self.list, self.table, self.cells = boxes, list, table, cells
+    def __init__(self, box, list=0, table=0, cell=None):
+        self.box, self.list, self.table, self.cell = box, list, table, cell
 
     def inside(self, tag: str, number: int) -> Place:
         if tag in LISTS:
-            return Place(self.boxes, self.list or number, self.table, self.cells)
+            return self if self.list else Place(self.box, number, self.table, self.cell)
         if tag == "table":
-            return Place(self.boxes, self.list, self.table or number, self.cells)
+            return self if self.table else Place(self.box, self.list, number, self.cell)
         if tag in ("td", "th"):
-            return Place(self.boxes, self.list, self.table, (*self.cells, number))
+            return Place(self.box, self.list, self.table, Box(self.cell or self.box))
         if tag in FLOW or self.list or self.table:
             return self
-        return Place((*self.boxes, number))
+        return Place(Box(self.box))
+
+
+class Whole:
+    """An article or main element, the one around it, and its text outside links."""
+
+    __slots__ = ("parent", "size")
+
+    def __init__(self, parent):
+        self.parent, self.size = parent, 0
+
+    def around(self) -> Iterator[Whole]:
+        whole = self
+        while whole is not None:
+            yield whole
+            whole = whole.parent
+
 
+class Path:
+    """A root-to-leaf path of block elements, one object per path of a page."""
 
-ROOT = ("", "", (), False, Place(), False)  # of the stack of open elements
+    __slots__ = ("tag", "below", "pre", "set_off")
+
+    def __init__(self, tag="", parent=None):
+        self.tag, self.below = tag, {}
+        self.pre = tag == "pre" or parent is not None and parent.pre
+        self.set_off = tag in SET_OFF or parent is not None and parent.set_off
+
+    def to(self, tag: str) -> Path:
+        if tag not in self.below:
+            self.below[tag] = Path(tag, self)
+        return self.below[tag]
 
 
 class Block:
@@ -156,11 +208,14 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple] = []  # tag, path of block elements, marks, inside article/main?, place, inside a link?
+    stack: list[tuple] = []  # tag, path of block elements, marks, innermost article/main, place, link by number
+    opened: Counter = Counter()   # of the stack, by tag
+    flat: Counter = Counter()     # opened beyond the deepest level, by tag
+    root = ("", Path(), (), None, Place(Box()), 0)
     parts: list[str] = []
     beside: list[str] = []
     linked = links = number = last_link = 0
-    owner = ROOT[1:5]
+    owner = root[1:5]
 
     def end_block() -> None:
         nonlocal linked, links
@@ -176,7 +231,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal owner, linked, links, last_link
         if not text:
             return
-        top = stack[-1] if stack else ROOT
+        top = stack[-1] if stack else root
         if not parts:
             owner = top[1:5]
         elif top[2] != owner[1]:  # a hidden or excluded inline element inside a block
@@ -194,6 +249,16 @@ def blocks_of(page: str) -> list[Block]:
         else:
             beside.append(text)
 
+    def last_open(*tags: str) -> int | None:
+        if not any(opened[t] for t in tags):
+            return None
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in tags)
+
+    def close(depth: int) -> None:
+        for entry in stack[depth:]:
+            opened[entry[0]] -= 1
+        del stack[depth:]
+
     at = 0
     while True:
         m = _MARKUP.search(page, at)
@@ -207,15 +272,18 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if tag in BLOCK:
                 end_block()
+            if flat[tag]:
+                flat[tag] -= 1
+                continue
+            depth = last_open(tag)
             if depth is not None and (tag in BLOCK or not any(s[0] in BLOCK for s in stack[depth + 1:])):
-                del stack[depth:]
+                close(depth)
             continue
         if tag in RAW:
-            close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = close.end() if close else len(page)
+            end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            at = end.end() if end else len(page)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -226,16 +294,19 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCK:
             end_block()
             if tag in CLOSES_P:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
+                depth = last_open("p")
                 if depth is not None and not any(s[0] in SCOPE for s in stack[depth + 1:]):
-                    del stack[depth:]
+                    close(depth)
             if tag in SAME:
-                depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SAME[tag]), None)
+                depth = last_open(*SAME[tag])
                 if depth is not None and not any(s[0] in SCOPE and s[0] not in SAME[tag] for s in stack[depth + 1:]):
-                    del stack[depth:]
-        top = stack[-1] if stack else ROOT
-        whole = top[3] or tag in WHOLE
-        marks, why = top[2], _mark(tag, m[3], whole, "/pre" in top[1])
+                    close(depth)
+        if len(stack) >= DEEPEST:
+            flat[tag] += 1
+            continue
+        top = stack[-1] if stack else root
+        whole = Whole(top[3]) if tag in WHOLE else top[3]
+        marks, why = top[2], _mark(tag, m[3], whole is not None, top[1].pre)
         if why is not None:
             marks = (*marks, Mark(why))
         if tag == "h1" or tag in WHOLE:
@@ -245,7 +316,8 @@ def blocks_of(page: str) -> list[Block]:
             continue
         number += 1
         place = top[4].inside(tag, number) if tag in BLOCK else top[4]
-        stack.append((tag, f"{top[1]}/{tag}" if tag in BLOCK else top[1], marks, whole, place, number if tag == "a" else top[5]))
+        opened[tag] += 1
+        stack.append((tag, top[1].to(tag) if tag in BLOCK else top[1], marks, whole, place, number if tag == "a" else top[5]))
     end_block()
     return out
 
@@ -281,7 +353,7 @@ def _smoothed(values: list[float]) -> list[float]:
     return out
 
 
-def content_paths(blocks: list[Block]) -> dict[str, float]:
+def content_paths(blocks: list[Block]) -> dict[Path, float]:
     """The fused ratio of each path among blocks that may be content."""
     length, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
     for b in blocks:
@@ -311,6 +383,16 @@ def _menus(blocks: list[Block]) -> list[bool]:
     return [b.place.list in menus if b.place.list else b.links > 1 and not b.place.table and bool(_BAR.fullmatch(b.beside)) for b in blocks]
 
 
+def principal(blocks: list[Block]) -> Whole | None:
+    """The innermost article or main element with most of the blocks' text."""
+    total = sum(b.plain for b in blocks)
+    for b in blocks:
+        for whole in b.whole.around() if b.whole else ():
+            whole.size += b.plain
+    most = {w for b in blocks if b.whole for w in b.whole.around() if w.size >= MOST * total}
+    return min(most, key=lambda w: w.size, default=None)
+
+
 def content(blocks: list[Block], threshold: float) -> list[Block]:
     """The blocks of content, by the ratios of their paths and by their containers.
 
@@ -318,31 +400,33 @@ def content(blocks: list[Block], threshold: float) -> list[Block]:
     paragraph of content, or if it is a list, a table, code or a quotation between
     paragraphs of content.  A table with most of the page's text is layout, its cells
     are containers."""
-    menu = _menus(blocks)
-    if any(b.whole for b in blocks):
-        return [b for b, m in zip(blocks, menu) if b.whole and not m]
-    score = content_paths(blocks)
+    menu, score, main = _menus(blocks), content_paths(blocks), principal(blocks)
     best = max(score.values(), default=0.0)
-    good = [score[b.path] >= threshold * best and b.linked < 0.6 * len(b.text) and not m for b, m in zip(blocks, menu)]
+
+    def weight(b: Block) -> float:
+        if main is None:
+            return 1.0
+        return INSIDE if b.whole and any(w is main for w in b.whole.around()) else 1 / OUTSIDE
+
+    good = [score[b.path] * weight(b) >= threshold * best and b.linked < 0.6 * len(b.text) and not m for b, m in zip(blocks, menu)]
     size: dict[int, int] = defaultdict(int)
     for b in blocks:
         size[b.place.table] += b.plain
     half = sum(size.values()) / 2
-    boxes = [b.place.boxes + b.place.cells if b.place.table and size[b.place.table] > half else b.place.boxes for b in blocks]
-    leaf = [b.path.rsplit("/", 1)[-1] for b in blocks]
-    whole, spans = set(), {}
+    boxes = [b.place.cell or b.place.box if b.place.table and size[b.place.table] > half else b.place.box for b in blocks]
+    whole = set()
     for i, b in enumerate(blocks):
         if good[i]:
-            if leaf[i] in ("p", "pre", "blockquote"):
-                whole.add(boxes[i][-1])
-            box = boxes[i][-1] if leaf[i] in FLOW else boxes[i][-2:][0]
-            spans[box] = (spans.get(box, (i, i))[0], i)
+            if b.path.tag in ("p", "pre", "blockquote"):
+                whole.add(boxes[i])
+            box = boxes[i] if b.path.tag in FLOW else boxes[i].parent or boxes[i]
+            box.first, box.last = i if box.first < 0 else box.first, i
 
     def beside(i: int) -> bool:
-        p = blocks[i].place
-        if boxes[i][-1] in whole:
+        b = blocks[i]
+        if boxes[i] in whole:
             return True
-        return bool(p.list or p.table or SET_OFF & set(blocks[i].path.split("/"))) and any(b in spans and spans[b][0] < i < spans[b][1] for b in boxes[i])
+        return bool(b.place.list or b.place.table or b.path.set_off) and any(0 <= x.first < i < x.last for x in boxes[i].around())
 
     return [b for i, b in enumerate(blocks) if good[i] or not menu[i] and beside(i)]
 
