@@ -112,5 +112,42 @@ def test_estimates_recover_the_labelers():
     assert hits / 20_000 > 0.95
 
 
+def _timed(spark, texts):
+    import time
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t = time.time()
+    got = P.find(df).select("doc_id", P._written(P.F.col("base")).alias("w"), P.F.size("added").alias("n")).collect()
+    return {r.doc_id: r for r in got}, time.time() - t
+
+
+def test_very_many_numbers_in_one_text(spark):
+    """200,000 short numbers, and 60,000 spans that pass, beside as many candidates."""
+    rng = random.Random(11)
+    numbers = " ".join(str(rng.randrange(10 ** rng.randrange(1, 8))) + rng.choice(["", ",", ";"]) for _ in range(200_000))
+    card = [_card(rng) for _ in range(50)]
+    spans = "; ".join(rng.choice(["a{}@b.com", "10.0.{}.1", "+44 20 7946 0{}", "x {}"]).format(rng.randrange(100, 250)) if i % 3 else
+                      rng.choice([c[:4] + " " + c[4:8] + " " + c[8:12] + " " + c[12:] for c in card]) for i in range(90_000))
+    got, seconds = _timed(spark, [numbers, spans])
+    assert seconds < 60
+    assert got[0].w == _base(numbers) and got[1].w == _base(spans) and got[1].w.count(":") > 100_000
+
+
+def test_candidates_over_base_spans_go(spark):
+    """Against every pair of spans."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice([_card(rng), "+1 (555) 123-4567", "555-123-4567", "a@b.co", "x (at) y (dot) com", "10.0.0.1", "1:2:3:4:5:6:7:8", "7"]) for _ in range(n))
+             for n in (1, 2, 3, 5, 8, 300, 700)]
+    found, some = {r.doc_id: r for r in P.voted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}, 0
+    for i, t in enumerate(texts):
+        loose = []
+        for j, kind in enumerate(P.KINDS):
+            pattern = re.compile(P.LOOSE[kind].replace("}+", "}").replace("++", "+"))     # greedy is enough for these texts
+            loose += [(m.start(), m.end(), j) for m in pattern.finditer(t)]
+        want = sorted(c for c in loose if not any(b.start < c[1] and c[0] < b.stop for b in found[i].base))
+        assert [(x.start, x.stop, x.kind) for x in found[i].loose] == want
+        some += len(want)
+    assert some > 20
+
+
 def test_empty_table(spark):
     assert P.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []

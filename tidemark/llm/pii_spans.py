@@ -15,8 +15,9 @@
    votes and the span's shape.  Candidates that it takes and that overlap no base
    span are added; base spans always stay.
 
-One pass over the texts; spans and votes are kept in the row, so nothing is grouped
-by document.  Offsets are code points, end exclusive.
+One pass over the texts.  Matches, a few numbers each, are dealt by their document's row
+for the running sums that place them; work is linear in the matches of a text.  Offsets
+are code points, end exclusive.
 
 Cases: null and empty texts have no span; every row is judged by itself, equal and
 null ids too; a corpus without spans trains on nothing and adds nothing; an empty
@@ -28,10 +29,10 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, stored
+from tidemark.llm.common import load, partitions_for, stored
 
 KINDS = ("email", "ip", "card", "phone")
 LEFT = 24
@@ -56,9 +57,12 @@ HINT = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][\x20-]?[0-9][\x20-]?
 LOOSE_HINT = {"email": r"[(\[]at[)\]]", "ip": "[0-9A-Fa-f]:[0-9A-Fa-f]", "card": "[0-9]{4}[\x20-]?[0-9]{4}", "phone": r"[0-9]{3}\)?[ .-][0-9]{3}"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})?"
 IP_VALID = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
-# Gazetteers: public lists in short.
-DOMAINS = "com org net edu gov mil int info biz io co eu de fr es it nl pl pt se no fi dk ch at be uk us ca au nz jp cn in br mx ru example".split()
-CALLING = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 82 84 86 90 91 92".split()
+# Gazetteers, by the rules of the public lists.  Fixed values: country domains have two letters
+# (ISO 3166), the generic ones in wide use are listed, four are reserved (RFC 2606).
+DOMAINS = r"(?i)(?:\.|[)\]])\x20?(?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|tel|cat|asia|post|arpa|app|dev|online|site|shop|store|tech|xyz|blog|cloud|club)$"
+NO_DOMAINS = r"(?i)\.(?:test|invalid|localhost|local)$"
+# Country codes as the numbering zones assign them (E.164).
+CALLING = r"^\+(?:1|7|2[07]|2[1-689][0-9]|3[0-469]|3[578][0-9]|4[013-9]|42[0-9]|5[1-8]|5[09][0-9]|6[0-6]|6[789][0-9]|8[1246]|8[05789][0-9]|9[0-58]|9[679][0-9])"
 ISSUERS = r"^(?:4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|3[0689]|3[47]|35|6(?:011|4[4-9]|5|2))"
 RESERVED = r"^0*(?:0|127|22[4-9]|23[0-9]|24[0-9]|25[0-5])\."
 CUES = {
@@ -70,24 +74,25 @@ CUES = {
 AGAINST = r"(?i)(?:\b(?:version|ver|isbn|issn|order|invoice|serial|sku|token|build|release|page|section)\b[^.!?]{0,12}|[=#$€£][\"']?)$"
 LABELERS = ("regex", "structure", "gazetteer", "context", "border")
 SHAPES = ("size", "digits", "marks")
-_ITEM = "array<struct<start:int,stop:int,hit:string,left:string,right:string>>"
+_MATCHES = ("array<struct<skip:int,size:int,kind:int,loose:boolean,votes:struct<regex:int,structure:int,gazetteer:int,context:int,border:int,"
+            "size:int,digits:int,marks:int>>>")
 
 
-def _found(text: Column, pattern: str, hint: str) -> Column:
-    """All matches of a pattern with place and surroundings: split gives the gaps
-    between the matches, so places are running sums of lengths."""
+def _matches(text: Column, kind: str, base: bool) -> Column:
+    """All matches of a kind's pattern, in order: the length of the text since the last
+    match, the match's length, and its votes if it is a span (a base match that fails the
+    contract's test has a place in the sums, no more)."""
+    pattern, hint = (BASE[kind], HINT[kind]) if base else (LOOSE[kind], LOOSE_HINT[kind])
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     rows = F.filter(F.arrays_zip(hits.alias("hit"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("after")), lambda x: x["hit"].isNotNull())
 
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        stop = start + F.length(x["hit"])
-        item = F.struct(start.alias("start"), stop.alias("stop"), x["hit"].alias("hit"), F.right(x["gap"], F.lit(LEFT)).alias("left"), F.left(x["after"], F.lit(1)).alias("right"))
-        return F.struct(stop.alias("at"), F.concat(done["out"], F.array(item)).alias("out"))
+    def item(x: Column) -> Column:
+        near = F.struct(x["hit"].alias("hit"), F.right(x["gap"], F.lit(LEFT)).alias("left"), F.left(x["after"], F.lit(1)).alias("right"))
+        votes = _votes(kind, near, base)
+        return F.struct(F.length(x["gap"]).alias("skip"), F.length(x["hit"]).alias("size"), F.lit(KINDS.index(kind)).alias("kind"), F.lit(not base).alias("loose"),
+                        (F.when(valid(kind, x["hit"]), votes) if base else votes).alias("votes"))
 
-    none = F.array().cast(_ITEM)
-    spans = F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda d: d["out"])
-    return F.when(text.rlike(hint), spans).otherwise(none)
+    return F.when(text.rlike(hint), F.transform(rows, item)).otherwise(F.array().cast(_MATCHES))
 
 
 def _digits(hit: Column) -> Column:
@@ -120,7 +125,6 @@ def _vote(yes: Column, no: Column) -> Column:
 def _votes(kind: str, x: Column, base: bool) -> Column:
     """The labelers' votes and the shape of a span, as small whole numbers."""
     hit, digits = x["hit"], _digits(x["hit"])
-    never = F.lit(False)
     structure = {
         "email": lambda: _vote(hit.rlike(r"[.\x20)\]][A-Za-z]{2,24}$") & ~hit.rlike(r"\.\.|^\.|\.@"), ~hit.rlike(r"[A-Za-z]$")),
         "ip": lambda: _vote(hit.rlike(IP_VALID) | hit.contains(":"), ~hit.contains(":")),
@@ -128,10 +132,10 @@ def _votes(kind: str, x: Column, base: bool) -> Column:
         "phone": lambda: _vote(F.length(digits).between(10, 13), F.length(digits) > 15),
     }[kind]()
     gazetteer = {
-        "email": lambda: _vote(F.lower(F.regexp_extract(hit, "([A-Za-z]+)$", 1)).isin(DOMAINS), never),
+        "email": lambda: _vote(hit.rlike(DOMAINS), hit.rlike(NO_DOMAINS)),
         "ip": lambda: _vote(~hit.rlike(RESERVED), hit.rlike(RESERVED)),
         "card": lambda: _vote(digits.rlike(ISSUERS), ~digits.rlike("^[1-9]")),
-        "phone": lambda: _vote(hit.startswith("+") & F.regexp_extract(hit, r"^\+([0-9]{1,2}?)(?=[^0-9]|[0-9]{8})", 1).isin(CALLING), never),
+        "phone": lambda: _vote(F.regexp_replace(hit, "[^0-9+]", "").rlike(CALLING), hit.startswith("+") & ~F.regexp_replace(hit, "[^0-9+]", "").rlike(CALLING)),
     }[kind]()
     context = _vote(x["left"].rlike(CUES[kind]), x["left"].rlike(AGAINST))
     apart = r"^(?:|[\s,;:.!?()\[\]<>\"'|*%&$#/-])$"
@@ -139,26 +143,35 @@ def _votes(kind: str, x: Column, base: bool) -> Column:
     size = F.least(F.floor(F.length(hit) / 6), F.lit(9)).cast("int")
     share = F.floor(F.length(digits) * 4 / F.greatest(F.length(hit), F.lit(1))).cast("int")
     marks = F.least(F.length(F.regexp_replace(hit, "[0-9A-Za-z]", "")), F.lit(9))
-    return F.struct(x["start"].alias("start"), x["stop"].alias("stop"), F.lit(KINDS.index(kind)).alias("kind"),
-                    F.lit(1 if base else -1).alias("regex"), structure.alias("structure"), gazetteer.alias("gazetteer"),
+    return F.struct(F.lit(1 if base else -1).alias("regex"), structure.alias("structure"), gazetteer.alias("gazetteer"),
                     context.alias("context"), border.alias("border"), size.alias("size"), share.alias("digits"), marks.alias("marks"))
 
 
 def voted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base, loose: spans with their votes, in one pass over the texts."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = rows.select("doc_id", *[_found(F.col("text"), BASE[k], HINT[k]).alias(f"b_{k}") for k in KINDS],
-                        *[_found(F.col("text"), LOOSE[k], LOOSE_HINT[k]).alias(f"l_{k}") for k in KINDS])
-
-    def judged(kind: str, prefix: str) -> Column:
-        items = F.col(f"{prefix}_{kind}")
-        if prefix == "b":
-            items = F.filter(items, lambda x: valid(kind, x["hit"]))
-        return F.transform(items, lambda x: _votes(kind, x, prefix == "b"))
-
-    out = found.select("doc_id", F.concat(*[judged(k, "b") for k in KINDS]).alias("base"), F.concat(*[judged(k, "l") for k in KINDS]).alias("loose"))
-    clear = F.filter("loose", lambda c: ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    return out.select("doc_id", "base", clear.alias("loose"))
+    """doc_id, base, loose: spans with their votes.
+
+    One pass over the texts finds the matches; each becomes a row of a few numbers.  A
+    match's place is a running sum over the matches before it in its text, and a candidate
+    over a base span is told by the last end and the next start of base spans around it: all
+    are windows over one text's matches, linear in their number.  The rows are dealt
+    once, by the document's row."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    each = F.flatten(F.array(*[_matches(F.col("text"), k, base) for base in (True, False) for k in KINDS]))
+    found = rows.select("row", "doc_id", F.posexplode_outer(each).alias("at", "m")).select("row", "doc_id", "at", "m.*")
+    found = found.repartition(partitions_for(docs.sparkSession), "row")
+    before = Window.partitionBy("row", "kind", "loose").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = found.withColumn("stop", F.sum(F.col("skip") + F.col("size")).over(before).cast("int")).withColumn("start", F.col("stop") - F.col("size"))
+    found = found.where(F.col("votes").isNotNull() | F.col("at").isNull() | (F.col("at") == 0))    # the first match keeps its document
+    span = F.when(F.col("votes").isNotNull(), F.struct("start", "stop", "kind", *[F.col(f"votes.{c}").alias(c) for c in (*LABELERS, *SHAPES)]))
+    here = [F.col(c) for c in ("start", "loose", "kind")]      # frames that grow: a shrinking one would be summed anew for each row
+    by_place, back = (Window.partitionBy("row").orderBy(*o).rowsBetween(Window.unboundedPreceding, -1) for o in (here, [c.desc() for c in here]))
+    is_base = ~F.col("loose") & F.col("votes").isNotNull()
+    reach = F.max(F.when(is_base, F.col("stop"))).over(by_place)
+    ahead = F.min(F.when(is_base, F.col("start"))).over(back)
+    found = found.select("row", "doc_id", "loose", "start", "stop", span.alias("span"), reach.alias("reach"), ahead.alias("ahead"))
+    clear = (F.coalesce("reach", F.lit(0)) <= F.col("start")) & (F.coalesce("ahead", F.col("stop")) >= F.col("stop"))
+    out = found.groupBy("row", "doc_id").agg(F.collect_list(F.when(~F.col("loose"), F.col("span"))).alias("base"), F.collect_list(F.when(F.col("loose") & clear, F.col("span"))).alias("loose"))
+    return out.select("doc_id", F.array_sort("base").alias("base"), F.array_sort("loose").alias("loose"))
 
 
 def estimate(patterns: list[tuple[int, tuple, int]], rounds: int = EM_ROUNDS) -> tuple[dict, dict]:
