@@ -1,23 +1,29 @@
 import random
-import re
 
 import pytest
+import regex as re
 
 from tests.llm import fixtures
 from tidemark.llm import decontaminate as D
 
 
-def _shingles(text, k=5):
-    w = re.findall(r"[a-z0-9\x80-\U0010ffff]+", (text or "").lower())
-    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+def _words(text):
+    return re.findall(r"[\p{L}\p{N}\p{M}]+", (text or "").lower())
+
+
+def _shingles(w, k=5):
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
 
 
 def _brute(docs, items, t=0.8):
     out = []
     for d, x, *_ in docs:
-        s = _shingles(x)
+        w = _words(x)
+        at = {k: _shingles(w, k) for k in range(1, 6)}
         for i, y in items:
-            q = _shingles(y)
+            k = min(5, len(_words(y)))
+            q = _shingles(_words(y), k) if k else set()
+            s = at.get(k, set())
             if q and len(q & s) >= t * len(q) - 1e-9:
                 out.append((d, i, len(q & s), len(q)))
     return sorted(out)
@@ -70,3 +76,25 @@ def test_empty_tables(spark):
     it = spark.createDataFrame([(1, "a b c d e")], "item_id long, text string")
     assert D.contained_items(docs.limit(0), it).collect() == []
     assert [r.containment for r in D.contained_items(docs, it).collect()] == [1.0]
+
+
+def test_typographic_signs_hide_no_copy(spark):
+    item = "the old light house stands near the far green river and the new road goes by the sea"
+    w = item.split()
+    docs = [(1, item), (2, " ".join([*w[:4], "\u201c" + w[4] + "\u201d", *w[5:9], "\u2014", *w[9:]])), (3, item.replace(" ", "\u00a0")), (4, "\u2026".join(w)),
+            (5, item.upper()), (6, "\u3001".join(w)), (7, " ".join(w[:8])), (8, item.replace("old", "\u00f6ld"))]
+    it = spark.createDataFrame([(1, item), (2, "\u2018" + item + "\u2019")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in D.contained_items(spark.createDataFrame(docs, "doc_id long, text string"), it).collect())
+    assert got == sorted((d, i) for d in (1, 2, 3, 4, 5, 6, 8) for i in (1, 2) if (d, i) in {(d, i) for d, i, *_ in _brute(docs, it.collect())})
+    assert {d for d, _ in got} >= {1, 2, 3, 4, 5, 6}
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_items_below_five_words(spark, n):
+    rng = random.Random(n)
+    items = [(i, " ".join(f"q{n}x{i}y{j}" for j in range(n))) for i in range(5)] + [(9, "stone stone"), (10, "stone")]
+    docs = [(i, f"{fixtures.sentence(rng, 30 * (i % 4))} {t.upper()}, {fixtures.sentence(rng, i % 3)}") for i, t in items]
+    docs += [(100, " ".join(items[0][1].split()[::-1]) + " z"), (101, items[1][1]), (102, "stone, STONE! stone"), (103, None)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.shared, r.item_shingles) for r in D.contained_items(df, it).collect())
+    assert got == _brute(docs, items) and (102, 9, 1, 1) in got and (2, 2, 1, 1) in got

@@ -41,3 +41,11 @@ def test_blocks_can_be_read_alone(spark):
     skip = sum(seg.sizes[:8])  # the planes of two blocks
     third = T.unpack(seg.sizes[8:12], seg.payload[skip:], min(128, seg.n_ids - 256), 128, 8)
     assert (third == whole[256:384]).all()
+
+
+def test_rows_without_an_id_are_dealt_over_partitions(spark):
+    rows = [(None if i % 3 else i, f"wind {i} and sea") for i in range(3000)]
+    segments = T.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), "t", T.tokenizer_path(), segment=200)
+    assert segments.where("doc_ids[0] IS NULL").select("shard").distinct().count() > 2
+    got = T.token_index(segments).collect()
+    assert len(got) == 3000 and len({r.start for r in got}) == 3000 and sum(r.doc_id is None for r in got) == 2000

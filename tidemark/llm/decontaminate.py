@@ -15,10 +15,13 @@ Candidates are verified in the same task against the item's exact shingles as te
 Items are the stated query set: they are dealt into blocks of at most
 ``BLOCK_BYTES`` of text, and each block in turn is broadcast over all documents.
 
-Words are runs of a-z, 0-9 and all characters beyond ASCII, after lower-casing, so
-neither case nor punctuation hides a copy.  Cases: null and empty texts have no
-shingle and match nothing; a text below ``shingle`` words has its whole word
-sequence as its only shingle; alike items all match; rows with one id are judged
+An item below ``shingle`` words has its whole word sequence as its only shingle; documents
+are shingled at that length too, so it is found wherever it stands (its minimum is the
+shingle itself).
+
+Words are runs of letters, digits and combining marks of any script, after lower-casing, so
+neither case nor punctuation, typographic or not, hides a copy.  Cases: null and empty
+texts have no shingle and match nothing; alike items all match; rows with one id are judged
 each by itself; empty tables give no match; other columns stay untouched in
 ``clean_rows``.
 """
@@ -34,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import gram_hashes, load, span_hashes, text_slices, word_bounds, word_hashes
+from tidemark.llm.common import gram_hashes, load, span_hashes, text_slices, within_rows, word_bounds, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -48,7 +51,8 @@ _FACTOR = _RNG.integers(0, 2**64, PERMUTATIONS, dtype=np.uint64) | np.uint64(1)
 
 
 def folded(text: pa.Array) -> pa.Array:
-    return pc.utf8_lower(text.cast(pa.string()).fill_null(""))
+    """Lower case, with a space for everything that is no part of a word."""
+    return pc.replace_substring_regex(pc.utf8_lower(text.cast(pa.string()).fill_null("")), r"[^\p{L}\p{N}\p{M}]+", " ")
 
 
 def shingles_of(data: bytes, k: int = SHINGLE) -> set[bytes]:
@@ -83,15 +87,23 @@ class ItemIndex:
         self.k, self.threshold = k, threshold
         texts = folded(pa.array([t for _, t in items], pa.string()))
         alike: dict[frozenset, list] = defaultdict(list)
+        short: dict[int, set[bytes]] = defaultdict(set)
         for (key, _), t in zip(items, texts.cast(pa.binary()).to_pylist()):
-            s = shingles_of(t, k)
+            s, n = shingles_of(t, k), len(t.split())
             if s:
                 alike[frozenset(s)].append(key)
+            if 0 < n < k:
+                short[n] |= s
         self.shingles, self.keys = list(alike), list(alike.values())
+        number = {next(iter(s)): n for n, s in enumerate(self.shingles) if len(s) == 1}
+        #: For each word count below ``shingle``: hashes of the items of so many words, in order, and text -> item.
+        self.short = {n: (np.unique(self._run_hashes(texts, n)), {x: number[x] for x in texts}) for n, texts in short.items()}
         self.classes: dict[int, list] = {}
         by_class = defaultdict(list)
+        few = {n for _, numbers in self.short.values() for n in numbers.values()}
         for n, s in enumerate(self.shingles):
-            by_class[len(s).bit_length() - 1].append(n)
+            if n not in few:
+                by_class[len(s).bit_length() - 1].append(n)
         for c, members in by_class.items():
             least = np.empty((PERMUTATIONS, len(members)), np.uint64)
             for j, n in enumerate(members):
@@ -108,6 +120,29 @@ class ItemIndex:
                 tables.append((hint, least[p][order], np.array(members)[order]))
             self.classes[c] = tables
 
+    @staticmethod
+    def _run_hashes(texts: set[bytes], n: int) -> np.ndarray:
+        """Hash of each text of n words."""
+        data = b" ".join(sorted(texts))
+        starts, ends, _ = word_bounds(np.frombuffer(data, np.uint8), np.array([0, len(data)]), _WORDS)
+        return gram_hashes(word_hashes(np.frombuffer(data, np.uint8), starts, ends), n)[::n]
+
+    def short_matches(self, data: np.ndarray, offs: np.ndarray) -> set[tuple[int, int]]:
+        """(row, item) of the items below ``shingle`` words that stand in a row."""
+        out: set[tuple[int, int]] = set()
+        if not self.short:
+            return out
+        starts, ends, first = word_bounds(data, offs, _WORDS)
+        words = word_hashes(data, starts, ends)
+        for n, (values, numbers) in self.short.items():
+            at = np.flatnonzero(within_rows(first, len(words), n) & np.isin(gram_hashes(words, n), values))
+            rows = np.searchsorted(first, at, side="right") - 1
+            for row, i in zip(rows.tolist(), at.tolist()):
+                item = numbers.get(b" ".join(data[a:b].tobytes() for a, b in zip(starts[i:i + n], ends[i:i + n])))
+                if item is not None:
+                    out.add((row, item))
+        return out
+
     def candidates(self, hashes: np.ndarray, at: np.ndarray) -> set[tuple[int, int]]:
         """(row, item) pairs with an equal minimum in some window of the item's class."""
         out: set[tuple[int, int]] = set()
@@ -155,7 +190,7 @@ class ItemIndex:
             shared = len(self.shingles[item] & sets[row])
             if shared >= self.threshold * len(self.shingles[item]) - 1e-9:
                 found.append((row, item, shared))
-        return found
+        return found + [(row, item, 1) for row, item in sorted(self.short_matches(data, offs))]
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
@@ -221,14 +256,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH words AS (
-  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents
-  UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+') FROM benchmark),
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{M}]+') AS w FROM documents
+  UNION ALL SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}\p{M}]+') FROM benchmark),
+lengths AS (SELECT DISTINCT least(5, len(w)) AS k FROM words WHERE side = 'i' AND len(w) > 0),
 shingles AS (
-  SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS s
-  FROM (SELECT side, id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM words WHERE len(w) > 0)),
+  SELECT DISTINCT side, id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT side, id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words JOIN lengths
+        ON len(w) >= k AND (side = 'd' OR k = least(5, len(w))))),
 sizes AS (SELECT id, count(*) AS n FROM shingles WHERE side = 'i' GROUP BY id),
 met AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
-        FROM shingles i JOIN shingles d ON d.s = i.s AND d.side = 'd' AND i.side = 'i' GROUP BY ALL)
+        FROM shingles i JOIN shingles d ON d.s = i.s AND d.k = i.k AND d.side = 'd' AND i.side = 'i' GROUP BY ALL)
 SELECT doc_id, item_id, shared::BIGINT AS shared, n::BIGINT AS item_shingles, shared / n::DOUBLE AS containment
 FROM met JOIN sizes ON item_id = id WHERE shared >= 0.8 * n - 1e-9
 """

@@ -225,8 +225,8 @@ def write_tokens(docs: DataFrame, name: str, tokenizer: str, end_id: int = 1, by
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = (rows.repartitionByRange(partitions_for(docs.sparkSession), F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]      # rows with one id, or none, are dealt over partitions too
+    ordered = rows.repartitionByRange(partitions_for(docs.sparkSession), *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
     return stored(ordered.mapInArrow(encode, SEGMENT_SCHEMA), name)
 
 
