@@ -16,7 +16,7 @@ file system, atomic commit, lost executors):
 so any block can be read by itself; ``first_id`` counts ids inside the shard.
 
 Cases: null text is empty (only the end id); rows with equal or null ``doc_id``
-stay separate rows, nulls first, ties in order of the text; an empty table gives an
+stay separate rows, nulls first, ties in order of the hash of the text, then the text; an empty table gives an
 empty output; other columns are not read.
 """
 
