@@ -49,3 +49,22 @@ def test_rows_without_an_id_are_dealt_over_partitions(spark):
     assert segments.where("doc_ids[0] IS NULL").select("shard").distinct().count() > 2
     got = T.token_index(segments).collect()
     assert len(got) == 3000 and len({r.start for r in got}) == 3000 and sum(r.doc_id is None for r in got) == 2000
+
+
+def test_words_are_not_remembered_but_their_pieces(monkeypatch):
+    """What a worker holds between slices grows with the different runs of letters, not with the words they make."""
+    letters, enc = "abcdefghijklmnopqrst", T.WordEncoder(T.tokenizer_path())
+    runs = [a + b + c for a in letters for b in letters for c in letters]
+    text = " ".join(r + s for s in (",", ".", "!!", "?", ";", ":", "$", "&&&") for r in runs).encode()
+    assert enc([text, b"", b" x "]) == T.WholeEncoder(T.tokenizer_path())([text, b"", b" x "])
+    held = [v for v in vars(enc).values() if isinstance(v, dict)]
+    assert sum(map(len, held)) <= 2 * len(runs)
+    monkeypatch.setattr(T, "CACHE_PIECES", 100)
+    enc([b"one more"])
+    assert sum(map(len, held)) <= 100
+
+
+def test_slices_end_at_white_space(monkeypatch):
+    rows = [t.encode() for _, t, _ in fixtures.documents() if t] + [b"\xff ab\xc3 ", b" \t\x0b\x0c a\rb\n"]
+    monkeypatch.setattr(T, "SLICE", 50)
+    assert T.WordEncoder(T.tokenizer_path())(rows) == T.WholeEncoder(T.tokenizer_path())(rows)

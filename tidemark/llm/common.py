@@ -27,18 +27,25 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 @contextmanager
-def _shuffle_files_freed(spark: SparkSession):
-    """Within: a finished write gives its shuffle files back at once instead of
-    when the driver happens to collect its garbage.  Nothing is read twice there."""
-    old = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def setting(spark: SparkSession, name: str, value: str):
+    """Within: a session setting has this value."""
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if old is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(_CLEANUP, old)
+            spark.conf.set(name, old)
+
+
+@contextmanager
+def _shuffle_files_freed(spark: SparkSession):
+    """Within: a finished write gives its shuffle files back at once instead of
+    when the driver happens to collect its garbage.  Nothing is read twice there."""
+    with setting(spark, _CLEANUP, "true"):
+        yield
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

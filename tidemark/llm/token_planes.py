@@ -30,96 +30,158 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import load, partitions_for, stored
+from tidemark.llm.common import load, partitions_for, setting, stored, text_slices
 
 BLOCK = 1 << 16
 SEGMENT = 1 << 20
 SEGMENT_SCHEMA = ("shard int, seg long, first_id long, n_ids long, doc_ids array<bigint>, lengths array<bigint>, "
                   "plane_bits int, block int, sizes array<int>, payload binary")
 INDEX_SCHEMA = "shard int, doc_id long, local_start long, n_tokens long, ids_crc32 long"
-CACHE_WORDS = 600_000
-# letters, then signs but no apostrophe: a border of the tokenizer's own splits
-_PLAIN = re.compile(rb"([A-Za-z\x80-\xff]+)([!-&(-/:-@\[-`{-~]*)")
-# byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on
-_BYTE_CHARS = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))}
+CACHE_PIECES = 300_000
+SLICE = 4 << 20
+BATCH_ROWS = 1000
+# letters and then signs but no apostrophe: a border of the tokenizer's own splits
+_LETTERS = re.compile(rb"[a-z\x80-\xff]+")
+_SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and c != 39)
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+# byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on; spaces stay
+_BYTE_CHARS = np.arange(256, dtype="<u4")
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+_BYTE_CHARS[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+_BYTE_CHARS[32] = 32
+
+
+def _values(texts: pa.Array) -> list[bytes]:
+    """The strings of a dictionary."""
+    offs, raw = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].tolist(), texts.buffers()[2]
+    raw = raw.to_pybytes() if raw is not None else b""
+    return [raw[a:b] for a, b in zip(offs, offs[1:])]
 
 
 class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
     For tokenizers that drop white space and never join over it: a text's ids are
-    those of its words one after another, so words are encoded once and remembered
-    (``CACHE_WORDS`` at most, then the memory starts afresh).  A word of letters
-    and then signs is two such pieces where the tokenizer splits there, so its
-    letters are remembered whatever sign follows.
+    those of its words one after another, so the different words of some ``SLICE``
+    bytes of text are encoded once and their ids dealt out by index.  A word of
+    letters and then signs is two such pieces where the tokenizer splits there;
+    pieces are remembered over slices (``CACHE_PIECES`` at most, then the memory
+    starts afresh), whole words are not: most of them are rare.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
         self.pieces: dict[bytes, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         splits = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         lowers = {"type": "Lowercase"} in ((spec.get("normalizer") or {}).get("normalizers") or [])
-        self.splits_signs = lowers and splits[-1].get("type") == "ByteLevel" and splits[0].get("pattern", {}).get("Regex", "").endswith(
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.splits_signs = bool(suffix) and lowers and splits[-1].get("type") == "ByteLevel" and splits[0].get("pattern", {}).get("Regex", "").endswith(
             r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-
-    def _letters(self, piece: bytes) -> bytes | None:
-        """Ids of a run of letters; None if it is not one to this tokenizer."""
-        if piece.isascii():
-            text = piece.decode()
-        else:
-            text = self.tokenizer.normalizer.normalize_str(piece.decode("utf-8", "replace"))
-            if not text.isalpha():
-                return None
-            text = text.encode().decode("latin-1").translate(_BYTE_CHARS)
-        ids = [t.id for t in self.tokenizer.model.tokenize(text)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        if self.splits_signs:
+            self.letters = Tokenizer(self.tokenizer.model)      # the same model; its words come normalised and in byte characters
+            self.letters.pre_tokenizer = WhitespaceSplit()
+            vocabulary = self.tokenizer.get_vocab(False)
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def _runs(self, text: str, n: int) -> list[bytes | None]:
+        """Ids of the ``n`` words, in byte characters, of a text; None for all if they are not one piece each."""
+        ids = np.array(self.letters.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = ((np.flatnonzero(self.last[ids]) + 1) * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)] if len(ends) == n else [None] * n
+
+    def _letters(self, runs: list[bytes]) -> dict[bytes, bytes | None]:
+        """Ids of runs of letters; None for one that is not such a run to this tokenizer."""
+        plain = [r for r in runs if r.isascii()]
+        out: dict[bytes, bytes | None] = dict.fromkeys(runs)
+        out.update(zip(plain, self._runs(b" ".join(plain).decode(), len(plain))))
+        texts = {r: t for r in runs if not r.isascii() and (t := r.decode("utf-8", "replace")).isalpha()}
+        if texts:   # letters hold no white space, so the words of the joined text are the runs
+            named = dict(zip(texts, self.tokenizer.normalizer.normalize_str(" ".join(texts.values())).split(" ")))
+            named = {r: t for r, t in named.items() if t.isalpha()}
+            text = _BYTE_CHARS[np.frombuffer(" ".join(named.values()).encode(), np.uint8)].tobytes().decode("utf-32-le")
+            out.update(zip(named, self._runs(text, len(named))))
+        return out
 
     def _whole(self, words: list[bytes]) -> list[bytes]:
-        got = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in got]
-
-    def _learn(self, words: list[bytes]) -> None:
-        known, pieces, rest = self.known, self.pieces, []
-        if len(pieces) > CACHE_WORDS:
+        got = [e.ids for a in range(0, len(words), 20_000) for e in self.tokenizer.encode_batch_fast(
+            [w.decode("utf-8", "replace") for w in words[a:a + 20_000]], add_special_tokens=False)]
+        return [np.array(ids, "<u4").tobytes() for ids in got]
+
+    def _words(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+        """Ids of some pieces, and for each of the different ``words`` the two pieces it is made of."""
+        texts = _values(words)
+        if not self.splits_signs:
+            return [b"", *self._whole(texts)], np.stack([np.arange(1, len(texts) + 1), np.zeros(len(texts), np.int64)], axis=1)
+        pieces = self.pieces
+        if len(pieces) > CACHE_PIECES:
             pieces.clear()
-        for w in words:
-            m = _PLAIN.fullmatch(w) if self.splits_signs else None
-            if m is None:
-                rest.append(w)
-                continue
-            core, signs = m[1].lower(), m[2]
-            ids = pieces.get(core)
-            if ids is None:
-                ids = pieces[core] = self._letters(core)
-            if ids is None:
-                rest.append(w)
-                continue
-            if signs:
-                if signs not in pieces:
-                    pieces[signs], = self._whole([signs])
-                ids += pieces[signs]
-            known[w] = ids
-        for a in range(0, len(rest), 20_000):
-            known.update(zip(rest[a:a + 20_000], self._whole(rest[a:a + 20_000])))
+        core = pc.ascii_lower(pc.ascii_rtrim(words, characters=_SIGNS))
+        size = pc.binary_length(core).to_numpy()
+        signs = pc.binary_length(words).to_numpy() - size
+        found = core.dictionary_encode()
+        runs = _values(found.dictionary)
+        letters = np.array([_LETTERS.fullmatch(r) is not None for r in runs], bool)
+        new = [r for r, ok in zip(runs, letters) if ok and r not in pieces]
+        for a in range(0, len(new), 2000):
+            pieces.update(self._letters(new[a:a + 2000]))
+        ids = [pieces[r] if ok else None for r, ok in zip(runs, letters)]
+        known = np.array([x is not None for x in ids], bool)[found.indices.to_numpy()]
+        pair = np.stack([found.indices.to_numpy().astype(np.int64), np.full(len(texts), len(ids))], axis=1)
+        ids = [x or b"" for x in ids] + [b""]
+        signed = np.flatnonzero(known & (signs > 0))
+        tails = [texts[i][-n:] for i, n in zip(signed.tolist(), signs[signed].tolist())]
+        place = {x: len(ids) + j for j, x in enumerate(dict.fromkeys(tails))}
+        pair[signed, 1] = [place[x] for x in tails]
+        ids += self._whole(list(place))
+        rest = np.flatnonzero(~known).tolist()
+        pair[rest, 0] = np.arange(len(ids), len(ids) + len(rest))
+        return ids + self._whole([texts[i] for i in rest]), pair
+
+    def _slice(self, texts: list[bytes]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string(), safe=False))
+        found = words.flatten().dictionary_encode()
+        if not len(found):
+            return [b""] * len(texts)
+        ids, pair = self._words(found.dictionary)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        use = pair[found.indices.to_numpy()].reshape(-1)
+        n = size[use]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(size) - size)[use] - (ends - n), n) + np.arange(ends[-1])
+        got = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        bounds = (np.concatenate([[0], ends[1::2]])[words.offsets.to_numpy()] * 4).tolist()
+        return [got[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.known
-        new = list({w for words in split for w in words}.difference(known))
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list({w for words in split for w in words})
-        if new:
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, owners, size = [], [], 0
+        for i, text in enumerate(texts):
+            a = 0
+            while a < len(text):                 # a long text in parts that end before white space
+                space = _SPACE.search(text, a + SLICE)
+                b = space.start() if space else len(text)
+                held.append(text[a:b])
+                owners.append(i)
+                size += b - a
+                a = b
+                if size >= SLICE:
+                    for j, got in zip(owners, self._slice(held)):
+                        out[j].append(got)
+                    held, owners, size = [], [], 0
+        for j, got in zip(owners, self._slice(held) if held else ()):
+            out[j].append(got)
+        return [b"".join(x) for x in out]
 
 
 class WholeEncoder:
@@ -209,25 +271,24 @@ def write_tokens(docs: DataFrame, name: str, tokenizer: str, end_id: int = 1, by
             return pa.RecordBatch.from_pylist([row], schema)
 
         size = 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                for key, got in zip(part.column(0).to_pylist(), enc(texts)):
-                    names.append(key)
-                    lengths.append(len(got) // 4 + 1)
-                    held.extend((got, end))
-                    size += lengths[-1]
-                    if size >= segment:
-                        yield close()
-                        size = 0
+        for part, data, offs in text_slices(batches, 1, SLICE):
+            raw, at = data.tobytes(), offs.tolist()
+            for key, got in zip(part.column(0).to_pylist(), enc([raw[a:b] for a, b in zip(at, at[1:])])):
+                names.append(key)
+                lengths.append(len(got) // 4 + 1)
+                held.extend((got, end))
+                size += lengths[-1]
+                if size >= segment:
+                    yield close()
+                    size = 0
         if names:
             yield close()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]      # rows with one id, or none, are dealt over partitions too
     ordered = rows.repartitionByRange(partitions_for(docs.sparkSession), *order).sortWithinPartitions(*order, "text").select("doc_id", "text")
-    return stored(ordered.mapInArrow(encode, SEGMENT_SCHEMA), name)
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS)):  # a batch is whole in both processes
+        return stored(ordered.mapInArrow(encode, SEGMENT_SCHEMA), name)
 
 
 def read_ids(segments: DataFrame) -> DataFrame:
