@@ -10,7 +10,10 @@ Payload lines (readers) are built from ``customer`` and ``nation``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.spec import TableSpec
 
@@ -366,16 +369,23 @@ FOLDER_SLICES = {"supplier_feed": ("s_suppkey", 8), "part_feed": ("p_partkey", 8
 
 
 def _as_documents(rows: DataFrame, folder: str, order: str) -> None:
-    """(file, <order>, value) -> one document per file, a record a line."""
+    """(file, <order>, value) -> one document per file, a record a line.  ``rows`` come from
+    stored tables without a shuffle, so their row numbers are the same each time.
+
+    All files are sorted by ranges, so a large document is made by many tasks; its parts are
+    then passed on in their order by one task, which holds a line at a time."""
     spark = rows.sparkSession
-    f = F.col("file")
-    ends = rows.select("file").distinct()
-    body = rows.select("file", F.lit(1).alias("part"), F.col(order).alias("o"), F.concat(F.when(F.row_number().over(
-        Window.partitionBy("file").orderBy(order)) > 1, F.lit(",")).otherwise(F.lit("")), F.col("value")).alias("value"))
-    edge = lambda part, text: ends.select(f, F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("o"), F.lit(text).alias("value"))
+    rows = rows.select("file", F.col(order).alias("o"), "value", F.monotonically_increasing_id().alias("row"))
+    ends = rows.groupBy("file").agg(F.min(F.struct("o", "row")).alias("first"))
+    first = F.broadcast(ends.withColumnRenamed("file", "_file"))       # one row per file
+    body = rows.join(first, F.col("file").eqNullSafe(F.col("_file"))).select("file", F.lit(1).alias("part"), "o", "row", F.concat(
+        F.when(F.struct("o", "row").eqNullSafe(F.col("first")), F.lit("")).otherwise(F.lit(",")), F.col("value")).alias("value"))
+    edge = lambda part, text: ends.select("file", F.lit(part).alias("part"), F.lit(0).cast("bigint").alias("o"), F.lit(0).cast("bigint").alias("row"),
+                                          F.lit(text).alias("value"))
     out = edge(0, '{"Table":[').unionByName(body).unionByName(edge(2, "]}"))
+    place = ["file", "part", "o", "row"]
     parts = folder + "-parts"
-    (out.repartition(16, "file").sortWithinPartitions("file", "part", "o").select("value", "file").write.partitionBy("file").text(parts))
+    out.repartitionByRange(*place).sortWithinPartitions(*place).select("value", "file").write.partitionBy("file").text(parts)
     _name_files(spark, parts, folder)
 
 
@@ -388,16 +398,29 @@ def write_large_document(spark: SparkSession, sf_dir: str, folder: str) -> str:
 
 
 def _name_files(spark: SparkSession, parts: str, folder: str) -> None:
-    """Spark's file of each ``file=<name>`` folder under that name in ``folder``."""
+    """Spark's files of each ``file=<name>`` folder, one after the other, under that name in ``folder``."""
     from tidemark.session import hadoop_path
     fs, _ = hadoop_path(spark, parts)
     fs.mkdirs(hadoop_path(spark, folder)[1])
+    several = {}
     for st in fs.listStatus(hadoop_path(spark, parts)[1]):
         name = st.getPath().getName()
         if name.startswith("file="):
-            for x in fs.listStatus(st.getPath()):
-                if x.getPath().getName().startswith("part-"):
-                    fs.rename(x.getPath(), hadoop_path(spark, f"{folder}/{name[5:]}")[1])
+            found = sorted((x.getPath().getName(), x.getPath()) for x in fs.listStatus(st.getPath()) if x.getPath().getName().startswith("part-"))
+            if len(found) == 1:
+                fs.rename(found[0][1], hadoop_path(spark, f"{folder}/{name[5:]}")[1])
+            elif found:
+                several[name[5:]] = [x.toString() for _, x in found]
+
+    def put(i: int, name: str) -> None:
+        one = reduce(DataFrame.unionAll, [spark.read.option("lineSep", "\n").text(p) for p in several[name]]).coalesce(1)
+        one.write.text(f"{parts}-{i}")
+        for x in fs.listStatus(hadoop_path(spark, f"{parts}-{i}")[1]):
+            if x.getPath().getName().startswith("part-"):
+                fs.rename(x.getPath(), hadoop_path(spark, f"{folder}/{name}")[1])
+
+    with ThreadPoolExecutor(8) as pool:         # a file is one job of one task
+        list(pool.map(put, range(len(several)), several))
 
 
 def write_feed_folder(spark: SparkSession, sf_dir: str, folder: str) -> str:
