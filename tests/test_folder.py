@@ -77,3 +77,17 @@ def test_jobs_do_not_grow_with_files(spark, tmp_dir):
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         counts.append(len(tracker.getJobIdsForGroup(f"folder{n}")))
     assert counts[0] > 0 and abs(counts[1] - counts[0]) <= 3, counts
+
+
+def test_a_table_unpacks_its_own_files_only(spark, tmp_dir, monkeypatch):
+    """Its records come from lines stored with their table: no join after the records of all files are unpacked."""
+    d, plans, real = os.path.join(tmp_dir, "f"), [], B.typed_rows
+    _put(d, board='{"Table":[{"k": 4, "a": "x", "b": 1, "flag": "A"}]}', other='{"Table":[{"id": 4, "flag": "A"}]}')
+
+    def typed(records, *rest):
+        plans.append(records._jdf.queryExecution().executedPlan().toString())
+        return real(records, *rest)
+
+    monkeypatch.setattr(B, "typed_rows", typed)
+    assert all(x[2:4] == ("PASS", 1) for x in _load(spark, d).values())
+    assert len(plans) == 2 and not any("Join" in p for p in plans) and "EqualTo(table_name,board)" in plans[0]

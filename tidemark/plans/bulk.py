@@ -59,18 +59,18 @@ def feed_folder(spark: SparkSession, folder: str, tables: DataFrame) -> DataFram
 
 
 def _record_shapes(records: DataFrame) -> DataFrame:
-    """file, raw_name, first (where the file has the name first).  Few key lists repeat in
-    a file, so they collapse before the shuffle."""
-    shapes = records.groupBy("file", F.map_keys("rec").alias("ks")).agg(F.min("pos").alias("p"))
-    return shapes.select("file", "p", F.posexplode("ks").alias("i", "raw_name")).groupBy("file", "raw_name").agg(F.min(F.struct("p", "i")).alias("first"))
+    """file, table_name, raw_name, first (where the file has the name first).  Few key lists
+    repeat in a file, so they collapse before the shuffle."""
+    shapes = records.groupBy("file", "table_name", F.map_keys("rec").alias("ks")).agg(F.min("pos").alias("p"))
+    names = shapes.select("file", "table_name", "p", F.posexplode("ks").alias("i", "raw_name"))
+    return names.groupBy("file", "table_name", "raw_name").agg(F.min(F.struct("p", "i")).alias("first"))
 
 
 def file_columns(records: DataFrame, specs: dict[str, TableSpec]) -> DataFrame:
     """file, table_name, raw_name, column_name: which raw name of each file stands for which
     column, by the rules of :func:`resolve_columns` for each file."""
     spark = records.sparkSession
-    names = (_record_shapes(records).withColumn("norm", F.lower(strip("raw_name")))
-             .join(records.select("file", "table_name").distinct(), "file"))
+    names = _record_shapes(records).withColumn("norm", F.lower(strip("raw_name")))
     renames = spark.createDataFrame([(t, a, b) for t, s in specs.items() for a, b in s.renames.items()], "table_name string, norm string, renamed string")
     names = names.join(F.broadcast(renames), ["table_name", "norm"], "left")       # a few rows, from the configuration
     spelling = Window.partitionBy("file", "norm").orderBy(F.desc("first"))
@@ -180,13 +180,15 @@ def load_folder(spark: SparkSession, folder: str, specs: dict[str, TableSpec], s
     at = scratch_path(spark, "folder-files")
     files.write.parquet(at)
     files = spark.read.parquet(at)
-    lines = read_feed(spark, f"{folder}/*.txt", form="document", strict=True).lines
+    known = files.where("table_name IS NOT NULL").select("file", "table_name", "rank")
+    # the table is stored with the lines, so that a table's turn reads and unpacks its own files only
+    lines = read_feed(spark, f"{folder}/*.txt", form="document", strict=True).lines.select("pos", "kind", "rows")
+    lines = lines.join(known, F.col("pos.file") == known["file"], "left").select("pos", "kind", "rows", "table_name", "rank")
     at = scratch_path(spark, "folder-lines")
-    lines.select("pos", "kind", "rows").write.parquet(at)
-    lines = spark.read.schema(lines.select("pos", "kind", "rows").schema).parquet(at)
+    lines.write.parquet(at)
+    lines = spark.read.schema(lines.schema).parquet(at)
     broken = lines.where("kind <> 'rows'").select(F.col("pos.file").alias("file"), F.lit(True).alias("broken")).distinct()
-    known = files.where("table_name IS NOT NULL").select("file", "table_name", "rank")
-    records = (lines.where("kind = 'rows'").select(F.col("pos.file").alias("file"), "pos", F.posexplode("rows").alias("elem", "rec")).join(known, "file")
+    records = (lines.where("kind = 'rows' AND table_name IS NOT NULL").select(F.col("pos.file").alias("file"), "table_name", "rank", "pos", F.posexplode("rows").alias("elem", "rec"))
                .select("file", "table_name", "rank", F.struct(F.col("pos").alias("line"), "elem").alias("pos"), last_values(F.col("rec")).alias("rec")))
     columns = file_columns(records, specs)
     at = scratch_path(spark, "folder-columns")
